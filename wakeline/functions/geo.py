@@ -102,9 +102,8 @@ def valid_position(lat, lon, reject_origin: bool = False) -> Column:
 
 
 def in_gateway_area(lat, lon) -> Column:
-    hit = F.lit(False)
-    for south, north, west, east in P.GATEWAY_BOXES:
-        hit = hit | (lat.between(south, north) & lon.between(west, east))
+    boxes = ", ".join(f"struct({s}D AS s, {n}D AS n, {w}D AS w, {e}D AS e)" for s, n, w, e in P.GATEWAY_BOXES)
+    hit = F.exists(F.expr(f"array({boxes})"), lambda b: lat.between(b["s"], b["n"]) & lon.between(b["w"], b["e"]))
     return F.coalesce(hit, F.lit(False))
 
 

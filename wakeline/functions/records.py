@@ -59,9 +59,12 @@ def is_tanker(ship_type, *texts) -> Column:
 
 
 def zone_ids(lat: Column, lon: Column, tanker: Column) -> Column:
-    hits = [F.when(tanker & lat.between(s, n) & lon.between(w, e), F.lit(zone))
-            for zone, _label, s, n, w, e in P.TANKER_ZONES]
-    return F.array_compact(F.array(*hits))
+    """Ids of the tanker zones a tanker lies in."""
+    zones = ", ".join(f"struct('{z}' AS id, {s}D AS s, {n}D AS n, {w}D AS w, {e}D AS e)"
+                      for z, _label, s, n, w, e in P.TANKER_ZONES)
+    hit = F.filter(F.expr(f"array({zones})"), lambda z: lat.between(z["s"], z["n"]) & lon.between(z["w"], z["e"]))
+    return F.when(F.coalesce(tanker, F.lit(False)), F.transform(hit, lambda z: z["id"])).otherwise(
+        F.expr("CAST(array() AS ARRAY<STRING>)"))
 
 
 def primary_category(categories: Column) -> Column:

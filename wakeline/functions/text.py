@@ -12,6 +12,11 @@ def col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` worked out once, however often the body names it."""
+    return F.get(F.transform(F.array(value), lambda v: body(v)), F.lit(0))
+
+
 def present(value: Column | str) -> Column:
     """Trimmed text, NULL when empty."""
     return F.nullif(F.regexp_replace(col(value).cast("string"), r"^\s+|\s+$", ""), F.lit(""))
@@ -34,7 +39,7 @@ def norm_digits(value: Column | str) -> Column:
 
 
 def split_tokens(value: Column | str) -> Column:
-    parts = F.transform(F.split(F.coalesce(col(value), F.lit("")), r"[;,|]"), F.trim)
+    parts = F.transform(F.split(F.coalesce(col(value), F.lit("")), r"[;,|]"), lambda x: F.trim(x))
     return F.filter(parts, lambda x: x != "")
 
 

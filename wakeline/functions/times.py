@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from wakeline.functions.text import col, parse_float, present
+from wakeline.functions.text import col, let, parse_float, present
 
 _ISO = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?([+-]\d{2}:?\d{2})?)?$"
 EARLIEST = "2000-01-01 00:00:00"
@@ -29,17 +29,16 @@ def parse_archive_dt(value: Column | str) -> Column:
 def operational(value: Column, as_of: Column) -> Column:
     """The timestamp when it lies between 2000-01-01 and ``as_of`` plus a day, else NULL."""
     earliest = F.lit(EARLIEST).cast("timestamp")
-    return F.when((value >= earliest) & (value <= as_of + F.expr("INTERVAL 1 DAY")), value)
+    return let(value, lambda v: F.when((v >= earliest) & (v <= as_of + F.expr("INTERVAL 1 DAY")), v))
 
 
 def normalize_timestamp(value: Column | str, fetched_at: Column, as_of: Column) -> tuple[Column, Column, Column]:
     """(timestamp, valid, basis): epoch seconds or milliseconds, ISO text, else retrieval time."""
     text = present(value)
-    number = F.when(text.rlike(r"^\d+(\.\d*)?$|^\.\d+$"), parse_float(text))
-    seconds = F.when(number > 1e10, number / 1000.0).otherwise(number)
-    bounded = F.when(seconds < 1e11, seconds)
-    parsed = F.coalesce(F.timestamp_seconds(F.floor(bounded)), F.date_trunc("second", parse_dt(text)))
-    good = operational(parsed, as_of)
+    number = let(F.when(text.rlike(r"^\d+(\.\d*)?$|^\.\d+$"), parse_float(text)),
+                 lambda n: F.when(n > 1e10, n / 1000.0).otherwise(n))
+    seconds = let(number, lambda n: F.when(n < 1e11, F.timestamp_seconds(F.floor(n))))
+    good = operational(F.coalesce(seconds, F.date_trunc("second", parse_dt(text))), as_of)
     return (
         F.coalesce(good, fetched_at),
         good.isNotNull(),

@@ -45,54 +45,51 @@ def classify(contacts: DataFrame, watch: DataFrame, terms: DataFrame, flags: Dat
     """Contacts with categories, match, port, flag and tanker columns. One output row per input row."""
     cols = contacts.columns
     df = match_watchlist(contacts, watch)
-    df = add_port_match(df, terms, "destination", "dest_declared")
-    df = add_port_match(df, terms, "last_port", "port_observed")
+    df = add_port_match(df, terms, {"destination": "dest_declared", "last_port": "port_observed"})
     df = assess_flag(df, flags)
     mmsi = norm_digits("mmsi")
-    russian = F.coalesce(mmsi.startswith("273"), F.lit(False))
-    declared = _has("to_russia_declared", cols) | F.col("dest_declared")
-    unconfirmed = _has("recent_russian_portcall_unconfirmed_10d", cols)
-    confirmed = _has("recent_russian_portcall_confirmed_10d", cols) | F.col("port_observed")
-    tanker = is_tanker("ship_type", "ship_type_text", "destination")
-    zones = F.when(geo.valid_position(F.col("latitude"), F.col("longitude")),
-                   zone_ids(F.col("latitude"), F.col("longitude"), tanker)).otherwise(F.array().cast("array<string>"))
     matched = F.col("matched_on").isNotNull()
-    track = {n: F.coalesce(to_bool(F.col("watch_track_" + n).cast("string")), F.lit(False)) & matched
+    track = {n: F.coalesce(to_bool(F.col("watch_track_" + n).cast("string")), F.lit(False))
              for n in ("sanctions", "shadowfleet", "falseflag", "behavior")}
-    df = (df.withColumn("is_tanker", tanker).withColumn("tanker_zones", zones)
-          .withColumn("to_russia_declared", declared)
-          .withColumn("recent_russian_portcall_unconfirmed_10d", unconfirmed)
-          .withColumn("from_russia_confirmed", confirmed)
-          .withColumn("recent_ru_portcall_confidence", portcall_confidence(confirmed, unconfirmed, declared)))
-    band = F.col("flag_risk_band")
-    soft_or_hard = F.coalesce(band != "context", F.lit(False))
-    missing_imo = F.coalesce(present("imo").isin("—", "-"), present("imo").isNull()) & mmsi.isNotNull()
-    assessed = band.isNotNull() | matched
-    reasons = F.when(assessed, hard_flag_reasons(
-        band, F.col("flag_registry_status"), track["sanctions"] | track["shadowfleet"], track["falseflag"],
-        F.col("from_russia_confirmed"), geo.in_gateway_area(F.col("latitude"), F.col("longitude")), missing_imo))
-    df = (df.withColumn("false_flag_hard_reasons", F.coalesce(reasons, F.array().cast("array<string>")))
-          .withColumn("false_flag_hard_watch", is_hard_flag(F.col("false_flag_hard_reasons")))
-          .withColumn("sanctioned", track["sanctions"]).withColumn("shadow_fleet", track["shadowfleet"])
-          .withColumn("false_flag", track["falseflag"] | soft_or_hard)
-          .withColumn("false_flag_candidate", soft_or_hard)
-          .withColumn("behavioral_voi", track["behavior"]))
-    found = F.array_compact(F.array(
-        F.when(russian, "russian_mmsi"),
-        F.when(F.col("from_russia_confirmed") | F.col("recent_russian_portcall_unconfirmed_10d"),
-               "recent_russian_portcall_10d"),
-        F.when(soft_or_hard | track["falseflag"], "falseflag_interest"),
-        F.when(F.col("false_flag_hard_watch"), "false_flag_watch"),
-        F.when(matched, "watchlist"),
-        F.when(F.col("sanctioned") | F.col("shadow_fleet"), "sanctions_shadowfleet"),
-        F.when(F.col("behavioral_voi"), "behavioral_voi")))
-    df = df.withColumn("_found", F.array_sort(found))
-    neutral = (F.size("tanker_zones") > 0) & (F.size("_found") == 0) & ~F.col("to_russia_declared")
-    return (df.withColumn("neutral_tanker_context", neutral)
-            .withColumn("categories", F.when(neutral, F.array(F.lit("neutral_tanker_context"))).otherwise(
-                F.col("_found")))
-            .withColumn("index_impact", F.when(neutral, "none_or_soft_context_only")
-                        .when(F.size("_found") > 0, "voi_context").otherwise("none")).drop("_found"))
+    none = F.expr("CAST(array() AS ARRAY<STRING>)")
+    df = df.withColumns({
+        "is_tanker": is_tanker("ship_type", "ship_type_text", "destination"),
+        "to_russia_declared": _has("to_russia_declared", cols) | F.col("dest_declared"),
+        "recent_russian_portcall_unconfirmed_10d": _has("recent_russian_portcall_unconfirmed_10d", cols),
+        "from_russia_confirmed": _has("recent_russian_portcall_confirmed_10d", cols) | F.col("port_observed"),
+        "sanctioned": track["sanctions"], "shadow_fleet": track["shadowfleet"], "behavioral_voi": track["behavior"],
+        "_manual": track["falseflag"],
+        "false_flag_candidate": F.coalesce(F.col("flag_risk_band") != "context", F.lit(False)),
+        "_area": geo.in_gateway_area(F.col("latitude"), F.col("longitude")),
+        "_no_imo": F.coalesce(present("imo").isin("—", "-"), F.lit(True)) & mmsi.isNotNull(),
+        "_russian": F.coalesce(mmsi.startswith("273"), F.lit(False)),
+    })
+    reasons = hard_flag_reasons(F.col("flag_risk_band"), F.col("flag_registry_status"),
+                                F.col("sanctioned") | F.col("shadow_fleet"), F.col("_manual"),
+                                F.col("from_russia_confirmed"), F.col("_area"), F.col("_no_imo"))
+    df = df.withColumns({
+        "tanker_zones": F.when(geo.valid_position(F.col("latitude"), F.col("longitude")), zone_ids(
+            F.col("latitude"), F.col("longitude"), F.col("is_tanker"))).otherwise(none),
+        "recent_ru_portcall_confidence": portcall_confidence(
+            F.col("from_russia_confirmed"), F.col("recent_russian_portcall_unconfirmed_10d"),
+            F.col("to_russia_declared")),
+        "false_flag_hard_reasons": F.when(F.col("flag_risk_band").isNotNull() | matched, reasons).otherwise(none),
+        "false_flag": F.col("_manual") | F.col("false_flag_candidate")})
+    df = df.withColumn("false_flag_hard_watch", is_hard_flag(F.col("false_flag_hard_reasons")))
+    found = F.expr("""array_sort(array_compact(array(
+        IF(_russian, 'russian_mmsi', NULL),
+        IF(from_russia_confirmed OR recent_russian_portcall_unconfirmed_10d, 'recent_russian_portcall_10d', NULL),
+        IF(false_flag, 'falseflag_interest', NULL), IF(false_flag_hard_watch, 'false_flag_watch', NULL),
+        IF(matched_on IS NOT NULL, 'watchlist', NULL), IF(sanctioned OR shadow_fleet, 'sanctions_shadowfleet', NULL),
+        IF(behavioral_voi, 'behavioral_voi', NULL))))""")
+    df = df.withColumn("_found", found).withColumn("neutral_tanker_context", F.expr(
+        "size(tanker_zones) > 0 AND size(_found) = 0 AND NOT to_russia_declared"))
+    return df.withColumns({
+        "categories": F.when(F.col("neutral_tanker_context"), F.array(F.lit("neutral_tanker_context"))).otherwise(
+            F.col("_found")),
+        "index_impact": F.when(F.col("neutral_tanker_context"), "none_or_soft_context_only").when(
+            F.size("_found") > 0, "voi_context").otherwise("none")}).drop("_found", "_manual", "_area", "_no_imo",
+                                                                          "_russian")
 
 
 def category_counts(items: DataFrame) -> DataFrame:

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from wakeline import params as P
 from wakeline.functions import identity
-from wakeline.functions.records import is_tanker
+from wakeline.functions.records import is_tanker, zone_ids
+from wakeline.functions.tables import fixed_table
 from wakeline.functions.text import norm_digits, norm_key, norm_text, present, split_tokens, to_bool
 
 ID_KINDS = ("imo", "mmsi", "callsign")
@@ -33,17 +34,14 @@ def watch_index(watch: DataFrame, kind: str, line: str = "line_no") -> DataFrame
 def match_watchlist(contacts: DataFrame, watch: DataFrame, line: str = "line_no", kinds=ID_KINDS,
                     prefix: str = "watch_") -> DataFrame:
     """Adds ``matched_on`` and the prefixed watchlist columns. Names are never matched."""
-    out = contacts
+    out = contacts.select("*", *[normalised_ids(k).alias(f"_{k}_key") for k in kinds])
     for kind in kinds:
         index = watch_index(watch, kind, line).withColumnRenamed("_id", f"_{kind}_id")
-        out = out.withColumn(f"_{kind}_key", normalised_ids(kind)).join(
-            index, F.col(f"_{kind}_key") == F.col(f"_{kind}_id"), "left")
+        out = out.join(index, F.col(f"_{kind}_key") == F.col(f"_{kind}_id"), "left")
     rows = [F.col(f"_{k}_row") for k in kinds]
-    out = out.withColumn("_w", F.coalesce(*rows)).withColumn("matched_on", F.coalesce(
-        *[F.when(r.isNotNull(), F.lit(k)) for k, r in zip(kinds, rows)]))
-    for name in watch.columns:
-        out = out.withColumn(prefix + name, F.col("_w")[name])
-    return out.drop("_w", *[f"_{k}_{s}" for k in kinds for s in ("row", "key", "id")])
+    on = F.coalesce(*[F.when(r.isNotNull(), F.lit(k)) for k, r in zip(kinds, rows)])
+    out = out.select(*contacts.columns, on.alias("matched_on"), F.coalesce(*rows).alias("_w"))
+    return out.select(*contacts.columns, "matched_on", *[F.col(f"_w.{c}").alias(prefix + c) for c in watch.columns])
 
 
 def watch_match_basis(records: DataFrame, watch: DataFrame, line: str = "line_no") -> DataFrame:
@@ -160,8 +158,7 @@ def mid_table(flags: DataFrame) -> DataFrame:
     listed = (flag_table(flags).select(F.explode(split_tokens("mmsi_mid_prefixes")).alias("m"), "state_name", "line_no")
               .select(F.left(norm_digits("m"), F.lit(3)).alias("mid"), "state_name", "line_no").where("mid IS NOT NULL")
               .groupBy("mid").agg(F.max_by("state_name", "line_no").alias("state_name")).withColumn("pref", F.lit(0)))
-    fallback = spark.createDataFrame(sorted(P.MID_FLAGS.items()), "mid string, state_name string").withColumn(
-        "pref", F.lit(1))
+    fallback = fixed_table(spark, ("mid", "state_name"), P.MID_FLAGS.items()).withColumn("pref", F.lit(1))
     return listed.unionByName(fallback).groupBy("mid").agg(F.min_by("state_name", "pref").alias("state_name"))
 
 
@@ -175,8 +172,9 @@ def resolve_flag(contacts: DataFrame, flags: DataFrame) -> DataFrame:
     by_mid = mid_table(flags).withColumnRenamed("state_name", "_by_mid")
     raw = present("flag")
     digits = norm_digits("mmsi")
-    out = (contacts.withColumn("_raw", raw).withColumn("_fk", norm_key("flag")).withColumn("_fi", norm_text("flag"))
-           .withColumn("_mid", F.when(F.col("_raw").isNull() & (F.length(digits) >= 3), F.left(digits, F.lit(3))))
+    out = (contacts.withColumns({
+        "_raw": raw, "_fk": norm_key("flag"), "_fi": norm_text("flag"),
+        "_mid": F.when(raw.isNull() & (F.length(digits) >= 3), F.left(digits, F.lit(3)))})
            .join(by_name, F.col("_fk") == F.col("name_key"), "left")
            .join(by_iso, F.col("_fi") == F.col("iso_key"), "left")
            .join(by_mid, F.col("_mid") == F.col("mid"), "left"))
@@ -184,8 +182,7 @@ def resolve_flag(contacts: DataFrame, flags: DataFrame) -> DataFrame:
     source = (F.when(F.col("_by_name").isNotNull(), "explicit_flag").when(F.col("_by_iso").isNotNull(), "explicit_iso")
               .when(F.col("_raw").isNotNull(), "explicit_flag")
               .when(F.col("_by_mid").isNotNull(), F.concat(F.lit("mmsi_mid:"), F.col("_mid"))))
-    return (out.withColumn("flag_detected", detected).withColumn("flag_source", source)
-            .drop("_raw", "_fk", "_fi", "_mid", "name_key", "iso_key", "mid", "_by_name", "_by_iso", "_by_mid"))
+    return out.select(*contacts.columns, detected.alias("flag_detected"), source.alias("flag_source"))
 
 
 def flag_band(category: Column, status: Column) -> Column:
@@ -209,16 +206,17 @@ def assess_flag(contacts: DataFrame, flags: DataFrame) -> DataFrame:
                     F.col("state_name").alias("state"), F.col("iso_key").alias("iso"))
     by_name = table.where("name_key IS NOT NULL").groupBy("name_key").agg(F.max_by(risk, "line_no").alias("_rn"))
     by_iso = table.where("iso_key IS NOT NULL").groupBy("iso_key").agg(F.max_by(risk, "line_no").alias("_ri"))
-    out = (resolve_flag(contacts, flags)
-           .withColumn("_k", norm_key("flag_detected")).withColumn("_i", norm_text("flag_detected"))
+    resolved = resolve_flag(contacts, flags)
+    out = (resolved.withColumns({"_k": norm_key("flag_detected"), "_i": norm_text("flag_detected")})
            .join(by_name, F.col("_k") == F.col("name_key"), "left")
-           .join(by_iso, F.col("_i") == F.col("iso_key"), "left").withColumn("_r", F.coalesce("_rn", "_ri")))
+           .join(by_iso, F.col("_i") == F.col("iso_key"), "left")
+           .select(*resolved.columns, F.coalesce("_rn", "_ri").alias("_r")))
     known = F.col("_r").isNotNull()
-    return (out.withColumn("flag_risk_category", F.col("_r.category"))
-            .withColumn("flag_registry_status", F.col("_r.status")).withColumn("flag_iso_code", F.col("_r.iso"))
-            .withColumn("flag_risk_band", F.when(known, flag_band(F.col("_r.category"), F.col("_r.status"))))
-            .withColumn("flag_risk_score", F.when(known, flag_score(F.col("_r.category"))))
-            .drop("_k", "_i", "_r", "_rn", "_ri", "name_key", "iso_key"))
+    return out.select(
+        *resolved.columns, F.col("_r.category").alias("flag_risk_category"),
+        F.col("_r.status").alias("flag_registry_status"), F.col("_r.iso").alias("flag_iso_code"),
+        F.when(known, flag_band(F.col("_r.category"), F.col("_r.status"))).alias("flag_risk_band"),
+        F.when(known, flag_score(F.col("_r.category"))).alias("flag_risk_score"))
 
 
 # --- ports ---------------------------------------------------------------------------
@@ -232,8 +230,8 @@ def port_terms(ports: DataFrame) -> DataFrame:
     codes = listed.select(F.col("code").alias("term")).unionByName(
         alias.where((F.length("term") == 5) & F.col("term").startswith("RU")))
     names = listed.select(F.col("name").alias("term")).unionByName(alias)
-    fixed_codes = spark.createDataFrame([(c,) for c in P.PORT_CODE_ALLOWLIST], "term string")
-    fixed_names = spark.createDataFrame([(n,) for n in P.PORT_NAME_ALIASES], "term string").select(
+    fixed_codes = fixed_table(spark, ("term",), [(c,) for c in P.PORT_CODE_ALLOWLIST])
+    fixed_names = fixed_table(spark, ("term",), [(n,) for n in P.PORT_NAME_ALIASES]).select(
         norm_key("term").alias("term"))
     return (codes.unionByName(fixed_codes).withColumn("kind", F.lit("code"))
             .unionByName(names.unionByName(fixed_names).withColumn("kind", F.lit("name")))
@@ -244,40 +242,50 @@ ANCHOR = 4
 
 
 def port_hits(texts: DataFrame, terms: DataFrame, text: str = "text") -> DataFrame:
-    """(text, hits, matched) per distinct text.
+    """(text, hits, matched) per distinct text with any hit.
 
-    A term is found by equi-joining the text's 4-letter windows with the terms' first 4 letters
-    and then checking the whole term, so no text is compared with every term. Codes need 5
-    letters and names 4. Two-plus-three letter tokens also match codes exactly. Denied ports
-    show up in ``hits`` but never make a match alone.
+    Every position of the normalised text gives one window as long as the longest term. Windows
+    and terms are equi-joined on their first 4 letters, then the whole term is checked, so no text
+    is compared with every term and long texts cost a row per letter, not a copy. Codes need 5
+    letters and names 4. Denied ports (names anywhere, codes as two-plus-three letter tokens) show
+    up in ``hits`` but never make a match alone.
     """
-    spark = texts.sparkSession
-    distinct = texts.select(text).where(present(text).isNotNull()).distinct()
-    compact = distinct.withColumn("_c", norm_key(text)).where("_c IS NOT NULL")
-    deny = spark.createDataFrame([(n, "deny_name") for n in P.PORT_NAME_DENYLIST], "term string, kind string")
+    distinct = texts.select(text).where(present(text).isNotNull()).distinct().withColumns(
+        {"_id": F.md5(text), "_c": norm_key(text)})
     long_enough = F.length("term") >= F.when(F.col("kind") == "code", 5).otherwise(4)
-    wanted = terms.unionByName(deny).where(long_enough).withColumn("_a", F.left("term", F.lit(ANCHOR)))
-    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("_c") - (ANCHOR - 1)))
-    windows = (compact.select(text, "_c", F.explode(starts).alias("_p"))
-               .withColumn("_a", F.substr("_c", F.col("_p"), F.lit(ANCHOR))))
-    found = (windows.join(wanted, "_a").where(F.substr("_c", F.col("_p"), F.length("term")) == F.col("term"))
-             .select(text, "term", (F.col("kind") == "deny_name").alias("denied")))
-    codes = terms.where("kind = 'code'").select("term", F.lit(False).alias("denied")).unionByName(
-        spark.createDataFrame([(c, True) for c in P.PORT_CODE_DENYLIST], "term string, denied boolean"))
-    tokens = distinct.select(text, F.explode(
-        F.regexp_extract_all(norm_text(text), F.lit(r"([A-Z]{2}\s?[A-Z0-9]{3})"), 1)).alias("_t"))
-    exact = tokens.withColumn("term", norm_key("_t")).join(codes, "term").select(text, "term", "denied")
-    return found.unionByName(exact).groupBy(text).agg(
-        F.array_sort(F.collect_set("term")).alias("hits"), F.bool_or(~F.col("denied")).alias("matched"))
-
-
-def add_port_match(contacts: DataFrame, terms: DataFrame, column: str, out: str) -> DataFrame:
-    """Adds ``<out>`` (boolean) and ``<out>_hits`` for one text column."""
-    hits = port_hits(contacts.select(F.col(column).alias("_text")), terms, "_text").select(
-        F.col("_text").alias("_key"), F.col("hits").alias(out + "_hits"), F.col("matched").alias(out))
-    joined = contacts.join(hits, F.col(column) == F.col("_key"), "left").drop("_key")
-    return (joined.withColumn(out, F.coalesce(out, F.lit(False)))
-            .withColumn(out + "_hits", F.coalesce(out + "_hits", F.array().cast("array<string>"))))
+    wanted = terms.where(long_enough).select("term", F.left("term", F.lit(ANCHOR)).alias("_a")).distinct()
+    longest = wanted.agg(F.max(F.length("term")).cast("string")).scalar()
+    pattern = F.concat(F.lit(f"(?=(.{{{ANCHOR},"), longest, F.lit("}))"))
+    windows = distinct.select("_id", F.explode(F.regexp_extract_all("_c", pattern, F.lit(1))).alias("_w"))
+    found = (windows.join(wanted, F.left("_w", F.lit(ANCHOR)) == F.col("_a")).where(F.startswith("_w", "term"))
+             .groupBy("_id").agg(F.collect_set("term").alias("_hits")))
+    tokens = F.transform(F.regexp_extract_all(norm_text(text), F.lit(r"([A-Z]{2}\s?[A-Z0-9]{3})"), 1),
+                         lambda tok: F.replace(tok, F.lit(" ")))
+    names = [F.when(F.contains("_c", F.lit(n)), F.lit(n)) for n in P.PORT_NAME_DENYLIST]
+    denied = F.concat(F.array_intersect(tokens, F.array(*[F.lit(c) for c in P.PORT_CODE_DENYLIST])),
+                      F.array_compact(F.array(*names)))
+    hits = F.coalesce("_hits", F.array().cast("array<string>"))
+    return (distinct.withColumn("_deny", denied).join(found, "_id", "left")
+            .select(text, F.array_sort(F.array_union(hits, "_deny")).alias("hits"), (F.size(hits) > 0).alias("matched"))
+            .where(F.size("hits") > 0))
+
+
+def add_port_match(contacts: DataFrame, terms: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Adds ``<out>`` (boolean) and ``<out>_hits`` for each text column (``{column: out}``).
+
+    Each distinct text of any of the columns is matched once.
+    """
+    texts = contacts.select(F.explode(F.array(*columns)).alias("_text"))
+    hits = port_hits(texts, terms, "_text")
+    out = contacts
+    for column, name in columns.items():
+        right = hits.select(F.col("_text").alias(f"_k_{name}"), F.col("hits").alias(f"_h_{name}"),
+                            F.col("matched").alias(f"_m_{name}"))
+        out = out.join(right, F.col(column) == F.col(f"_k_{name}"), "left")
+    none = F.array().cast("array<string>")
+    found = [c for n in columns.values() for c in (F.coalesce(f"_m_{n}", F.lit(False)).alias(n),
+                                                   F.coalesce(f"_h_{n}", none).alias(n + "_hits"))]
+    return out.select(*contacts.columns, *found)
 
 
 # --- zones, metadata, enrichment -----------------------------------------------------
@@ -336,34 +344,24 @@ def enrich(rows: DataFrame, index: DataFrame, flags=ENRICH_FLAGS) -> DataFrame:
 
 def keep_flags(contacts: DataFrame, watch: DataFrame, terms: DataFrame, risk_mids: DataFrame) -> DataFrame:
     """Boolean keep reasons per contact; ``keep`` is their OR."""
-    out = contacts.withColumn("_risk", F.left(norm_digits("mmsi"), F.lit(3)))
+    out = contacts.withColumns({"_risk": F.left(norm_digits("mmsi"), F.lit(3)),
+                                **{f"_k_{k}": normalised_ids(k) for k in ID_KINDS}})
     for kind in ID_KINDS:
         ids = watch.select(normalised_ids(kind).alias(f"_w_{kind}")).where(f"_w_{kind} IS NOT NULL").distinct()
-        out = out.withColumn(f"_k_{kind}", normalised_ids(kind)).join(
-            ids, F.col(f"_k_{kind}") == F.col(f"_w_{kind}"), "left")
-    mids = risk_mids.select(F.col("mid").alias("_rm")).distinct()
-    out = out.join(mids, F.col("_risk") == F.col("_rm"), "left")
-    out = add_port_match(add_port_match(out, terms, "destination", "_dest"), terms, "last_port", "_port")
-    # The keep filter asks for any vocabulary hit; denied ports alone are not one.
+        out = out.join(ids, F.col(f"_k_{kind}") == F.col(f"_w_{kind}"), "left")
+    out = out.join(risk_mids.select(F.col("mid").alias("_rm")).distinct(), F.col("_risk") == F.col("_rm"), "left")
+    out = add_port_match(out, terms, {"destination": "_dest", "last_port": "_port"})
     tanker = is_tanker("ship_type", "ship_type_text", "destination")
-    in_zone = F.lit(False)
-    for _id, _label, s, n, w, e in P.TANKER_ZONES:
-        in_zone = in_zone | (F.col("latitude").between(s, n) & F.col("longitude").between(w, e))
+    zones = zone_ids(F.col("latitude"), F.col("longitude"), tanker)
     reasons = {
         "russian_mmsi": F.coalesce(norm_digits("mmsi").startswith("273"), F.lit(False)),
         "watchlisted": F.coalesce(*[F.when(F.col(f"_w_{k}").isNotNull(), True) for k in ID_KINDS], F.lit(False)),
         "risk_mid": F.col("_rm").isNotNull(),
         "port_hit": F.col("_dest") | F.col("_port"),
-        "tanker_zone": F.coalesce(tanker & in_zone, F.lit(False)),
+        "tanker_zone": F.size(zones) > 0,
     }
-    for name, cond in reasons.items():
-        out = out.withColumn(name, cond)
-    keep = F.lit(False)
-    for name in reasons:
-        keep = keep | F.col(name)
-    drop = ["_risk", "_rm", "_dest", "_dest_hits", "_port", "_port_hits",
-            *[f"_{a}_{k}" for a in "wk" for k in ID_KINDS]]
-    return out.withColumn("keep", keep).drop(*drop)
+    out = out.select(*contacts.columns, *[cond.alias(name) for name, cond in reasons.items()])
+    return out.withColumn("keep", F.expr(" OR ".join(reasons)))
 
 
 def identity_edges(contacts: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wakeline import params as P
 from wakeline.functions import geo
 from wakeline.functions.records import short_sha1
+from wakeline.functions.tables import fixed_table
 from wakeline.operators.keyed import top_k
 from wakeline.operators.snapshot import nearest_times
 
@@ -195,7 +196,7 @@ def evidence(pairs: DataFrame, params: P.MatchParams = P.MatchParams(), detectio
 
 def label_counts(df: DataFrame, column: str, labels) -> DataFrame:
     """Histogram over a fixed label list, zeros included."""
-    domain = df.sparkSession.createDataFrame([(x,) for x in labels], "label string")
+    domain = fixed_table(df.sparkSession, ("label",), [(x,) for x in labels])
     counted = df.groupBy(F.col(column).alias("label")).agg(F.count("*").alias("n"))
     return domain.join(counted, "label", "left").select("label", F.coalesce("n", F.lit(0)).alias("n"))
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wakeline import params as P
+from wakeline.functions.tables import fixed_table
 from wakeline.functions.times import minutes_between, time_chunk
 from wakeline.operators.keyed import carry_last, carry_next, top_k
 
@@ -65,7 +66,7 @@ def coverage_state(coverage: DataFrame, selected: DataFrame, snapshot_at: Column
         F.max(point).alias("coverage_point"), F.min("coverage_at").alias("coverage_min"),
         F.max("coverage_at").alias("coverage_max"))
     counts = selected.groupBy("provider").agg(F.count("*").alias("selected_contacts"))
-    mandatory = coverage.sparkSession.createDataFrame([(p,) for p in params.mandatory], "provider string")
+    mandatory = fixed_table(coverage.sparkSession, ("provider",), [(p,) for p in params.mandatory])
     out = mandatory.join(ranges, "provider", "left").join(counts, "provider", "left")
     chosen = F.coalesce("selected_contacts", F.lit(0))
     state = (F.when(F.col("coverage_point").isNull() & (F.col("coverage_min") > snapshot_at), "warming_up")

@@ -1,7 +1,9 @@
 """Every operator as a query over the given tables, most with a SQL check."""
 
 from wakeline.queries import (  # noqa: F401
+    q_filters,
     q_functions,
+    q_matching,
 )
 from wakeline.queries.registry import CHECKS, QUERIES
 
