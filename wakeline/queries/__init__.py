@@ -4,6 +4,7 @@ from wakeline.queries import (  # noqa: F401
     q_filters,
     q_functions,
     q_matching,
+    q_merge,
 )
 from wakeline.queries.registry import CHECKS, QUERIES
 
