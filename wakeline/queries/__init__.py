@@ -5,6 +5,10 @@ from wakeline.queries import (  # noqa: F401
     q_functions,
     q_matching,
     q_merge,
+    q_radar,
+    q_raster,
+    q_snapshot,
+    q_spatial,
 )
 from wakeline.queries.registry import CHECKS, QUERIES
 
