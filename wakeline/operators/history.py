@@ -112,8 +112,8 @@ def sampling_order(rows: DataFrame, identity: str, at: str, key: str, priority:
     mids = df.where("_m IS NOT NULL").withColumn("_depth", F.col("_m.depth")).withColumn("_place", F.col("_m.place"))
     shift = F.greatest(F.lit(0), F.col("_depth") - 12).cast("int")
     chunk = F.col("_depth").cast("bigint") * 8192 + F.floor(F.col("_place") / F.pow(F.lit(2.0), shift)).cast("bigint")
-    mids = chunked_rank(mids, [identity], chunk, [F.col("_depth"), F.col("_place")], "_r").withColumn(
-        "round", F.col("_r") + 1).drop("_r", "_depth", "_place")
+    mids = chunked_rank(mids, [identity], chunk, [F.col("_depth"), F.col("_place")], "_turn").withColumn(
+        "round", F.col("_turn") + 1).drop("_turn", "_depth", "_place")
     ends = df.where("_m IS NULL").withColumn(
         "round", F.when(F.col("_pos") == F.col("_len") - 1, 0).otherwise(1).cast("bigint"))
     return ends.unionByName(mids).drop("_n", "_len", "_pos", "_m")

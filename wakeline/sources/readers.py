@@ -56,19 +56,20 @@ def read_archive_csv(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(*P.ARCHIVE_COLUMNS, width.alias("column_count"))
 
 
-def read_contacts(spark: SparkSession, candidates: Sequence[str], fields: T.StructType) -> DataFrame:
-    """Contacts of the first existing file: a list, or an object with contacts, vessels or data."""
+def envelope_rows(texts: DataFrame, fields: T.StructType, column: str = "value") -> DataFrame:
+    """Rows of envelope texts: a list, or an object with contacts, vessels or data."""
     rows = T.ArrayType(fields)
+    parts = [F.from_json(F.get_json_object(column, f"$.{k}"), rows) for k in ("contacts", "vessels", "data")]
+    is_list = F.substring(F.ltrim(column), 1, 1) == "["
+    picked = F.when(is_list, F.from_json(column, rows)).otherwise(F.coalesce(*parts))
+    return texts.select(F.explode(picked).alias("c")).select("c.*")
+
+
+def read_contacts(spark: SparkSession, candidates: Sequence[str], fields: T.StructType) -> DataFrame:
+    """Contacts of the first existing path."""
     for path in candidates:
-        if not _exists(spark, path):
-            continue
-        text = spark.read.text(path, wholetext=True)
-        body = "value"
-        listed = F.from_json(body, rows)
-        parts = [F.from_json(F.get_json_object(body, f"$.{k}"), rows) for k in ("contacts", "vessels", "data")]
-        is_list = F.substring(F.ltrim(body), 1, 1) == "["
-        picked = F.when(is_list, listed).otherwise(F.coalesce(*parts))
-        return text.select(F.explode(picked).alias("c")).select("c.*")
+        if _exists(spark, path):
+            return envelope_rows(spark.read.text(path, wholetext=True), fields)
     return spark.createDataFrame([], fields)
 
 
