@@ -81,7 +81,8 @@ def _(t):
 @query("win09_sampling_order", f"""
 WITH RECURSIVE {KEPT}, i AS (SELECT *, {S.ID_HISTORY} AS identity FROM kept), g AS (SELECT *, row_number() OVER (PARTITION BY identity ORDER BY seen_at, history_key) - 1 AS p, count(*) OVER (PARTITION BY identity) AS n FROM i),
 iv(n, lo, hi, ord, k) AS (SELECT DISTINCT n, 1::BIGINT, n - 2, 0::BIGINT, '' FROM g WHERE n > 2
- UNION ALL SELECT n, lo, (lo + hi) // 2 - 1, ord + 1, k || '0' FROM iv WHERE lo <= (lo + hi) // 2 - 1 UNION ALL SELECT n, (lo + hi) // 2 + 1, hi, ord + 1, k || '1' FROM iv WHERE (lo + hi) // 2 + 1 <= hi),
+ UNION ALL SELECT n, CASE WHEN b = 0 THEN lo ELSE (lo + hi) // 2 + 1 END, CASE WHEN b = 0 THEN (lo + hi) // 2 - 1 ELSE hi END, ord + 1, k || b FROM iv, (VALUES (0), (1)) s(b)
+ WHERE CASE WHEN b = 0 THEN lo <= (lo + hi) // 2 - 1 ELSE (lo + hi) // 2 + 1 <= hi END),
 m AS (SELECT n, (lo + hi) // 2 AS p, row_number() OVER (PARTITION BY n ORDER BY ord, k) + 1 AS round FROM iv)
 SELECT event_id, CASE WHEN g.p = g.n - 1 THEN 0 WHEN g.p = 0 THEN 1 ELSE m.round END AS round FROM g LEFT JOIN m ON m.n = g.n AND m.p = g.p""")
 def _(t):

@@ -10,7 +10,7 @@ from wakeline.queries.q_merge import FIELDS, _newest
 from wakeline.queries.q_sources import scratch
 from wakeline.queries.registry import query
 from wakeline.streaming import contacts as live
-from wakeline.streaming.route_state import ROCKSDB, route_stream
+from wakeline.streaming.route_state import route_stream
 
 
 def stream(t, view: str):
@@ -37,16 +37,9 @@ def _(t):
 @query("str02_route_state_stream", f"WITH {ROUTES} SELECT event_id, {', '.join(FLAGS)} FROM rt")
 def _(t):
     path = scratch(t)
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = t.spark.conf.get(key, None)
-    t.spark.conf.set(key, ROCKSDB)
-    try:
-        rows = stream(t, "voyages").select(
-            "identity_key", "event_id", F.unix_micros("observed_at").alias("at_us"), F.col("destination").alias("place"),
-            "declared", "port_seen")
-        live.run_to_files(route_stream(rows), path + "/cp", path + "/out")
-    finally:
-        t.spark.conf.set(key, before) if before else t.spark.conf.unset(key)
+    rows = stream(t, "voyages").select(
+        "identity_key", "event_id", "observed_at", F.col("destination").alias("place"), "declared", "port_seen")
+    live.run_to_files(route_stream(rows), path + "/cp", path + "/out")
     return t.spark.read.parquet(path + "/out").select("event_id", *FLAGS)
 
 

@@ -108,7 +108,7 @@ def csv_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, columns: Sequence[str]) -> None:
-    csv_columns(df, columns).write.mode("overwrite").option("header", True).csv(path)
+    csv_columns(df, columns).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def write_envelope(rows: DataFrame, meta: DataFrame, path: str) -> None:

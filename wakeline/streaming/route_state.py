@@ -10,11 +10,11 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-OUTPUT = ("identity_key string, event_id bigint, to_russia_declared boolean, recent_unconfirmed boolean,"
-          " recent_confirmed boolean, declared_event boolean, changed_event boolean, confirmed_event boolean")
+OUTPUT = ("identity_key string, event_id bigint, to_russia_declared boolean, recent_unconfirmed boolean, "
+          "recent_confirmed boolean, declared_event boolean, changed_event boolean, confirmed_event boolean")
 STATE = "declared boolean, place string, lead_until bigint, confirmed_until bigint, updated_at bigint"
 LEAD_US = 10 * 86400 * 1_000_000
 RETENTION_MS = 120 * 86400 * 1000
@@ -37,29 +37,31 @@ def step(state: tuple, at: int, place: str | None, hit: bool, port: bool) -> tup
     return (was, last_place, lead_until, confirmed_until, at), flags
 
 
-class RouteProcessor(StatefulProcessor):
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.route = handle.getValueState("route", STATE, RETENTION_MS)
+def apply_rows(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    if state.hasTimedOut:
+        state.remove()
+        return
+    # Narrow columns of one key in one micro-batch, which the source's batch limit bounds.
+    batch = pd.concat(list(rows), ignore_index=True).sort_values(["at_us", "event_id"], kind="stable")
+    current = state.get if state.exists else (False, None, 0, 0, 0)
+    out = []
+    for row in batch.itertuples(index=False):
+        if row.at_us < current[4]:
+            continue
+        place = None if pd.isna(row.place) else row.place
+        current, flags = step(tuple(current), int(row.at_us), place, bool(row.declared), bool(row.port_seen))
+        out.append((key[0], int(row.event_id), *flags))
+    state.update(tuple(current))
+    state.setTimeoutTimestamp(max(current[4] // 1000, state.getCurrentWatermarkMs()) + RETENTION_MS)
+    yield pd.DataFrame(out, columns=[c.split()[0] for c in OUTPUT.split(", ")])
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        # Four narrow columns of one key in one micro-batch, which the source's batch limit bounds.
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(["at_us", "event_id"], kind="stable")
-        state = self.route.get() if self.route.exists() else (False, None, 0, 0, 0)
-        out = []
-        for row in batch.itertuples(index=False):
-            if row.at_us < state[4]:
-                continue
-            place = None if pd.isna(row.place) else row.place
-            state, flags = step(tuple(state), int(row.at_us), place, bool(row.declared), bool(row.port_seen))
-            out.append((key[0], int(row.event_id), *flags))
-        self.route.update(tuple(state))
-        yield pd.DataFrame(out, columns=[c.split()[0] for c in OUTPUT.split(", ")])
 
-    def close(self) -> None:
-        pass
+def route_stream(rows: DataFrame, at: str = "observed_at", delay: str = "1 day") -> DataFrame:
+    """Rows: identity_key, event_id, place, declared, port_seen and the event time.
 
-
-def route_stream(rows: DataFrame) -> DataFrame:
-    """Rows: identity_key, event_id, at_us, place, declared, port_seen. Needs the RocksDB state store."""
-    return rows.groupBy("identity_key").transformWithStateInPandas(
-        statefulProcessor=RouteProcessor(), outputStructType=OUTPUT, outputMode="Append", timeMode="ProcessingTime")
+    State expires by event time, 120 days behind the watermark.
+    """
+    timed = rows.withWatermark(at, delay).withColumn("at_us", F.unix_micros(at))
+    return timed.groupBy("identity_key").applyInPandasWithState(
+        apply_rows, outputStructType=OUTPUT, stateStructType=STATE, outputMode="append",
+        timeoutConf="EventTimeTimeout")
