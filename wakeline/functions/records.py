@@ -6,15 +6,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from wakeline import params as P
-from wakeline.functions.text import col, norm_digits, norm_text, parse_float, present
+from wakeline.functions.text import col, let, norm_digits, norm_text, parse_float, present
 
 SENTINELS = {"sog": 102.2, "cog": 360.0, "heading": 511.0}
 
 
 def clean_motion(value: Column | str, kind: str) -> Column:
     """Speed, course or heading inside its valid range, else NULL."""
-    number = parse_float(value)
-    kept = F.when((number >= 0) & (number < SENTINELS[kind]), number)
+    kept = let(parse_float(value), lambda n: F.when((n >= 0) & (n < SENTINELS[kind]), n))
     return F.round(kept, 0).cast("int") if kind == "heading" else F.round(kept, 2)
 
 

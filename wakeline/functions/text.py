@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from wakeline import params as P
 
 
+WHITESPACE = " \t\n\x0b\f\r"
+
+
 def col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
@@ -19,7 +22,7 @@ def let(value: Column, body) -> Column:
 
 def present(value: Column | str) -> Column:
     """Trimmed text, NULL when empty."""
-    return F.nullif(F.regexp_replace(col(value).cast("string"), r"^\s+|\s+$", ""), F.lit(""))
+    return F.nullif(F.trim(col(value).cast("string"), F.lit(WHITESPACE)), F.lit(""))
 
 
 def norm_text(value: Column | str) -> Column:
@@ -48,14 +51,17 @@ def to_bool(value: Column | str) -> Column:
 
 
 def normalize_unknown(value: Column | str) -> Column:
-    text = present(value)
-    return F.when(~F.upper(text).isin(*P.UNKNOWN_WORDS), text)
+    return let(present(value), lambda text: F.when(~F.upper(text).isin(*P.UNKNOWN_WORDS), text))
+
+
+# Decimal text whose value cannot overflow: no feed field comes near 1e299.
+NUMBER = r"^\s*[+-]?(\d{1,200}\.?\d*|\.\d+)([eE][+-]?\d{1,2})?\s*$"
 
 
 def parse_float(value: Column | str) -> Column:
-    """Finite double or NULL."""
-    number = col(value).try_cast("double")
-    return F.when(~F.isnan(number) & (F.abs(number) != F.lit(float("inf"))), number)
+    """Finite double or NULL. Text is checked before the cast: a failing cast costs an exception per row."""
+    text = col(value).cast("string")
+    return F.when(text.rlike(NUMBER), text).try_cast("double")
 
 
 def is_nonempty(value: Column | str) -> Column:

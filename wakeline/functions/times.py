@@ -22,8 +22,7 @@ def parse_dt(value: Column | str) -> Column:
 
 def parse_archive_dt(value: Column | str) -> Column:
     """``DD/MM/YYYY HH:MM:SS``, read as UTC."""
-    iso = F.regexp_replace(present(value), r"^(\d{2})/(\d{2})/(\d{4}) (\d{2}:\d{2}:\d{2})$", "<$3-$2-$1 $4>")
-    return F.regexp_extract(iso, "^<(.+)>$", 1).try_cast("timestamp")
+    return F.try_to_timestamp(present(value), F.lit("dd/MM/yyyy HH:mm:ss"))
 
 
 def operational(value: Column, as_of: Column) -> Column:

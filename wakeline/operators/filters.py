@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wakeline import params as P
 from wakeline.functions import geo
-from wakeline.functions.text import inactive_or_test, norm_digits, parse_float, present
+from wakeline.functions.text import inactive_or_test, let, norm_digits, parse_float, present
 from wakeline.functions.times import parse_archive_dt
 
 
@@ -17,18 +17,21 @@ def drop_inactive(df: DataFrame, active: str, *texts: str) -> DataFrame:
 
 def archive_reject_reason(column_count: Column | None = None) -> Column:
     """First failing check of a daily-archive row, NULL when the row is good."""
-    count_ok = F.lit(True) if column_count is None else column_count == len(P.ARCHIVE_COLUMNS)
-    mobile = F.regexp_replace(F.lower(present("type_of_mobile")), r"\s+", " ")
-    digits = F.regexp_replace(F.coalesce("mmsi", F.lit("")), "[^0-9]", "")
-    position = geo.valid_position(parse_float("latitude"), parse_float("longitude"), reject_origin=True)
-    return (
-        F.when(~count_ok, "wrong_column_count")
-        .when(F.lower(present("timestamp")) == "timestamp", "header")
-        .when(~F.coalesce(mobile.isin(*P.VESSEL_MOBILE_TYPES), F.lit(False)), "non_vessel_mobile_type")
-        .when(F.length(digits) != 9, "invalid_mmsi")
-        .when(parse_archive_dt("timestamp").isNull(), "invalid_timestamp")
-        .when(~position, "invalid_position")
-    )
+    facts = F.struct(
+        (F.lit(True) if column_count is None else column_count == len(P.ARCHIVE_COLUMNS)).alias("whole"),
+        F.lower(present("timestamp")).alias("stamp"), parse_archive_dt("timestamp").alias("dt"),
+        F.regexp_replace(F.lower(present("type_of_mobile")), r"\s+", " ").alias("mobile"),
+        F.length(norm_digits("mmsi")).alias("digits"), parse_float("latitude").alias("lat"),
+        parse_float("longitude").alias("lon"))
+
+    # The facts are worked out once per row, also where Spark pushes the test into a filter.
+    return let(facts, lambda f: (
+        F.when(~f["whole"], "wrong_column_count")
+        .when(f["stamp"] == "timestamp", "header")
+        .when(~F.coalesce(f["mobile"].isin(*P.VESSEL_MOBILE_TYPES), F.lit(False)), "non_vessel_mobile_type")
+        .when(F.coalesce(f["digits"], F.lit(0)) != 9, "invalid_mmsi")
+        .when(f["dt"].isNull(), "invalid_timestamp")
+        .when(~geo.valid_position(f["lat"], f["lon"], reject_origin=True), "invalid_position")))
 
 
 def reject_counts(df: DataFrame, reason: Column, kept: str = "kept") -> DataFrame:

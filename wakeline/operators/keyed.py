@@ -91,28 +91,23 @@ def carry_last(df: DataFrame, keys: Sequence[str], chunk: Column, order: Sequenc
     return joined.drop(CHUNK, *helpers)
 
 
-def carry_next(df: DataFrame, keys: Sequence[str], chunk: Column, order: Sequence[str], values: dict[str, Column]
-               ) -> DataFrame:
-    """First non-null of each value among a key's later rows, the row itself excluded."""
-    rows = df.withColumn(CHUNK, chunk)
-    for name, value in values.items():
-        rows = rows.withColumn("_v_" + name, value)
-    position = F.struct(*order)
-    firsts = rows.groupBy(*keys, CHUNK).agg(*[
-        F.min_by("_v_" + n, F.when(F.col("_v_" + n).isNotNull(), position)).alias("_l_" + n) for n in values])
-    after = _summary_window(keys).rowsBetween(1, Window.unboundedFollowing)
-    for name in values:
-        firsts = firsts.withColumn("_c_" + name, F.first("_l_" + name, ignorenulls=True).over(after))
-    carried = _as_summary(firsts, keys, *["_c_" + n for n in values])
-    inner = Window.partitionBy(*keys, CHUNK).orderBy(*order).rowsBetween(1, Window.unboundedFollowing)
-    local = rows
-    for name in values:
-        local = local.withColumn("_i_" + name, F.first("_v_" + name, ignorenulls=True).over(inner))
-    joined = _join_back(local, carried, keys)
-    for name in values:
-        joined = joined.withColumn(name, F.coalesce("_i_" + name, "_c_" + name))
-    helpers = [p + n for n in values for p in ("_v_", "_i_", "_c_")]
-    return joined.drop(CHUNK, *helpers)
+def carry_around(df: DataFrame, keys: Sequence[str], chunk: Column, order: Sequence[str], value: Column, before: str,
+                 after: str) -> DataFrame:
+    """Last non-null value up to the row and first non-null value after it, in one pass per chunk."""
+    rows = df.withColumns({CHUNK: chunk, "_v": value})
+    position = F.when(F.col("_v").isNotNull(), F.struct(*order))
+    ends = rows.groupBy(*keys, CHUNK).agg(F.max_by("_v", position).alias("_hi"), F.min_by("_v", position).alias("_lo"))
+    w = _summary_window(keys)
+    ends = ends.withColumns({
+        "_b": F.last("_hi", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)),
+        "_a": F.first("_lo", ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))})
+    inner = Window.partitionBy(*keys, CHUNK).orderBy(*order)
+    local = rows.withColumns({
+        "_ib": F.last("_v", ignorenulls=True).over(inner.rowsBetween(Window.unboundedPreceding, 0)),
+        "_ia": F.first("_v", ignorenulls=True).over(inner.rowsBetween(1, Window.unboundedFollowing))})
+    joined = _join_back(local, _as_summary(ends, keys, "_b", "_a"), keys)
+    return joined.withColumns({before: F.coalesce("_ib", "_b"), after: F.coalesce("_ia", "_a")}).drop(
+        CHUNK, "_v", "_ib", "_ia", "_b", "_a")
 
 
 def near_runs(near: DataFrame, keys: Sequence[str], chunk: Column, seq: str, at: str, max_gap_minutes: float

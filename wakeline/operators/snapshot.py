@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wakeline import params as P
 from wakeline.functions.tables import fixed_table
 from wakeline.functions.times import minutes_between, time_chunk
-from wakeline.operators.keyed import carry_last, carry_next, top_k
+from wakeline.operators.keyed import carry_around, top_k
 
 
 def common_watermark(rows: DataFrame, at: str, provider: str = "provider",
@@ -105,7 +105,7 @@ def bracketing(rows: DataFrame, scene_at: Column, key: str, at: str, score: Colu
 
 
 def nearest_times(left: DataFrame, right: DataFrame, key: str, left_at: str, right_at: str, left_id: str,
-                  chunk_seconds: int = 86400) -> DataFrame:
+                  chunk_seconds: int = 30 * 86400) -> DataFrame:
     """Per left row the newest right time at or before it and the oldest after it, per key.
 
     Both sides go through one ordered pass per key chunk, so nothing is paired all-with-all.
@@ -113,9 +113,7 @@ def nearest_times(left: DataFrame, right: DataFrame, key: str, left_at: str, rig
     both = left.select(F.col(key), F.col(left_at).alias("_at"), F.lit(1).alias("_side"), F.col(left_id).alias("_id")
                        ).unionByName(right.select(F.col(key), F.col(right_at).alias("_at")).distinct()
                                      .withColumn("_side", F.lit(0)).withColumn("_id", F.lit(None)))
-    chunk = time_chunk(F.col("_at"), chunk_seconds)
     value = F.when(F.col("_side") == 0, F.col("_at"))
-    order = ["_at", "_side", "_id"]
-    done = carry_next(carry_last(both, [key], chunk, order, {"before_at": value}), [key], chunk, order,
-                      {"after_at": value})
+    done = carry_around(both, [key], time_chunk(F.col("_at"), chunk_seconds), ["_at", "_side", "_id"], value,
+                        "before_at", "after_at")
     return done.where("_side = 1").select(F.col(key), F.col("_id").alias(left_id), "before_at", "after_at")
