@@ -158,8 +158,9 @@ _BIN = f"least(143, floor((epoch(observed_at) - epoch(TIMESTAMP '2024-01-15')) /
 
 
 @query("agg11_coverage_summary", f"""
-WITH {BRACKET}, d AS (SELECT DISTINCT mmsi, observed_at, latitude, longitude FROM win) SELECT count(*) AS distinct_messages, count(DISTINCT mmsi) AS distinct_mmsi,
- count(DISTINCT {_BIN}) AS occupied_bins, 144 AS total_bins, true AS sufficient, 'AVAILABLE_AIS_ACTIVITY_OBSERVED' AS status FROM d""")
+WITH {BRACKET}, d AS (SELECT DISTINCT mmsi, observed_at, latitude, longitude FROM win), a AS (SELECT count(*) AS distinct_messages, count(DISTINCT mmsi) AS distinct_mmsi,
+ count(DISTINCT {_BIN}) AS occupied_bins FROM d), s AS (SELECT *, distinct_messages >= 30 AND distinct_mmsi >= 3 AND occupied_bins >= 5 AS sufficient FROM a)
+SELECT *, 144 AS total_bins, CASE WHEN sufficient THEN 'AVAILABLE_AIS_ACTIVITY_OBSERVED' ELSE 'NO_AIS_COVERAGE' END AS status FROM s""")
 def _(t):
     from wakeline.operators.filters import in_scene_window
 
