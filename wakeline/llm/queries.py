@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import byte_bpe
+from wakeline.llm import byte_bpe, ngram_join
 from wakeline.llm.common import settle, table
 
 QUERIES = {}
@@ -18,6 +18,29 @@ def query(fn):
     return fn
 
 
+@query
+def op1_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose sets of 3-word shingles have a Jaccard similarity of 0.9 or more."""
+    return ngram_join.ngram_join(table(spark, folder, "documents", "doc_id", "text"), words=3, part=(9, 10))
+
+
+CHECKS["op1_ngram_join"] = r"""
+WITH RECURSIVE tokens AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS t FROM documents),
+sets AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(t) = 0 THEN [] WHEN len(t) < 3 THEN [array_to_string(t, ' ')]
+    ELSE list_transform(range(1, len(t) - 1), lambda i: t[i] || ' ' || t[i + 1] || ' ' || t[i + 2]) END) AS s FROM tokens),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT x, y FROM shared JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 100 * c >= 90 * (a.n + b.n - c)),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, (SELECT min(y) FROM reach r WHERE r.x = d.doc_id) AS component_id,
+  (SELECT count(*) FROM links l WHERE l.x = d.doc_id) AS n_links
+FROM documents d LEFT JOIN sizes USING (doc_id)
+"""
+
+
 @query
 def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Digests of the token ids of every text and of the bytes they decode to."""
