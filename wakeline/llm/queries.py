@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import byte_bpe, ngram_join
+from wakeline.llm import byte_bpe, chat, ngram_join, sharding
 from wakeline.llm.common import settle, table
 
 QUERIES = {}
@@ -49,3 +49,63 @@ def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ids = table(spark, folder, "documents", "doc_id", "text").select("doc_id", byte_bpe.encode(F.col("text"), *vocabulary).alias("ids"))
     return ids.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), byte_bpe.ids_sha256(F.col("ids")).alias("ids_sha256"),
                       F.sha2(byte_bpe.decode(F.col("ids"), *vocabulary), 256).alias("decoded_sha256"))
+
+
+@query
+def op5_rendezvous_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents over eight equal shards, by id."""
+    return sharding.shard_documents(table(spark, folder, "documents", "doc_id", "text"), 8)
+
+
+def _cost_sql(shard: int) -> str:
+    return f"-ln((('0x' || substr(md5(k || '/{shard}'), 1, 13))::BIGINT + 0.5) / {16 ** sharding.DIGITS}.0)"
+
+
+def _shard_sql(shards: int) -> str:
+    return "least(" + ", ".join(f"{{'c': {_cost_sql(s)}, 's': {s}}}" for s in range(shards)) + ").s"
+
+
+CHECKS["op5_rendezvous_sharding"] = f"""
+WITH codes AS (SELECT list_transform(range(256), lambda b: list_reduce([b] || range(8),
+    lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS code),
+bytes AS (SELECT doc_id, coalesce('k' || doc_id, 'n') AS k, hex(encode(coalesce(text, ''))) AS h FROM documents),
+rows AS (SELECT doc_id, k, length(h) // 2 + 1 AS size, xor(list_reduce([4294967295] || list_transform(regexp_extract_all(h, '..'),
+    lambda x: ('0x' || x)::BIGINT), lambda c, b: xor(c >> 8, code[xor(c & 255, b) + 1])), 4294967295) AS text_crc32
+  FROM bytes, codes),
+dealt AS (SELECT *, {_shard_sql(8)} AS shard, {_shard_sql(9)} AS grown_shard,
+    ('0x' || substr(md5(k || '/k' || text_crc32 || '/k' || size), 1, 8))::BIGINT % {sharding.SLOT_BUCKETS} AS bucket FROM rows)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard, grown_shard,
+  row_number() OVER (PARTITION BY shard ORDER BY bucket, doc_id, text_crc32, size) - 1 AS slot
+FROM dealt
+"""
+
+
+@query
+def op6_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of every conversation, and of one that holds control strings, read back from its formatted text."""
+    rows = table(spark, folder, "conversations", "conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    own = spark.range(2).select(F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+                                F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    out = chat.format_chat(rows.unionByName(own)).select(
+        "conv_id", "formatted", chat.read_turns(F.col("formatted")).alias("turns"),
+        chat.read_loss(F.col("formatted"), F.col("loss")).alias("loss"))
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return out.select("conv_id", F.size("turns").cast("bigint").alias("n_turns"), F.sha2(told, 256).alias("turns_sha256"),
+                      F.char_length("loss").cast("bigint").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+                      F.char_length("formatted").cast("bigint").alias("formatted_chars"))
+
+
+CHECKS["op6_chat_formatting"] = """
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+shown AS (SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS was,
+  length(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '[', '&lb;')) AS chars,
+  length(replace(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '[', '&lb;'), chr(10), '&nl;')) AS role_chars FROM rows)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(chars + CASE WHEN was = role THEN 7 ELSE 19 + role_chars - 1 END)::BIGINT AS formatted_chars
+FROM shown GROUP BY conv_id
+"""
