@@ -41,7 +41,7 @@ class ByteBpe:
         self.length = {r: len(token) for r, token in self.text_of.items()}
         self.shorter = Memo(self._shorter, len(self.rank) + 1)
         self.side_by_side = Memo(self._side_by_side, 1 << 18)  # by both ids in one number
-        self.of_rest = Memo(self._encode_rest, 1 << 18)
+        self.of_rest = Memo(self._encode_rest, 1 << 19)
 
     def _parts(self, token: int) -> tuple[int, int] | None:
         """The two tokens whose merge makes ``token``; None for a single byte (or a token no merge makes)."""
@@ -178,9 +178,10 @@ def decode(ids: Column, path: str, pattern: str) -> Column:
     @F.arrow_udf("binary")
     def run(lists: pa.Array) -> pa.Array:
         decode_one = vocabulary(path, pattern).decode
-        return pa.array([decode_one(x or ()) for x in lists.to_pylist()], pa.binary())
+        values, offsets = lists.values.to_numpy().tolist(), lists.offsets.to_pylist()
+        return pa.array([decode_one(values[a:b]) for a, b in zip(offsets, offsets[1:])], pa.binary())
 
-    return run(ids)
+    return run(F.coalesce(ids, F.array().cast("array<int>")))
 
 
 def ids_sha256(ids: Column) -> Column:

@@ -37,18 +37,30 @@ def free_name(df: DataFrame, wanted: str) -> str:
 
 
 class Memo(dict):
-    """``memo[key]`` computes a missing value once; emptied when ``most`` keys are held, so memory is bounded."""
+    """``memo[key]`` computes a missing value once. Holds at most ``most`` keys: when half are new, those that were
+    not asked for since the last time go, so memory is bounded and common keys stay."""
 
     def __init__(self, compute: Callable, most: int = 1 << 17):
         super().__init__()
-        self.compute, self.most = compute, most
+        self.compute, self.half, self.older = compute, most // 2, {}
 
     def __missing__(self, key):
-        if len(self) >= self.most:
-            self.clear()
-        value = self[key] = self.compute(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.compute(key)
+        self.put(key, value)
         return value
 
+    def put(self, key, value) -> None:
+        if len(self) >= self.half:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+
+    def absent(self, keys: Iterable) -> list:
+        """Those of the keys that are not held."""
+        return [k for k in set(keys) if k not in self and k not in self.older]
+
 
 #: Chunks longer than this are encoded without being remembered.
 MEMO_CHARS = 64
@@ -57,16 +69,19 @@ MEMO_CHARS = 64
 _CUT = re.compile(r" (?=\S)")
 
 
-def by_chunks(text: str, memo: Memo, encode: Callable[[str], bytes]) -> bytes:
+def by_chunks(text: str, memo: Memo, encode: Callable[[str], bytes], learn: Callable[[list[str]], None] | None = None) -> bytes:
     """``encode(text)`` put together from chunks, those up to MEMO_CHARS remembered in ``memo`` (which adds the space).
 
     The text is cut before every space that is followed by a character other than white space. No match of
-    the byte-level pattern reaches across such a place, so the chunks can be encoded on their own.
+    the byte-level pattern reaches across such a place, so the chunks can be encoded on their own, or
+    (``learn``) all chunks not yet in ``memo`` at once.
     """
     first, *rest = _CUT.split(text)
     if not rest:
         return encode(first)
     if max(map(len, rest)) <= MEMO_CHARS:
+        if learn and (new := memo.absent(rest)):
+            learn(new)
         return encode(first) + b"".join(map(memo.__getitem__, rest))
     return encode(first) + b"".join([memo[c] if len(c) <= MEMO_CHARS else encode(" " + c) for c in rest])
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import byte_bpe, chat, ngram_join, sharding
+from wakeline.llm import byte_bpe, chat, ngram_join, packing, sharding, topk
 from wakeline.llm.common import settle, table
 
 QUERIES = {}
@@ -109,3 +109,27 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
   sum(chars + CASE WHEN was = role THEN 7 ELSE 19 + role_chars - 1 END)::BIGINT AS formatted_chars
 FROM shown GROUP BY conv_id
 """
+
+
+@query
+def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents as token pieces in sequences of 1024."""
+    return packing.pack_documents(table(spark, folder, "documents", "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"), 2)
+
+
+@query
+def op9_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 highest inner products of every twentieth vector with all others."""
+    return topk.top_k(table(spark, folder, "embeddings", "vec_id", "embedding"), F.col("id") % 20 == 0, k=20)
+
+
+CHECKS["op9_exact_top_k"] = """
+WITH sound AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM sound q JOIN sound c ON q.vec_id <> c.vec_id AND q.vec_id % 20 = 0 AND len(q.v) = len(c.v)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scores)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
