@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import byte_bpe, chat, ngram_join, packing, sharding, topk
+from wakeline.llm import byte_bpe, chat, fingerprints, ngram_join, packing, sharding, topk
 from wakeline.llm.common import settle, table
 
 QUERIES = {}
@@ -133,3 +133,9 @@ scores AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scores)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
+
+
+@query
+def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts, and how near they are."""
+    return fingerprints.fingerprint_edits(table(spark, folder, "documents", "doc_id", "text"))
