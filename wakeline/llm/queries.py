@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import byte_bpe, chat, fingerprints, ngram_join, packing, sharding, topk
+from wakeline.llm import byte_bpe, chat, fingerprints, ngram_join, packing, quality, sharding, topk
 from wakeline.llm.common import settle, table
 
 QUERIES = {}
@@ -139,3 +139,21 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts, and how near they are."""
     return fingerprints.fingerprint_edits(table(spark, folder, "documents", "doc_id", "text"))
+
+
+def held_out(doc_id):
+    """Rows whose labels are never learned from."""
+    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 5 == 0
+
+
+#: A document is rejected below this score.
+QUALITY_CUT = 0.3
+
+
+@query
+def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality scores of all documents by a model of the labels that are not held out."""
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    model = quality.fit_labelled(docs, table(spark, folder, "labels", "doc_id", "quality"), "quality", ~held_out(F.col("id")))
+    return quality.with_quality(docs, model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= QUALITY_CUT).cast("int").alias("predicted"))
