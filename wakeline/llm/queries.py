@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import byte_bpe, chat, fingerprints, ngram_join, packing, quality, sharding, topk
+from wakeline.llm import byte_bpe, chat, fingerprints, ngram_join, packing, pii, quality, sharding, topk
 from wakeline.llm.common import settle, table
 
 QUERIES = {}
@@ -157,3 +157,20 @@ def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     model = quality.fit_labelled(docs, table(spark, folder, "labels", "doc_id", "quality"), "quality", ~held_out(F.col("id")))
     return quality.with_quality(docs, model).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= QUALITY_CUT).cast("int").alias("predicted"))
+
+
+@query
+def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in all documents: base spans by pattern, and those the field adds."""
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    found = docs.select("doc_id", pii.spans(F.col("text"), pii.fit(docs)).alias("found"))
+    base = F.filter("found", lambda s: s["base"])
+
+    def told(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def count(kind):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(told(base), 256).alias("base_sha256"), told(F.col("found")).alias("spans"))
