@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import byte_bpe, chat, fingerprints, ngram_join, packing, pii, quality, sharding, topk
+from wakeline.llm import byte_bpe, chat, fingerprints, html_extract, ngram_join, packing, pii, quality, sharding, topk
 from wakeline.llm.common import settle, table
 
 QUERIES = {}
@@ -174,3 +174,9 @@ def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
 
     counts = [count(kind) for kind in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(told(base), 256).alias("base_sha256"), told(F.col("found")).alias("spans"))
+
+
+@query
+def op8_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of all pages."""
+    return html_extract.extract(table(spark, folder, "pages", "page_id", "url", "html"))
