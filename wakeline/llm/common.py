@@ -77,13 +77,12 @@ def by_chunks(text: str, memo: Memo, encode: Callable[[str], bytes], learn: Call
     (``learn``) all chunks not yet in ``memo`` at once.
     """
     first, *rest = _CUT.split(text)
-    if not rest:
-        return encode(first)
-    if max(map(len, rest)) <= MEMO_CHARS:
-        if learn and (new := memo.absent(rest)):
-            learn(new)
-        return encode(first) + b"".join(map(memo.__getitem__, rest))
-    return encode(first) + b"".join([memo[c] if len(c) <= MEMO_CHARS else encode(" " + c) for c in rest])
+    parts = list(map(memo.get, rest))
+    if None in parts:
+        if learn:
+            learn(memo.absent([c for c, part in zip(rest, parts) if part is None and len(c) <= MEMO_CHARS]))
+        parts = [part if part is not None else memo[c] if len(c) <= MEMO_CHARS else encode(" " + c) for c, part in zip(rest, parts)]
+    return encode(first) + b"".join(parts)
 
 
 def list_array(parts: Iterable[bytes], kind: pa.DataType, width: int) -> pa.Array:

@@ -58,6 +58,8 @@ def _tokenizer(path: str):
 
         A mark after letters is a match of its own, so such a chunk is that of the letters and the mark.
         """
+        if not chunks:
+            return
         marked = [c for c in chunks if c[-1] in marks and c[:-1].isalpha()]
         new = memo.absent([c[:-1] for c in marked] + list(set(chunks).difference(marked)))
         found = tokenizer.encode(" " + " ".join(new), add_special_tokens=False)
