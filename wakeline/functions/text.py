@@ -54,14 +54,14 @@ def normalize_unknown(value: Column | str) -> Column:
     return let(present(value), lambda text: F.when(~F.upper(text).isin(*P.UNKNOWN_WORDS), text))
 
 
-# Decimal text whose value cannot overflow: no feed field comes near 1e299.
-NUMBER = r"^\s*[+-]?(\d{1,200}\.?\d*|\.\d+)([eE][+-]?\d{1,2})?\s*$"
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def parse_float(value: Column | str) -> Column:
     """Finite double or NULL. Text is checked before the cast: a failing cast costs an exception per row."""
     text = col(value).cast("string")
-    return F.when(text.rlike(NUMBER), text).try_cast("double")
+    number = F.when(text.rlike(NUMBER), text).try_cast("double")
+    return F.when(F.abs(number) < float("inf"), number)
 
 
 def is_nonempty(value: Column | str) -> Column:
@@ -97,14 +97,17 @@ def scene_id(value: Column | str) -> Column:
     return F.regexp_replace(F.regexp_replace(F.upper(present(value)), r"\.SAFE$", ""), "_COG$", "")
 
 
-def prune_properties(props: Column | str, hints=P.PROPERTY_HINTS, max_properties: int = 18,
-                     max_chars: int = 240) -> Column:
+def prune_properties(props: Column | str, hints=P.PROPERTY_HINTS, max_properties: int | None = None,
+                     max_chars: int | None = None) -> Column:
     """Best-matching properties of a MAP<STRING,STRING>: exact hint, then containing one.
 
-    Ties go to the shorter key, then alphabetical order. Values are cut to ``max_chars``.
+    Ties go to the shorter key, then alphabetical order. Both limits are off unless given.
     """
     words = F.array(*[F.lit(h) for h in hints])
 
+    def cut(value: Column) -> Column:
+        return value if max_chars is None else F.substring(value, 1, max_chars)
+
     def score(key: Column) -> Column:
         low = F.lower(key)
         return (F.when(F.array_contains(words, low), 2)
@@ -113,12 +116,12 @@ def prune_properties(props: Column | str, hints=P.PROPERTY_HINTS, max_properties
     def scored(entry: Column) -> Column:
         return F.struct((-score(entry["key"])).alias("rank"), F.length(entry["key"]).alias("n"),
                         F.lower(entry["key"]).alias("low"), entry["key"].alias("key"),
-                        F.substring(F.trim(entry["value"]), 1, max_chars).alias("value"))
+                        cut(F.trim(entry["value"])).alias("value"))
 
     entries = F.transform(F.map_entries(col(props)), scored)
     kept = F.filter(entries, lambda e: (e["rank"] < 0) & ~e["key"].startswith("_")
                     & F.coalesce(e["value"] != "", F.lit(False)))
-    best = F.slice(F.array_sort(kept), 1, max_properties)
+    best = F.array_sort(kept) if max_properties is None else F.slice(F.array_sort(kept), 1, max_properties)
     return F.map_from_entries(F.transform(best, lambda e: F.struct(e["key"], e["value"])))
 
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from wakeline import params as P
 from wakeline.functions import identity
+from wakeline.functions.times import time_chunk
+from wakeline.operators.keyed import chunked_sum, within
 
 
 def watchlist_audit(watch: DataFrame, line: str = "line_no") -> DataFrame:
@@ -37,8 +39,11 @@ def fingerprint(df: DataFrame, *columns: str) -> DataFrame:
     """Order-independent fingerprint of a row set: the row hashes are summed, then hashed.
 
     The sum is a partial aggregate, so the index is never collected; any change of a row changes it.
+    NULL and text are told apart, and a separator inside a text is escaped, so no two rows look alike.
     """
-    digest = F.sha2(F.concat_ws("\u001f", *[F.col(c).cast("string") for c in columns]), 256)
+    coded = [F.coalesce(F.concat(F.lit("v"), F.replace(F.replace(F.col(c).cast("string"), F.lit("\\"), F.lit("\\\\")),
+                                                       F.lit("\u001f"), F.lit("\\u"))), F.lit("n")) for c in columns]
+    digest = F.sha2(F.concat_ws("\u001f", *coded), 256)
     piece = lambda i: F.sum(F.conv(F.substring(digest, 1 + 15 * i, 15), 16, 10).cast("decimal(38,0)")).cast(
         "decimal(38,0)").cast("string")
     sums = df.agg(F.count("*").alias("rows"), *[piece(i).alias(f"s{i}") for i in range(4)])
@@ -69,8 +74,9 @@ def run_health(status: DataFrame) -> DataFrame:
         .otherwise("regional_only").alias("coverage_mode"), "stale", "included", "matches")
 
 
-def cap_newest(df: DataFrame, cap: int, *order: Column) -> tuple[DataFrame, DataFrame]:
-    """(newest rows up to the cap, one row telling how many there were and whether the cap cut)."""
-    before = df.agg(F.count("*").alias("records_before_cap")).withColumn(
-        "cap_applied", F.col("records_before_cap") > cap)
-    return df.orderBy(*order).limit(cap), before
+def rank_newest(df: DataFrame, at: str, seq: str, cap: int | None = None, chunk_seconds: int = 3600) -> DataFrame:
+    """Every row with ``newest_rank`` (newest first, then ``seq``) and whether it is within the optional cap."""
+    chunk = F.coalesce(-time_chunk(F.col(at), chunk_seconds), F.lit(2 ** 62))
+    coarse = F.floor(F.col("_chunk") / 4096)
+    ranked = chunked_sum(df, [], chunk, [F.col(at).desc_nulls_last(), F.col(seq)], F.lit(1).cast("bigint"), "newest_rank", coarse)
+    return ranked.withColumn("within_limit", within("newest_rank", cap))

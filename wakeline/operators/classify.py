@@ -9,7 +9,8 @@ from wakeline import params as P
 from wakeline.functions import geo
 from wakeline.functions.records import is_tanker, zone_ids
 from wakeline.functions.text import norm_digits, norm_text, parse_float, present, to_bool
-from wakeline.operators.keyed import top_k
+from wakeline.functions.times import time_chunk
+from wakeline.operators.keyed import chunked_rank, chunked_sum, within
 from wakeline.operators.matching import add_port_match, assess_flag, match_watchlist
 
 
@@ -146,24 +147,29 @@ def zone_entity_counts(items: DataFrame, key: str) -> DataFrame:
                        F.count_if("v").alias("voi_tankers"))
 
 
-def zone_examples(items: DataFrame, order: str, n: int = 8) -> DataFrame:
-    """First ``n`` example items per zone; limited before they are collected."""
-    example = F.struct(F.col(order).alias("ord"), "name", "imo", "mmsi", "destination", "sog", "categories")
-    firsts = top_k(tanker_zone_items(items), ["zone_id"], [F.col(order)], n)
-    return firsts.groupBy("zone_id").agg(F.array_sort(F.collect_list(example)).alias("examples"))
+def zone_examples(items: DataFrame, order: str, n: int | None = None) -> DataFrame:
+    """Items of every zone as rows with ``example_rank``, and whether they are within the optional limit."""
+    chunk = F.floor(F.col(order) / 65536)
+    ranked = chunked_rank(tanker_zone_items(items), ["zone_id"], chunk, [F.col(order)], "example_rank")
+    return ranked.withColumn("within_limit", within("example_rank", n)).select(
+        "zone_id", "example_rank", "within_limit", order, "name", "imo", "mmsi", "destination", "sog", "categories")
 
 
-def cap_neutral(items: DataFrame, order: list[Column], cap: P.TankerCap = P.TankerCap()) -> DataFrame:
-    """Neutral items within the first ``per_zone`` of any of their zones, then the first ``total`` overall.
+def cap_neutral(items: DataFrame, seq: str = "row_id", newest_first: bool = False, cap: P.TankerCap = P.TankerCap(),
+                chunk_seconds: int = 86400) -> DataFrame:
+    """Neutral items with their best rank in a zone, their rank overall, and whether both are within the optional cap.
 
-    Being skipped only when all zones are full is the same as ranking within a zone's first rows.
+    Waiting ones come first. Being skipped only when all zones are full is the same as having a rank within the
+    limit in some zone. Ranks run over chunks of time, so neither a zone nor the whole is one task.
     """
-    neutral = items.where(F.array_contains("categories", "neutral_tanker_context"))
-    zoned = neutral.withColumn("_zone", F.explode("tanker_zones"))
-    kept = top_k(zoned, ["_zone"], order, cap.per_zone).drop("_zone").dropDuplicates(["row_id"])
-    return kept.orderBy(*order).limit(cap.total)
-
-
-def waiting_order(seq: str = "row_id", newest_first: bool = False, slow: float = 3.0) -> list[Column]:
-    at = F.col("last_seen").desc() if newest_first else F.col("last_seen").asc()
-    return [(F.coalesce(parse_float("sog"), F.lit(999.0)) > slow).asc(), at, F.col(seq).asc()]
+    neutral = items.where(F.array_contains("categories", "neutral_tanker_context")).withColumn(
+        "_moving", F.coalesce(parse_float("sog"), F.lit(999.0)) > cap.slow_knots)
+    at = F.col("last_seen").desc_nulls_last() if newest_first else F.col("last_seen").asc_nulls_last()
+    order = [F.col("_moving"), at, F.col(seq)]
+    step = time_chunk(F.col("last_seen"), chunk_seconds)
+    chunk = F.struct(F.col("_moving").alias("m"), F.coalesce(-step if newest_first else step, F.lit(2 ** 62)).alias("t"))
+    zoned = chunked_rank(neutral.withColumn("_zone", F.explode("tanker_zones")), ["_zone"], chunk, order, "_n")
+    best = zoned.groupBy(seq).agg(F.min("_n").alias("zone_rank"))
+    ranked = neutral.join(best, seq).withColumn("_in_zone", within("zone_rank", cap.per_zone))
+    counted = chunked_sum(ranked, [], chunk, order, F.col("_in_zone").cast("bigint"), "total_rank")
+    return counted.withColumn("within_limit", F.col("_in_zone") & within("total_rank", cap.total)).drop("_moving", "_in_zone")

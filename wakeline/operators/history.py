@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wakeline import params as P
 from wakeline.functions.times import time_chunk
 from wakeline.operators.filters import retention_reject
-from wakeline.operators.keyed import chunked_rank, chunked_sum, top_k
+from wakeline.operators.keyed import chunked_rank, chunked_sum, top_k, within
 
 
 def line_bytes(*columns: str) -> Column:
@@ -48,19 +48,23 @@ def assign_parts(rows: DataFrame, at: str, key: str, size: Column, max_bytes: in
                  ) -> DataFrame:
     """Adds ``date_utc`` and ``part``: rows of a day in (time, key) order, no part above ``max_bytes``.
 
-    Parts are cut on the day's running byte sum, which runs over time chunks, instead of by a
-    greedy carry through every row of the day. A part starts before ``p * (max - largest row)``
-    bytes, so it can never exceed the limit. A single row above the limit fails the job.
+    Rows up to half the limit are cut on the day's running byte sum, which runs over time chunks, in
+    steps of half the limit: a part starts inside its step and its last row ends at most half the limit
+    later, so it never exceeds the limit. Each larger row is a part of its own, after those. A single
+    row above the limit fails the job.
     """
     sized = rows.withColumn("date_utc", F.to_date(at)).withColumn("line_bytes", size)
     sized = sized.withColumn("line_bytes", F.when(F.col("line_bytes") > max_bytes, F.raise_error(
         F.lit("a single history row exceeds the shard limit")).cast("int")).otherwise(F.col("line_bytes")))
-    largest = sized.groupBy("date_utc").agg(F.max("line_bytes").alias("_big"))
-    summed = chunked_sum(sized, ["date_utc"], time_chunk(F.col(at), chunk_seconds), [F.col(at), F.col(key)],
-                         F.col("line_bytes").cast("bigint"), "_run")
-    stride = F.greatest(F.lit(max_bytes) - F.col("_big"), F.lit(1))
-    raw = F.floor((F.col("_run") - F.col("line_bytes")) / stride)
-    return summed.join(largest, "date_utc").withColumn("part", (raw + 1).cast("int")).drop("_run", "_big")
+    large = F.col("line_bytes") * 2 > max_bytes
+    # Small rows add their bytes, large ones a number: both sums run in the same pass over the day.
+    summed = sized
+    for name, value in (("_run", F.when(large, 0).otherwise(F.col("line_bytes"))), ("_large", large.cast("int"))):
+        summed = chunked_sum(summed, ["date_utc"], time_chunk(F.col(at), chunk_seconds), [F.col(at), F.col(key)], value.cast("bigint"), name)
+    step = F.floor((F.col("_run") - F.col("line_bytes")) * 2 / max_bytes)
+    small = summed.where(~large).groupBy("date_utc").agg((F.max(step) + 1).alias("_small"))
+    part = F.when(large, F.coalesce("_small", F.lit(0)) + F.col("_large")).otherwise(step + 1)
+    return summed.join(small, "date_utc", "left").withColumn("part", part.cast("int")).drop("_run", "_large", "_small")
 
 
 def shard_manifest(parts: DataFrame, at: str) -> DataFrame:
@@ -70,13 +74,14 @@ def shard_manifest(parts: DataFrame, at: str) -> DataFrame:
         F.max(at).alias("newest")).where("part IS NOT NULL OR date_utc IS NULL")
 
 
-def newest_within_budget(rows: DataFrame, at: str, key: str, size: Column, budget: int, chunk_seconds: int = 60
+def newest_within_budget(rows: DataFrame, at: str, key: str, size: Column, budget: int | None = None, chunk_seconds: int = 60
                          ) -> DataFrame:
-    """Newest rows until the next one would pass the byte budget, then stop."""
+    """Every row with the bytes of it and all newer ones, and whether they are within the optional budget."""
     sized = rows.withColumn("line_bytes", size.cast("bigint"))
     chunk = -time_chunk(F.col(at), chunk_seconds)
-    summed = chunked_sum(sized, [], chunk, [F.col(at).desc(), F.col(key).desc()], F.col("line_bytes"), "_run")
-    return summed.where(F.col("_run") <= budget).drop("_run")
+    summed = chunked_sum(sized, [], chunk, [F.col(at).desc(), F.col(key).desc()], F.col("line_bytes"), "running_bytes",
+                         F.floor(F.col("_chunk") / 4096))
+    return summed.withColumn("within_limit", within("running_bytes", budget))
 
 
 def _midpoint_place(position: Column, length: Column) -> Column:
@@ -121,7 +126,7 @@ def sampling_order(rows: DataFrame, identity: str, at: str, key: str, priority:
 
 def balanced_sample(rows: DataFrame, identity: str, at: str, key: str, priority: str, size: Column, budget: int
                     ) -> DataFrame:
-    """Identity-balanced sample under a byte budget.
+    """Every row, with ``sampled``: whether it is in the identity-balanced sample under a byte budget.
 
     Rows are taken in sampling order whenever they still fit. A pass over running sums takes the
     longest prefix that fits; what follows can only hold rows not larger than the room left, so the
@@ -151,23 +156,26 @@ def balanced_sample(rows: DataFrame, identity: str, at: str, key: str, priority:
             break
         room -= stats["used"]
         remaining = run.where(F.col("run") > stats["used"]).drop("run")
-    return rows.withColumn("line_bytes", size.cast("bigint")).join(taken.select(identity, key), [identity, key],
-                                                                   "left_semi")
+    chosen = taken.select(identity, key).distinct().withColumn("sampled", F.lit(True))
+    return (rows.withColumn("line_bytes", size.cast("bigint")).join(chosen, [identity, key], "left")
+            .withColumn("sampled", F.coalesce("sampled", F.lit(False))))
 
 
-def track_points(rows: DataFrame, key: str, at: str, since: Column, n: int = 30) -> DataFrame:
-    """Last ``n`` distinct points per identity since the cutoff, with their role."""
+def track_points(rows: DataFrame, key: str, at: str, since: Column, n: int | None = None,
+                 chunk_seconds: int = 86400) -> DataFrame:
+    """Distinct points per identity since the cutoff with their rank by age and role; the last ``n`` if that is given."""
     usable = rows.where((F.col(at) >= since) & F.col(key).isNotNull())
     distinct = usable.dropDuplicates([key, at, "latitude", "longitude"])
-    last = top_k(distinct, [key], [F.col(at).desc(), F.col("latitude").desc(), F.col("longitude").desc()], n,
-                 rank="age_rank")
+    order = [F.col(at).desc(), F.col("latitude").desc(), F.col("longitude").desc()]
+    last = (chunked_rank(distinct, [key], -time_chunk(F.col(at), chunk_seconds), order, "age_rank") if n is None
+            else top_k(distinct, [key], order, n, rank="age_rank"))
     return last.withColumn("timeline_role", F.when(F.col("age_rank") == 1, "latest_in_window").otherwise(
         "historical_point"))
 
 
-def track_lines(points: DataFrame, key: str, at: str) -> DataFrame:
-    """One line per identity with at least two points; a line holds at most the kept points."""
-    vertex = F.struct(F.col(at), F.col("longitude"), F.col("latitude"))
+def track_lines(points: DataFrame, key: str, at: str, vertices: int = 1000) -> DataFrame:
+    """One row per identity with at least two points: their number, and a line through the newest ``vertices``."""
+    vertex = F.when(F.col("age_rank") <= vertices, F.struct(F.col(at), F.col("longitude"), F.col("latitude")))
     lines = points.groupBy(key).agg(F.count("*").alias("track_point_count"),
                                     F.array_sort(F.collect_list(vertex)).alias("path"))
     return lines.where("track_point_count >= 2")

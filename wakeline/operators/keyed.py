@@ -15,13 +15,22 @@ from pyspark.sql import functions as F
 CHUNK = "_chunk"
 
 
-def top_k(df: DataFrame, keys: Sequence, order: Sequence[Column], k: int = 1, rank: str | None = None) -> DataFrame:
-    """First ``k`` rows per key. Catalyst limits each group before the shuffle, so a hot key ships k rows per task."""
+def top_k(df: DataFrame, keys: Sequence, order: Sequence[Column], k: int | None = 1, rank: str | None = None) -> DataFrame:
+    """First ``k`` rows per key. Catalyst limits each group before the shuffle, so a hot key ships k rows per task.
+
+    With ``k`` None every row is ranked and kept; use ``chunked_rank`` where a key may be hot.
+    """
     name = rank or "_rank"
-    out = df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col(name) <= k)
+    out = df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    out = out if k is None else out.where(F.col(name) <= k)
     return out if rank else out.drop(name)
 
 
+def within(rank: str, limit: int | None) -> Column:
+    """Whether a rank is inside an optional limit; without one every row is."""
+    return F.lit(True) if limit is None else F.col(rank) <= limit
+
+
 def _summary_window(keys: Sequence[str]):
     return Window.partitionBy(*[F.col(k) for k in keys]).orderBy(CHUNK)
 

@@ -73,9 +73,15 @@ def best_identity(df: DataFrame, key: str, fields: Sequence[str], seq: str) -> D
 
 
 def union_first_wins(groups: Sequence[DataFrame], key: Column, seq: str) -> DataFrame:
-    """Union of groups; per identity the first group, then the first row, wins."""
+    """Union of groups; per identity the first group, then the first row, wins.
+
+    Rows without an identity are told apart by name and place, so geometry-only rows survive.
+    """
     out = None
     for number, group in enumerate(groups):
         tagged = group.withColumn("grp", F.lit(number))
         out = tagged if out is None else out.unionByName(tagged, allowMissingColumns=True)
-    return top_k(out.withColumn("dedupe_key", key), ["dedupe_key"], [F.col("grp"), F.col(seq)])
+    place = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("name", "latitude", "longitude") if c in out.columns])
+    tagged = F.coalesce(F.concat(F.lit("id:"), key), F.concat(F.lit("at:"), place))
+    kept = top_k(out.withColumn("dedupe_key", key).withColumn("_tagged", tagged), ["_tagged"], [F.col("grp"), F.col(seq)])
+    return kept.drop("_tagged")

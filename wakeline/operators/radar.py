@@ -9,7 +9,8 @@ from wakeline import params as P
 from wakeline.functions import geo
 from wakeline.functions.records import short_sha1
 from wakeline.functions.tables import fixed_table
-from wakeline.operators.keyed import top_k
+from wakeline.functions.times import time_chunk
+from wakeline.operators.keyed import chunked_rank, top_k, within
 from wakeline.operators.snapshot import nearest_times
 
 
@@ -187,11 +188,10 @@ def match_states(detections: DataFrame, pairs: DataFrame, sufficient: DataFrame,
 
 def evidence(pairs: DataFrame, params: P.MatchParams = P.MatchParams(), detection: str = "detection_id",
              vessel: str = "mmsi") -> DataFrame:
-    """Nearest alternatives per detection as a list, with a truncated flag; limited before collecting."""
+    """Every alternative of a detection with its rank by distance, and whether it is within the optional limit."""
     totals = pairs.groupBy(detection).agg(F.count("*").alias("alternatives"))
-    near = top_k(pairs, [detection], [F.col("distance_m"), F.col(vessel)], params.evidence_limit)
-    lists = near.groupBy(detection).agg(F.array_sort(F.collect_list(F.struct("distance_m", vessel))).alias("evidence"))
-    return totals.join(lists, detection).withColumn("truncated", F.col("alternatives") > params.evidence_limit)
+    ranked = top_k(pairs, [detection], [F.col("distance_m"), F.col(vessel)], None, rank="evidence_rank")
+    return ranked.join(totals, detection).withColumn("within_limit", within("evidence_rank", params.evidence_limit))
 
 
 def label_counts(df: DataFrame, column: str, labels) -> DataFrame:
@@ -225,12 +225,14 @@ def grid_dedup_counts(rows: DataFrame, key=GRID_KEY) -> DataFrame:
                        F.sum(F.when(F.col("ok"), F.col("n") - 1).otherwise(0)).alias("duplicates"))
 
 
-def select_context_ids(records: DataFrame, limit: int, vessel: str = "vessel_id") -> DataFrame:
-    """Watchlist vessels always; others fill the rest of the limit, newest first."""
+def select_context_ids(records: DataFrame, limit: int | None = None, vessel: str = "vessel_id") -> DataFrame:
+    """All vessels with matched records. With a limit: watchlist vessels always, others fill the rest, newest first."""
     per = (records.where(F.col("ais_matched") & F.col(vessel).isNotNull()).groupBy(vessel)
            .agg(F.max(F.struct("observed_at", "watchlist_match")).alias("_latest"))
            .select(vessel, F.col("_latest.observed_at").alias("newest"),
                    F.col("_latest.watchlist_match").alias("protected")))
+    if limit is None:
+        return per
     protected = per.where("protected")
     room = protected.agg(F.greatest(F.lit(0), F.lit(limit) - F.count("*")).alias("room"))
     # At most ``limit`` unprotected ids can be kept, so they are cut down before being numbered.
@@ -294,5 +296,13 @@ def correlation_summary(correlated: DataFrame) -> DataFrame:
         F.count_if(is_("requested_but_no_time_aligned_context")).alias("selected_without_time_aligned_context"))
 
 
+def prioritised(records: DataFrame, cap: int | None = None, chunk_seconds: int = 86400) -> DataFrame:
+    """Every record with its place in ``radar_order`` and whether it is within the optional cap."""
+    newest = F.coalesce(-time_chunk(F.col("observed_at"), chunk_seconds), F.lit(2 ** 62))
+    chunk = F.struct((~F.col("watchlist_match")).alias("w"), F.col("ais_matched").alias("a"), newest.alias("t"))
+    ranked = chunked_rank(records, [], chunk, radar_order(), "priority_rank")
+    return ranked.withColumn("within_limit", within("priority_rank", cap))
+
+
 def radar_order() -> list[Column]:
     return [F.col("watchlist_match").desc(), F.col("ais_matched").asc(), F.col("observed_at").desc(), F.col("id").asc()]

@@ -11,7 +11,7 @@ from wakeline import params as P
 from wakeline.functions import geo
 from wakeline.functions.text import col
 from wakeline.operators.graph import connected_components
-from wakeline.operators.keyed import exact_percentiles, top_k
+from wakeline.operators.keyed import chunked_rank, exact_percentiles
 
 
 def valid_pixels(pixels: DataFrame, mask: str = "mask") -> DataFrame:
@@ -89,7 +89,9 @@ def seed_counts(hits: DataFrame, params: P.CfarParams = P.CfarParams()) -> DataF
 
 
 def guard_seeds(hits: DataFrame, params: P.CfarParams = P.CfarParams()) -> DataFrame:
-    """The hits unchanged; the job fails when a scene's profile exceeds the seed limit."""
+    """The hits unchanged; with a seed limit, the job fails when a scene's profile exceeds it."""
+    if params.max_seeds is None:
+        return hits
     names = [p.id for p in params.profiles] + ["vh"]
     worst = F.greatest(*[F.count_if("hit_" + n) for n in names])
     checked = hits.groupBy("scene_id").agg(worst.alias("_worst")).select("scene_id", F.when(
@@ -160,16 +162,17 @@ def measure_components(labelled: DataFrame, vh_hits: DataFrame | None = None,
 
 
 def number_candidates(components: DataFrame, scene_tag: Column, params: P.CfarParams = P.CfarParams()) -> DataFrame:
-    """Candidates numbered per scene by strength; more than the limit in a scene fails the job.
+    """Candidates numbered per scene by strength; with a limit, more than that in a scene fails the job.
 
-    The limit keeps the numbering window small: it never holds more than ``max_candidates`` + 1 rows.
+    Numbers run over steps of a decibel, so a scene with very many candidates is not one window.
     """
     order = [F.col("max_excess_db").desc(), F.col("vv_peak_db").desc(), F.col("peak_row").asc(),
              F.col("peak_col").asc()]
-    ranked = top_k(components, ["scene_id"], order, params.max_candidates + 1, rank="n")
-    label = F.concat(F.lit("SARCAND-"), scene_tag, F.lit("-"), F.lpad(F.col("n").cast("string"), 4, "0"))
-    return ranked.withColumn("detection_id", F.when(F.col("n") > params.max_candidates, F.raise_error(
-        F.lit("candidate limit exceeded"))).otherwise(label))
+    ranked = chunked_rank(components, ["scene_id"], -F.floor("max_excess_db"), order, "n")
+    label = F.concat(F.lit("SARCAND-"), scene_tag, F.lit("-"), F.lpad(F.col("n").cast("string"), F.greatest(F.lit(4), F.length(F.col("n").cast("string"))), F.lit("0")))
+    if params.max_candidates is not None:
+        label = F.when(F.col("n") > params.max_candidates, F.raise_error(F.lit("candidate limit exceeded"))).otherwise(label)
+    return ranked.withColumn("detection_id", label)
 
 
 def quality_flags(near_infrastructure: Column, reference_available: Column) -> Column:

@@ -26,11 +26,12 @@ def type_score(name: Column, title: Column, abstract: Column, include_any=(), in
             .when(missing, -50.0).when(none, -10.0).otherwise(score))
 
 
-def choose_types(types: DataFrame, score: Column, name: str, max_types: int = 3, slack: float = 4.0) -> DataFrame:
-    """Types within ``slack`` of the best score, best first, at most ``max_types``."""
+def choose_types(types: DataFrame, score: Column, name: str, max_types: int | None = None, slack: float = 4.0) -> DataFrame:
+    """Types within ``slack`` of the best score, best first, at most ``max_types`` if that is given."""
     scored = types.withColumn("score", score).where("score > 0")
     best = scored.agg(F.greatest(F.lit(1.0), F.max("score") - slack))
-    return scored.where(F.col("score") >= best.scalar()).orderBy(F.col("score").desc(), F.col(name)).limit(max_types)
+    near = scored.where(F.col("score") >= best.scalar()).orderBy(F.col("score").desc(), F.col(name))
+    return near if max_types is None else near.limit(max_types)
 
 
 def features_in_box(verts: DataFrame, box: tuple, feature: str = "feature_id") -> DataFrame:

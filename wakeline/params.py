@@ -167,7 +167,7 @@ class ProximityParams:
     repeated_entries: int = 2
     maximum_gap_minutes: float = 180.0
     window_hours: int = 120
-    max_events_per_vessel: int = 3
+    max_events_per_vessel: int | None = None
     # Work is split by time chunk so one busy track never lands in a single task.
     chunk_seconds: int = 86400
     cell_degrees: float = 0.1
@@ -191,8 +191,8 @@ class CfarParams:
     vh_profile: CfarProfile = CfarProfile("vh_corroboration_only", 15, 3, 1e-5)
     minimum_fraction: float = 0.8
     link_radius: int = 1
-    max_seeds: int = 25000
-    max_candidates: int = 1000
+    max_seeds: int | None = None
+    max_candidates: int | None = None
 
 
 @dataclass(frozen=True)
@@ -215,7 +215,7 @@ class MatchParams:
     single_sided_penalty_m: float = 250.0
     no_motion_penalty_m: float = 500.0
     extent_cap_m: float = 100.0
-    evidence_limit: int = 20
+    evidence_limit: int | None = None
     cell_degrees: float = 0.05
 
 
@@ -235,6 +235,6 @@ class ReviewParams:
 
 @dataclass(frozen=True)
 class TankerCap:
-    per_zone: int = 80
-    total: int = 260
+    per_zone: int | None = None
+    total: int | None = None
     slow_knots: float = 3.0

@@ -33,7 +33,7 @@ def classified_snapshot(contacts: DataFrame, watch: DataFrame, ports: DataFrame,
     both = merge.union_first_wins([live, *recent], identity.id_dedupe(), seq)
     neutral = F.array_contains("categories", "neutral_tanker_context")
     capped = cl.cap_neutral(both.withColumn("row_id", F.col(seq)).withColumn("last_seen", F.col("observed_at")),
-                            cl.waiting_order(), cap).select(seq)
+                            cap=cap).where("within_limit").select(seq)
     return both.where(~neutral).unionByName(both.where(neutral).join(capped, seq, "left_semi"))
 
 

@@ -60,7 +60,7 @@ VIEWS: dict[str, tuple[str, list[str], str | None]] = {
         "c_mktsegment = 'FURNITURE' AS track_falseflag", "c_mktsegment = 'HOUSEHOLD' AS track_behavior",
         "CASE WHEN c_custkey % 46 = 0 THEN 'No' ELSE 'true' END AS active",
         "CASE WHEN c_custkey % 60 = 7 THEN 'dummy row' ELSE '' END AS notes",
-        "CASE WHEN c_custkey % 3 = 1 THEN 'EU;OFAC' ELSE 'manual' END AS source_list"], "c_custkey % 2 = 0"),
+        "CASE WHEN c_custkey % 3 = 1 THEN 'EU;OFAC' ELSE 'manual' END AS source_list"], None),
     "v_infra": ("supplier", [
         "CAST(s_suppkey AS STRING) AS feature_id",
         "CASE s_suppkey % 3 WHEN 0 THEN 'power_cable' WHEN 1 THEN 'pipeline' ELSE 'telecommunication_cable' END"

@@ -75,7 +75,7 @@ SELECT event_id, epoch(coalesce(g, TIMESTAMP '{AS_OF}'))::BIGINT AS sec, g IS NO
 def _(t):
     at = F.when(F.col("event_id") % 11 == 0, F.lit("1970-01-20 00:00:00").cast("timestamp")).otherwise(
         F.date_trunc("second", "observed_at"))
-    kind = F.col("event_id") % 5
+    kind = F.col("event_id") % 7
     raw = (F.when(kind == 0, F.unix_seconds(at).cast("string")).when(kind == 1, F.unix_millis(at).cast("string"))
            .when((kind == 4), "junk").otherwise(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'")))
     # Milliseconds of early 1970 are below the split and would be read as seconds; they are text here.
@@ -123,12 +123,12 @@ def _(t):
 
 
 @query("fn11_parse_float", """
-SELECT event_id, CASE event_id % 5 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 2 THEN NULL ELSE value END AS num
+SELECT event_id, CASE event_id % 7 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 2 THEN NULL WHEN 3 THEN 1e100 WHEN 4 THEN NULL ELSE value END AS num
 FROM v_contacts""")
 def _(t):
-    kind = F.col("event_id") % 5
-    raw = F.when(kind == 0, "NaN").when(kind == 1, "Infinity").when(kind == 2, "12 kn").otherwise(
-        F.col("value").cast("string"))
+    kind = F.col("event_id") % 7
+    raw = F.when(kind == 0, "NaN").when(kind == 1, "Infinity").when(kind == 2, "12 kn").when(
+        kind == 3, "1e100").when(kind == 4, "1e400").otherwise(F.col("value").cast("string"))
     return t.contacts.select("event_id", text.parse_float(raw).alias("num"))
 
 
@@ -307,13 +307,13 @@ def _(t):
 
 
 @query("fn28_prune_properties", """
-SELECT p_partkey, unnest(['name', 'type', 'brand_code', 'size_class']) AS key,
- unnest([substr(p_name, 1, 8), substr(p_type, 1, 8), substr(p_brand, 1, 8), CAST(p_size AS VARCHAR)]) AS value FROM part""")
+SELECT p_partkey, unnest(['name', 'type', 'brand_code', 'size_class', 'owner_country_name_long']) AS key,
+ unnest([p_name, p_type, p_brand, CAST(p_size AS VARCHAR), 'too long']) AS value FROM part""")
 def _(t):
     props = F.create_map(F.lit("name"), F.col("p_name"), F.lit("type"), F.col("p_type"), F.lit("brand_code"), F.col("p_brand"),
                          F.lit("size_class"), F.col("p_size").cast("string"), F.lit("xyz"), F.lit("dropped"), F.lit("_id"),
                          F.lit("dropped"), F.lit("owner_country_name_long"), F.lit("too long"), F.lit("link"), F.lit(""))
-    pruned = text.prune_properties("props", max_properties=4, max_chars=8)
+    pruned = text.prune_properties("props")
     return t.table("part").withColumn("props", props).select("p_partkey", F.explode(pruned).alias("key", "value"))
 
 

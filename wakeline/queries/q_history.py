@@ -37,12 +37,17 @@ def _(t):
 
 
 MAX_PART = 4000
-PARTS = f"""{KEPT}, ps AS (SELECT *, CAST(seen_at AS DATE) AS d, sum(row_bytes) OVER (PARTITION BY CAST(seen_at AS DATE) ORDER BY seen_at, history_key) AS run,
- max(row_bytes) OVER (PARTITION BY CAST(seen_at AS DATE)) AS big FROM kept), pt AS (SELECT *, CAST(floor((run - row_bytes) / ({MAX_PART} - big)) + 1 AS INT) AS part FROM ps)"""
+# Some rows come near the limit: they are parts of their own and leave the others together.
+BYTES = f"CASE WHEN event_id % 50 = 0 THEN {MAX_PART - 1} ELSE row_bytes END"
+PARTS = f"""{KEPT}, pk AS (SELECT *, CAST(seen_at AS DATE) AS d, {BYTES} AS b FROM kept),
+ps AS (SELECT *, sum(CASE WHEN b * 2 > {MAX_PART} THEN 0 ELSE b END) OVER w AS run, count(*) FILTER (b * 2 > {MAX_PART}) OVER w AS larges FROM pk WINDOW w AS (PARTITION BY d ORDER BY seen_at, history_key)),
+pn AS (SELECT d, max(floor((run - b) * 2 / {MAX_PART})) + 1 AS smalls FROM ps WHERE b * 2 <= {MAX_PART} GROUP BY 1),
+pt AS (SELECT ps.* EXCLUDE (row_bytes), b AS row_bytes, CAST(CASE WHEN b * 2 > {MAX_PART} THEN coalesce(smalls, 0) + larges ELSE floor((run - b) * 2 / {MAX_PART}) + 1 END AS INT) AS part FROM ps LEFT JOIN pn USING (d))"""
 
 
 def parts(t):
-    return history.assign_parts(kept(t), "seen_at", "history_key", F.col("row_bytes"), MAX_PART)
+    size = F.when(F.col("event_id") % 50 == 0, MAX_PART - 1).otherwise(F.col("row_bytes"))
+    return history.assign_parts(kept(t), "seen_at", "history_key", size, MAX_PART)
 
 
 @query("win10_day_shards", f"WITH {PARTS} SELECT event_id, CAST(d AS VARCHAR) AS date_utc, part FROM pt")
@@ -60,22 +65,22 @@ def _(t):
 
 
 @query("win12_newest_budget", f"""
-WITH {KEPT}, r AS (SELECT event_id, sum(row_bytes) OVER (ORDER BY seen_at DESC, history_key DESC) AS run FROM kept) SELECT event_id FROM r WHERE run <= 150000""")
+WITH {KEPT}, r AS (SELECT event_id, sum(row_bytes) OVER (ORDER BY seen_at DESC, history_key DESC)::BIGINT AS running_bytes FROM kept) SELECT *, running_bytes <= 150000 AS within_limit FROM r""")
 def _(t):
-    return history.newest_within_budget(kept(t), "seen_at", "history_key", F.col("row_bytes"), 150000).select("event_id")
+    return history.newest_within_budget(kept(t), "seen_at", "history_key", F.col("row_bytes"), 150000).select("event_id", "running_bytes", "within_limit")
 
 
 @query("win13_size_trim", """
-WITH r AS (SELECT event_id, sum(row_bytes) OVER (ORDER BY observed_at DESC, event_id DESC) AS run FROM v_contacts) SELECT event_id FROM r WHERE run <= 200000""")
+WITH r AS (SELECT event_id, sum(row_bytes) OVER (ORDER BY observed_at DESC, event_id DESC)::BIGINT AS running_bytes FROM v_contacts) SELECT *, running_bytes <= 200000 AS within_limit FROM r""")
 def _(t):
-    return history.newest_within_budget(t.contacts, "observed_at", "event_id", F.col("row_bytes"), 200000).select("event_id")
+    return history.newest_within_budget(t.contacts, "observed_at", "event_id", F.col("row_bytes"), 200000).select("event_id", "running_bytes", "within_limit")
 
 
 @query("win09_balanced_sample")
 def _(t):
     rows = kept(t).withColumn("identity", identity.id_history())
     return history.balanced_sample(rows, "identity", "seen_at", "history_key", "is_priority_voi", F.col("row_bytes"), 150000).select(
-        "identity", "history_key", "event_id")
+        "identity", "history_key", "event_id", "sampled")
 
 
 @query("win09_sampling_order", f"""

@@ -288,20 +288,19 @@ def _(t):
 
 @query("agg07_zone_examples", f"""
 WITH {_TZ}, r AS (SELECT *, row_number() OVER (PARTITION BY zone_id ORDER BY row_id) AS n FROM tz)
-SELECT zone_id, string_agg(mmsi || '/' || destination, ';' ORDER BY row_id) AS examples FROM r WHERE n <= 8 GROUP BY 1""")
+SELECT zone_id, n AS example_rank, n <= 8 AS within_limit, mmsi, destination FROM r""")
 def _(t):
-    out = cl.zone_examples(classified(t), "row_id")
-    return out.select("zone_id", F.array_join(F.transform("examples", lambda e: F.concat_ws("/", e["mmsi"], e["destination"])),
-                                              ";").alias("examples"))
+    return cl.zone_examples(classified(t), "row_id", 8).select("zone_id", "example_rank", "within_limit", "mmsi", "destination")
 
 
 @query("win11_zone_cap", f"""
 WITH {_TZ}, r AS (SELECT event_id, mmsi, observed_at, sog, row_number() OVER (PARTITION BY zone_id ORDER BY sog > 3, observed_at, event_id) AS n FROM tz WHERE neutral),
-k AS (SELECT event_id, any_value(sog) AS sog, any_value(observed_at) AS o FROM r WHERE n <= 80 GROUP BY 1)
-SELECT event_id FROM k ORDER BY sog > 3, o, event_id LIMIT 260""")
+k AS (SELECT event_id, any_value(sog) AS sog, any_value(observed_at) AS o, min(n) AS zone_rank FROM r GROUP BY 1),
+q AS (SELECT *, count(*) FILTER (zone_rank <= 80) OVER (ORDER BY sog > 3, o, event_id) AS total_rank FROM k)
+SELECT event_id, zone_rank, total_rank, zone_rank <= 80 AND total_rank <= 260 AS within_limit FROM q""")
 def _(t):
     items = classified(t).withColumn("last_seen", F.col("observed_at"))
-    return cl.cap_neutral(items, cl.waiting_order()).select("event_id")
+    return cl.cap_neutral(items, cap=P.TankerCap(per_zone=80, total=260)).select("event_id", "zone_rank", "total_rank", "within_limit")
 
 
 @query("set06_recent_portcalls", f"""

@@ -57,10 +57,10 @@ def _(t):
 
 @query("ord05_evidence", f"""
 WITH {PAIRS}, r AS (SELECT *, row_number() OVER (PARTITION BY detection_id ORDER BY distance_m, mmsi) AS n, count(*) OVER (PARTITION BY detection_id) AS c FROM pairs)
-SELECT detection_id, string_agg(mmsi, ',' ORDER BY n) AS vessels, any_value(c) AS alternatives, any_value(c) > 2 AS truncated FROM r WHERE n <= 2 GROUP BY 1""")
+SELECT detection_id, mmsi, n AS evidence_rank, c AS alternatives, n <= 2 AS within_limit FROM r""")
 def _(t):
     out = radar.evidence(pairs(t), P.MatchParams(evidence_limit=2))
-    return out.select("detection_id", F.array_join(F.transform("evidence", lambda e: e["mmsi"]), ",").alias("vessels"), "alternatives", "truncated")
+    return out.select("detection_id", "mmsi", F.col("evidence_rank").cast("bigint").alias("evidence_rank"), "alternatives", "within_limit")
 
 
 @query("jn21_projection_consistency", f"""
@@ -104,26 +104,25 @@ _W = f"""wi AS (SELECT DISTINCT {S.digits('imo')} AS id FROM v_watchlist WHERE l
 
 
 @query("ord02_priority_cap", f"""
-WITH {GRID}, {_W} SELECT id, watch AS watchlist_match, ais_matched FROM rec ORDER BY watch DESC, ais_matched, observed_at DESC, id LIMIT 2500""")
+WITH {GRID}, {_W} SELECT id, watch AS watchlist_match, ais_matched, row_number() OVER (ORDER BY watch DESC, ais_matched, observed_at DESC, id) AS priority_rank FROM rec""")
 def _(t):
-    return records(t).orderBy(*radar.radar_order()).limit(2500).select("id", "watchlist_match", "ais_matched")
+    return radar.prioritised(records(t)).select("id", "watchlist_match", "ais_matched", "priority_rank")
 
 
 _SEL = f"""pv AS (SELECT vessel_id, max(observed_at) AS newest, arg_max(watch, (observed_at, watch)) AS prot FROM rec WHERE ais_matched AND vessel_id IS NOT NULL GROUP BY 1),
-oth AS (SELECT vessel_id, row_number() OVER (ORDER BY newest DESC, vessel_id) AS n FROM pv WHERE NOT prot),
-sel AS (SELECT vessel_id FROM pv WHERE prot UNION ALL SELECT vessel_id FROM oth WHERE n <= greatest(0, 500 - (SELECT count(*) FROM pv WHERE prot)))"""
+sel AS (SELECT vessel_id FROM pv)"""
 
 
 @query("ord03_protected_cap", f"WITH {GRID}, {_W}, {_SEL} SELECT vessel_id FROM sel")
 def _(t):
-    return radar.select_context_ids(records(t), 500).select("vessel_id")
+    return radar.select_context_ids(records(t)).select("vessel_id")
 
 
 @query("jn17_selected_semi", f"""
 WITH {GRID}, {_W}, {_SEL} SELECT region_id, count(DISTINCT vessel_id) AS vessels FROM rec WHERE vessel_id IN (SELECT vessel_id FROM sel) GROUP BY 1""")
 def _(t):
     r = records(t)
-    ids = radar.select_context_ids(r, 500).select("vessel_id")
+    ids = radar.select_context_ids(r).select("vessel_id")
     return r.join(ids, "vessel_id", "left_semi").groupBy("region_id").agg(F.count_distinct("vessel_id").alias("vessels"))
 
 
@@ -140,7 +139,7 @@ cor AS (SELECT rec.id, CASE WHEN NOT ais_matched THEN 'not_applicable_ais_unmatc
 
 def correlated(t):
     r = records(t)
-    return radar.correlate(r, ais_side(t), radar.select_context_ids(r, 500), LIMIT_MIN)
+    return radar.correlate(r, ais_side(t), radar.select_context_ids(r), LIMIT_MIN)
 
 
 @query("jn14_time_aligned", f"WITH {CORR} SELECT id, delta, nm FROM cor WHERE status = 'time_aligned_same_identity'")

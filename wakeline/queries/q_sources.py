@@ -44,17 +44,22 @@ def _(t):
 
 
 @query("src02_positional_csv", """
-SELECT CASE WHEN event_id % 501 = 0 THEN 0 ELSE 26 END AS column_count, count(*) AS n, count(*) FILTER (lower(timestamp) = 'timestamp' AND event_id % 501 <> 0) AS headers FROM v_archive GROUP BY 1""")
+SELECT CASE WHEN event_id % 501 = 0 OR event_id % 26 = 0 THEN 0 ELSE 26 END AS column_count, count(*) AS n, count(*) FILTER (lower(timestamp) = 'timestamp' AND event_id % 501 <> 0 AND event_id % 26 <> 0) AS headers,
+ count(*) FILTER (event_id % 26 = 13 AND event_id % 501 <> 0) AS quoted FROM v_archive GROUP BY 1""")
 def _(t):
     path = scratch(t)
     line = F.concat_ws(",", *P.ARCHIVE_COLUMNS)
-    # Every 501st row lost most of its fields.
-    text = F.when(F.col("column_count") == 25, F.concat_ws(",", "timestamp", "type_of_mobile", "mmsi")).otherwise(line)
+    # Every 501st row lost most of its fields; in every 13th, quotes hold one field with a comma, or make 26 of 25.
+    quoted = F.concat_ws(",", *[F.lit('"A,B"') if c == "destination" else F.col(c) for c in P.ARCHIVE_COLUMNS])
+    short = F.concat_ws(",", *[F.lit('"A,B"') if c == "destination" else F.col(c) for c in P.ARCHIVE_COLUMNS[:-1]])
+    text = (F.when(F.col("column_count") == 25, F.concat_ws(",", "timestamp", "type_of_mobile", "mmsi"))
+            .when(F.col("event_id") % 26 == 13, quoted).when(F.col("event_id") % 26 == 0, short).otherwise(line))
     t.archive.select(text.alias("value")).write.text(path)
     rows = readers.read_archive_csv(t.spark, path)
     width = F.when(F.col("column_count") == 26, 26).otherwise(0)
     return rows.groupBy(width.alias("column_count")).agg(F.count("*").alias("n"), F.count_if(
-        (F.lower("timestamp") == "timestamp") & (F.col("column_count") == 26)).alias("headers"))
+        (F.lower("timestamp") == "timestamp") & (F.col("column_count") == 26)).alias("headers"),
+        F.count_if((F.col("destination") == "A,B") & (F.col("column_count") == 26)).alias("quoted"))
 
 
 def _envelope(t, wrapper):
@@ -268,11 +273,18 @@ def _(t):
 
 
 @query("snk06_size_guard", """
-SELECT count(*) AS rows, sum(length('{"mmsi":"' || mmsi || '","provider":"' || provider || '"}') + 1)::BIGINT AS bytes FROM v_contacts""")
+SELECT count(*) AS rows, sum(length('{"mmsi":"' || mmsi || '","provider":"' || provider || '"}') + 1)::BIGINT AS bytes, true AS refused FROM v_contacts""")
 def _(t):
     rows = t.contacts.select("mmsi", "provider")
-    sinks.write_if_small(rows, scratch(t), 1 << 40)
-    return sinks.product_bytes(rows)
+    path = scratch(t)
+    sinks.write_if_small(rows, path)
+    refused = False
+    try:
+        sinks.write_if_small(rows.limit(1), path, 1)
+    except ValueError:
+        refused = True
+    # The refused product left the last good one in place.
+    return sinks.product_bytes(t.spark.read.json(path)).withColumn("refused", F.lit(refused))
 
 
 @query("snk07_fan_out", f"WITH {CLASSIFIED} SELECT count(*) AS items, (SELECT count(*) FROM (SELECT unnest(categories) FROM classified)) AS features FROM classified")

@@ -137,7 +137,7 @@ sm AS (SELECT mmsi, feature_id, any_value(infrastructure_type) AS infrastructure
 su AS (SELECT sm.*, ds.dwell, (low_speed_points >= 2)::INT + (dwell >= 30)::INT + (entries >= 2)::INT AS n_signals FROM sm JOIN ds USING (mmsi, feature_id)),
 lv AS (SELECT *, CASE WHEN dmin <= 25e-2 OR (dmin <= 75e-2 AND n_signals >= 2) THEN 'elevated' ELSE 'review' END AS level, CASE WHEN near_points >= 3 AND valid_points / near_points >= 67e-2
  THEN 'medium' ELSE 'low_medium' END AS confidence FROM su),
-evt AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY mmsi ORDER BY CASE WHEN level = 'elevated' THEN 0 ELSE 1 END, dmin, feature_id) AS event_rank FROM lv WHERE n_signals > 0) WHERE event_rank <= 3)"""
+evt AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY mmsi ORDER BY CASE WHEN level = 'elevated' THEN 0 ELSE 1 END, dmin, feature_id) AS event_rank FROM lv WHERE n_signals > 0))"""
 
 
 def near(t, params=PARAMS):

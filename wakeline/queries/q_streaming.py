@@ -40,7 +40,7 @@ def _(t):
     rows = stream(t, "voyages").select(
         "identity_key", "event_id", "observed_at", F.col("destination").alias("place"), "declared", "port_seen")
     live.run_to_files(route_stream(rows), path + "/cp", path + "/out")
-    return t.spark.read.parquet(path + "/out").select("event_id", *FLAGS)
+    return t.spark.read.parquet(path + "/out").where("NOT late").select("event_id", *FLAGS)
 
 
 @query("str03_unique_event_stream", f"""
@@ -75,7 +75,10 @@ WITH k AS (SELECT *, row_number() OVER (PARTITION BY history_key ORDER BY seen_a
 def _(t):
     path = scratch(t)
     merge = live.compact_into(path + "/table", "history_key", "seen_at", "event_id", t.as_of)
-    # An older load first, then the whole stream merged into it.
+    # A load of long ago, in its own time, then a newer one, then the whole stream merged into it.
+    long_ago = t.history.where("event_id % 7 = 0").withColumn("seen_at", F.col("seen_at") - F.expr("INTERVAL 40 DAY")).withColumn(
+        "history_key", F.concat(F.lit("old-"), "history_key"))
+    live.compact_into(path + "/table", "history_key", "seen_at", "event_id", t.as_of - F.expr("INTERVAL 40 DAY"))(long_ago, -2)
     merge(t.history.where("event_id % 2 = 0"), -1)
     live.run_once(stream(t, "history"), path + "/cp", merge)
-    return live.read_compacted(t.spark, path + "/table", "history_key", "seen_at", "event_id").select("history_key", "event_id")
+    return live.read_compacted(t.spark, path + "/table", "history_key", "seen_at", "event_id", t.as_of).select("history_key", "event_id")

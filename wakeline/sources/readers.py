@@ -51,8 +51,9 @@ def read_archive_csv(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.csv(path, schema=schema, header=False, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT,
                           quote='"', escape='"')
     # A row of exactly 26 fields is malformed against 27 columns, and only its last one is NULL.
+    bare = F.regexp_replace(F.col(CORRUPT), r'"(?:[^"]|"")*"', "q")  # commas inside quotes part no fields
     width = (F.when(F.col("_extra").isNotNull(), 27)
-             .when(F.col("size_d").isNotNull() | (F.size(F.split(F.col(CORRUPT), ",")) >= 26), 26).otherwise(0))
+             .when(F.col("size_d").isNotNull() | (F.size(F.split(bare, ",")) >= 26), 26).otherwise(0))
     return rows.select(*P.ARCHIVE_COLUMNS, width.alias("column_count"))
 
 

@@ -122,10 +122,10 @@ def product_bytes(rows: DataFrame) -> DataFrame:
         0)).alias("bytes"))
 
 
-def write_if_small(rows: DataFrame, path: str, max_bytes: int) -> int:
-    """Overwrites the product only when it stays within the limit; else the last good one remains."""
+def write_if_small(rows: DataFrame, path: str, max_bytes: int | None = None) -> int:
+    """Overwrites the product; with a limit only when it stays within it, else the last good one remains."""
     size = product_bytes(rows).first()["bytes"]
-    if size > max_bytes:
+    if max_bytes is not None and size > max_bytes:
         raise ValueError(f"product has {size} bytes, limit is {max_bytes}; previous product kept")
     rows.write.mode("overwrite").json(path)
     return size

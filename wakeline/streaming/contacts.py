@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from wakeline import params as P
 from wakeline.operators.filters import retention_reject
-from wakeline.operators.history import compact, newest_per_key
+from wakeline.operators.history import compact
 from wakeline.operators.merge import newest_nonempty
 from wakeline.session import cut_lineage
 
@@ -47,8 +47,19 @@ def reject_counter(at: str, as_of: Column, path: str, policy: P.HistoryPolicy =
 def _stored(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise  # a history that cannot be read is no empty history
+
+
+def _drop_days(spark: SparkSession, path: str, days: list) -> None:
+    """Removes whole day partitions of the history."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for day in days:
+        store.delete(jvm.org.apache.hadoop.fs.Path(root, f"date_utc={day}"), True)
 
 
 def compact_into(path: str, key: str, at: str, seq: str, as_of: Column, policy: P.HistoryPolicy = P.HistoryPolicy()
@@ -57,7 +68,8 @@ def compact_into(path: str, key: str, at: str, seq: str, as_of: Column, policy:
 
     Only the days the batch touches, and the days that hold an older copy of its keys, are read
     and rewritten. The merged rows are checkpointed first, so the rewrite never reads what it
-    replaces. Replaying a batch gives the same files.
+    replaces. Days that ended before the retention window leave the store with every merge. Replaying a
+    batch gives the same files.
     """
     def merge(batch: DataFrame, _number: int) -> None:
         spark = batch.sparkSession
@@ -72,13 +84,18 @@ def compact_into(path: str, key: str, at: str, seq: str, as_of: Column, policy:
             kept = old.where(F.col("date_utc").isin(days)).select(*fresh.columns)
             merged = cut_lineage(compact(kept.unionByName(fresh), key, at, seq, as_of, policy))
         (merged.write.partitionBy("date_utc").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path))
+        if old is not None:
+            # Partition values only, and no more than a few days past the window: every merge removes them.
+            last = F.to_date(as_of - F.make_dt_interval(F.lit(policy.retention_days)))
+            _drop_days(spark, path, [r.date_utc for r in old.select("date_utc").distinct().where(F.col("date_utc") < last).collect()])
 
     return merge
 
 
-def read_compacted(spark: SparkSession, path: str, key: str, at: str, seq: str) -> DataFrame:
-    """Newest row per key; a day whose last rows all moved elsewhere is settled here."""
-    return newest_per_key(spark.read.parquet(path), key, at, seq)
+def read_compacted(spark: SparkSession, path: str, key: str, at: str, seq: str, as_of: Column,
+                   policy: P.HistoryPolicy = P.HistoryPolicy()) -> DataFrame:
+    """Newest row per key inside the retention window; a day whose last rows all moved elsewhere is settled here."""
+    return compact(spark.read.parquet(path), key, at, seq, as_of, policy)
 
 
 def run_once(stream: DataFrame, checkpoint: str, batch: Callable[[DataFrame, int], None], mode: str = "append") -> None:

@@ -1,7 +1,7 @@
 """The destination and port-call state machine as a keyed streaming operator.
 
 One state row per identity. Rows of a key are applied in event-time order within a micro-batch;
-rows older than the state are ignored. ``operators.route`` is the batch twin.
+rows older than the state change nothing and are passed on, marked late. ``operators.route`` is the batch twin.
 """
 
 from __future__ import annotations
@@ -13,8 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState
 
+from wakeline.functions.text import norm_key
+
 OUTPUT = ("identity_key string, event_id bigint, to_russia_declared boolean, recent_unconfirmed boolean, "
-          "recent_confirmed boolean, declared_event boolean, changed_event boolean, confirmed_event boolean")
+          "recent_confirmed boolean, declared_event boolean, changed_event boolean, confirmed_event boolean, "
+          "late boolean")
 STATE = "declared boolean, place string, lead_until bigint, confirmed_until bigint, updated_at bigint"
 LEAD_US = 10 * 86400 * 1_000_000
 RETENTION_MS = 120 * 86400 * 1000
@@ -47,10 +50,11 @@ def apply_rows(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> I
     out = []
     for row in batch.itertuples(index=False):
         if row.at_us < current[4]:
+            out.append((key[0], int(row.event_id), *[None] * 6, True))
             continue
         place = None if pd.isna(row.place) else row.place
         current, flags = step(tuple(current), int(row.at_us), place, bool(row.declared), bool(row.port_seen))
-        out.append((key[0], int(row.event_id), *flags))
+        out.append((key[0], int(row.event_id), *flags, False))
     state.update(tuple(current))
     state.setTimeoutTimestamp(max(current[4] // 1000, state.getCurrentWatermarkMs()) + RETENTION_MS)
     yield pd.DataFrame(out, columns=[c.split()[0] for c in OUTPUT.split(", ")])
@@ -59,9 +63,10 @@ def apply_rows(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> I
 def route_stream(rows: DataFrame, at: str = "observed_at", delay: str = "1 day") -> DataFrame:
     """Rows: identity_key, event_id, place, declared, port_seen and the event time.
 
-    State expires by event time, 120 days behind the watermark.
+    Destinations are compared in normal form, as the batch twin does. State expires by event time, 120 days
+    behind the watermark.
     """
-    timed = rows.withWatermark(at, delay).withColumn("at_us", F.unix_micros(at))
+    timed = rows.withColumn("place", norm_key("place")).withWatermark(at, delay).withColumn("at_us", F.unix_micros(at))
     return timed.groupBy("identity_key").applyInPandasWithState(
         apply_rows, outputStructType=OUTPUT, stateStructType=STATE, outputMode="append",
         timeoutConf="EventTimeTimeout")
