@@ -49,7 +49,7 @@ def _tokenizer(path: str):
     def encode(text: str) -> bytes:
         return np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    memo = Memo(lambda rest: encode(" " + rest), 1 << 19)
+    memo = Memo(lambda rest: encode(" " + rest), 1 << 18)
 
     marks = {mark: encode(mark) for mark in ".,;:!?"}
 
