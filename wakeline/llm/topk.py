@@ -2,10 +2,11 @@
 
 An inner product is turned into a distance by one more component: every vector gets sqrt(M - |x|^2), where M is
 the largest squared length of all, and a query gets 0, so that the nearest vectors have the highest products.
-Distances of all vectors to a set of pivots are worked out once; for a query, the largest difference of its
-own and a candidate's distance to a pivot is a lower bound of theirs. Candidates are evaluated in the order of
-their bounds, in steps, until the bounds pass the k-th best found. Queries and candidates meet as blocks of
-rows; every block pair gives its k best, and the best of those are the answer.
+Every block of candidates has pivots of its own; for a query, the largest difference of its own and a
+candidate's distance to a pivot is a lower bound of theirs. Queries near the same pivot are searched together:
+candidates are evaluated in the order of their least bound, in steps, until the bounds pass the k-th best of
+every query. Queries and candidates meet as blocks of rows; every block pair gives its k best, and the best
+of those are the answer.
 """
 
 from __future__ import annotations
@@ -18,10 +19,10 @@ from pyspark.sql import functions as F
 from wakeline.llm.common import settle
 from wakeline.session import cut_lineage
 
-#: Vectors of a block, and of the pivot table.
-BLOCK, QUERY_BLOCK, PIVOTS = 8192, 512, 24
-#: Candidates evaluated at a time, and how much a float distance may be off.
-STEP, SLACK = 512, 1e-6
+#: Vectors of a block, queries that are searched together, and pivots of a block.
+BLOCK, QUERY_BLOCK, GROUP, PIVOTS = 8192, 512, 64, 24
+#: Candidates evaluated at a time, and how much a float distance may be off (of the largest).
+STEP, SLACK = 1024, 1e-5
 #: Beyond this, floats do not hold products exactly and whole numbers are used.
 EXACT = 2 ** 53
 
@@ -35,20 +36,31 @@ def whole_vectors(df: DataFrame, id_col: str, vector_col: str, scale: int) -> Da
             .select(F.col(id_col).cast("bigint").alias("id"), F.transform(x, lambda c: F.floor(c * scale)).alias("v")))
 
 
-def _blocks(vectors: DataFrame, rows: int, name: str) -> DataFrame:
-    """Vectors packed as (dim, name, ids, data): blocks of about ``rows`` rows of one length, dealt by hash."""
+def _blocks(vectors: DataFrame, rows: int, name: str, pivots: int = 0) -> DataFrame:
+    """Vectors packed as (dim, name, ids, data, pivots): blocks of about ``rows`` rows of one length, dealt by hash.
+
+    pivots: rows of the block, each far from those before, so that they see the others from all sides.
+    """
     sizes = vectors.groupBy(F.size("v").alias("dim")).agg(F.ceil(F.count("*") / rows).alias("blocks"))
     dealt = (vectors.withColumn("dim", F.size("v")).join(sizes, "dim")
              .withColumn(name, F.pmod(F.xxhash64("id", F.lit(5)), F.col("blocks"))))
 
     def pack(table: pa.Table) -> pa.Table:
+        table = table.sort_by("id")
         ids = table.column("id").to_numpy().astype("<i8")
         flat = table.column("v").combine_chunks().flatten().to_numpy().astype("<i8")
-        return pa.table({"dim": table.column("dim")[:1], name: table.column(name)[:1],
-                         "ids": pa.array([ids.tobytes()], pa.binary()), "data": pa.array([flat.tobytes()], pa.binary())})
+        x = flat.reshape(len(ids), -1).astype(float)
+        chosen = [0] if pivots else []
+        nearest = np.full(len(x), np.inf)
+        while chosen and len(chosen) < min(pivots, len(x)):
+            away = x - x[chosen[-1]]
+            nearest = np.minimum(nearest, (away * away).sum(1))
+            chosen.append(int(nearest.argmax()))
+        return pa.table({"dim": table.column("dim")[:1], name: table.column(name)[:1], "ids": pa.array([ids.tobytes()], pa.binary()),
+                         "data": pa.array([flat.tobytes()], pa.binary()), "pivots": pa.array([chosen], pa.list_(pa.int32()))})
 
     return dealt.select("dim", name, "id", "v").groupBy("dim", name).applyInArrow(
-        pack, f"dim int, {name} bigint, ids binary, data binary")
+        pack, f"dim int, {name} bigint, ids binary, data binary, pivots array<int>")
 
 
 def _distances(a: np.ndarray, lift_a: np.ndarray, b: np.ndarray, lift_b: np.ndarray) -> np.ndarray:
@@ -57,55 +69,61 @@ def _distances(a: np.ndarray, lift_a: np.ndarray, b: np.ndarray, lift_b: np.ndar
     return np.sqrt(np.maximum(squared, 0))
 
 
-def _best(k: int, pivots: int):
+def _best(k: int):
     schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
     def search(batches):
         for batch in batches:
-            for dim, top, q_ids, q_data, ids, data in zip(*[batch.column(i).to_pylist() for i in range(6)]):
-                yield from one_pair(int(dim), float(top), q_ids, q_data, ids, data)
+            for row in zip(*[batch.column(i).to_pylist() for i in range(7)]):
+                out = one_pair(*row)
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*out)], schema=schema)
 
-    def one_pair(dim, top, q_ids, q_data, ids, data):
+    def one_pair(dim, top, q_ids, q_data, ids, data, pivots):
         q_ids, ids = np.frombuffer(q_ids, "<i8"), np.frombuffer(ids, "<i8")
         qi, xi = np.frombuffer(q_data, "<i8").reshape(-1, dim), np.frombuffer(data, "<i8").reshape(-1, dim)
-        order = np.argsort(ids, kind="stable")
-        ids, xi = ids[order], xi[order]
         q, x = qi.astype(float), xi.astype(float)
-        wide = float(np.abs(q).max()) * float(np.abs(x).max()) * dim >= EXACT
+        exact = float(np.abs(q).max()) * float(np.abs(x).max()) * dim < EXACT
         lift = np.sqrt(np.maximum(top - (x * x).sum(1), 0))
-        none = np.zeros(len(q))
-        # Pivots of a block: far from those before, so that they see the candidates from all sides.
-        chosen, nearest = [0], _distances(x, lift, x[:1], lift[:1])[:, 0]
-        while len(chosen) < min(pivots, len(x)):
-            chosen.append(int(nearest.argmax()))
-            nearest = np.minimum(nearest, _distances(x, lift, x[chosen[-1:]], lift[chosen[-1:]])[:, 0])
-        to_pivot = _distances(x, lift, x[chosen], lift[chosen])
-        q_to_pivot = _distances(q, none, x[chosen], lift[chosen])
-        scale = np.sqrt(top) + 1
+        to_pivot = _distances(x[pivots], lift[pivots], x, lift)  # by pivot, then candidate
+        q_to_pivot = _distances(q, np.zeros(len(q)), x[pivots], lift[pivots])
+        slack = SLACK * (np.sqrt(top) + np.sqrt((q * q).sum(1).max()) + 1)
+        near = np.argsort(q_to_pivot.argmin(1), kind="stable")
         out = []
-        for r in range(len(q)):
-            bound = np.abs(to_pivot - q_to_pivot[r]).max(axis=1)
-            by_bound = np.argsort(bound, kind="stable")
-            by_bound = by_bound[ids[by_bound] != q_ids[r]]
-            length = float(q[r] @ q[r]) + top  # squared distance = length - 2 * product
-            best = np.empty(0, np.int64)
-            scores = np.empty(0, np.int64)
-            for a in range(0, len(by_bound), STEP):
-                part = by_bound[a:a + STEP]
-                if len(best) >= k:
-                    worst = np.sqrt(max(length - 2 * float(scores.min()), 0))
-                    if bound[part[0]] > worst + SLACK * scale:
-                        break
-                if wide:
-                    found = np.array([sum(int(u) * int(v) for u, v in zip(qi[r], xi[c])) for c in part], dtype=object)
-                else:
-                    found = (x[part] @ q[r]).astype(np.int64)
-                best, scores = np.concatenate([best, part]), np.concatenate([scores, found])
-                keep = np.lexsort((ids[best], -scores))[:k]
-                best, scores = best[keep], scores[keep]
-            out.append((np.full(len(best), q_ids[r]), ids[best], scores))
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*out)], schema=schema)
+        for a in range(0, len(q), GROUP):
+            out += one_group(near[a:a + GROUP], qi, xi, q, x, exact, top, q_ids, ids, to_pivot, q_to_pivot, slack)
+        return out
+
+    def one_group(group, qi, xi, q, x, exact, top, q_ids, ids, to_pivot, q_to_pivot, slack):
+        bound = np.zeros((len(group), len(x)), np.float32)
+        for p, distance in enumerate(to_pivot.astype(np.float32)):
+            np.maximum(bound, np.abs(distance - q_to_pivot[group, p, None].astype(np.float32)), out=bound)
+        least = bound.min(0)
+        order = np.argsort(least, kind="stable")
+        length = (q[group] * q[group]).sum(1) + top  # squared distance = length - 2 * product
+        best = [np.empty(0, np.int64)] * len(group)
+        scores = [np.empty(0, np.int64)] * len(group)
+        worst = np.full(len(group), -np.inf)  # the k-th best product, once there are k
+        for start in range(0, len(order), STEP):
+            part = order[start:start + STEP]
+            reach = np.sqrt(np.maximum(length - 2 * worst, 0)) + slack
+            if (least[part[0]] > reach).all():
+                break
+            if exact:
+                found = q[group] @ x[part].T
+            else:
+                found = np.array([[sum(int(u) * int(v) for u, v in zip(qi[g], xi[c])) for c in part] for g in group], dtype=object)
+            for r, g in enumerate(group):
+                hit = np.flatnonzero((bound[r, part] <= reach[r]) & (found[r] >= worst[r]) & (ids[part] != q_ids[g]))
+                if not len(hit):
+                    continue
+                rows = np.concatenate([best[r], part[hit]])
+                value = np.concatenate([scores[r], found[r][hit].astype(np.int64)])
+                keep = np.lexsort((ids[rows], -value))[:k]
+                best[r], scores[r] = rows[keep], value[keep]
+                if len(keep) == k:
+                    worst[r] = value[keep[-1]]
+        return [(np.full(len(b), q_ids[g]), ids[b], s) for g, b, s in zip(group, best, scores)]
 
     return search
 
@@ -125,10 +143,10 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_
     length = F.aggregate("v", F.lit(0.0), lambda s, c: s + c.cast("double") * c.cast("double"))
     tops = whole.groupBy(F.size("v").alias("dim")).agg(F.max(length).alias("top"))
     queries = _blocks(whole.where(is_query).dropDuplicates(["id"]), QUERY_BLOCK, "q")
-    candidates = _blocks(whole, BLOCK, "c")
+    candidates = _blocks(whole, BLOCK, "c", pivots)
     pairs = (queries.select("dim", F.col("ids").alias("q_ids"), F.col("data").alias("q_data")).join(tops, "dim")
-             .join(candidates.select("dim", "ids", "data"), "dim").select("dim", "top", "q_ids", "q_data", "ids", "data"))
-    found = pairs.repartition(_spread(whole)).mapInArrow(_best(k, pivots), "query_id bigint, vec_id bigint, score bigint")
+             .join(candidates.select("dim", "ids", "data", "pivots"), "dim").select("dim", "top", "q_ids", "q_data", "ids", "data", "pivots"))
+    found = pairs.repartition(_spread(whole)).mapInArrow(_best(k), "query_id bigint, vec_id bigint, score bigint")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
