@@ -9,6 +9,7 @@ import datetime as dt
 import math
 import os
 import sys
+import tempfile
 import time
 from collections import Counter
 
@@ -24,7 +25,7 @@ def session(cpus: int = 8):
 
     spark = build_session("wakeline-tests", f"local[{cpus}]", **{
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
-        "spark.driver.memory": "8g"})
+        "spark.driver.memory": "8g", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="wakeline-tests-")})
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

@@ -54,14 +54,17 @@ def normalize_unknown(value: Column | str) -> Column:
     return let(present(value), lambda text: F.when(~F.upper(text).isin(*P.UNKNOWN_WORDS), text))
 
 
-NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+# Decimal text whose value cannot overflow, and decimal text of any size.
+NUMBER = r"^\s*[+-]?(\d{1,200}\.?\d*|\.\d+)([eE][+-]?\d{1,2})?\s*$"
+LONG_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def parse_float(value: Column | str) -> Column:
     """Finite double or NULL. Text is checked before the cast: a failing cast costs an exception per row."""
     text = col(value).cast("string")
-    number = F.when(text.rlike(NUMBER), text).try_cast("double")
-    return F.when(F.abs(number) < float("inf"), number)
+    long = F.when(text.rlike(LONG_NUMBER), text).try_cast("double")
+    return F.coalesce(F.when(text.rlike(NUMBER), text).try_cast("double"),
+                      let(long, lambda n: F.when(F.abs(n) < float("inf"), n)))
 
 
 def is_nonempty(value: Column | str) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wakeline.functions.records import record_score
@@ -33,13 +33,12 @@ def newest_nonempty(df: DataFrame, key: str, fields: Sequence[str], order: Seque
 def latest_two(df: DataFrame, key: str, at: str, seq: str) -> DataFrame:
     """Latest two distinct times per vessel. Same-time rows: higher score, then first seen.
 
-    Same-time copies are reduced with a grouped maximum, then the group limit keeps two per key
-    before the shuffle.
+    The group limit drops rows older than a task's two latest times before the shuffle, so only the
+    newest rows of a key move; the choice among same-time rows uses the same partitioning.
     """
-    scored = df.withColumn("_score", record_score(df.columns))
-    best = F.max_by(F.struct(*df.columns, "_score"), F.struct(F.col("_score"), -F.col(seq))).alias("_r")
-    single = scored.groupBy(key, at).agg(best).select("_r.*")
-    return top_k(single, [key], [F.col(at).desc()], 2, rank="rank")
+    recent = df.withColumn("rank", F.dense_rank().over(Window.partitionBy(key).orderBy(F.col(at).desc()))).where("rank <= 2")
+    scored = recent.withColumn("_score", record_score(df.columns))
+    return top_k(scored, [key, at], [F.col("_score").desc(), F.col(seq)]).drop("_score")
 
 
 def duplicate_counters(df: DataFrame, key: str, at: str, lat: str, lon: str) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the jobs are written for. A cluster may override any of them.
@@ -34,7 +32,7 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one only on local masters."""
+    """The cluster's shared checkpoint folder; unset, on local masters only, one beside the warehouse."""
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current:
@@ -43,7 +41,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not configured:
         if not context.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-        configured = tempfile.mkdtemp(prefix="wakeline-checkpoint-")
+        configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_wakeline"
     context.setCheckpointDir(configured)
     return configured
 
