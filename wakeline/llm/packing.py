@@ -10,10 +10,10 @@ norm of the room left after it.
 from __future__ import annotations
 
 import math
+import os
 import zlib
 from dataclasses import dataclass
 from functools import lru_cache
-from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +23,9 @@ from pyspark.sql import functions as F
 from wakeline.llm.common import Memo, by_chunks, settle
 from wakeline.session import cut_lineage
 
+#: How the vocabulary writes a space.
+SPACE = "\u0120"
+
 #: Pieces of one group, about.
 GROUP_PIECES = 20_000
 
@@ -39,6 +42,7 @@ class Capacity:
 @lru_cache(maxsize=2)
 def _tokenizer(path: str):
     """encode(text) -> ids as little-endian unsigned 32-bit integers, chunks remembered."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
@@ -49,25 +53,27 @@ def _tokenizer(path: str):
     def encode(text: str) -> bytes:
         return np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    memo = Memo(lambda rest: encode(" " + rest), 1 << 18)
+    memo = Memo(lambda rest: encode(" " + rest), 1 << 19)
 
     marks = {mark: encode(mark) for mark in ".,;:!?"}
 
+    opens = np.zeros(max(tokenizer.get_vocab().values()) + 1, bool)  # tokens that begin with a space
+    for token, i in tokenizer.get_vocab().items():
+        opens[i] = token[0] == SPACE
+
     def learn(chunks: list[str]) -> None:
-        """Encodes chunks together; a token belongs to the chunk in which its characters start.
+        """Encodes chunks together. Each begins with a space and has none inside, so it begins with the next token that does.
 
         A mark after letters is a match of its own, so such a chunk is that of the letters and the mark.
         """
-        if not chunks:
-            return
         marked = [c for c in chunks if c[-1] in marks and c[:-1].isalpha()]
-        new = memo.absent([c[:-1] for c in marked] + list(set(chunks).difference(marked)))
-        found = tokenizer.encode(" " + " ".join(new), add_special_tokens=False)
-        ids = np.array(found.ids, dtype="<u4").tobytes()
-        edges = np.cumsum([0, *[len(c) + 1 for c in new]])
-        at = (4 * np.searchsorted(np.fromiter(map(itemgetter(0), found.offsets), np.int64), edges)).tolist()
-        for c, a, b in zip(new, at, at[1:]):
-            memo.put(c, ids[a:b])
+        new = memo.absent([c[:-1] for c in marked] + [c for c in set(chunks).difference(marked) if " " not in c])
+        if new:
+            found = np.array(tokenizer.encode_batch_fast([" " + " ".join(new)], add_special_tokens=False)[0].ids, dtype="<u4")
+            at = [*(4 * np.flatnonzero(opens[found])).tolist(), 4 * len(found)]
+            ids = found.tobytes()
+            for c, a, b in zip(new, at, at[1:]):
+                memo.put(c, ids[a:b] if len(at) == len(new) + 1 else encode(" " + c))
         for c in marked:
             memo.put(c, memo[c[:-1]] + marks[c[-1]])
 
