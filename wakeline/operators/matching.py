@@ -22,6 +22,13 @@ def normalised_ids(kind: str) -> Column:
     return norm_text(kind) if kind == "callsign" else norm_digits(kind)
 
 
+def spread_nulls(key: Column, df: DataFrame, spread: int = 4096) -> Column:
+    """The key, or for NULL a text that matches nothing and differs between rows, so that rows without a key
+    do not meet in one partition of a left join."""
+    plain = [F.col(c) for c, kind in df.dtypes if not kind.startswith(("map", "array", "struct"))]
+    return F.coalesce(key, F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*plain), F.lit(spread)).cast("string")))
+
+
 # --- watchlist -----------------------------------------------------------------------
 
 def watch_index(watch: DataFrame, kind: str, line: str = "line_no") -> DataFrame:
@@ -34,7 +41,7 @@ def watch_index(watch: DataFrame, kind: str, line: str = "line_no") -> DataFrame
 def match_watchlist(contacts: DataFrame, watch: DataFrame, line: str = "line_no", kinds=ID_KINDS,
                     prefix: str = "watch_") -> DataFrame:
     """Adds ``matched_on`` and the prefixed watchlist columns. Names are never matched."""
-    out = contacts.select("*", *[normalised_ids(k).alias(f"_{k}_key") for k in kinds])
+    out = contacts.select("*", *[spread_nulls(normalised_ids(k), contacts).alias(f"_{k}_key") for k in kinds])
     for kind in kinds:
         index = watch_index(watch, kind, line).withColumnRenamed("_id", f"_{kind}_id")
         out = out.join(index, F.col(f"_{kind}_key") == F.col(f"_{kind}_id"), "left")
@@ -50,7 +57,7 @@ def watch_match_basis(records: DataFrame, watch: DataFrame, line: str = "line_no
     sizes = {"imo": 7, "mmsi": 9}
     for kind, size in sizes.items():
         index = watch_index(watch, kind, line).where(F.length("_id") == size).withColumnRenamed("_id", f"_{kind}_id")
-        out = out.withColumn(f"_{kind}_key", normalised_ids(kind)).join(
+        out = out.withColumn(f"_{kind}_key", spread_nulls(normalised_ids(kind), records)).join(
             index, F.col(f"_{kind}_key") == F.col(f"_{kind}_id"), "left")
     out = (out.withColumn("_w", F.coalesce("_imo_row", "_mmsi_row"))
            .withColumn("watchlist_match", F.col("_w").isNotNull())
@@ -173,11 +180,12 @@ def resolve_flag(contacts: DataFrame, flags: DataFrame) -> DataFrame:
     raw = present("flag")
     digits = norm_digits("mmsi")
     out = (contacts.withColumns({
-        "_raw": raw, "_fk": norm_key("flag"), "_fi": norm_text("flag"),
+        "_raw": raw, "_fk": spread_nulls(norm_key("flag"), contacts), "_fi": spread_nulls(norm_text("flag"), contacts),
         "_mid": F.when(raw.isNull() & (F.length(digits) >= 3), F.left(digits, F.lit(3)))})
+           .withColumn("_midk", spread_nulls(F.col("_mid"), contacts))
            .join(by_name, F.col("_fk") == F.col("name_key"), "left")
            .join(by_iso, F.col("_fi") == F.col("iso_key"), "left")
-           .join(by_mid, F.col("_mid") == F.col("mid"), "left"))
+           .join(by_mid, F.col("_midk") == F.col("mid"), "left"))
     detected = (F.when(F.col("_raw").isNotNull(), F.coalesce("_by_name", "_by_iso", "_raw")).otherwise(F.col("_by_mid")))
     source = (F.when(F.col("_by_name").isNotNull(), "explicit_flag").when(F.col("_by_iso").isNotNull(), "explicit_iso")
               .when(F.col("_raw").isNotNull(), "explicit_flag")
@@ -207,7 +215,8 @@ def assess_flag(contacts: DataFrame, flags: DataFrame) -> DataFrame:
     by_name = table.where("name_key IS NOT NULL").groupBy("name_key").agg(F.max_by(risk, "line_no").alias("_rn"))
     by_iso = table.where("iso_key IS NOT NULL").groupBy("iso_key").agg(F.max_by(risk, "line_no").alias("_ri"))
     resolved = resolve_flag(contacts, flags)
-    out = (resolved.withColumns({"_k": norm_key("flag_detected"), "_i": norm_text("flag_detected")})
+    out = (resolved.withColumns({"_k": spread_nulls(norm_key("flag_detected"), contacts),
+                                 "_i": spread_nulls(norm_text("flag_detected"), contacts)})
            .join(by_name, F.col("_k") == F.col("name_key"), "left")
            .join(by_iso, F.col("_i") == F.col("iso_key"), "left")
            .select(*resolved.columns, F.coalesce("_rn", "_ri").alias("_r")))
@@ -343,9 +352,12 @@ def enrich(rows: DataFrame, index: DataFrame, flags=ENRICH_FLAGS) -> DataFrame:
 # --- keep filter ---------------------------------------------------------------------
 
 def keep_flags(contacts: DataFrame, watch: DataFrame, terms: DataFrame, risk_mids: DataFrame) -> DataFrame:
-    """Boolean keep reasons per contact; ``keep`` is their OR."""
-    out = contacts.withColumns({"_risk": F.left(norm_digits("mmsi"), F.lit(3)),
-                                **{f"_k_{k}": normalised_ids(k) for k in ID_KINDS}})
+    """Boolean keep reasons per contact; ``keep`` is their OR.
+
+    The route flags (``recent_unconfirmed``, ``recent_confirmed``) count where the contacts carry them.
+    """
+    out = contacts.withColumns({"_risk": spread_nulls(F.left(norm_digits("mmsi"), F.lit(3)), contacts),
+                                **{f"_k_{k}": spread_nulls(normalised_ids(k), contacts) for k in ID_KINDS}})
     for kind in ID_KINDS:
         ids = watch.select(normalised_ids(kind).alias(f"_w_{kind}")).where(f"_w_{kind} IS NOT NULL").distinct()
         out = out.join(ids, F.col(f"_k_{kind}") == F.col(f"_w_{kind}"), "left")
@@ -359,6 +371,8 @@ def keep_flags(contacts: DataFrame, watch: DataFrame, terms: DataFrame, risk_mid
         "risk_mid": F.col("_rm").isNotNull(),
         "port_hit": F.col("_dest") | F.col("_port"),
         "tanker_zone": F.size(zones) > 0,
+        "recent_port_call": F.coalesce(*[F.when(F.col(c), True) for c in ("recent_unconfirmed", "recent_confirmed") if c in contacts.columns],
+                                       F.lit(False)),
     }
     out = out.select(*contacts.columns, *[cond.alias(name) for name, cond in reasons.items()])
     return out.withColumn("keep", F.expr(" OR ".join(reasons)))

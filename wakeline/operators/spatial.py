@@ -130,20 +130,34 @@ def feature_distance(points: DataFrame, segs: DataFrame, point_cols, feature: st
     return points.join(s, feature).groupBy(*point_cols, feature).agg(F.min(distance).alias("distance_nm"))
 
 
+#: Degrees of the grid on which points meet polygon boxes.
+BOX_CELL = 0.5
+
+
 def inside_polygon(points: DataFrame, rings: DataFrame, point_cols, band: float, feature: str = "feature_id"
                    ) -> DataFrame:
     """(point, feature) for points inside a polygon, holes excluded: even-odd crossing count.
 
-    Points and ring edges meet on the latitude band (width ``band`` degrees) they share; each
-    crossing is a joined row and the parity is a partial aggregate.
+    A point first meets the polygons whose box it lies in, on a grid over the boxes; then it meets that
+    polygon's edges on the latitude band (width ``band`` degrees) they share. So polygons far apart in
+    one band never meet each other's points. The parity is a partial aggregate.
     """
     edges = rings.where("b_lon IS NOT NULL").withColumn("yb", F.explode(F.sequence(
         geo.cell(F.least("a_lat", "b_lat"), band), geo.cell(F.greatest("a_lat", "b_lat"), band))))
     e = edges.select(feature, "a_lon", "a_lat", "b_lon", "b_lat", "yb")
-    p = points.withColumn("yb", geo.cell(F.col("latitude"), band))
+    boxes = rings.where("b_lon IS NOT NULL").groupBy(feature).agg(
+        F.min(F.least("a_lon", "b_lon")).alias("_w"), F.max(F.greatest("a_lon", "b_lon")).alias("_e"),
+        F.min(F.least("a_lat", "b_lat")).alias("_s"), F.max(F.greatest("a_lat", "b_lat")).alias("_n"))
+    covered = (boxes.withColumn("_gx", F.explode(F.sequence(geo.cell(F.col("_w"), BOX_CELL), geo.cell(F.col("_e"), BOX_CELL))))
+               .withColumn("_gy", F.explode(F.sequence(geo.cell(F.col("_s"), BOX_CELL), geo.cell(F.col("_n"), BOX_CELL)))))
+    gridded = points.withColumns({"_gx": geo.cell(F.col("longitude"), BOX_CELL), "_gy": geo.cell(F.col("latitude"), BOX_CELL)})
+    near = (gridded.join(covered, ["_gx", "_gy"]).where(F.col("longitude").between(F.col("_w"), F.col("_e"))
+                                                        & F.col("latitude").between(F.col("_s"), F.col("_n")))
+            .drop("_gx", "_gy", "_w", "_e", "_s", "_n"))
+    p = near.withColumn("yb", geo.cell(F.col("latitude"), band))
     lat, lon = F.col("latitude"), F.col("longitude")
     straddles = (F.col("a_lat") > lat) != (F.col("b_lat") > lat)
     cross_lon = F.col("a_lon") + (lat - F.col("a_lat")) * (F.col("b_lon") - F.col("a_lon")) / (
         F.col("b_lat") - F.col("a_lat"))
-    hits = p.join(e, "yb").where(straddles).where(lon < cross_lon)
+    hits = p.join(e, [feature, "yb"]).where(straddles).where(lon < cross_lon)
     return hits.groupBy(*point_cols, feature).agg(F.count("*").alias("_n")).where("_n % 2 = 1").drop("_n")

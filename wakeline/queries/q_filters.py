@@ -61,12 +61,14 @@ SELECT event_id, mmsi LIKE '273%' AS russian_mmsi,
  substr(mmsi, 1, 3) IN ({S.quoted(P.MID_FLAGS)}) AS risk_mid,
  coalesce(d.matched, false) OR coalesce(p.matched, false) AS port_hit,
  {S.TANKER} AND EXISTS (SELECT 1 FROM (VALUES {S.ZONE_VALUES}) z(id, s, n, w, e) WHERE latitude BETWEEN s AND n AND longitude BETWEEN w AND e) AS tanker_zone
+, event_id % 31 = 0 AS recent_port_call
 FROM v_contacts LEFT JOIN d ON d.text = destination LEFT JOIN p ON p.text = last_port)
-SELECT *, russian_mmsi OR watchlisted OR risk_mid OR port_hit OR tanker_zone AS keep FROM k""")
+SELECT *, russian_mmsi OR watchlisted OR risk_mid OR port_hit OR tanker_zone OR recent_port_call AS keep FROM k""")
 def _(t):
     mids = fixed_table(t.spark, ("mid",), [(m,) for m in P.MID_FLAGS])
-    return matching.keep_flags(t.contacts, t.watchlist, matching.port_terms(t.ports), mids).select(
-        "event_id", "russian_mmsi", "watchlisted", "risk_mid", "port_hit", "tanker_zone", "keep")
+    flagged = t.contacts.withColumns({"recent_unconfirmed": F.col("event_id") % 62 == 0, "recent_confirmed": F.col("event_id") % 62 == 31})
+    return matching.keep_flags(flagged, t.watchlist, matching.port_terms(t.ports), mids).select(
+        "event_id", "russian_mmsi", "watchlisted", "risk_mid", "port_hit", "tanker_zone", "recent_port_call", "keep")
 
 
 @query("flt04_tanker", f"SELECT event_id, {S.TANKER} AS tanker FROM v_contacts")
