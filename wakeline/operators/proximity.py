@@ -46,6 +46,21 @@ def signals(low_speed: Column, dwell: Column, entries: Column, params: P.Proximi
         F.when(entries >= params.repeated_entries, "repeated_entries_into_close_band")))
 
 
+def context_signals(behaviour: Column, valid_ratio: Column, categories: Column | None = None) -> Column:
+    """The behaviour signals with the event kind before and what qualifies them after."""
+    known = F.lit(False) if categories is None else F.coalesce(
+        F.arrays_overlap(categories, F.array(*[F.lit(c) for c in P.TRACK_CONTEXT_CATEGORIES])), F.lit(False))
+    return F.concat(F.array(F.lit("critical_infrastructure_proximity")), behaviour, F.array_compact(F.array(
+        F.when(known, "voi_or_watchlist_context"), F.when(valid_ratio < 1.0, "timestamp_quality_limited"))))
+
+
+def with_context(summary: DataFrame, vessels: DataFrame, key: str) -> DataFrame:
+    """Adds ``context_signals`` from the vessels' categories (one row per key: key, categories)."""
+    known = vessels.select(F.col(key), F.col("categories").alias("_cats"))
+    return (summary.join(known, key, "left")
+            .withColumn("context_signals", context_signals(F.col("signals"), F.col("valid_ratio"), F.col("_cats"))).drop("_cats"))
+
+
 def event_level(min_distance: Column, n_signals: Column, params: P.ProximityParams) -> Column:
     strong = (min_distance <= params.immediate_nm) | ((min_distance <= params.close_nm) & (n_signals >= 2))
     return F.when(strong, "elevated").otherwise("review")

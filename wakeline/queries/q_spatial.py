@@ -169,9 +169,13 @@ def _(t):
 
 
 @query("agg16_proximity_summary", f"""
-WITH {dwell_sql(2880)} SELECT mmsi, feature_id, infrastructure_type, near_points, low_speed_points, entries, round(dwell, 4) AS dwell, round(dmin, 5) AS dmin, valid_points, n_signals FROM su""")
+WITH {dwell_sql(2880)} SELECT mmsi, feature_id, infrastructure_type, near_points, low_speed_points, entries, round(dwell, 4) AS dwell, round(dmin, 5) AS dmin, valid_points, n_signals,
+ 1 + n_signals + (CAST(mmsi AS BIGINT) % 2 = 0)::INT + (valid_points < near_points)::INT AS n_context FROM su""")
 def _(t):
-    return summary(t).select("mmsi", "feature_id", "infrastructure_type", "near_points", "low_speed_points", "entries",
+    listed = F.col("mmsi").cast("bigint") % 2 == 0
+    vessels = t.contacts.select("mmsi", F.when(listed, F.array(F.lit("watchlist"))).otherwise(F.array(F.lit("other"))).alias("categories")).distinct()
+    return px.with_context(summary(t), vessels, "mmsi").withColumn("n_context", F.size("context_signals")).select(
+        "n_context", "mmsi", "feature_id", "infrastructure_type", "near_points", "low_speed_points", "entries",
                              F.round("dwell_minutes", 4).alias("dwell"), F.round("minimum_distance_nm", 5).alias("dmin"),
                              F.col("valid_time_points").alias("valid_points"), F.size("signals").alias("n_signals"))
 

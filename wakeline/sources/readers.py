@@ -31,11 +31,14 @@ def string_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def read_header_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """Header CSV as text columns by name; a missing file is an empty table, a byte-order mark is dropped."""
+def read_header_csv(spark: SparkSession, path: str, columns: Sequence[str], line_breaks: bool = False) -> DataFrame:
+    """Header CSV as text columns by name; a missing file is an empty table, a byte-order mark is dropped.
+
+    Files are split between tasks unless ``line_breaks`` says that quoted fields may hold line breaks.
+    """
     if not _exists(spark, path):
         return spark.createDataFrame([], string_schema(columns))
-    raw = spark.read.csv(path, header=True, multiLine=True, escape='"', enforceSchema=False)
+    raw = spark.read.csv(path, header=True, multiLine=line_breaks, escape='"', enforceSchema=False)
     named = raw.select(*[F.col(f"`{c}`").alias(c.lstrip("﻿").strip()) for c in raw.columns])
     return named.select(*[F.col(c) if c in named.columns else F.lit(None).cast("string").alias(c) for c in columns])
 

@@ -11,13 +11,44 @@ from pyspark.sql import functions as F
 from wakeline import params as P
 from wakeline.operators.filters import retention_reject
 from wakeline.operators.history import compact
-from wakeline.operators.merge import newest_nonempty
+from wakeline.operators.merge import filled
 from wakeline.session import cut_lineage
 
 
-def latest_contacts(stream: DataFrame, key: str, fields: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Running last-non-empty merge per identity; use with update or complete output mode."""
-    return newest_nonempty(stream, key, fields, order)
+def latest_contacts_into(path: str, key: str, fields: Sequence[str], order: Sequence[str], at: str | None = None,
+                         as_of: Column | None = None, days: int = 120) -> Callable[[DataFrame, int], None]:
+    """Batch function that merges rows into a table of the last non-empty values per identity.
+
+    The table holds one row per key: each field with the position it came from. A batch is reduced
+    first, then merged with the version before it, and written as a version of its own, so a replayed
+    batch gives the same version. With ``at`` and ``as_of``, keys not seen for ``days`` leave the table,
+    so it is bounded by the vessels of that time.
+    """
+    def merge(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        here = F.struct(*order)
+        rows = batch.where(F.col(key).isNotNull()).select(
+            key, F.lit(1).cast("bigint").alias("merged_rows"), (F.col(at) if at else F.lit(None).cast("timestamp")).alias("last_at"),
+            *[c for f in fields for c in (F.col(f), F.when(filled(batch, f), here).alias("_at_" + f))])
+        old = _stored(spark, path)
+        if old is not None:
+            version = old.where(F.col("version") < number).agg(F.max("version")).first()[0]
+            if version is not None:
+                rows = old.where(F.col("version") == version).select(*rows.columns).unionByName(rows)
+        merged = rows.groupBy(key).agg(
+            F.sum("merged_rows").alias("merged_rows"), F.max("last_at").alias("last_at"),
+            *[c for f in fields for c in (F.max_by(f, "_at_" + f).alias(f), F.max("_at_" + f).alias("_at_" + f))])
+        if at and as_of is not None:
+            merged = merged.where(F.col("last_at") >= as_of - F.make_dt_interval(F.lit(days)))
+        merged.write.mode("overwrite").parquet(f"{path}/version={number}")
+
+    return merge
+
+
+def read_contacts(spark: SparkSession, path: str, key: str, fields: Sequence[str]) -> DataFrame:
+    """The newest version of the table."""
+    rows = spark.read.parquet(path)
+    return rows.join(rows.agg(F.max("version").alias("version")), "version").select(key, *fields, "merged_rows")
 
 
 def unique_events(stream: DataFrame, at: str, event_id: str = "event_id", delay: str = "10 days") -> DataFrame:
@@ -26,10 +57,9 @@ def unique_events(stream: DataFrame, at: str, event_id: str = "event_id", delay:
 
 
 def timely(stream: DataFrame, at: str, as_of: Column, policy: P.HistoryPolicy = P.HistoryPolicy()) -> DataFrame:
-    """Rows inside the retention window: late ones fall behind the watermark, future ones are filtered."""
-    kept = stream.where(F.col(at) <= as_of + F.make_dt_interval(F.lit(0), F.lit(policy.future_tolerance_hours)))
-    return kept.withWatermark(at, f"{policy.retention_days} days").where(
-        F.col(at) >= as_of - F.make_dt_interval(F.lit(policy.retention_days)))
+    """Rows inside the retention window; ``reject_counter`` counts the late, future and undated ones left out."""
+    reason = retention_reject(F.col(at), as_of, policy.retention_days, policy.future_tolerance_hours)
+    return stream.where(reason.isNull())
 
 
 def reject_counter(at: str, as_of: Column, path: str, policy: P.HistoryPolicy = P.HistoryPolicy()
