@@ -63,8 +63,7 @@ def parse_float(value: Column | str) -> Column:
     """Finite double or NULL. Text is checked before the cast: a failing cast costs an exception per row."""
     text = col(value).cast("string")
     long = F.when(text.rlike(LONG_NUMBER), text).try_cast("double")
-    return F.coalesce(F.when(text.rlike(NUMBER), text).try_cast("double"),
-                      let(long, lambda n: F.when(F.abs(n) < float("inf"), n)))
+    return F.coalesce(F.when(text.rlike(NUMBER), text).try_cast("double"), F.when(F.abs(long) < float("inf"), long))
 
 
 def is_nonempty(value: Column | str) -> Column:
