@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeline.llm import ngram_join, packing, pii, quality
-from wakeline.llm.common import settle, table
+from wakeline.llm.common import settle, split_by_ids, table
 from wakeline.llm.queries import QUALITY_CUT, held_out
-from wakeline.session import checkpoint_dir
+from wakeline.session import checkpoint_dir, cut_lineage
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +31,9 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Documents without an id, and those without words, are in no group and stay."""
     groups = ngram_join.ngram_join(docs, words=5, part=(4, 5))
     gone = groups.where("component_id < doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = cut_lineage(gone)
+    maybe, kept = split_by_ids(docs, "doc_id", gone)  # the text of most documents need not move
+    return kept.unionByName(maybe.join(gone, "doc_id", "left_anti").select(*docs.columns))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

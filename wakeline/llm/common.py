@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterable
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wakeline.session import checkpoint_dir
 
@@ -28,6 +29,23 @@ def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
+#: Numbers an id is hashed to for a first test; at most so many are broadcast, whatever the data.
+ID_BUCKETS = 1 << 20
+
+
+def split_by_ids(df: DataFrame, id_col: str, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows whose id may be in ``ids``, rows whose id is not), without a shuffle of ``df``.
+
+    The ids are hashed to ID_BUCKETS numbers and those in use are broadcast. A join on the id itself has to
+    follow for the first part; with many ids that part is nearly all of ``df``.
+    """
+    name = free_name(df, "id_bucket")
+    bucket = F.pmod(F.xxhash64(F.col(id_col), F.lit(17)), F.lit(ID_BUCKETS)).alias(name)
+    used = F.broadcast(ids.select(bucket).distinct())
+    marked = df.select("*", bucket)
+    return marked.join(used, name, "left_semi").drop(name), marked.join(used, name, "left_anti").drop(name)
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """A column name no column of ``df`` has (names are compared without case, as Spark does)."""
     taken = {c.lower() for c in df.columns}

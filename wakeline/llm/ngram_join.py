@@ -5,9 +5,9 @@ differ in at most H shingles, so of H+1 segments (one per shingle of difference,
 holds the same subset in both: its hash is a signature they share. A segment of level two also gives the
 hashes of its subset less one shingle (its one-deletion neighbourhood), so it bears one difference itself:
 it counts as two segments, and segments can be longer. Levels are allocated by band from the
-number of sets in it: rows written against chance meetings expected. Segments that say nothing (empty, or
-shared by very many sets) are passed over; as many spare segments as SPARE allows make up for them, and a
-set that has more such segments keeps them all. So no link is lost.
+number of sets in it: rows written against chance meetings expected. Segments that say nothing (poor: empty, or of one
+shingle on level two; hot: shared by very many sets) are passed over; spare segments make up for them, their
+number allocated by the same costs, and a set that has more such segments keeps them all. So no link is lost.
 
 Signatures only tell which sets may link: sets joined by shared signatures form clusters, and every two
 sets of a cluster are compared exactly, block against block, inside tasks that hold two bounded blocks.
@@ -25,15 +25,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wakeline.llm.common import settle
+from wakeline.llm.common import settle, split_by_ids
 from wakeline.llm.shingles import mix, shingles
 from wakeline.operators.graph import connected_components
 from wakeline.session import cut_lineage
 
 #: Sizes of one band: from a size to this many times it.
 BAND_RATIO = 1.25
-#: Share of extra segments, and how many at least.
-SPARE, SPARE_LEAST = 0.1, 2
+#: Extra levels for hot segments, as a share of those needed.
+HOT_SHARE = 0.05
+#: What a pair that meets by chance costs, in rows.
+PAIR_COST = 10.0
 #: A signature shared by more sets than this is passed over where spare segments allow it.
 HOT_SETS = 64
 #: A block: at most about so many sets and shingles.
@@ -44,13 +46,15 @@ TASK_MEMO = 1 << 20
 
 @dataclass(frozen=True)
 class Band:
-    """Sizes low..high; level two for the first ``deep`` of ``segments`` segments; ``spare`` levels more than needed."""
+    """Sizes low..high; level two for the first ``deep`` of ``segments`` segments; levels of poor and of hot segments
+    that a set may pass over, by which the levels exceed what is needed."""
 
     low: int
     high: int
     segments: int
     deep: int
-    spare: int
+    poor: int
+    hot: int
 
 
 def differences(a: int, b: int, part: tuple[int, int]) -> int:
@@ -59,7 +63,7 @@ def differences(a: int, b: int, part: tuple[int, int]) -> int:
     return (a + b) * (q - p) // (q + p)
 
 
-def bands(counts: dict[int, int], part: tuple[int, int], pair_cost: float = 1.0) -> list[Band]:
+def bands(counts: dict[int, int], part: tuple[int, int], pair_cost: float = PAIR_COST) -> list[Band]:
     """Bands up to the largest size in ``counts`` (size: number of sets), levels by least expected cost."""
     p, q = part
     out, low, most = [], 1, max(counts, default=0)
@@ -67,24 +71,31 @@ def bands(counts: dict[int, int], part: tuple[int, int], pair_cost: float = 1.0)
         high = max(low, int(low * max(BAND_RATIO, q / p)))
         need = differences(high, high * q // p, part) + 1
         sets = sum(n for size, n in counts.items() if low <= size <= high)
-        spare = 0 if need == 1 else SPARE_LEAST + int(SPARE * need)
+        hot = 0 if need == 1 else 1 + int(HOT_SHARE * need)
 
-        def cost(deep: int) -> float:
-            segments = need + spare - deep
+        def cost(poor: int, deep: int) -> float:
+            """Rows written, and pairs met by chance: in poor segments of sets that have more of them than they may pass over."""
+            segments = need + poor + hot - deep
             length = low / segments
-            chance = math.exp(-2 * length)
-            rows = segments + deep * length
-            return sets * rows + pair_cost * sets * sets / 2 * chance * (segments + 2 * deep * length)
-
-        deep = min(range((need + spare) // 2 + 1), key=cost) if sets and need > 1 else 0
-        out.append(Band(low, high, need + spare - deep, deep, spare))
+            empty = math.exp(-length)
+            expected = (segments - deep) * empty + 2 * deep * empty * (1 + length)
+            over = max(0.0, 1 - sum(math.exp(-expected + j * math.log(expected) - math.lgamma(j + 1)) for j in range(poor + 1)))
+            meet = over * over * empty * empty * (segments + 2 * deep * length)
+            return sets * (segments + deep * length) + pair_cost * sets * sets / 2 * meet
+
+        poor, deep = 0, 0
+        if need > 1:
+            choices = [(f, d) for f in sorted({int(need * x) + y for x in (0, 0.05, 0.1, 0.15, 0.2, 0.3, 0.5) for y in (1, 3)})
+                       for d in sorted({(need + f + hot) * x // 16 for x in range(9)})]
+            poor, deep = min(choices, key=lambda c: cost(*c)) if sets else choices[0]
+        out.append(Band(low, high, need + poor + hot - deep, deep, poor, hot))
         low = high + 1
     return out
 
 
 def _levels(band: Band, need: int) -> int:
-    """How many segments, taken in order, have levels that add up to ``need`` and the spare."""
-    want = need + band.spare
+    """How many segments, taken in order, have levels that add up to ``need`` and what may be passed over."""
+    want = need + band.poor + band.hot
     return min(band.segments, (want + 1) // 2 if want <= 2 * band.deep else want - band.deep)
 
 
@@ -122,7 +133,7 @@ def signatures(items: np.ndarray, plan: list[Band], part: tuple[int, int]) -> tu
         deep = ids < band.deep
         weight = 1 + deep
         poor = (lengths == 0) | (deep & (lengths == 1))
-        keep_all = int(weight[poor].sum()) > band.spare // 2  # the other half is for hot ones
+        keep_all = int(weight[poor].sum()) > band.poor
         mask = np.ones(used, bool) if keep_all else lengths > 0
         place = (2 * ids + (k != own)) * 2 + deep
         out.append(mix(full + salt, 0xF011)[mask])
@@ -199,7 +210,7 @@ def _candidate_edges(rows: DataFrame, spare: DataFrame) -> DataFrame:
     # Levels of the segments passed over, for each set and scheme, against the levels to spare.
     passed = (met.where("hot").select("key", "below", "place").distinct()
               .groupBy("key", "below").agg(F.sum(1 + F.col("place").bitwiseAND(1)).alias("levels")))
-    short = passed.join(spare, ["key", "below"]).where("levels > spare - floor(spare / 2)").select("key", "below").withColumn("short", F.lit(True))
+    short = passed.join(spare, ["key", "below"]).where("levels > spare").select("key", "below").withColumn("short", F.lit(True))
     kept = met.join(short, ["key", "below"], "left").where("NOT hot OR short").select("sig", "key")
     return (kept.select("key", F.min("key").over(by_sig).alias("u")).where("u <> key")
             .select("u", F.col("key").alias("v")).distinct())
@@ -252,7 +263,7 @@ def _verify(words: int, part: tuple[int, int]):
 
 
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3,
-               part: tuple[int, int] = (9, 10), pair_cost: float = 1.0) -> DataFrame:
+               part: tuple[int, int] = (9, 10), pair_cost: float = PAIR_COST) -> DataFrame:
     """One row for each row of ``docs``: id, n_shingles, component_id, n_links, sorted by nothing.
 
     Two documents link when the Jaccard similarity of their sets of ``words``-word shingles is at least
@@ -280,11 +291,11 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows = _signature_rows(texts, "text", words, plan, part)
-    # Levels to spare by set and scheme; the bands are a short list, so this is one expression.
+    # Levels of hot segments to spare by set and scheme; the bands are a short list, so this is one expression.
     place_of = F.lit(0)
     for k, band in enumerate(plan):
         place_of = F.when(F.col("n") >= band.low, F.lit(k)).otherwise(place_of)
-    spares = F.array(*[F.lit(b.spare) for b in plan]) if plan else F.array(F.lit(0))
+    spares = F.array(*[F.lit(b.hot) for b in plan]) if plan else F.array(F.lit(0))
     spare = (classes.withColumn("band", place_of)
              .select(F.col("key_a").alias("key"), F.posexplode(F.array(
                  spares[F.col("band")], spares[F.greatest(F.col("band") - 1, F.lit(0))])).alias("below", "spare")).distinct())
@@ -295,11 +306,12 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     members = classes.join(clusters.select(F.col("node").alias("key_a"), F.col("component").alias("cluster")), "key_a")
     weights = members.groupBy("cluster").agg(F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_SETS)).alias("blocks"))
     # Each block meets every block of its cluster once: low and high name the two.
-    dealt = (members.join(weights, "cluster").withColumn("block", F.pmod(F.xxhash64("rep", F.lit(7)), F.col("blocks")))
+    dealt = cut_lineage(members.join(weights, "cluster").withColumn("block", F.pmod(F.xxhash64("rep", F.lit(7)), F.col("blocks")))
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
              .select("cluster", F.col("rep").alias("id"), "copies", "block", F.least("block", "other").alias("low"),
                      F.greatest("block", "other").alias("high")))
-    found = cut_lineage(dealt.join(texts, "id").groupBy("cluster", "low", "high").applyInArrow(
+    near, _ = split_by_ids(texts, "id", dealt)
+    found = cut_lineage(dealt.join(near, "id").groupBy("cluster", "low", "high").applyInArrow(
         _verify(words, part), "id bigint, linked bigint, via array<bigint>"))
     links = found.select(F.col("id").alias("u"), F.explode("via").alias("v"))
     joined = connected_components(links.select(F.col("u").alias("node")).unionByName(links.select(F.col("v").alias("node"))).distinct(), links)
