@@ -56,50 +56,60 @@ def free_name(df: DataFrame, wanted: str) -> str:
 
 class Memo(dict):
     """``memo[key]`` computes a missing value once. Holds at most ``most`` keys: when half are new, those that were
-    not asked for since the last time go, so memory is bounded and common keys stay."""
+    not asked for since the last time go, so memory is bounded and common keys stay.
 
-    def __init__(self, compute: Callable, most: int = 1 << 17):
+    ``many`` computes the values of a list of keys at once.
+    """
+
+    def __init__(self, compute: Callable, most: int = 1 << 17, many: Callable[[list], Iterable] | None = None):
         super().__init__()
         self.compute, self.half, self.older = compute, most // 2, {}
+        self.many = many or (lambda keys: map(compute, keys))
 
     def __missing__(self, key):
         value = self.older.get(key)
         if value is None:
             value = self.compute(key)
-        self.put(key, value)
+        self.take({key: value})
         return value
 
-    def put(self, key, value) -> None:
+    def take(self, found: dict) -> None:
         if len(self) >= self.half:
             self.older = dict(self)
             self.clear()
-        self[key] = value
+        self.update(found)
 
-    def absent(self, keys: Iterable) -> list:
-        """Those of the keys that are not held."""
-        return [k for k in set(keys) if k not in self and k not in self.older]
+    def fetch(self, keys: set) -> dict:
+        """Values of keys that are not held."""
+        older = self.older
+        found = {k: older[k] for k in keys if k in older}
+        new = list(keys.difference(found))
+        if new:
+            found.update(zip(new, self.many(new)))
+        self.take(found)
+        return found
 
 
 #: Chunks longer than this are encoded without being remembered.
 MEMO_CHARS = 64
 
-#: A space before a character other than white space.
-_CUT = re.compile(r" (?=\S)")
+#: A space before a character other than white space; a space before white space or the end.
+_CUT, _GLUE = re.compile(r" (?=\S)"), re.compile(r" (?:\s|$)")
 
 
-def by_chunks(text: str, memo: Memo, encode: Callable[[str], bytes], learn: Callable[[list[str]], None] | None = None) -> bytes:
+def by_chunks(text: str, memo: Memo, encode: Callable[[str], bytes]) -> bytes:
     """``encode(text)`` put together from chunks, those up to MEMO_CHARS remembered in ``memo`` (which adds the space).
 
     The text is cut before every space that is followed by a character other than white space. No match of
-    the byte-level pattern reaches across such a place, so the chunks can be encoded on their own, or
-    (``learn``) all chunks not yet in ``memo`` at once.
+    the byte-level pattern reaches across such a place, so the chunks can be encoded on their own.
     """
-    first, *rest = _CUT.split(text)
+    first, *rest = _CUT.split(text) if _GLUE.search(text) else text.split(" ")
     parts = list(map(memo.get, rest))
     if None in parts:
-        if learn:
-            learn(memo.absent([c for c, part in zip(rest, parts) if part is None and len(c) <= MEMO_CHARS]))
-        parts = [part if part is not None else memo[c] if len(c) <= MEMO_CHARS else encode(" " + c) for c, part in zip(rest, parts)]
+        at = [i for i, part in enumerate(parts) if part is None]
+        found = memo.fetch({rest[i] for i in at if len(rest[i]) <= MEMO_CHARS})
+        for i in at:
+            parts[i] = found[rest[i]] if len(rest[i]) <= MEMO_CHARS else encode(" " + rest[i])
     return encode(first) + b"".join(parts)
 
 

@@ -53,31 +53,30 @@ def _tokenizer(path: str):
     def encode(text: str) -> bytes:
         return np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    memo = Memo(lambda rest: encode(" " + rest), 1 << 19)
-
     marks = {mark: encode(mark) for mark in ".,;:!?"}
-
     opens = np.zeros(max(tokenizer.get_vocab().values()) + 1, bool)  # tokens that begin with a space
     for token, i in tokenizer.get_vocab().items():
         opens[i] = token[0] == SPACE
 
-    def learn(chunks: list[str]) -> None:
-        """Encodes chunks together. Each begins with a space and has none inside, so it begins with the next token that does.
-
-        A mark after letters is a match of its own, so such a chunk is that of the letters and the mark.
-        """
-        marked = [c for c in chunks if c[-1] in marks and c[:-1].isalpha()]
-        new = memo.absent([c[:-1] for c in marked] + [c for c in set(chunks).difference(marked) if " " not in c])
-        if new:
-            found = np.array(tokenizer.encode_batch_fast([" " + " ".join(new)], add_special_tokens=False)[0].ids, dtype="<u4")
-            at = [*(4 * np.flatnonzero(opens[found])).tolist(), 4 * len(found)]
-            ids = found.tobytes()
-            for c, a, b in zip(new, at, at[1:]):
-                memo.put(c, ids[a:b] if len(at) == len(new) + 1 else encode(" " + c))
-        for c in marked:
-            memo.put(c, memo[c[:-1]] + marks[c[-1]])
-
-    return lambda text: by_chunks(text, memo, encode, learn)
+    def together(chunks: list[str]) -> dict[str, bytes]:
+        """Chunks without a space inside, encoded in one text: each begins with the next token that opens with a space."""
+        found = np.array(tokenizer.encode_batch_fast([" " + " ".join(chunks)], add_special_tokens=False)[0].ids, dtype="<u4")
+        at = [*(4 * np.flatnonzero(opens[found])).tolist(), 4 * len(found)]
+        if len(at) != len(chunks) + 1:
+            return {c: encode(" " + c) for c in chunks}
+        ids = found.tobytes()
+        return dict(zip(chunks, [ids[a:b] for a, b in zip(at, at[1:])]))
+
+    def many(chunks: list[str]) -> list[bytes]:
+        """A mark after letters is a match of its own, so such a chunk is that of the letters and the mark."""
+        bases = [c[:-1] if c[-1] in marks and c[:-1].isalpha() else c for c in chunks]
+        known = {b: memo.get(b) or memo.older.get(b) for b in set(bases)}
+        known.update(together([b for b, ids in known.items() if ids is None and " " not in b] or ["a"]))
+        known.update((b, encode(" " + b)) for b, ids in known.items() if ids is None)
+        return [known[b] if b is c else known[b] + marks[c[-1]] for b, c in zip(bases, chunks)]
+
+    memo = Memo(lambda rest: encode(" " + rest), 1 << 19, many)
+    return lambda text: by_chunks(text, memo, encode)
 
 
 def token_pieces(docs: DataFrame, path: str, last_id: int, tokens: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
