@@ -48,6 +48,15 @@ def _(t):
     return radar.match_states(t.detections, pairs(t), enough).select("detection_id", "match_state", "alternatives", "selected_mmsi")
 
 
+@query("cls07_no_coverage", f"""
+WITH {STATES} SELECT detection_id, CASE match_state WHEN 'UNMATCHED_IN_AVAILABLE_AIS' THEN 'NO_AIS_COVERAGE' WHEN 'MATCHED' THEN 'POSSIBLE_MATCH' ELSE match_state END AS match_state, alternatives FROM st""")
+def _(t):
+    # Nothing was heard around the scene, so the coverage summary itself says that it does not suffice.
+    silence = t.contacts.where("observed_at < TIMESTAMP '2000-01-01'")
+    enough = radar.coverage_summary(silence, F.lit("2024-01-15").cast("timestamp"), 144, "observed_at", P.MatchParams())
+    return radar.match_states(t.detections, pairs(t), enough.select("sufficient")).select("detection_id", "match_state", "alternatives")
+
+
 @query("agg13_match_state_counts", f"""
 WITH {STATES} SELECT label, count(match_state) AS n FROM (SELECT unnest([{S.quoted(P.MATCH_STATES)}]) AS label) LEFT JOIN st ON match_state = label GROUP BY 1""")
 def _(t):
