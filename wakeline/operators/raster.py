@@ -193,7 +193,8 @@ def band_statistics(pixels: DataFrame, band: str, probabilities=(0.5, 0.9, 0.95,
     basic = both.groupBy("scene_id", "scale").agg(
         F.count("*").alias("samples"), F.round(F.min("v"), 6).alias("min"), F.round(F.max("v"), 6).alias("max"),
         F.round(F.avg("v"), 6).alias("mean"), F.round(F.stddev_pop("v"), 6).alias("stddev"))
-    bucket = F.floor(F.col("v") * 4.0).cast("bigint")
+    # Steps of about 1.6 %, whatever the scale: linear values far below 1 spread like decibels do.
+    bucket = F.floor(F.asinh(F.col("v") * 1e6) * 64.0).cast("bigint")
     pct = exact_percentiles(both, ["scene_id", "scale"], "v", probabilities, bucket)
     wide = pct.groupBy("scene_id", "scale").agg(*[
         F.max(F.when(F.abs(F.col("p") - p) < 1e-9, F.col("value"))).alias(f"p{str(p * 100).rstrip('0').rstrip('.')}"
