@@ -9,8 +9,8 @@ number of sets in it: rows written against chance meetings expected. Segments th
 shingle on level two; hot: shared by very many sets) are passed over; spare segments make up for them, their
 number allocated by the same costs, and a set that has more such segments keeps them all. So no link is lost.
 
-Signatures only tell which sets may link: sets joined by shared signatures form clusters, and every two
-sets of a cluster are compared exactly, block against block, inside tasks that hold two bounded blocks.
+Signatures only tell which sets may link: sets that share as many as a link would leave form clusters, and
+every two sets of a cluster are compared exactly, block against block, inside tasks that hold two bounded blocks.
 Copies are one set from the start. Components come from star contraction.
 """
 
@@ -99,15 +99,16 @@ def _levels(band: Band, need: int) -> int:
     return min(band.segments, (want + 1) // 2 if want <= 2 * band.deep else want - band.deep)
 
 
-def signatures(items: np.ndarray, plan: list[Band], part: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
-    """(signatures, places) of a set in the scheme of its own band and, near the lower edge, in the one below.
+def signatures(items: np.ndarray, plan: list[Band], part: tuple[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(signatures, places, levels to share) of a set in the scheme of its own band and, near the lower edge, in the one below.
 
     place: 2 * segment + (1 if it is the band below), times 2, plus 1 for a segment of level two.
+    Levels to share: sets that link have so many in segments that agree and are not poor in this set.
     """
     p, q = part
     size = len(items)
     own = int(np.searchsorted([b.high for b in plan], size))
-    out, places = [], []
+    out, places, shares = [], [], []
     for k in (own, own - 1):
         if k < 0:
             continue
@@ -133,7 +134,8 @@ def signatures(items: np.ndarray, plan: list[Band], part: tuple[int, int]) -> tu
         deep = ids < band.deep
         weight = 1 + deep
         poor = (lengths == 0) | (deep & (lengths == 1))
-        keep_all = int(weight[poor].sum()) > band.poor
+        pooring = int(weight[poor].sum())
+        keep_all = pooring > band.poor
         mask = np.ones(used, bool) if keep_all else lengths > 0
         place = (2 * ids + (k != own)) * 2 + deep
         out.append(mix(full + salt, 0xF011)[mask])
@@ -145,9 +147,10 @@ def signatures(items: np.ndarray, plan: list[Band], part: tuple[int, int]) -> tu
             mask = np.ones(inside, bool) if keep_all else lengths[at] > 1
             out.append(less[mask])
             places.append(place[at][mask])
+        shares.append(np.full(sum(map(len, out)) - sum(map(len, shares)), band.poor + band.hot + 1 - pooring))
     if not out:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    return np.concatenate(out), np.concatenate(places)
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+    return np.concatenate(out), np.concatenate(places), np.concatenate(shares)
 
 
 def _keys(items: np.ndarray) -> tuple[int, int]:
@@ -171,12 +174,12 @@ def set_facts(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFr
 
 
 def _signature_rows(docs: DataFrame, text_col: str, words: int, plan: list[Band], part: tuple[int, int]) -> DataFrame:
-    """(sig, key, place) of every set; a task writes a set it has seen only once."""
+    """(sig, key, place, share) of every set; a task writes a set it has seen only once."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            sigs, keys, places = [], [], []
+            sigs, keys, places, shares = [], [], [], []
             for t in batch.column(0).to_pylist():
                 items = shingles(t, words)
                 if not len(items):
@@ -187,33 +190,48 @@ def _signature_rows(docs: DataFrame, text_col: str, words: int, plan: list[Band]
                 if len(seen) >= TASK_MEMO:
                     seen.clear()
                 seen.add(key)
-                sig, place = signatures(items, plan, part)
+                sig, place, share = signatures(items, plan, part)
                 sigs.append(sig.view(np.int64))
                 places.append(place.astype(np.int32))
+                shares.append(share.astype(np.int32))
                 keys.append(np.full(len(sig), key))
             if sigs:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(sigs)), pa.array(np.concatenate(keys)), pa.array(np.concatenate(places))],
-                    ["sig", "key", "place"])
+                    [pa.array(np.concatenate(c)) for c in (sigs, keys, places, shares)], ["sig", "key", "place", "share"])
 
-    return docs.select(text_col).mapInArrow(emit, "sig bigint, key bigint, place int")
+    return docs.select(text_col).mapInArrow(emit, "sig bigint, key bigint, place int, share int")
 
 
 def _candidate_edges(rows: DataFrame, spare: DataFrame) -> DataFrame:
-    """Edges (u, v) from the least set of each signature to its other sets, hot signatures only where needed."""
+    """Edges (u, v) between sets that may link.
+
+    Signatures of few sets give pairs, and a pair is kept if its shared levels are as many as a link would
+    have left after poor and hot segments. Hot signatures, of sets that cannot do without them, join their
+    sets to the least one.
+    """
     by_sig = Window.partitionBy("sig")
     met = cut_lineage(rows.select("*", F.min("key").over(by_sig).alias("least"), F.max("key").over(by_sig).alias("most"),
                                   F.count("*").over(by_sig).alias("rows"))
-                      .where("least < most").select("sig", "key", "place", (F.col("rows") > HOT_SETS).alias("hot")))
-    side = (F.col("place").bitwiseAND(2) / 2).cast("int")
-    met = met.withColumn("below", side)
-    # Levels of the segments passed over, for each set and scheme, against the levels to spare.
+                      .where("least < most").select("sig", "key", "place", "share", (F.col("rows") > HOT_SETS).alias("hot"),
+                                                    (F.col("place").bitwiseAND(2) / 2).cast("int").alias("below")))
+    # Levels of the hot segments of each set and scheme, against the levels to spare.
     passed = (met.where("hot").select("key", "below", "place").distinct()
               .groupBy("key", "below").agg(F.sum(1 + F.col("place").bitwiseAND(1)).alias("levels")))
-    short = passed.join(spare, ["key", "below"]).where("levels > spare").select("key", "below").withColumn("short", F.lit(True))
-    kept = met.join(short, ["key", "below"], "left").where("NOT hot OR short").select("sig", "key")
-    return (kept.select("key", F.min("key").over(by_sig).alias("u")).where("u <> key")
-            .select("u", F.col("key").alias("v")).distinct())
+    short = passed.join(spare, ["key", "below"]).where("levels > spare").select("key", "below")
+    kept = met.where("hot").join(short, ["key", "below"], "left_semi").select("sig", "key")
+    stars = kept.select(F.min("key").over(by_sig).alias("u"), F.col("key").alias("v")).where("u <> v")
+
+    few = met.where("NOT hot").select("sig", "key", "below", "share", (1 + F.col("place").bitwiseAND(1)).alias("level")).distinct()
+    one = few.select("sig", F.col("key").alias("u"), F.col("below").alias("u_below"), F.col("share").alias("u_share"), "level")
+    two = few.select("sig", F.col("key").alias("v"), F.col("below").alias("v_below"), F.col("share").alias("v_share"))
+    shared = (one.join(two, "sig").where("u < v AND u_below + v_below < 2").groupBy("u", "v", "u_below", "v_below")
+              .agg(F.sum("level").alias("levels"), F.max(F.greatest("u_share", "v_share")).alias("needed")))
+    for side in ("u", "v"):
+        hot = passed.select(F.col("key").alias(side), F.col("below").alias(side + "_below"), F.col("levels").alias(side + "_hot"))
+        shared = shared.join(hot, [side, side + "_below"], "left")
+    lost = F.least(F.coalesce("u_hot", F.lit(0)), F.coalesce("v_hot", F.lit(0)))
+    pairs = shared.where(F.col("levels") >= F.col("needed") - lost).select("u", "v")
+    return stars.unionByName(pairs).distinct()
 
 
 def _verify(words: int, part: tuple[int, int]):
