@@ -39,7 +39,7 @@ PAIR_COST = 10.0
 #: A signature shared by more sets than this is passed over where spare segments allow it.
 HOT_SETS = 64
 #: A block: at most about so many sets and shingles.
-BLOCK_SETS, BLOCK_SHINGLES = 4096, 2_000_000
+BLOCK_SETS, BLOCK_SHINGLES = 4096, 1_000_000
 #: Sets whose signatures a task remembers having written (copies in one task are written once).
 TASK_MEMO = 1 << 20
 

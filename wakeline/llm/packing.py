@@ -75,7 +75,7 @@ def _tokenizer(path: str):
         known.update((b, encode(" " + b)) for b, ids in known.items() if ids is None)
         return [known[b] if b is c else known[b] + marks[c[-1]] for b, c in zip(bases, chunks)]
 
-    memo = Memo(lambda rest: encode(" " + rest), 1 << 19, many)
+    memo = Memo(lambda rest: encode(" " + rest), 1 << 18, many)
     return lambda text: by_chunks(text, memo, encode)
 
 
