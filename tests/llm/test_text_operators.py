@@ -263,3 +263,30 @@ def test_simple_tree_matching():
     size, pairs = html_extract.match(a, b)
     assert size == 4 and ("/0:html/2:div/0:p", "/0:html/1:div/0:p") in pairs
     assert json.dumps(html_extract.match({}, b)) == "[0, []]"
+
+
+def content(source):
+    return [b["text"] for b in html_extract.parse(source)["blocks"]]
+
+
+def test_marked_words_are_votes():
+    body = "<p>" + "long story " * 40 + "</p>"
+    story = ("long story " * 40).strip()
+    for around in ('<body class="no-sidebar">{}', '<div class="content with-sidebar">{}</div>', '<div class="elementor-widget x">{}</div>',
+                   '<div id="page-header-fixed">{}</div>', '<div class="search-page"><div class="with-sidebar">{}</div></div>'):
+        for inner in (body, f"<article>{body}</article>", f"<article class='post widget'>{body}</article>"):
+            assert content(around.format(inner)) == [story]
+            assert content(around.format(inner + "<div class='related'>more</div>")) == [story]
+    assert content(f"<article><div class='article-header'><h1>Head</h1><h2>Lead</h2></div>{body}<div class=comments>no</div></article>") == ["Head", "Lead", story]
+    assert content(f"<div class='header'><h1>Head</h1>menu</div>{body}") == ["Head", story]
+    assert content(f"<div class=widget>{body}</div><div class=widget>{body}</div><p>short</p>") == [story, story, "short"]
+    assert content(f"<div class=related><article><p>teaser</p></article></div>{body}") == ["teaser", story]  # one article alone
+    assert content(f"<article>{body}</article><div class=related><article><p>teaser</p></article></div>") == [story]
+    assert content("<p>one <span class='search'>two</span> three</p>") == ["one two three"]
+
+
+def test_marked_text_beside_template(spark):
+    rows = [(i, f"http://a.example/{i}", f"<body class=no-sidebar><div class=top>{'Welcome to A ' * 20}</div><div class='main widget'>story {i} of {i * i}</div></body>")
+            for i in range(6)]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"story {i} of {i * i}" for i in range(6)}

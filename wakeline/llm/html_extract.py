@@ -3,15 +3,18 @@
 Every page becomes a tree of labelled nodes in which runs of like siblings count as one. The trees of a host
 are aligned, by simple tree matching, with the host's most common tree, so that a node of any page has a slot
 of the host. A slot that holds the same text on most different pages of its host is template; slots whose text
-varies are content. What markup says outright (navigation, footers, scripts, adverts, comments) is never content,
-and a page that marks its article or main part has its content there: headings and running text of it are kept.
+varies are content. What tags say outright (navigation, footers, scripts) is never content, and a page that marks
+its article or main part has its content there: headings and running text of it are kept. A word of a class, id or
+role that tells of adverts, comments and the like only marks what is under it: marked text goes where it is small
+beside the unmarked text of its page, or where its slot is template.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import xxhash
@@ -23,6 +26,8 @@ from wakeline.session import cut_lineage
 
 #: A slot is template from this share of a host's different pages on, and from so many pages on.
 TEMPLATE_SHARE, TEMPLATE_PAGES = 0.5, 3
+#: Text under one marked word goes from a page if it is up to this share of the page's unmarked text.
+MARKED_SMALL = 0.25
 #: Labels of a node's path that alignment looks at; deeper nodes share the path of their ancestor.
 PATH_DEPTH = 40
 #: A list of template slots up to this many bytes may be broadcast; a larger one is joined by host.
@@ -35,11 +40,14 @@ INLINE = frozenset(("a abbr acronym b bdi bdo big br cite code data del dfn em f
 FLOW = frozenset("p h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure hr".split())
 ASIDE_TAGS = frozenset(("head nav footer aside form script style textarea title noscript iframe xmp template button select option svg canvas "
                         "object menu dialog input").split())
-#: Words of a class, id or role that mark what is not the article.
+#: Words of a class, id or role that mark what may not be the article. They are no mark on the elements of NEVER_MARKED.
 ASIDE_WORDS = frozenset(("ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar menu nav navbar "
                          "navigation breadcrumb breadcrumbs footer header masthead cookie cookies consent gdpr notice notices alert popup modal "
                          "newsletter subscribe subscription comment comments disqus replies share sharing social related recommended widget login "
                          "signup search toolbar pagination contentinfo complementary").split())
+NEVER_MARKED = frozenset("html body article main h1".split())
+#: Words that, like the tag header, mark nothing inside the main part.
+HEADER_WORDS = frozenset("header masthead".split())
 #: Which open elements a start tag closes, up to the elements in the second place.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
           "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
@@ -110,43 +118,62 @@ def _find_end(source: str, tag: str, at: int) -> int:
     return len(source) if close < 0 else close
 
 
+class _Mark:
+    """A marked element. ``holds``: the article or main part of the page is in it, so the word tells of the layout."""
+
+    __slots__ = ("word", "holds")
+
+    def __init__(self, word: str):
+        self.word, self.holds = word, False
+
+
 class _Open:
     """An element that is open; path None for an inline one. last, count: label and number of its last run of children."""
 
-    __slots__ = ("tag", "path", "depth", "aside", "main", "last", "count")
+    __slots__ = ("tag", "path", "depth", "aside", "main", "marks", "last", "count")
+
+    def __init__(self, tag: str, path: str | None, depth: int, aside: bool, main: bool, marks: tuple[_Mark, ...] = ()):
+        self.tag, self.path, self.depth, self.aside, self.main, self.marks, self.last, self.count = tag, path, depth, aside, main, marks, "", -1
 
-    def __init__(self, tag: str, path: str | None, depth: int, aside: bool, main: bool):
-        self.tag, self.path, self.depth, self.aside, self.main, self.last, self.count = tag, path, depth, aside, main, "", -1
 
+def blocks(source: str | None) -> list[tuple[str, bool, str, str]]:
+    """(path, in the main part, text, marked word or nothing) of every block that is not aside by its tags, in page
+    order; white space is one space.
 
-def blocks(source: str | None) -> list[tuple[str, bool, str]]:
-    """(path, in the main part, text) of every block that is not aside, in page order; white space is one space."""
+    The word of an element that holds most of the page's text tells of the layout and marks nothing. So does that of
+    one that holds an article or main part, unless the page has another article outside of such elements: then they
+    may as well hold comments or teasers.
+    """
     if not source:
         return []
-    out: list[tuple[str, bool, str]] = []
+    out: list[tuple[str, bool, str, tuple[_Mark, ...]]] = []
     stack = [_Open("", "", 0, False, False)]
-    gathered: list[str] = []
+    gathered: list[tuple[str, tuple[_Mark, ...]]] = []
 
     def flush() -> None:
         if gathered:
-            text = " ".join(html.unescape("".join(gathered)).split())
+            text = " ".join(html.unescape("".join(t for t, _ in gathered)).split())
+            # A marked inline element is part of the sentence around it; alone in its block, it marks the block.
+            inner = {m for t, m in gathered if t.strip()}
             gathered.clear()
             if text:
-                out.append((block.path, block.main, text))
+                marks = inner.pop() if len(inner) == 1 else block.marks
+                path = block.path if len(marks) == len(block.marks) else f"{block.path}/0:{marks[-1].word}!"
+                out.append((path, block.main, text, () if block.tag == "h1" else marks))
 
     block = stack[0]
     for kind, what, rest in events(source):
         top = stack[-1]
         if kind == "text":
             if not top.aside:
-                gathered.append(what)
+                gathered.append((what, top.marks))
         elif kind == "start":
             if what in INLINE and what not in ASIDE_TAGS:
-                aside = top.aside or bool(rest) and _is_aside(rest)
                 if what == "br":
-                    gathered.append(" ")
+                    gathered.append((" ", top.marks))
                 elif what not in VOID:
-                    stack.append(_Open(what, None, top.depth, aside, top.main))
+                    word = _mark_word(_names(rest), top.main) if rest else ""
+                    stack.append(_Open(what, None, top.depth, top.aside, top.main, (*top.marks, _Mark(word)) if word else top.marks))
                 continue
             flush()
             if what in ENDS_P:
@@ -157,13 +184,24 @@ def blocks(source: str | None) -> list[tuple[str, bool, str]]:
             if what in VOID:
                 continue
             words = _names(rest) if rest else ()
-            main = top.main or what in ("article", "main") or "role=main" in words
-            aside = stack[-1].aside or what in ASIDE_TAGS or (what == "header" and not top.main) or not ASIDE_WORDS.isdisjoint(words)
-            label = "flow" if what in FLOW else ".".join([what, *sorted(w for w in set(words) if "=" not in w)])
+            heart = what in ("article", "main") or "role=main" in words
+            main = top.main or heart
+            aside = stack[-1].aside or what in ASIDE_TAGS or (what == "header" and not top.main)
+            marks = stack[-1].marks
+            if heart or what == "body":
+                if not aside:
+                    for mark in marks:
+                        mark.holds = True
+                word = ""
+            else:
+                word = _mark_word(words, main) if what not in NEVER_MARKED else ""
+            if word:
+                marks = (*marks, _Mark(word))
+            label = ("flow" + "!" * bool(word)) if what in FLOW else ".".join([what, *sorted(w for w in set(words) if "=" not in w)])
             if label != top.last:
                 top.last, top.count = label, top.count + 1
             path = f"{top.path}/{top.count}:{label}" if top.depth < PATH_DEPTH else top.path
-            stack.append(_Open(what, path, top.depth + 1, aside, main and not aside))
+            stack.append(_Open(what, path, top.depth + 1, aside, main and not aside, marks))
             block = stack[-1]
         else:
             depth = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == what), 0)
@@ -176,7 +214,23 @@ def blocks(source: str | None) -> list[tuple[str, bool, str]]:
             del stack[depth:]
             block = _block_of(stack)
     flush()
-    return out
+    elsewhere = any(main and not any(m.holds for m in marks) for _, main, _, marks in out)
+    sizes = Counter()
+    for _, _, text, marks in out:
+        sizes.update(dict.fromkeys(marks, len(text)))
+    most = sum(len(text) for _, _, text, _ in out) / 2
+    told = [(path, main, text, next((m.word for m in marks if sizes[m] <= most and (elsewhere or not m.holds)), "")) for path, main, text, marks in out]
+    # Articles that are all under marks, and small beside the other text, do not stand for the page.
+    small = not elsewhere and _chars(b for b in told if b[1]) <= MARKED_SMALL * _chars(b for b in told if not b[1] and not b[3])
+    return [(path, False, text, word) for path, _, text, word in told] if small else told
+
+
+def _chars(found: Iterable[tuple[str, bool, str, str]]) -> int:
+    return sum(len(text) for _, _, text, _ in found)
+
+
+def _mark_word(words: list[str] | tuple, main: bool) -> str:
+    return next((w for w in words if w in ASIDE_WORDS and not (main and w in HEADER_WORDS)), "")
 
 
 def _block_of(stack: list[_Open]) -> _Open:
@@ -206,10 +260,6 @@ def _names(attributes: str) -> list[str]:
     return out
 
 
-def _is_aside(attributes: str) -> bool:
-    return not ASIDE_WORDS.isdisjoint(_names(attributes))
-
-
 # Alignment -----------------------------------------------------------------------------------------------------------
 
 def tree_of(paths: list[str]) -> dict:
@@ -241,7 +291,7 @@ def match(a: dict, b: dict) -> tuple[int, list[tuple[str, str]]]:
 
 # Spark ---------------------------------------------------------------------------------------------------------------
 
-_PARSED = ("struct<skeleton: bigint, page: bigint, slots: array<struct<path: string, hash: bigint>>, "
+_PARSED = ("struct<skeleton: bigint, page: bigint, slots: array<struct<path: string, hash: bigint, chars: int, mark: string>>, "
            "blocks: array<struct<slot: int, text: string>>>")
 
 
@@ -249,22 +299,42 @@ def _hash(text: str) -> int:
     return xxhash.xxh64_intdigest(text) - (1 << 63)
 
 
-def parse(source: str | None) -> dict:
-    """Slots (path and hash of all text there) and blocks of a page; the main part alone, if there is one with text.
+def read_page(source: str | None) -> dict:
+    """Slots (path, hash and length of all text there, marked word) and blocks of a page; the main part alone, if there
+    is one with text.
 
-    Headings and running text of a marked main part are content whatever other pages say: their hash is NULL.
+    Headings and running text of an unmarked main part are content whatever other pages say: their hash is NULL.
     """
     found = blocks(source)
-    marked = any(main for _, main, _ in found)
-    if marked:
+    main = any(b[1] for b in found)
+    if main:
         found = [b for b in found if b[1]]
-    texts: dict[str, list[str]] = {}
-    for path, _, text in found:
-        texts.setdefault(path, []).append(text)
-    place = {path: k for k, path in enumerate(texts)}
-    return {"skeleton": _hash("\n".join(texts)), "page": _hash("\n".join(t for *_, t in found)),
-            "slots": [{"path": p, "hash": None if marked and p.endswith((":h1", ":flow")) else _hash("\n".join(t))} for p, t in texts.items()],
-            "blocks": [{"slot": place[p], "text": t} for p, _, t in found]}
+    texts: dict[tuple[str, str], list[str]] = {}
+    for path, _, text, mark in found:
+        texts.setdefault((path, mark), []).append(text)
+    place = {slot: k for k, slot in enumerate(texts)}
+    return {"skeleton": _hash("\n".join(path for path, _ in texts)), "page": _hash("\n".join(b[2] for b in found)),
+            "slots": [{"path": p, "hash": None if main and not mark and p.endswith((":h1", ":flow")) else _hash("\n".join(t)),
+                       "chars": sum(map(len, t)), "mark": mark or None} for (p, mark), t in texts.items()],
+            "blocks": [{"slot": place[p, mark], "text": t} for p, _, t, mark in found]}
+
+
+def kept_slots(slots: list[dict], template: frozenset | set = frozenset()) -> list[int]:
+    """Slots that are content: not in ``template``, and not marked by a word whose text is small beside the unmarked
+    text that is left. A page of which nothing is left keeps what it has without the template."""
+    left = [k for k in range(len(slots)) if k not in template]
+    sizes = Counter()
+    for k in left:
+        sizes[slots[k]["mark"]] += slots[k]["chars"]
+    out = [k for k in left if slots[k]["mark"] is None or sizes[slots[k]["mark"]] > MARKED_SMALL * sizes[None]]
+    return out if out or not template else kept_slots(slots)
+
+
+def parse(source: str | None) -> dict:
+    """``read_page``, with the blocks that are content as far as the page alone tells."""
+    page = read_page(source)
+    kept = set(kept_slots(page["slots"]))
+    return page | {"blocks": [b for b in page["blocks"] if b["slot"] in kept]}
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -275,12 +345,13 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     are not read. An empty table gives no rows. Pages are read whole, however long.
     """
     settle(pages.sparkSession)
-    kind = pa.struct([("skeleton", pa.int64()), ("page", pa.int64()), ("slots", pa.list_(pa.struct([("path", pa.string()), ("hash", pa.int64())]))),
+    slot_kind = pa.list_(pa.struct([("path", pa.string()), ("hash", pa.int64()), ("chars", pa.int32()), ("mark", pa.string())]))
+    kind = pa.struct([("skeleton", pa.int64()), ("page", pa.int64()), ("slots", slot_kind),
                       ("blocks", pa.list_(pa.struct([("slot", pa.int32()), ("text", pa.string())])))])
 
     @F.arrow_udf(_PARSED)
     def parsed(sources: pa.Array) -> pa.Array:
-        return pa.array([parse(s) for s in sources.to_pylist()], kind)
+        return pa.array([read_page(s) for s in sources.to_pylist()], kind)
 
     @F.arrow_udf("array<string>")
     def aligned(own: pa.Array, common: pa.Array) -> pa.Array:
@@ -290,6 +361,10 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             out.append([to.get(p, "own " + p) for p in paths])
         return pa.array(out, pa.list_(pa.string()))
 
+    @F.arrow_udf("array<int>")
+    def kept(slots: pa.Array, template: pa.Array) -> pa.Array:
+        return pa.array([kept_slots(s, set(t or ())) for s, t in zip(slots.to_pylist(), template.to_pylist())], pa.list_(pa.int32()))
+
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
     rows = cut_lineage(pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), host.alias("host"), parsed(F.col(html_col)).alias("p"))
                        .select("id", "url", "host", "p.*"))
@@ -307,6 +382,6 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     drop = cut_lineage(slots.join(template, ["host", "home"]).groupBy("host", "skeleton").agg(F.collect_set("slot").alias("template")))
     size = drop.agg(F.sum(F.octet_length("host") + 16 + 4 * F.size("template"))).first()[0] or 0
     left = rows.join(F.broadcast(drop) if size <= BROADCAST_BYTES else drop, ["host", "skeleton"], "left")
-    kept = F.filter("blocks", lambda b: F.col("template").isNull() | ~F.array_contains("template", b["slot"]))
-    text = F.array_join(F.transform(F.when(F.size(kept) > 0, kept).otherwise(F.col("blocks")), lambda b: b["text"]), "\n")
-    return left.select(F.col("id").alias(id_col), F.col("url").alias(url_col), text.alias("text"), F.char_length(text).cast("bigint").alias("n_chars"))
+    read = left.withColumn("kept", kept(F.transform("slots", lambda s: F.struct(s["chars"], s["mark"])), F.col("template")))
+    text = F.array_join(F.transform(F.filter("blocks", lambda b: F.array_contains("kept", b["slot"])), lambda b: b["text"]), "\n")
+    return read.select(F.col("id").alias(id_col), F.col("url").alias(url_col), text.alias("text"), F.char_length(text).cast("bigint").alias("n_chars"))
