@@ -2,11 +2,11 @@
 
 Every page becomes a tree of labelled nodes in which runs of like siblings count as one. The trees of a host
 are aligned, by simple tree matching, with the host's most common tree, so that a node of any page has a slot
-of the host. A slot that holds the same text on most different pages of its host is template; slots whose text
-varies are content. What tags say outright (navigation, footers, scripts) is never content, and a page that marks
+of the host. A text that a slot holds on most different pages of its host is template; other texts of the slot,
+on other pages, are content. What tags say outright (navigation, footers, scripts) is never content, and a page that marks
 its article or main part has its content there: headings and running text of it are kept. A word of a class, id or
 role that tells of adverts, comments and the like only marks what is under it: marked text goes where it is small
-beside the unmarked text of its page, or where its slot is template.
+beside the unmarked text of its page, or where it is template.
 """
 
 from __future__ import annotations
@@ -24,13 +24,13 @@ from pyspark.sql import functions as F
 from wakeline.llm.common import settle
 from wakeline.session import cut_lineage
 
-#: A slot is template from this share of a host's different pages on, and from so many pages on.
+#: A text of a slot is template from this share of a host's different pages on, and from so many pages on.
 TEMPLATE_SHARE, TEMPLATE_PAGES = 0.5, 3
 #: Text under one marked word goes from a page if it is up to this share of the page's unmarked text.
 MARKED_SMALL = 0.25
 #: Labels of a node's path that alignment looks at; deeper nodes share the path of their ancestor.
 PATH_DEPTH = 40
-#: A list of template slots up to this many bytes may be broadcast; a larger one is joined by host.
+#: A list of template texts up to this many bytes may be broadcast; a larger one is joined by host.
 BROADCAST_BYTES = 8 << 20
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -291,7 +291,7 @@ def match(a: dict, b: dict) -> tuple[int, list[tuple[str, str]]]:
 
 # Spark ---------------------------------------------------------------------------------------------------------------
 
-_PARSED = ("struct<skeleton: bigint, page: bigint, slots: array<struct<path: string, hash: bigint, chars: int, mark: string>>, "
+_PARSED = ("struct<skeleton: bigint, whole: bigint, page: bigint, slots: array<struct<path: string, hash: bigint, chars: int, mark: string>>, "
            "blocks: array<struct<slot: int, text: string>>>")
 
 
@@ -313,23 +313,31 @@ def read_page(source: str | None) -> dict:
     for path, _, text, mark in found:
         texts.setdefault((path, mark), []).append(text)
     place = {slot: k for k, slot in enumerate(texts)}
-    return {"skeleton": _hash("\n".join(path for path, _ in texts)), "page": _hash("\n".join(b[2] for b in found)),
+    return {"skeleton": _hash("\n".join(path for path, _ in texts)), "whole": _hash("\n".join(b[2] for b in found)), "page": _longest(texts),
             "slots": [{"path": p, "hash": None if main and not mark and p.endswith((":h1", ":flow")) else _hash("\n".join(t)),
                        "chars": sum(map(len, t)), "mark": mark or None} for (p, mark), t in texts.items()],
             "blocks": [{"slot": place[p, mark], "text": t} for p, _, t, mark in found]}
 
 
-def kept_slots(slots: list[dict], template: frozenset | set = frozenset()) -> list[int]:
+def kept_slots(slots: list[dict], template: frozenset | set = frozenset(), common: frozenset | set = frozenset()) -> list[int]:
     """Slots that are content: not in ``template``, and not marked by a word whose text is small beside the unmarked
-    text that is left. A page of which nothing is left keeps what it has without the template."""
+    text that is left, not counting slots in ``common``. A page of which nothing is left keeps what it has without
+    the template."""
     left = [k for k in range(len(slots)) if k not in template]
     sizes = Counter()
     for k in left:
-        sizes[slots[k]["mark"]] += slots[k]["chars"]
+        if slots[k]["mark"] is not None or k not in common:
+            sizes[slots[k]["mark"]] += slots[k]["chars"]
     out = [k for k in left if slots[k]["mark"] is None or sizes[slots[k]["mark"]] > MARKED_SMALL * sizes[None]]
     return out if out or not template else kept_slots(slots)
 
 
+def _longest(texts: dict[tuple[str, str], list[str]]) -> int:
+    """Hash of the text of the longest slot, unmarked if there is one: pages that share it are copies of one another."""
+    of = max(texts, key=lambda slot: (not slot[1], sum(map(len, texts[slot])), _hash("\n".join(texts[slot]))), default=None)
+    return _hash("\n".join(texts[of])) if of else 0
+
+
 def parse(source: str | None) -> dict:
     """``read_page``, with the blocks that are content as far as the page alone tells."""
     page = read_page(source)
@@ -340,13 +348,13 @@ def parse(source: str | None) -> dict:
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(id, url, text, n_chars) of every row of ``pages``: its main text, blocks joined by line feeds.
 
-    NULL, empty and textless pages give the empty text. Pages without a host in their url are one host. Repeated
-    pages count once in what is template. A page all of whose slots are template keeps its text. Other columns
+    NULL, empty and textless pages give the empty text. Pages without a host in their url are one host. Pages whose
+    longest slot holds the same text are copies, which count once in what is template. A page all of whose slots are template keeps its text. Other columns
     are not read. An empty table gives no rows. Pages are read whole, however long.
     """
     settle(pages.sparkSession)
     slot_kind = pa.list_(pa.struct([("path", pa.string()), ("hash", pa.int64()), ("chars", pa.int32()), ("mark", pa.string())]))
-    kind = pa.struct([("skeleton", pa.int64()), ("page", pa.int64()), ("slots", slot_kind),
+    kind = pa.struct([("skeleton", pa.int64()), ("whole", pa.int64()), ("page", pa.int64()), ("slots", slot_kind),
                       ("blocks", pa.list_(pa.struct([("slot", pa.int32()), ("text", pa.string())])))])
 
     @F.arrow_udf(_PARSED)
@@ -363,7 +371,12 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     @F.arrow_udf("array<int>")
     def kept(slots: pa.Array, template: pa.Array) -> pa.Array:
-        return pa.array([kept_slots(s, set(t or ())) for s, t in zip(slots.to_pylist(), template.to_pylist())], pa.list_(pa.int32()))
+        out = []
+        for own, told in zip(slots.to_pylist(), template.to_pylist()):
+            texts = {(t["slot"], t["hash"]): t["sure"] for t in told or ()}
+            sure = [texts.get((k, s["hash"])) for k, s in enumerate(own)]
+            out.append(kept_slots(own, {k for k, x in enumerate(sure) if x}, {k for k, x in enumerate(sure) if x is False}))
+        return pa.array(out, pa.list_(pa.int32()))
 
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
     rows = cut_lineage(pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), host.alias("host"), parsed(F.col(html_col)).alias("p"))
@@ -372,16 +385,22 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     shapes = rows.where(F.size("slots") > 0).groupBy("host", "skeleton").agg(F.count("*").alias("pages"), F.first(paths).alias("paths"))
     common = shapes.groupBy("host").agg(F.max_by("paths", F.struct("pages", "skeleton")).alias("common"))
     homes = cut_lineage(shapes.join(common, "host").select("host", "skeleton", aligned(F.col("paths"), F.col("common")).alias("homes")))
-    # One row for each page text of a host, slot and text: copies of a page say nothing about its template.
-    seen = (rows.select("host", "skeleton", "page", F.posexplode("slots").alias("slot", "s"))
-            .select("host", "skeleton", "page", "slot", F.col("s.hash").alias("hash")).where("hash IS NOT NULL").distinct())
     slots = homes.select("host", "skeleton", F.posexplode("homes").alias("slot", "home"))
-    told = seen.join(slots, ["host", "skeleton", "slot"]).groupBy("host", "home", "hash").agg(F.count("*").alias("n"))
-    template = (told.groupBy("host", "home").agg(F.sum("n").alias("all"), F.max("n").alias("most"))
-                .where((F.col("all") >= TEMPLATE_PAGES) & (F.col("most") >= TEMPLATE_SHARE * F.col("all"))).select("host", "home"))
-    drop = cut_lineage(slots.join(template, ["host", "home"]).groupBy("host", "skeleton").agg(F.collect_set("slot").alias("template")))
-    size = drop.agg(F.sum(F.octet_length("host") + 16 + 4 * F.size("template"))).first()[0] or 0
+    # One row for each page text of a host, slot of the host and text. Copies say nothing about the template; what is only
+    # common when copies count (an article in many near copies, or boilerplate longer than all else) stays, but no marked
+    # text is small beside it.
+    seen = cut_lineage(rows.select("host", "skeleton", "whole", "page", F.posexplode("slots").alias("slot", "s"))
+                       .select("host", "skeleton", "whole", "page", "slot", F.col("s.hash").alias("hash")).where("hash IS NOT NULL").distinct()
+                       .join(slots, ["host", "skeleton", "slot"]).select("host", "home", "whole", "page", "hash").distinct())
+    texts = seen.groupBy("host", "home", "hash").agg(F.count("*").alias("copies"), F.count_distinct("page").alias("n"))
+    pages_with = (texts.groupBy("host", "home").agg(F.sum("copies").alias("all_copies"))
+                  .join(seen.groupBy("host", "home").agg(F.count_distinct("page").alias("all")), ["host", "home"]))
+    template = (texts.where(F.col("copies") >= TEMPLATE_PAGES).join(pages_with, ["host", "home"])
+                .withColumn("sure", (F.col("n") >= TEMPLATE_PAGES) & (F.col("n") >= TEMPLATE_SHARE * F.col("all")))
+                .where(F.col("sure") | (F.col("copies") >= TEMPLATE_SHARE * F.col("all_copies"))).select("host", "home", "hash", "sure"))
+    drop = cut_lineage(slots.join(template, ["host", "home"]).groupBy("host", "skeleton").agg(F.collect_set(F.struct("slot", "hash", "sure")).alias("template")))
+    size = drop.agg(F.sum(F.octet_length("host") + 16 + 12 * F.size("template"))).first()[0] or 0
     left = rows.join(F.broadcast(drop) if size <= BROADCAST_BYTES else drop, ["host", "skeleton"], "left")
-    read = left.withColumn("kept", kept(F.transform("slots", lambda s: F.struct(s["chars"], s["mark"])), F.col("template")))
+    read = left.withColumn("kept", kept(F.transform("slots", lambda s: F.struct(s["hash"], s["chars"], s["mark"])), F.col("template")))
     text = F.array_join(F.transform(F.filter("blocks", lambda b: F.array_contains("kept", b["slot"])), lambda b: b["text"]), "\n")
     return read.select(F.col("id").alias(id_col), F.col("url").alias(url_col), text.alias("text"), F.char_length(text).cast("bigint").alias("n_chars"))
