@@ -304,3 +304,10 @@ def test_only_repeated_texts_are_template(spark):
     assert [got[i] for i in range(20)] == [f"copy {i}\n{near.strip()}" for i in range(20)]
     assert [got[20 + i] for i in range(10)] == [f"head {i}\n{t.strip()}" for i, t in enumerate(own)]
     assert [got[30 + i] for i in range(12)] == [f"note {i}\n{('teaser %d ' % i * 30).strip()}" for i in range(12)]
+
+
+def test_long_tags_end_where_they_end():
+    data = "x > y " * 30_000
+    assert content(f"<article><p data-page='{data}' title=\"it's > that\">one</p><p title=it's>two</p></article>") == ["one", "two"]
+    assert content('<article><p>one</p><p title="never closed>two</p></article>') == ["one", "two"]
+    assert content("<article><p>one</p>" + "<p title='x" * 50_000) == ["one"]

@@ -57,19 +57,14 @@ _WORD = re.compile(r"[A-Za-z]+")
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>"']+))?""")
 
 
+#: A tag up to its >, once over; a > inside a quoted value ends nothing, a quote that is never closed is text of the value.
+_TAG = re.compile(r"""<[^>=]*+(?:=\s*+(?:"[^"]*+"|'[^']*+')?+[^>=]*+)*+>""")
+
+
 def _tag_end(source: str, at: int) -> int:
-    """Place of the > that ends the tag opened at ``at``, quotes heeded; -1 if none does."""
-    end = source.find(">", at)
-    while end >= 0:
-        inside = source[at:end]
-        if inside.count('"') % 2 == 0 and inside.count("'") % 2 == 0:
-            return end
-        quote = '"' if inside.count('"') % 2 else "'"
-        closing = source.find(quote, end)
-        if closing < 0 or closing - at > 65_536:
-            return end
-        end = source.find(">", closing)
-    return -1
+    """Place of the > that ends the tag opened at ``at``, quoted values heeded however long; -1 if none does."""
+    tag = _TAG.match(source, at)
+    return tag.end() - 1 if tag else -1
 
 
 def events(source: str) -> Iterator[tuple[str, str, str]]:
