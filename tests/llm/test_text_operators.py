@@ -311,3 +311,14 @@ def test_long_tags_end_where_they_end():
     assert content(f"<article><p data-page='{data}' title=\"it's > that\">one</p><p title=it's>two</p></article>") == ["one", "two"]
     assert content('<article><p>one</p><p title="never closed>two</p></article>') == ["one", "two"]
     assert content("<article><p>one</p>" + "<p title='x" * 50_000) == ["one"]
+
+
+def test_labels_reach_every_mention_of_a_text(spark):
+    phones = [f"+1 ({100 + i}) 555-{1000 + i}" for i in range(200)]
+    model = pii.fit(documents(spark, [f"call {p} or {p} about {i}" for i, p in enumerate(phones)]))
+    for before, after in ((0, 60), (60, 0), (30, 30)):
+        text = "that is 017-555-7713, " * before + "ring +1 (017) 555-7713 soon, " + "that is 017-555-7713, " * after
+        assert [base for *_, base in pii.find(text, model)].count(False) == 60
+    tokens, labels = ["017-555-7713"] * 1_000, [0] * 999 + [4]
+    links = pii.edges(tokens, labels)
+    assert {i for i, j, kind in links if j == 999 and kind} == set(range(999)) and len(links) <= 3 * len(tokens)

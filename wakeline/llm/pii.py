@@ -23,8 +23,10 @@ from wakeline.llm.common import free_name, settle
 
 KINDS = ("email", "ip", "card", "phone")
 
-#: Documents the weights are learned from, about at most; and how often messages go round.
-FIT_DOCS, ROUNDS, DAMPING = 2_000, 8, 0.5
+#: Messages go round until none changes by more than STILL; should they never settle, for ROUNDS rounds.
+ROUNDS, STILL, DAMPING = 500, 1e-3, 0.5
+#: Documents the weights are learned from, about at most.
+FIT_DOCS = 2_000
 #: Digits that make two tokens alike, counted from the end; letters of a name before the at sign.
 ALIKE_DIGITS, ALIKE_NAME = 7, 3
 #: A unit becomes a span from this probability on.
@@ -136,15 +138,22 @@ def _likeness_keys(token: str) -> list[str]:
     return keys
 
 
-def edges(tokens: list[str]) -> list[tuple[int, int, int]]:
-    """(unit, unit, kind of edge): 0 to the next unit, 1 to the last like unit before. Their number is linear in the units."""
-    out, last, seen = [(i, i + 1, 0) for i in range(len(tokens) - 1)], {}, set()
-    for i, token in enumerate(tokens):
-        for key in _likeness_keys(token):
-            j = last.get(key)
-            if j is not None and (j, i) not in seen:
-                seen.add((j, i))
-                out.append((j, i, 1))
+def edges(tokens: list[str], labels: list[int]) -> list[tuple[int, int, int]]:
+    """(unit, unit, kind of edge): 0 to the next unit, 1 to the last like unit before and to the first base span of the
+    like ones, or to the first of them all. Their number is linear in the units."""
+    out, last, seen, hub = [(i, i + 1, 0) for i in range(len(tokens) - 1)], {}, set(), {}
+    keys = [_likeness_keys(token) for token in tokens]
+    for i, own in enumerate(keys):
+        for key in own:
+            if key not in hub or labels[i] and not labels[hub[key]]:
+                hub[key] = i
+    for i, own in enumerate(keys):
+        for key in own:
+            for j in (last.get(key, i), hub[key]):
+                pair = (min(i, j), max(i, j))
+                if i != j and pair not in seen:
+                    seen.add(pair)
+                    out.append((*pair, 1))
             last[key] = i
     return out
 
@@ -159,7 +168,7 @@ class Field:
     def marginals(self, shapes: np.ndarray, observed: np.ndarray, links: list[tuple[int, int, int]]) -> np.ndarray:
         """Probabilities of the labels of every unit, by loopy sum-product messages in both directions of each edge."""
         alone = shapes @ self.shape
-        alone[observed > 0] = -30.0
+        alone[observed > 0] = -1e9  # whatever all messages to it say
         alone[observed > 0, observed[observed > 0]] = 0.0
         if not links:
             return _softmax(alone)
@@ -175,7 +184,10 @@ class Field:
             said = np.exp(said - said.max(1, keepdims=True))
             new = np.log(np.einsum("ei,eij->ej", said, table) + 1e-300)
             new -= new.max(1, keepdims=True)
+            still = np.abs(new - message).max() <= STILL
             message = DAMPING * message + (1 - DAMPING) * new
+            if still:
+                break
         belief = alone.copy()
         np.add.at(belief, target, message)
         return _softmax(belief)
@@ -196,7 +208,7 @@ def find(text: str | None, model: Field) -> list[tuple[int, int, int, bool]]:
     if any(label == 0 for label, _, _ in all_units):
         tokens = [text[a:b] for _, a, b in all_units]
         observed = np.array([label for label, _, _ in all_units])
-        found = model.marginals(np.array([_shape(t) for t in tokens]), observed, edges(tokens))
+        found = model.marginals(np.array([_shape(t) for t in tokens]), observed, edges(tokens, observed.tolist()))
         for (label, a, b), p in zip(all_units, found):
             k = int(p.argmax())
             if label == 0 and k and p[k] > SURE:
@@ -224,7 +236,7 @@ def fit(docs: DataFrame, text_col: str = "text", most: int = FIT_DOCS, steps: in
             found = units(text, base_spans(text))
             tokens, labels = [text[a:b] for _, a, b in found], [label for label, _, _ in found]
             near = [[[], []] for _ in found]
-            for i, j, kind in edges(tokens):
+            for i, j, kind in edges(tokens, labels):
                 near[i][kind].append(labels[j])
                 near[j][kind].append(labels[i])
             out.append([{"label": la, "shape": list(_shape(t)), "near": n[0], "alike": n[1]} for la, t, n in zip(labels, tokens, near)])
