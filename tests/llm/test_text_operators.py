@@ -313,6 +313,23 @@ def test_long_tags_end_where_they_end():
     assert content("<article><p>one</p>" + "<p title='x" * 50_000) == ["one"]
 
 
+def test_rare_kinds_are_learned_whatever_the_table(spark):
+    r = random.Random(9)
+    rare = [f"call {p} or {p} today" for p in (f"+1 ({r.randint(100, 999)}) 555-{r.randint(1000, 9999)}" for _ in range(6))]
+    common = [f"host 10.{i % 250}.{i % 7}.{i % 99} and 10.{i % 250}.{i % 7}.{i % 99} of item {i} in {1990 + i % 40}" for i in range(9_000)]
+    held = "ring +1 (017) 555-7713 soon, that is 017-555-7713, in 2020"
+    for texts in (rare + common[:60], rare + common, rare + common[:60] + [common[0]] * 9_000):
+        found = pii.find(held, pii.fit(documents(spark, texts)))
+        assert [(k, base) for k, _, _, base in found] == [(3, True), (3, False)]
+
+
+def test_weights_are_learned_until_flat():
+    r = np.random.default_rng(1)
+    x, y = (r.random((300, len(pii.SHAPE))) < 0.5).astype(float), r.integers(0, 5, 300)
+    model = pii.Field(np.zeros((len(pii.SHAPE), 5)), np.zeros((2, 5, 5)))
+    assert pii.learn(model, x, y, r.integers(0, 3, (300, 2, 5)).astype(float), np.full(300, 1 / 300), 2e-3) <= pii.FLAT
+
+
 def test_labels_reach_every_mention_of_a_text(spark):
     phones = [f"+1 ({100 + i}) 555-{1000 + i}" for i in range(200)]
     model = pii.fit(documents(spark, [f"call {p} or {p} about {i}" for i, p in enumerate(phones)]))

@@ -9,8 +9,10 @@ units that end with a label become spans too. The weights are learned here from
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,8 +27,8 @@ KINDS = ("email", "ip", "card", "phone")
 
 #: Messages go round until none changes by more than STILL; should they never settle, for ROUNDS rounds.
 ROUNDS, STILL, DAMPING = 500, 1e-3, 0.5
-#: Documents the weights are learned from, about at most.
-FIT_DOCS = 2_000
+#: Weights are learned until no derivative is above this.
+FLAT = 1e-7
 #: Digits that make two tokens alike, counted from the end; letters of a name before the at sign.
 ALIKE_DIGITS, ALIKE_NAME = 7, 3
 #: A unit becomes a span from this probability on.
@@ -216,53 +218,111 @@ def find(text: str | None, model: Field) -> list[tuple[int, int, int, bool]]:
     return sorted(out)
 
 
-def fit(docs: DataFrame, text_col: str = "text", most: int = FIT_DOCS, steps: int = 300, rate: float = 0.5, ridge: float = 2e-3) -> Field:
-    """Learns the weights from documents that hold a digit or an at sign, about ``most`` of them at most.
+def _rounded(count: int) -> int:
+    """Counts of like neighbours over 8 as a power of two, so that there are few different ones."""
+    return count if count <= 8 else 1 << count.bit_length() - 1
 
-    The likelihood of every unit's label given its neighbours' labels is raised by gradient steps; labels are
-    those of the base spans. Documents are thinned by a hash of the text, so a run gives the same weights
-    again. Without any base span in the sample the field labels nothing.
+
+def examples(text: str) -> Counter:
+    """How often a unit of the text has a label, shape and labels around it: (label, shape as bits, numbers of labels of
+    neighbours, and of like units) as a text."""
+    found = units(text, base_spans(text))
+    tokens, labels = [text[a:b] for _, a, b in found], [label for label, _, _ in found]
+    around = [([0] * (len(KINDS) + 1), [0] * (len(KINDS) + 1)) for _ in found]
+    for i, j, kind in edges(tokens, labels):
+        around[i][kind][labels[j]] += 1
+        around[j][kind][labels[i]] += 1
+    return Counter(" ".join(map(str, (label, sum(1 << k for k, x in enumerate(_shape(token)) if x), *near, *map(_rounded, alike))))
+                   for label, token, (near, alike) in zip(labels, tokens, around))
+
+
+def fit(docs: DataFrame, text_col: str = "text", ridge: float = 2e-3) -> Field:
+    """Learns the weights from all documents, equal texts once.
+
+    The likelihood of every unit's label given its neighbours' labels is raised by Newton steps until it is flat; labels
+    are those of the base spans. Every label counts the same in all, however rare, so a kind's weights do not depend on
+    the size of the table. Units that look the same, with the same labels around, are counted in Spark: the driver
+    gets one row for each combination. Without any base span in the documents the field labels nothing.
     """
     settle(docs.sparkSession)
-    with_signs = docs.where(F.col(text_col).rlike("[0-9@]"))
-    count = with_signs.count()
-    if count > most:
-        with_signs = with_signs.where(F.pmod(F.xxhash64(text_col, F.lit(13)), F.lit(1_000_000)) < F.lit(int(1_000_000 * most / count)))
 
-    @F.arrow_udf("array<struct<label: int, shape: array<double>, near: array<int>, alike: array<int>>>")
-    def examples(texts: pa.Array) -> pa.Array:
-        out = []
-        for text in texts.to_pylist():
-            found = units(text, base_spans(text))
-            tokens, labels = [text[a:b] for _, a, b in found], [label for label, _, _ in found]
-            near = [[[], []] for _ in found]
-            for i, j, kind in edges(tokens, labels):
-                near[i][kind].append(labels[j])
-                near[j][kind].append(labels[i])
-            out.append([{"label": la, "shape": list(_shape(t)), "near": n[0], "alike": n[1]} for la, t, n in zip(labels, tokens, near)])
-        return pa.array(out, pa.list_(pa.struct([("label", pa.int32()), ("shape", pa.list_(pa.float64())), ("near", pa.list_(pa.int32())),
-                                                 ("alike", pa.list_(pa.int32()))])))
-
-    rows = (with_signs.select(F.explode(examples(F.col(text_col))).alias("e")).select("e.*")
-            .groupBy("label", "shape", "near", "alike").agg(F.count("*").alias("n")).orderBy("label", "shape", "near", "alike").toArrow().to_pylist())
+    @F.arrow_udf("array<struct<key: string, n: bigint>>")
+    def counted(texts: pa.Array) -> pa.Array:
+        return pa.array([[{"key": k, "n": n} for k, n in examples(t).items()] for t in texts.to_pylist()],
+                        pa.list_(pa.struct([("key", pa.string()), ("n", pa.int64())])))
+
+    once = (docs.where(F.col(text_col).rlike("[0-9@]"))
+            .select(F.xxhash64(text_col).alias("a"), F.xxhash64(text_col, F.lit(13)).alias("b"), counted(F.col(text_col)).alias("e"))
+            .groupBy("a", "b").agg(F.first("e").alias("e")))
+    rows = once.select(F.explode("e").alias("e")).groupBy("e.key").agg(F.sum("e.n").alias("n")).orderBy("key").collect()
     labels = len(KINDS) + 1
     model = Field(np.zeros((len(SHAPE), labels)), np.zeros((2, labels, labels)))
     model.shape[0, 0] = 4.0  # nothing is personal data unless learned
-    if not any(r["label"] for r in rows):
+    table = np.array([r["key"].split(" ") for r in rows], dtype=np.int64).reshape(len(rows), 2 + 2 * labels)
+    y, n = table[:, 0], np.array([r["n"] for r in rows], float)
+    if not y.any():
         return model
-    x, y, w = np.array([r["shape"] for r in rows]), np.array([r["label"] for r in rows]), np.array([r["n"] for r in rows], float)
-    around = np.stack([[np.bincount(r[side] or [0], minlength=labels) * bool(r[side]) for r in rows] for side in ("near", "alike")]).astype(float)
-    truth = np.eye(labels)[y]
-    w /= w.sum()
-    prior = model.shape.copy()
-    for _ in range(steps):
-        miss = w[:, None] * (truth - _softmax(x @ model.shape + np.einsum("sni,sij->nj", around, model.pair)))
-        model.shape += rate * (x.T @ miss - ridge * (model.shape - prior))
-        step = np.einsum("sni,nj->sij", around, miss)
-        model.pair += rate * ((step + step.transpose(0, 2, 1)) / 2 - ridge * model.pair)
+    x = (table[:, 1:2] >> np.arange(len(SHAPE)) & 1).astype(float)
+    around = table[:, 2:].reshape(len(rows), 2, labels).astype(float)
+    of = np.bincount(y, n, labels)
+    learn(model, x, y, around, n / of[y] / np.count_nonzero(of), ridge)
     return model
 
 
+def learn(model: Field, x: np.ndarray, y: np.ndarray, around: np.ndarray, w: np.ndarray, ridge: float, steps: int = 200) -> float:
+    """Newton steps on the weighted likelihood less ``ridge`` times half the squared distance from the first weights;
+    the tables of pairs stay symmetric. Gives the largest derivative left."""
+    labels = model.shape.shape[1]
+    pairs = [(i, j) for i in range(labels) for j in range(i, labels)]
+    wide = x.shape[1] * labels
+    size = wide + 2 * len(pairs)
+
+    def features(at: slice) -> np.ndarray:
+        """(row, label, weight)"""
+        out = np.zeros((len(x[at]), labels, size))
+        for label in range(labels):
+            out[:, label, label:wide:labels] = x[at]
+            for side in range(2):
+                for p, (i, j) in enumerate(pairs):
+                    if label in (i, j):
+                        out[:, label, wide + side * len(pairs) + p] = around[at, side, j if label == i else i]
+        return out
+
+    first = np.concatenate([model.shape.ravel(), *[[model.pair[side][p] for p in pairs] for side in range(2)]])
+    parts = [slice(k, k + 2_000) for k in range(0, len(x), 2_000)]
+
+    def value(theta: np.ndarray) -> float:
+        total = -ridge / 2 * ((theta - first) ** 2).sum()
+        for at in parts:
+            scores = features(at) @ theta
+            top = scores.max(1)
+            total += (w[at] * (scores[np.arange(len(scores)), y[at]] - top - np.log(np.exp(scores - top[:, None]).sum(1)))).sum()
+        return total
+
+    theta, steepest = first.copy(), math.inf
+    for _ in range(steps):
+        slope, curve = -ridge * (theta - first), ridge * np.eye(size)
+        for at in parts:
+            f = features(at)
+            p = _softmax(f @ theta)
+            mean = np.einsum("nl,nls->ns", p, f)
+            slope += w[at] @ (f[np.arange(len(f)), y[at]] - mean)
+            flat = (f * np.sqrt(p * w[at, None])[:, :, None]).reshape(-1, size)
+            curve += flat.T @ flat - (mean * w[at, None]).T @ mean
+        steepest = np.abs(slope).max()
+        if steepest <= FLAT:
+            break
+        step, now, size_of = np.linalg.solve(curve, slope), value(theta), 1.0
+        while size_of > 1e-9 and value(theta + size_of * step) < now:
+            size_of /= 2
+        theta = theta + size_of * step
+    model.shape[:] = theta[:wide].reshape(model.shape.shape)
+    for side in range(2):
+        for p, (i, j) in enumerate(pairs):
+            model.pair[side, i, j] = model.pair[side, j, i] = theta[wide + side * len(pairs) + p]
+    return float(steepest)
+
+
 def spans(text: Column, model: Field) -> Column:
     """array<struct<kind, start, end, base>> of a text, by kind in the order of KINDS, then place; code points, end
     exclusive. NULL and empty texts have none. Base spans are always there; others never overlap them."""
