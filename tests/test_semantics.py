@@ -302,3 +302,20 @@ def test_route_state_ladder():
     assert not flags[0] and flags[1] and flags[4]
     state, flags = step(state, 13 * day, None, False, False)
     assert flags == (False, False, False, False, False, False)
+
+
+def test_track_lines_hold_every_vertex(spark):
+    start = dt.datetime(2026, 1, 1)
+    rows = [(m, start + dt.timedelta(minutes=i // 2), 50.0 + i % 7, float(i)) for m, n in ((1, 1), (2, 2), (3, 1000), (4, 1999), (5, 2500)) for i in range(n)]
+    df = spark.createDataFrame(rows, "mmsi int, at timestamp, latitude double, longitude double")
+    points = history.track_points(df, "mmsi", "at", F.lit(start))
+    got = defaultdict(dict)
+    for r in history.track_lines(points, "mmsi", "at").collect():
+        got[r.mmsi][r.piece] = [tuple(v) for v in r.path]
+    assert {m: sorted(map(len, p.values())) for m, p in got.items()} == {2: [2], 3: [1000], 4: [1000, 1000], 5: [502, 1000, 1000]}
+    for m, pieces in got.items():
+        track = pieces[len(pieces) - 1]
+        for k in range(len(pieces) - 2, -1, -1):
+            assert pieces[k][0] == track[-1]
+            track = track + pieces[k][1:]
+        assert track == [(at, lon, lat) for _, at, lat, lon in sorted(r for r in rows if r[0] == m)]

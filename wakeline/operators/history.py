@@ -174,11 +174,21 @@ def track_points(rows: DataFrame, key: str, at: str, since: Column, n: int | Non
 
 
 def track_lines(points: DataFrame, key: str, at: str, vertices: int = 1000) -> DataFrame:
-    """One row per identity with at least two points: their number, and a line through the newest ``vertices``."""
-    vertex = F.when(F.col("age_rank") <= vertices, F.struct(F.col(at), F.col("longitude"), F.col("latitude")))
-    lines = points.groupBy(key).agg(F.count("*").alias("track_point_count"),
-                                    F.array_sort(F.collect_list(vertex)).alias("path"))
-    return lines.where("track_point_count >= 2")
+    """(key, piece, path): the whole track of every identity with at least two points, oldest vertex of a path first.
+
+    A track is cut into pieces of up to ``vertices`` vertices, at least two; piece 0 is the newest. A piece ends at the
+    vertex the next newer one begins at.
+    """
+    if vertices < 2:
+        raise ValueError("a piece of a track has at least two vertices")
+    step, place = vertices - 1, F.col("age_rank").cast("bigint") - 1
+    piece = F.floor(place / step)
+    # The last vertex of a piece, by age, is the first of the next one.
+    pieces = F.when((place > 0) & (place % step == 0), F.array(piece - 1, piece)).otherwise(F.array(piece))
+    vertex = F.struct((-place).alias("newness"), F.col(at), F.col("longitude"), F.col("latitude"))
+    lines = (points.select(key, F.explode(pieces).alias("piece"), vertex.alias("vertex")).groupBy(key, "piece")
+             .agg(F.array_sort(F.collect_list("vertex")).alias("path")).where(F.size("path") >= 2))
+    return lines.withColumn("path", F.transform("path", lambda v: F.struct(v[at].alias(at), v["longitude"].alias("longitude"), v["latitude"].alias("latitude"))))
 
 
 def previous_step(positions: DataFrame, key: str, at: str, seq: str, chunk_seconds: int = 86400) -> DataFrame:

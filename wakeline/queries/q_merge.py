@@ -192,11 +192,12 @@ SELECT mmsi, epoch_us(observed_at) AS us, CASE WHEN n = 1 THEN 'latest_in_window
 UNION ALL SELECT mmsi, NULL, 'historical_track', c FROM l WHERE c >= 2""")
 def _(t):
     pts = history.track_points(t.contacts, "mmsi", "observed_at", t.as_of - F.expr("INTERVAL 240 HOUR"))
-    lines = history.track_lines(pts, "mmsi", "observed_at")
+    # The points of a track are counted from the vertices of all its pieces, which share their end points.
+    lines = history.track_lines(pts, "mmsi", "observed_at").groupBy("mmsi").agg((F.sum(F.size("path") - 1) + 1).alias("points"))
     return pts.select("mmsi", F.unix_micros("observed_at").alias("us"), F.col("timeline_role").alias("role"),
                       F.lit(None).cast("bigint").alias("points")).unionByName(lines.select(
                           "mmsi", F.lit(None).cast("bigint").alias("us"), F.lit("historical_track").alias("role"),
-                          F.col("track_point_count").alias("points")))
+                          F.col("points")))
 
 
 @query("ord01_newest_cap", """
