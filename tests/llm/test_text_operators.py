@@ -339,3 +339,15 @@ def test_labels_reach_every_mention_of_a_text(spark):
     tokens, labels = ["017-555-7713"] * 1_000, [0] * 999 + [4]
     links = pii.edges(tokens, labels)
     assert {i for i, j, kind in links if j == 999 and kind} == set(range(999)) and len(links) <= 3 * len(tokens)
+
+
+@pytest.mark.parametrize("words, mean, most", [(14, 0.11, 0.32), (30, 0.07, 0.2), (120, 0.035, 0.09), (4_000, 0.008, 0.02)])
+def test_likeness_error_by_length(words, mean, most):
+    r = random.Random(words)
+    errors = []
+    for k in range(300):
+        text = [f"w{k}x{i}" for i in range(words)]
+        a, b = (shingles(" ".join(t), 5) for t in (text, text[:r.randint(0, words)] + ["other"] * 5))
+        shared = len(np.intersect1d(a, b))
+        errors.append(abs(fingerprints.likeness(fingerprints.write(a), fingerprints.write(b)) - shared / (len(a) + len(b) - shared)))
+    assert np.mean(errors) <= mean and np.quantile(errors, 0.95) <= most
