@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import byte_bpe, chat, fingerprints, html_extract, ngram_join, packing, pii, quality, sharding, topk
+from wakeline.llm import alignment, byte_bpe, chat, divergence, fingerprints, html_extract, ngram_join, packing, pii, quality, sharding, token_counts, topk
 from wakeline.llm.common import settle, table
 
 QUERIES = {}
@@ -180,3 +180,53 @@ def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
 def op8_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     """Main text of all pages."""
     return html_extract.extract(table(spark, folder, "pages", "page_id", "url", "html"))
+
+
+@query
+def op11_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes and tokens of every text, and whether it has over 512 tokens."""
+    settle(spark)
+    text = F.col("text")
+    return table(spark, folder, "documents", "doc_id", "text").select(
+        "doc_id", F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint").alias("n_bytes"),
+        token_counts.token_count(text, public_tokenizers.path("byte_bpe_50k.json")).alias("n_tokens")).withColumn(
+        "over_limit", F.col("n_tokens") > 512)
+
+
+@query
+def op12_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups and links of two tokenizations of every text."""
+    return alignment.align_documents(table(spark, folder, "documents", "doc_id", "text"),
+                                     public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    """Distances of all sources of a language, and the terms each uses more than its language."""
+    return divergence.divergence(table(spark, folder, "documents", "text", "lang", "source"))
+
+
+CHECKS["op13_source_divergence"] = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+words AS (SELECT doc_id, lang, source, unnest(t) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT doc_id) >= 30),
+langs AS (SELECT d.lang, count(k.term) AS v, coalesce(sum(k.n), 0) AS total FROM (SELECT DISTINCT lang FROM docs) d LEFT JOIN kept k USING (lang) GROUP BY d.lang),
+counts AS (SELECT w.lang, w.source, w.term, count(*) AS c FROM words w JOIN kept k ON w.lang = k.lang AND w.term = k.term GROUP BY ALL),
+totals AS (SELECT lang, source, sum(c) AS n FROM counts GROUP BY ALL),
+groups AS (SELECT g.lang, g.source, coalesce(t.n, 0) AS n, v, total FROM (SELECT DISTINCT lang, source FROM docs) g
+  JOIN langs USING (lang) LEFT JOIN totals t ON t.lang = g.lang AND t.source = g.source),
+shares AS (SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c, 1 + 1000000000::HUGEINT * (coalesce(c.c, 0) + 5) // (g.n + 5 * v) AS p,
+    1 + 1000000000::HUGEINT * (k.n + 5) // (total + 5 * v) AS q
+  FROM groups g JOIN kept k ON k.lang = g.lang LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+far AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN far f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q)::BIGINT FROM shares WHERE c > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM found)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
