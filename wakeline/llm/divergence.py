@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -113,29 +114,27 @@ def share(count: Column, total: Column, terms: Column, scale: int, prior: int) -
 
 
 def _distances(rows: pa.Table) -> pa.Table:
-    """Over the terms of one slice that either of two blocks has: (a, b, sum of distances, number of such terms)."""
-    term = rows["term"].combine_chunks().dictionary_encode()
-    n_terms = len(term.dictionary)
-    at = term.indices.to_numpy()
-    side = rows["side"].to_numpy()
+    """Over the terms of one slice that either of two blocks has: (a, b, sum of distances, number of such terms).
+
+    Every source of the two blocks has a row with the term '', which brings its share of a term it does not have."""
     source = rows["source"].combine_chunks().dictionary_encode()
-    p, base, code = rows["p"].to_numpy(), rows["base"].to_numpy(), source.indices.to_numpy()
-    blocks = []
+    term = rows["term"].combine_chunks()
+    real = pa.compute.not_equal(term, "").to_numpy(zero_copy_only=False)
+    term = term.filter(pa.array(real)).dictionary_encode()
+    side, code, p = rows["side"].to_numpy(), source.indices.to_numpy(), rows["p"].to_numpy()
+    n_terms, names, tables = len(term.dictionary), [], []
     for k in (0, 1):
-        on = side == k
-        names, index = np.unique(code[on], return_inverse=True)
-        floor = np.zeros(len(names), np.int64)
-        floor[index] = base[on]
-        table = np.repeat(floor[:, None], n_terms, axis=1)
-        table[index, at[on]] = p[on]
-        blocks.append((names, floor, table))
-    (a, _base_a, left), (b, _base_b, right) = blocks
-    total = np.array([np.abs(right - row).sum(axis=1) for row in left]).reshape(len(a), len(b))
-    names = source.dictionary
-    keys = [pa.array([rows[k][0].as_py()] * total.size, rows[k].type) for k in ("lang",)]
-    return pa.table([*keys, names.take(pa.array(np.repeat(a, len(b)))), names.take(pa.array(np.tile(b, len(a)))),
-                     pa.array(total.reshape(-1)), pa.array(np.full(total.size, n_terms, np.int64))],
-                    names=["lang", "source", "item", "value", "seen"])
+        here = side == k
+        of, first = np.unique(code[here & ~real], return_index=True)
+        table = np.repeat(p[here & ~real][first][:, None], n_terms, axis=1)
+        table[np.searchsorted(of, code[here & real]), term.indices.to_numpy()[here[real]]] = p[here & real]
+        names.append(of)
+        tables.append(table)
+    (a, b), (left, right) = names, tables
+    total = np.array([np.abs(right - row).sum(axis=1) for row in left], np.int64).reshape(-1)
+    lang = pa.array([rows["lang"][0].as_py()] * len(total), pa.string())
+    return pa.table([lang, source.dictionary.take(pa.array(np.repeat(a, len(b)))), source.dictionary.take(pa.array(np.tile(b, len(a)))),
+                     pa.array(total), pa.array(np.full(len(total), n_terms, np.int64))], names=["lang", "source", "item", "value", "seen"])
 
 
 def divergence(docs: DataFrame, least_docs: int = 30, top: int = 50, scale: int = 1_000_000_000, prior: int = 5, **columns: str) -> DataFrame:
@@ -159,14 +158,16 @@ def divergence(docs: DataFrame, least_docs: int = 30, top: int = 50, scale: int
 
     # Pairs of blocks of sources over slices of terms.
     p = share(F.col("count"), F.col("total"), F.col("v"), scale, prior)
-    rows = terms.join(by_group, ["lang", "source"]).select(
-        "lang", "source", "term", "count", p.alias("p"), "base", "blocks", "v", "lang_total",
-        F.pmod(F.xxhash64("source"), F.col("blocks")).alias("block"),
-        F.pmod(F.xxhash64("term", F.lit(3)), F.ceil(F.col("v") / SLICE_TERMS)).alias("slice"))
-    others = F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)
-    sides = [rows.select("lang", "source", "term", "p", "base", "slice", F.lit(side).alias("side"),
-                         *((F.col("block").alias("a"), F.explode(others).alias("b")) if side == 0 else
-                           (F.explode(others).alias("a"), F.col("block").alias("b")))) for side in (0, 1)]
+    slices = F.ceil(F.col("v") / SLICE_TERMS)
+    rows = terms.join(by_group, ["lang", "source"]).select("lang", "source", "term", "count", p.alias("p"), "blocks", "v", "lang_total")
+    dealt = rows.select("lang", "source", "term", "p", "blocks", F.pmod(F.xxhash64("term", F.lit(3)), slices).alias("slice"))
+    every = by_group.where("v > 0").select("lang", "source", F.lit("").alias("term"), F.col("base").alias("p"), "blocks",
+                                           F.explode(F.sequence(F.lit(0).cast("bigint"), slices - 1)).alias("slice"))
+    block = F.pmod(F.xxhash64("source"), F.col("blocks"))
+    others = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
+    sides = [dealt.unionByName(every).select("lang", "source", "term", "p", "slice", F.lit(side).alias("side"),
+                                             *((block.alias("a"), others.alias("b")) if side == 0 else (others.alias("a"), block.alias("b"))))
+             for side in (0, 1)]
     near = sides[0].unionByName(sides[1]).groupBy("lang", "slice", "a", "b").applyInArrow(
         _distances, "lang string, source string, item string, value bigint, seen bigint").where("source <> item")
     near = near.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"), F.sum("seen").alias("seen"))
