@@ -17,9 +17,11 @@ from __future__ import annotations
 import os
 import re
 import uuid
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import sha256
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -41,42 +43,37 @@ MEMO_CHARS = 48
 
 #: A space between other characters than spaces, the next one no white space: both tokenizers cut before it.
 CUT = re.compile(r"(?<=[^ ]) (?=\S)")
+GLUE = re.compile(r" (?:\s|$)")
 
-Tokens = tuple[list[int], list[bytes]]
+Ids = np.ndarray
 
 
-def align(a: Tokens, b: Tokens) -> tuple[list[tuple[list[int], list[int]]], list[tuple[int, int]]]:
-    """(groups, links) of two tokenizations (ids and bytes) of the same bytes.
+def cut_points(a_ends: list[int], b_ends: list[int]) -> tuple[list[int], np.ndarray, np.ndarray]:
+    """The common ends in order, and behind which token of A and of B each lies. The later of equal ends counts, so
+    a slice reaches over tokens without bytes."""
+    after_a, after_b = dict(zip(a_ends, count(1))), dict(zip(b_ends, count(1)))
+    common = sorted(after_a.keys() & after_b.keys())
+    return common, *(np.fromiter(map(after.__getitem__, common), np.int64, len(common)) for after in (after_a, after_b))
 
-    A group is a pair of id lists between two neighbouring common ends. Links are all pairs of ids whose byte
-    ranges end together. Tokens without bytes end where the one before them ends and belong to its group.
-    """
-    ends = []
-    for _ids, parts in (a, b):
-        at, out = 0, []
-        for part in parts:
-            at += len(part)
-            out.append(at)
-        ends.append(out)
-    # The later one of equal ends is kept, so a slice reaches over tokens without bytes.
-    after_a, after_b = ({end: k + 1 for k, end in enumerate(out)} for out in ends)
-    groups, links, i, j = [], [], 0, 0
-    for end in sorted(after_a.keys() & after_b.keys()):
-        p, q = after_a[end], after_b[end]
-        groups.append((a[0][i:p], b[0][j:q]))
-        links += [(x, y) for x, e in zip(a[0][i:p], ends[0][i:p]) if e == end for y, f in zip(b[0][j:q], ends[1][j:q]) if f == end]
-        i, j = p, q
-    return groups, links
-
-
-def written(groups: list[tuple[list[int], list[int]]]) -> str:
-    return ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups)
+
+def align(a_ends: Ids, b_ends: Ids) -> tuple[Ids, Ids, list[tuple[int, int]] | None]:
+    """Cumulative byte ends of two tokenizations of the same bytes -> (ends of the groups in A, in B, links).
+
+    Group k is what lies between the ends k - 1 and k. Links are all (index of A, index of B) whose byte ranges end
+    together; None stands for the last ones of each group, which are all where every token has bytes."""
+    common, p, q = cut_points(a_ends.tolist(), b_ends.tolist())
+    if (np.diff(a_ends, prepend=0) > 0).all() and (np.diff(b_ends, prepend=0) > 0).all():
+        return p, q, None
+    links, i, j = [], 0, 0
+    for end, x, y in zip(common, p.tolist(), q.tolist()):
+        links += [(k, m) for k in range(i, x) if a_ends[k] == end for m in range(j, y) if b_ends[m] == end]
+        i, j = x, y
+    return p, q, links
 
 
 class Aligner:
     """Tokenizers A (a byte-level vocabulary of the tokenizers library, on a space and the text) and B (a piece
-    model of sentencepiece, which adds the space itself). ``words(text)``: for each word (tokens of A, tokens of
-    B, groups, link pairs), or None if a joined side differs from a space and the text."""
+    model of sentencepiece, which adds the space itself)."""
 
     def __init__(self, byte_path: str, piece_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -87,46 +84,85 @@ class Aligner:
         self.a.encode_special_tokens = True  # their strings in a text are ordinary text
         self.a.no_padding()
         self.a.no_truncation()
-        alphabet = byte_alphabet()
-        self.a_bytes = {i: bytes(alphabet[c] for c in name) if all(c in alphabet for c in name) else name.encode()
-                        for name, i in self.a.get_vocab().items()}
+        alphabet, names = byte_alphabet(), self.a.get_vocab()
+        self.a_bytes = [b""] * (max(names.values()) + 1)
+        for name, i in names.items():
+            self.a_bytes[i] = bytes(alphabet[c] for c in name) if all(c in alphabet for c in name) else name.encode()
         self.b = sentencepiece.SentencePieceProcessor(model_file=piece_path)
+        pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
-                        for i, piece in ((i, self.b.id_to_piece(i)) for i in range(self.b.get_piece_size()))]
+                        for i, piece in enumerate(pieces)]
+        self.a_length, self.b_length = (np.array(list(map(len, table)), np.int64) for table in (self.a_bytes, self.b_bytes))
+        self.a_opens, self.b_opens = (np.array([part[:1] == b" " for part in table]) for table in (self.a_bytes, self.b_bytes))
         # Word by word is sound if no piece reaches over the begin of a word.
-        self.by_word = not any("▁" in piece.lstrip("▁") for piece in map(self.b.id_to_piece, range(self.b.get_piece_size())))
-        self.known = Memo(lambda word: self._many([word])[0], 1 << 17, self._many)
-
-    def _many(self, words: list[str]) -> list:
-        """Words are given with their first space."""
-        out = []
-        encoded = self.a.encode_batch_fast(words, add_special_tokens=False)
-        pieces = self.b.encode([w[1:] for w in words], num_threads=1)
-        for word, one, b_ids in zip(words, encoded, pieces):
-            a_ids, want = one.ids, word.encode()
-            a_parts, b_parts = [self.a_bytes[i] for i in a_ids], [self.b_bytes[i] for i in b_ids]
-            if b"".join(a_parts) != want or b"".join(b_parts) != want:
-                out.append(None)
-                continue
-            groups, links = align((a_ids, a_parts), (b_ids, b_parts))
-            out.append((len(a_ids), len(b_ids), len(groups), written(groups), np.array([x << 32 | y for x, y in links], np.int64)))
-        return out
-
-    def words(self, text: str) -> list | None:
-        if not text or "▁" in text or not self.by_word:  # a text with the space mark itself is taken whole
-            parts = self._many([" " + text]) if text else [None]
-            return None if parts[0] is None else parts
-        first, *rest = CUT.split(" " + text)
-        words = [first, *(" " + word for word in rest)]
+        self.by_word = not any("▁" in piece.lstrip("▁") for piece in pieces)
+        # Ids as they are written: A before a comma, A before a bar, B before a comma, B before a semicolon.
+        self.shift = len(self.a_bytes)
+        self.shown = [f"{i}{mark}" for mark in ",|" for i in range(self.shift)] + [f"{i}{mark}" for mark in ",;" for i in range(len(pieces))]
+        self.known = Memo(self._plain, 1 << 19, self._many)
+
+    def _plain(self, word: str) -> tuple[bytes, bytes]:
+        """Ids of A and B of a space and ``word`` as little-endian 32-bit integers."""
+        a = self.a.encode_batch_fast([" " + word], add_special_tokens=False)[0].ids
+        return np.array(a, "<u4").tobytes(), np.array(self.b.encode(word), "<u4").tobytes()
+
+    def _many(self, words: list[str]) -> list[tuple[bytes, bytes]]:
+        """Words without white space inside are encoded as one text: each begins with the next token that opens with a space."""
+        out, rest = {}, words
+        plain = [w for w in words if w.split() == [w]]
+        if plain:
+            text, sides = " ".join(plain), []
+            for ids, opens in ((self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids, self.a_opens), (self.b.encode(text), self.b_opens)):
+                found = np.array(ids, "<u4")
+                at = [*(4 * np.flatnonzero(opens[found])).tolist(), 4 * len(found)]
+                data = found.tobytes()
+                sides.append([data[x:y] for x, y in zip(at, at[1:])])
+            if all(len(side) == len(plain) for side in sides):
+                out = dict(zip(plain, zip(*sides)))
+                rest = [w for w in words if w not in out]
+        if rest:
+            a = self.a.encode_batch_fast([" " + w for w in rest], add_special_tokens=False)
+            out.update((w, (array("I", x.ids).tobytes(), array("I", y).tobytes())) for w, x, y in zip(rest, a, self.b.encode(rest, num_threads=1)))
+        return [out[w] for w in words]
+
+    def encode(self, text: str) -> tuple[Ids, Ids]:
+        full = " " + text
+        if "▁" in text or not self.by_word:  # a text with the space mark itself is taken whole
+            return tuple(np.frombuffer(side, "<u4") for side in self._plain(text))
+        words = CUT.split(text) if GLUE.search(full) else text.split(" ")
         parts = list(map(self.known.get, words))
         if None in parts:
             at = [k for k, part in enumerate(parts) if part is None]
             found = self.known.fetch({words[k] for k in at if len(words[k]) <= MEMO_CHARS})
             for k in at:
-                parts[k] = found[words[k]] if len(words[k]) <= MEMO_CHARS else self._many([words[k]])[0]
-            if None in parts:
-                return None
-        return parts
+                parts[k] = found[words[k]] if len(words[k]) <= MEMO_CHARS else self._plain(words[k])
+        return tuple(np.frombuffer(b"".join([part[side] for part in parts]), "<u4") for side in (0, 1))
+
+    def document(self, text: str | None) -> dict | None:
+        """Numbers of tokens, groups and links, the digest of the groups, the pairs of ids linked and how often each;
+        None for the empty text and one that a vocabulary does not give back byte for byte."""
+        if not text:
+            return None
+        a, b = self.encode(text)
+        want = (" " + text).encode()
+        if any(b"".join(map(table.__getitem__, ids.tolist())) != want for table, ids in ((self.a_bytes, a), (self.b_bytes, b))):
+            return None
+        p, q, links = align(np.cumsum(self.a_length[a]), np.cumsum(self.b_length[b]))
+        pairs = (a[p - 1].astype(np.int64) << 32 | b[q - 1]) if links is None else np.array([int(a[x]) << 32 | int(b[y]) for x, y in links], np.int64)
+        # Each group: its ids of A, then those of B.
+        order = np.empty(len(a) + len(b), np.int64)
+        for ids, mine, others, first, last in ((a, p, np.concatenate([[0], q[:-1]]), 0, self.shift), (b, q, p, 2 * self.shift, 2 * self.shift + len(self.b_bytes))):
+            shown = ids.astype(np.int64) + first
+            shown[mine - 1] += last - first
+            order[np.arange(len(ids)) + np.repeat(others, np.diff(mine, prepend=0))] = shown
+        told = "".join(map(self.shown.__getitem__, order.tolist()))[:-1]
+        pairs, uses = np.unique(pairs, return_counts=True)
+        return {"n_a": len(a), "n_b": len(b), "n_groups": len(p), "n_links": int(uses.sum()),
+                "groups_sha256": sha256(told.encode()).hexdigest(), "pairs": pairs, "uses": uses.astype(np.int32)}
+
+
+#: Of a text without tokens.
+NOTHING = {"n_a": 0, "n_b": 0, "n_groups": 0, "n_links": 0, "groups_sha256": "", "pairs": np.zeros(0, np.int64), "uses": np.zeros(0, np.int32)}
 
 
 @lru_cache(maxsize=2)
@@ -141,7 +177,7 @@ ROW = ("block bigint, id {id}, n_a bigint, n_b bigint, n_groups bigint, n_links
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], one: Aligner, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    none, first = np.zeros(0, np.int64), TaskContext.get().partitionId() << 32
+    first = TaskContext.get().partitionId() << 32
     rows, held = [], 0
 
     def block() -> pa.RecordBatch:
@@ -156,14 +192,8 @@ def _blocks(batches: Iterator[pa.RecordBatch], one: Aligner, schema: pa.Schema)
 
     for batch in batches:
         for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            parts = one.words(text or "") or []
-            links = np.concatenate([p[4] for p in parts]) if parts else none
-            pairs, uses = np.unique(links, return_counts=True)
-            told = sha256(";".join([p[3] for p in parts]).encode()).hexdigest() if parts else ""
-            n_a, n_b, n_groups = (sum([p[k] for p in parts]) for k in range(3))
-            rows.append({"id": key, "n_a": n_a, "n_b": n_b, "n_groups": n_groups, "n_links": len(links),
-                         "groups_sha256": told, "pairs": pairs, "uses": uses.astype(np.int32)})
-            held += len(pairs)
+            rows.append({"id": key, **(one.document(text) or NOTHING)})
+            held += len(rows[-1]["pairs"])
             if len(rows) >= BLOCK_DOCS or held >= BLOCK_LINKS:
                 yield block()
                 rows, held, first = [], 0, first + 1

@@ -2,7 +2,7 @@
 
 Rows with the same text are collapsed first: one row for each different text of a language, with its number of
 copies in each source (counted before the shuffle, so a text that fills a third of the table is one row for each
-task and source). Every text is split into terms once; document frequencies and counts are added with the copies as
+task and source; a text that is alone does not move). Every text is split into terms once; document frequencies and counts are added with the copies as
 weights, and tasks send sums, not occurrences.
 
 Distances are sums over sparse counts. A term that neither of two sources has adds the same number whatever the
@@ -13,7 +13,6 @@ All arithmetic is on whole numbers.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -23,12 +22,11 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wakeline.llm.common import settle
+from wakeline.llm.common import settle, split_by_ids
 from wakeline.session import cut_lineage
 
-#: A term: characters above U+007F and letters.
-TERM = re.compile("[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+")
-LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+#: Bytes of texts in UTF-8: A-Z lower-cased, those of no term (U+0000 to U+007F but letters) as spaces.
+LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b > 127 else 32 for b in range(256))
 
 #: Sums a task holds before it sends them on.
 MOST_SUMS = 1 << 19
@@ -42,13 +40,18 @@ SUMS = "lang string, source string, term string, docs bigint, count bigint"
 def collapse(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """(lang, text, copies) of every different text of a language; ``copies`` lists (source, n). NULL is ''.
 
-    A list has at most one entry for each source of the language."""
+    A list has at most one entry for each source of the language. Texts whose hash no other row of the language has
+    are alone and stay where they are; the others are grouped by the text itself."""
     def text_of(name: str) -> Column:
         return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
     rows = docs.select(text_of(lang_col).alias("lang"), text_of(source_col).alias("source"), text_of(text_col).alias("text"))
-    by_source = rows.groupBy("lang", "text", "source").agg(F.count(F.lit(1)).alias("n"))
-    return by_source.groupBy("lang", "text").agg(F.collect_list(F.struct("source", "n")).alias("copies"))
+    keyed = rows.withColumn("key", F.xxhash64("lang", "text"))
+    again = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    maybe, alone = split_by_ids(keyed, "key", again)
+    by_source = maybe.groupBy("lang", "text", "source").agg(F.count(F.lit(1)).alias("n"))
+    groups = by_source.groupBy("lang", "text").agg(F.collect_list(F.struct("source", "n")).alias("copies"))
+    return groups.unionByName(alone.select("lang", "text", F.array(F.struct("source", F.lit(1).cast("bigint").alias("n"))).alias("copies")))
 
 
 def _add_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -63,26 +66,27 @@ def _add_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for a in range(0, len(names), 1 << 16):
                 part = names[a:a + (1 << 16)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([key[0]] * len(part)), pa.array([key[1]] * len(part)), pa.array(part, pa.string()),
+                    [pa.repeat(key[0], len(part)), pa.repeat(key[1], len(part)), pa.array(part, pa.binary()).cast(pa.string()),
                      pa.array([terms[t] for t in part], pa.int64()), pa.array([of[t] for t in part], pa.int64())],
                     ["lang", "source", "term", "docs", "count"])
 
     held = 0
     for batch in batches:
         for row in batch.to_pylist():
-            terms = Counter(TERM.findall(row["text"].translate(LOWER)))
+            words = row["text"].encode().translate(LETTERS).split()
+            different = set(words)
             for copy in row["copies"]:
                 key = row["lang"], copy["source"]
                 if key not in docs:
                     docs[key], counts[key] = Counter(), Counter()
                 d, c, n = docs[key], counts[key], copy["n"]
                 held -= len(d)
-                d[""] += n
+                d[b""] += n
                 if n == 1:
-                    d.update(terms.keys())
-                    c.update(terms)
+                    d.update(different)
+                    c.update(words)
                 else:
-                    for term, times in terms.items():
+                    for term, times in Counter(words).items():
                         d[term] += n
                         c[term] += n * times
                 held += len(d)
