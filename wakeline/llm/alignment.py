@@ -21,7 +21,7 @@ from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import sha256
-from itertools import count
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +38,9 @@ from wakeline.session import checkpoint_dir
 #: Documents of a block, and links after which a block ends.
 BLOCK_DOCS, BLOCK_LINKS = 1000, 1 << 20
 
+#: Words of a text that are aligned at once.
+PART_WORDS = 1000
+
 #: Words up to this many characters are remembered.
 MEMO_CHARS = 48
 
@@ -47,6 +50,11 @@ GLUE = re.compile(r" (?:\s|$)")
 
 Ids = np.ndarray
 
+#: How the groups of a word are written, each with a semicolon behind; its pairs of linked ids as 64-bit integers; its
+#: numbers of tokens of A, of B and of groups in one integer of three fields.
+Word = tuple[str, bytes, int]
+FIELD = 40
+
 
 def cut_points(a_ends: list[int], b_ends: list[int]) -> tuple[list[int], np.ndarray, np.ndarray]:
     """The common ends in order, and behind which token of A and of B each lies. The later of equal ends counts, so
@@ -93,72 +101,100 @@ class Aligner:
         self.b_bytes = [bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
                         for i, piece in enumerate(pieces)]
         self.a_length, self.b_length = (np.array(list(map(len, table)), np.int64) for table in (self.a_bytes, self.b_bytes))
-        self.a_opens, self.b_opens = (np.array([part[:1] == b" " for part in table]) for table in (self.a_bytes, self.b_bytes))
         # Word by word is sound if no piece reaches over the begin of a word.
         self.by_word = not any("▁" in piece.lstrip("▁") for piece in pieces)
         # Ids as they are written: A before a comma, A before a bar, B before a comma, B before a semicolon.
         self.shift = len(self.a_bytes)
         self.shown = [f"{i}{mark}" for mark in ",|" for i in range(self.shift)] + [f"{i}{mark}" for mark in ",;" for i in range(len(pieces))]
-        self.known = Memo(self._plain, 1 << 19, self._many)
-
-    def _plain(self, word: str) -> tuple[bytes, bytes]:
-        """Ids of A and B of a space and ``word`` as little-endian 32-bit integers."""
-        a = self.a.encode_batch_fast([" " + word], add_special_tokens=False)[0].ids
-        return np.array(a, "<u4").tobytes(), np.array(self.b.encode(word), "<u4").tobytes()
-
-    def _many(self, words: list[str]) -> list[tuple[bytes, bytes]]:
-        """Words without white space inside are encoded as one text: each begins with the next token that opens with a space."""
-        out, rest = {}, words
+        self.known = Memo(lambda word: self._many([word])[0], 1 << 19, self._many)
+
+    def _ids(self, words: list[str]) -> tuple[list[int], list[int]]:
+        """Ids of A and of B of all words, each with a space before it, put end to end."""
+        if all(w.split() == [w] for w in words):  # without white space inside: encoded as one text
+            text = " ".join(words)
+            return self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids, self.b.encode(text)
+        a = self.a.encode_batch_fast([" " + w for w in words], add_special_tokens=False)
+        return list(chain.from_iterable(x.ids for x in a)), list(chain.from_iterable(self.b.encode(words, num_threads=1)))
+
+    def _many(self, words: list[str]) -> list[Word | None]:
+        """Words between cuts, aligned at once."""
         plain = [w for w in words if w.split() == [w]]
-        if plain:
-            text, sides = " ".join(plain), []
-            for ids, opens in ((self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids, self.a_opens), (self.b.encode(text), self.b_opens)):
-                found = np.array(ids, "<u4")
-                at = [*(4 * np.flatnonzero(opens[found])).tolist(), 4 * len(found)]
-                data = found.tobytes()
-                sides.append([data[x:y] for x, y in zip(at, at[1:])])
-            if all(len(side) == len(plain) for side in sides):
-                out = dict(zip(plain, zip(*sides)))
-                rest = [w for w in words if w not in out]
-        if rest:
-            a = self.a.encode_batch_fast([" " + w for w in rest], add_special_tokens=False)
-            out.update((w, (array("I", x.ids).tobytes(), array("I", y).tobytes())) for w, x, y in zip(rest, a, self.b.encode(rest, num_threads=1)))
-        return [out[w] for w in words]
-
-    def encode(self, text: str) -> tuple[Ids, Ids]:
-        full = " " + text
+        found = dict(zip(plain, self._aligned(plain)))
+        rest = [w for w in words if w not in found]
+        found.update(zip(rest, self._aligned(rest)))
+        return [found[w] for w in words]
+
+    def _aligned(self, words: list[str]) -> list[Word | None]:
+        if not words:
+            return []
+        a, b = self._ids(words)
+        want = "".join([" " + w for w in words]).encode()
+        if any(b"".join(map(table.__getitem__, ids)) != want for table, ids in ((self.a_bytes, a), (self.b_bytes, b))):
+            if len(words) == 1:
+                return [None]
+            half = len(words) // 2
+            return self._aligned(words[:half]) + self._aligned(words[half:])
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        a_end, b_end = np.cumsum(self.a_length[a]), np.cumsum(self.b_length[b])
+        p, q, links = align(a_end, b_end)
+        ends = a_end[p - 1]
+        if links is None:
+            pairs, pair_end = a[p - 1] << 32 | b[q - 1], ends
+        else:
+            pairs = np.array([int(a[x]) << 32 | int(b[y]) for x, y in links], np.int64)
+            pair_end = a_end[[x for x, _y in links]]
+        # Each group as it is written: its ids of A, then those of B.
+        order = np.empty(len(a) + len(b), np.int64)
+        for ids, mine, others, first, last in ((a, p, np.concatenate([[0], q[:-1]]), 0, self.shift), (b, q, p, 2 * self.shift, 2 * self.shift + len(self.b_bytes))):
+            shown = ids + first
+            shown[mine - 1] += last - first
+            order[np.arange(len(ids)) + np.repeat(others, np.diff(mine, prepend=0))] = shown
+        told = list(map(self.shown.__getitem__, order.tolist()))
+        # The end of a word is a common end: what lies between two of them is the word's.
+        word_end = np.cumsum([len(w.encode()) + 1 for w in words])
+        group = np.searchsorted(ends, word_end) + 1
+        n_a, n_b, n_links = p[group - 1], q[group - 1], np.searchsorted(pair_end, word_end, "right")
+        out, x, i, j, g = [], 0, 0, 0, 0
+        data = pairs.tobytes()
+        for y, k, m, h in zip(n_links.tolist(), n_a.tolist(), n_b.tolist(), group.tolist()):
+            out.append(("".join(told[i + j:k + m]), data[8 * x:8 * y], (k - i) | (m - j) << FIELD | (h - g) << 2 * FIELD))
+            x, i, j, g = y, k, m, h
+        return out
+
+    def words(self, text: str) -> Iterator[list[Word | None]]:
+        """The words of a text, part by part: both tokenizers cut between them."""
         if "▁" in text or not self.by_word:  # a text with the space mark itself is taken whole
-            return tuple(np.frombuffer(side, "<u4") for side in self._plain(text))
-        words = CUT.split(text) if GLUE.search(full) else text.split(" ")
-        parts = list(map(self.known.get, words))
-        if None in parts:
-            at = [k for k, part in enumerate(parts) if part is None]
-            found = self.known.fetch({words[k] for k in at if len(words[k]) <= MEMO_CHARS})
-            for k in at:
-                parts[k] = found[words[k]] if len(words[k]) <= MEMO_CHARS else self._plain(words[k])
-        return tuple(np.frombuffer(b"".join([part[side] for part in parts]), "<u4") for side in (0, 1))
+            yield self._aligned([text])
+            return
+        words = CUT.split(text) if GLUE.search(" " + text) else text.split(" ")
+        for start in range(0, len(words), PART_WORDS):
+            part = words[start:start + PART_WORDS]
+            known = list(map(self.known.get, part))
+            if None in known:
+                at = [k for k, one in enumerate(known) if one is None]
+                found = self.known.fetch({part[k] for k in at if len(part[k]) <= MEMO_CHARS})
+                for k in at:
+                    known[k] = found[part[k]] if len(part[k]) <= MEMO_CHARS else self._aligned([part[k]])[0]
+            yield known
 
     def document(self, text: str | None) -> dict | None:
         """Numbers of tokens, groups and links, the digest of the groups, the pairs of ids linked and how often each;
         None for the empty text and one that a vocabulary does not give back byte for byte."""
         if not text:
             return None
-        a, b = self.encode(text)
-        want = (" " + text).encode()
-        if any(b"".join(map(table.__getitem__, ids.tolist())) != want for table, ids in ((self.a_bytes, a), (self.b_bytes, b))):
-            return None
-        p, q, links = align(np.cumsum(self.a_length[a]), np.cumsum(self.b_length[b]))
-        pairs = (a[p - 1].astype(np.int64) << 32 | b[q - 1]) if links is None else np.array([int(a[x]) << 32 | int(b[y]) for x, y in links], np.int64)
-        # Each group: its ids of A, then those of B.
-        order = np.empty(len(a) + len(b), np.int64)
-        for ids, mine, others, first, last in ((a, p, np.concatenate([[0], q[:-1]]), 0, self.shift), (b, q, p, 2 * self.shift, 2 * self.shift + len(self.b_bytes))):
-            shown = ids.astype(np.int64) + first
-            shown[mine - 1] += last - first
-            order[np.arange(len(ids)) + np.repeat(others, np.diff(mine, prepend=0))] = shown
-        told = "".join(map(self.shown.__getitem__, order.tolist()))[:-1]
-        pairs, uses = np.unique(pairs, return_counts=True)
-        return {"n_a": len(a), "n_b": len(b), "n_groups": len(p), "n_links": int(uses.sum()),
-                "groups_sha256": sha256(told.encode()).hexdigest(), "pairs": pairs, "uses": uses.astype(np.int32)}
+        digest, linked, sizes, open_end = sha256(), [], 0, ""
+        for words in self.words(text):
+            if None in words:
+                return None
+            told, links, numbers = zip(*words)
+            digest.update((open_end + "".join(told)[:-1]).encode())
+            linked += links
+            sizes += sum(numbers)
+            open_end = ";"
+        pairs, uses = np.unique(np.frombuffer(b"".join(linked), np.int64), return_counts=True)
+        mask = (1 << FIELD) - 1
+        return {"n_a": sizes & mask, "n_b": sizes >> FIELD & mask, "n_groups": sizes >> 2 * FIELD, "n_links": int(uses.sum()),
+                "groups_sha256": digest.hexdigest(), "pairs": pairs, "uses": uses.astype(np.int32)}
 
 
 #: Of a text without tokens.
