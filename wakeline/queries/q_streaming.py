@@ -37,13 +37,35 @@ def _(t):
     return live.read_contacts(t.spark, path + "/out", "id", FIELDS).withColumns({"latitude": F.round("latitude", 6), "longitude": F.round("longitude", 6)})
 
 
-@query("str02_route_state_stream", f"WITH {ROUTES} SELECT event_id, {', '.join(FLAGS)} FROM rt")
+# Arrival: slices of eight days; every third row of a slice's last two days comes with the next slice. A row is late
+# if its identity has a newer one in an earlier slice. A lead of ten days ends where no declaration came before its
+# end, once the identity is seen after it or the watermark (three days behind the newest row) has passed it.
+_SLICE = "CAST(floor(({us} - 1704067200000000) / 691200000000) AS INT)"
+_ARRIVAL = _SLICE.format(us="{us}") + " + CASE WHEN event_id % 3 = 0 AND " + _SLICE.format(us="{us} + 172800000000") + " > " + _SLICE.format(us="{us}") + " THEN 1 ELSE 0 END"
+ARRIVED = f"""ar AS (SELECT *, epoch_us(observed_at) AS us, {_ARRIVAL.format(us='epoch_us(observed_at)')} AS slice FROM v_voyages),
+newest AS (SELECT identity_key, slice, max(max(us)) OVER (PARTITION BY identity_key ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM ar GROUP BY 1, 2),
+lt AS (SELECT ar.*, coalesce(us < seen, false) AS late FROM ar JOIN newest USING (identity_key, slice)),
+intime AS (SELECT * FROM lt WHERE NOT late)"""
+
+
+@query("str02_route_state_stream", f"""
+WITH {ARRIVED}, {ROUTES.replace('FROM v_voyages', 'FROM intime')},
+ends AS (SELECT identity_key, epoch_us(observed_at) + 864000000000 AS at_us FROM rt c WHERE changed_event AND NOT EXISTS (SELECT 1 FROM intime h WHERE h.identity_key = c.identity_key
+  AND h.declared AND h.us > epoch_us(c.observed_at) AND h.us <= epoch_us(c.observed_at) + 864000000000))
+SELECT identity_key, event_id, epoch_us(observed_at) AS at_us, {', '.join(FLAGS)}, false AS lead_ended, false AS late FROM rt
+UNION ALL SELECT identity_key, event_id, us, {', '.join(['NULL'] * len(FLAGS))}, false, true FROM lt WHERE late
+UNION ALL SELECT identity_key, NULL, at_us, {', '.join(['NULL'] * len(FLAGS))}, true, false FROM ends e
+WHERE at_us < (SELECT max(us) FROM ar) - 259200000000 OR EXISTS (SELECT 1 FROM intime h WHERE h.identity_key = e.identity_key AND h.us > e.at_us)""")
 def _(t):
     path = scratch(t)
-    rows = stream(t, "voyages").select(
-        "identity_key", "event_id", "observed_at", F.col("destination").alias("place"), "declared", "port_seen")
-    live.run_to_files(route_stream(rows), path + "/cp", path + "/out")
-    return t.spark.read.parquet(path + "/out").where("NOT late").select("event_id", *FLAGS)
+    rows = t.voyages.select("identity_key", "event_id", "observed_at", F.col("destination").alias("place"), "declared", "port_seen")
+    arrival = F.expr(_ARRIVAL.format(us="unix_micros(observed_at)"))
+    for k in range(5):  # one file a slice, one slice a micro-batch
+        rows.where(arrival == k).coalesce(1).write.parquet(f"{path}/in/{k}")
+    arriving = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(path + "/in")
+    with live.rocksdb(t.spark):
+        live.run_to_files(route_stream(arriving, delay="3 days"), path + "/cp", path + "/out")
+    return t.spark.read.parquet(path + "/out")
 
 
 @query("str03_unique_event_stream", f"""

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from wakeline import params as P
 from wakeline.operators.filters import retention_reject
@@ -135,7 +137,25 @@ def run_once(stream: DataFrame, checkpoint: str, batch: Callable[[DataFrame, int
     query.awaitTermination()
 
 
-def run_to_files(stream: DataFrame, checkpoint: str, path: str) -> None:
+#: The state store that timers and growing state need; the default one holds all state on the heap.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def rocksdb(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state in RocksDB."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def run_to_files(stream: DataFrame, checkpoint: str, path: str) -> StreamingQuery:
+    """Processes everything available into Parquet files and stops."""
     query = (stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
              .option("path", path).trigger(availableNow=True).start())
     query.awaitTermination()
+    return query

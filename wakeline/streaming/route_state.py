@@ -1,7 +1,9 @@
 """The destination and port-call state machine as a keyed streaming operator.
 
-One state row per identity. Rows of a key are applied in event-time order within a micro-batch;
-rows older than the state change nothing and are passed on, marked late. ``operators.route`` is the batch twin.
+One state row per identity. Rows of a key are applied in event-time order, one bounded chunk of a micro-batch
+after the other; rows older than the state change nothing and are passed on, marked late. The end of a lead is
+an output of its own: with the first later row of the identity, or by a timer once the watermark has passed it.
+A second timer removes identities that were not seen for 120 days. ``operators.route`` is the batch twin.
 """
 
 from __future__ import annotations
@@ -11,14 +13,15 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from wakeline.functions.text import norm_key
 
-OUTPUT = ("identity_key string, event_id bigint, to_russia_declared boolean, recent_unconfirmed boolean, "
+OUTPUT = ("identity_key string, event_id bigint, at_us bigint, to_russia_declared boolean, recent_unconfirmed boolean, "
           "recent_confirmed boolean, declared_event boolean, changed_event boolean, confirmed_event boolean, "
-          "late boolean")
-STATE = "declared boolean, place string, lead_until bigint, confirmed_until bigint, updated_at bigint"
+          "lead_ended boolean, late boolean")
+COLUMNS = [c.split()[0] for c in OUTPUT.split(", ")]
+STATE = "declared boolean, place string, lead_until bigint, confirmed_until bigint, updated_at bigint, removal_ms bigint"
 LEAD_US = 10 * 86400 * 1_000_000
 RETENTION_MS = 120 * 86400 * 1000
 
@@ -40,33 +43,74 @@ def step(state: tuple, at: int, place: str | None, hit: bool, port: bool) -> tup
     return (was, last_place, lead_until, confirmed_until, at), flags
 
 
-def apply_rows(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    if state.hasTimedOut:
-        state.remove()
-        return
-    # Narrow columns of one key in one micro-batch, which the source's batch limit bounds.
-    batch = pd.concat(list(rows), ignore_index=True).sort_values(["at_us", "event_id"], kind="stable")
-    current = state.get if state.exists else (False, None, 0, 0, 0)
-    out = []
-    for row in batch.itertuples(index=False):
-        if row.at_us < current[4]:
-            out.append((key[0], int(row.event_id), *[None] * 6, True))
-            continue
-        place = None if pd.isna(row.place) else row.place
-        current, flags = step(tuple(current), int(row.at_us), place, bool(row.declared), bool(row.port_seen))
-        out.append((key[0], int(row.event_id), *flags, False))
-    state.update(tuple(current))
-    state.setTimeoutTimestamp(max(current[4] // 1000, state.getCurrentWatermarkMs()) + RETENTION_MS)
-    yield pd.DataFrame(out, columns=[c.split()[0] for c in OUTPUT.split(", ")])
+def timer_ms(lead_until: int) -> int:
+    """The first millisecond after the last microsecond of a lead."""
+    return lead_until // 1000 + 1
+
+
+class RouteProcessor(StatefulProcessor):
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("route", STATE)
+
+    def close(self) -> None:
+        pass
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        *current, removal = self.state.get() if self.state.exists() else (False, None, 0, 0, 0, 0)
+        current, lead = tuple(current), current[2]
+        for chunk in rows:  # Arrow's batch size bounds a chunk, whatever the key has in the micro-batch
+            out = []
+            for row in chunk.sort_values(["at_us", "event_id"], kind="stable").itertuples(index=False):
+                at = int(row.at_us)
+                if at < current[4]:
+                    out.append((key[0], int(row.event_id), at, *[None] * 6, False, True))
+                    continue
+                if 0 < current[2] < at:
+                    out.append(lead_end(key[0], current[2]))
+                    current = (*current[:2], 0, *current[3:])
+                place = None if pd.isna(row.place) else row.place
+                current, flags = step(current, at, place, bool(row.declared), bool(row.port_seen))
+                out.append((key[0], int(row.event_id), at, *flags, False, False))
+            yield pd.DataFrame(out, columns=COLUMNS)
+        if current[2] != lead:
+            if lead:
+                self.handle.deleteTimer(timer_ms(lead))
+            if current[2]:
+                self.handle.registerTimer(timer_ms(current[2]))
+        if not removal:  # one timer a key: when it comes, a key seen since then gets the next one
+            removal = current[4] // 1000 + RETENTION_MS
+            self.handle.registerTimer(removal)
+        self.state.update((*current, removal))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if not self.state.exists():
+            return
+        *current, removal = self.state.get()
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        if current[2] and timer_ms(current[2]) <= now:
+            yield pd.DataFrame([lead_end(key[0], current[2])], columns=COLUMNS)
+            current[2] = 0
+        if removal <= now:
+            removal = current[4] // 1000 + RETENTION_MS
+            if removal <= now:
+                self.state.clear()
+                return
+            self.handle.registerTimer(removal)
+        self.state.update((*current, removal))
+
+
+def lead_end(key: str, at: int) -> tuple:
+    return (key, None, at, *[None] * 6, True, False)
 
 
 def route_stream(rows: DataFrame, at: str = "observed_at", delay: str = "1 day") -> DataFrame:
-    """Rows: identity_key, event_id, place, declared, port_seen and the event time.
+    """Rows: identity_key, event_id, place, declared, port_seen and the event time. Needs the RocksDB state store.
 
-    Destinations are compared in normal form, as the batch twin does. State expires by event time, 120 days
-    behind the watermark.
+    Destinations are compared in normal form, as the batch twin does. Rows of one micro-batch are applied in order
+    of time as far as one chunk reaches, so a source should bound its batches (``maxFilesPerTrigger``). Output:
+    one row for each row, and one with ``lead_ended`` (without event) for each lead that ran out.
     """
     timed = rows.withColumn("place", norm_key("place")).withWatermark(at, delay).withColumn("at_us", F.unix_micros(at))
-    return timed.groupBy("identity_key").applyInPandasWithState(
-        apply_rows, outputStructType=OUTPUT, stateStructType=STATE, outputMode="append",
-        timeoutConf="EventTimeTimeout")
+    return timed.groupBy("identity_key").transformWithStateInPandas(
+        RouteProcessor(), outputStructType=OUTPUT, outputMode="append", timeMode="EventTime")
