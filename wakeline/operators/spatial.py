@@ -130,34 +130,102 @@ def feature_distance(points: DataFrame, segs: DataFrame, point_cols, feature: st
     return points.join(s, feature).groupBy(*point_cols, feature).agg(F.min(distance).alias("distance_nm"))
 
 
-#: Degrees of the grid on which points meet polygon boxes.
-BOX_CELL = 0.5
+#: A polygon's cells are about this many of its edges long; sizes are powers of two of the asked size, up to 2^8 either way.
+CELL_EDGES, MOST_POWER = 16, 8
 
+#: Blocks of 8^level cells of a row; a row of 8^5 cells goes round the earth at any size used.
+BLOCK_LEVELS = 5
 
-def inside_polygon(points: DataFrame, rings: DataFrame, point_cols, band: float, feature: str = "feature_id"
-                   ) -> DataFrame:
-    """(point, feature) for points inside a polygon, holes excluded: even-odd crossing count.
 
-    A point first meets the polygons whose box it lies in, on a grid over the boxes; then it meets that
-    polygon's edges on the latitude band (width ``band`` degrees) they share. So polygons far apart in
-    one band never meet each other's points. The parity is a partial aggregate.
+def ring_sizes(rings: DataFrame, cell: float, feature: str = "feature_id") -> DataFrame:
+    """Per polygon the power of two that its cells are of ``cell``: from its mean edge, so that the number of edges in a
+    cell does not grow with the length of the ring."""
+    length = F.avg(F.hypot(F.col("b_lon") - F.col("a_lon"), F.col("b_lat") - F.col("a_lat")))
+    power = F.round(F.log2(F.greatest(length, F.lit(1e-12)) * CELL_EDGES / cell))
+    return rings.where("b_lon IS NOT NULL").groupBy(feature).agg(F.least(F.lit(MOST_POWER), F.greatest(F.lit(-MOST_POWER), power)).cast("int").alias("z"))
+
+
+def polygon_cover(rings: DataFrame, cell: float, feature: str = "feature_id") -> DataFrame:
+    """Cells that polygons cover: (feature, z, level, cy, kx, odd, edges).
+
+    Border cells (level 0) carry the edges that touch them, and whether the middle of their east side is inside.
+    What lies between two border cells of a row is inside or outside as a whole; inside, it is listed as blocks of
+    8^level cells without edges, at most 14 of a level. Crossings are added along a row of border cells.
+    """
+    size = F.lit(cell) * F.pow(F.lit(2.0), F.col("z"))
+    edges = rings.where("b_lon IS NOT NULL").select(feature, "a_lon", "a_lat", "b_lon", "b_lat")
+    listed = cover_cells(edges.join(ring_sizes(rings, cell, feature), feature), 0.0, size)
+    middle = (F.col("cy") + 0.5) * size
+    at = _cross_lon(F.col, middle)
+    crosses = ((F.col("a_lat") > middle) != (F.col("b_lat") > middle)) & (at > F.col("cx") * size) & (at <= (F.col("cx") + 1) * size)
+    cells = listed.groupBy(feature, "z", "cy", "cx").agg(
+        F.sum(F.coalesce(crosses, F.lit(False)).cast("int")).alias("n"), F.collect_list(F.struct("a_lon", "a_lat", "b_lon", "b_lat")).alias("edges"))
+    row = Window.partitionBy(feature, "z", "cy").orderBy(F.col("cx").desc())
+    east = F.coalesce(F.sum("n").over(row.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    cells = cells.withColumns({"odd": east % 2 == 1, "next": F.lag("cx").over(row)})
+    border = cells.select(feature, "z", F.lit(0).alias("level"), "cy", F.col("cx").alias("kx"), "odd", "edges")
+    runs = cells.where(F.col("odd") & (F.col("next") > F.col("cx") + 1)).select(
+        feature, "z", "cy", (F.col("cx") + 1).alias("_a"), F.col("next").alias("_b"))
+
+    def first(level):
+        return F.ceil(F.col("_a") / F.pow(F.lit(8.0), level))
+
+    def end(level):  # behind the last block inside
+        return F.floor(F.col("_b") / F.pow(F.lit(8.0), level))
+
+    def blocks(level: Column) -> Column:
+        """Blocks of a level inside the run that no larger block holds."""
+        larger = (first(level + 1) < end(level + 1)) & (level < BLOCK_LEVELS - 1)
+        left_end = F.when(larger, first(level + 1) * 8).otherwise(end(level))
+        right = F.when(larger, _count_up(end(level + 1) * 8, end(level)))
+        return F.concat(_count_up(first(level), left_end), F.coalesce(right, F.array().cast("array<bigint>")))
+
+    inner = runs.select("*", F.explode(F.sequence(F.lit(0), F.lit(BLOCK_LEVELS - 1))).alias("level")).select(
+        feature, "z", "level", "cy", F.explode(blocks(F.col("level"))).alias("kx"), F.lit(True).alias("odd"),
+        F.lit(None).cast(border.schema["edges"].dataType).alias("edges"))
+    return border.unionByName(inner)
+
+
+def _count_up(start: Column, stop: Column) -> Column:
+    """start, start + 1, ... before stop; empty if there is none."""
+    return F.when(start < stop, F.sequence(start, stop - 1)).otherwise(F.array().cast("array<bigint>"))
+
+
+def _cross_lon(of, lat: Column) -> Column:
+    """Where an edge crosses a latitude."""
+    return of("a_lon") + (lat - of("a_lat")) * (of("b_lon") - of("a_lon")) / F.nullif(of("b_lat") - of("a_lat"), F.lit(0.0))
+
+
+def inside_polygon(points: DataFrame, rings: DataFrame, point_cols, cell: float, feature: str = "feature_id") -> DataFrame:
+    """(point, feature) for points inside a polygon, holes excluded (even-odd).
+
+    An equi-join of points with the cells of ``polygon_cover``. A point in an inner block is inside without a look at
+    an edge. In a border cell the way from the point to the middle of the cell's east side, first along its
+    latitude, then along the side, crosses only edges of the cell; an odd number of them changes the side's answer.
+    So the work of a point depends on the edges of one cell, not on the ring.
     """
-    edges = rings.where("b_lon IS NOT NULL").withColumn("yb", F.explode(F.sequence(
-        geo.cell(F.least("a_lat", "b_lat"), band), geo.cell(F.greatest("a_lat", "b_lat"), band))))
-    e = edges.select(feature, "a_lon", "a_lat", "b_lon", "b_lat", "yb")
-    boxes = rings.where("b_lon IS NOT NULL").groupBy(feature).agg(
-        F.min(F.least("a_lon", "b_lon")).alias("_w"), F.max(F.greatest("a_lon", "b_lon")).alias("_e"),
-        F.min(F.least("a_lat", "b_lat")).alias("_s"), F.max(F.greatest("a_lat", "b_lat")).alias("_n"))
-    covered = (boxes.withColumn("_gx", F.explode(F.sequence(geo.cell(F.col("_w"), BOX_CELL), geo.cell(F.col("_e"), BOX_CELL))))
-               .withColumn("_gy", F.explode(F.sequence(geo.cell(F.col("_s"), BOX_CELL), geo.cell(F.col("_n"), BOX_CELL)))))
-    gridded = points.withColumns({"_gx": geo.cell(F.col("longitude"), BOX_CELL), "_gy": geo.cell(F.col("latitude"), BOX_CELL)})
-    near = (gridded.join(covered, ["_gx", "_gy"]).where(F.col("longitude").between(F.col("_w"), F.col("_e"))
-                                                        & F.col("latitude").between(F.col("_s"), F.col("_n")))
-            .drop("_gx", "_gy", "_w", "_e", "_s", "_n"))
-    p = near.withColumn("yb", geo.cell(F.col("latitude"), band))
-    lat, lon = F.col("latitude"), F.col("longitude")
-    straddles = (F.col("a_lat") > lat) != (F.col("b_lat") > lat)
-    cross_lon = F.col("a_lon") + (lat - F.col("a_lat")) * (F.col("b_lon") - F.col("a_lon")) / (
-        F.col("b_lat") - F.col("a_lat"))
-    hits = p.join(e, [feature, "yb"]).where(straddles).where(lon < cross_lon)
-    return hits.groupBy(*point_cols, feature).agg(F.count("*").alias("_n")).where("_n % 2 = 1").drop("_n")
+    used = [r.z for r in ring_sizes(rings, cell, feature).select("z").distinct().collect()]  # at most 17 numbers
+    if not used:
+        return points.join(rings.select(feature), F.lit(False)).select(*point_cols, feature)
+    keys = []
+    for z in used:
+        size = cell * 2.0 ** z
+        cx, cy = geo.cell(F.col("longitude"), size).cast("bigint"), geo.cell(F.col("latitude"), size).cast("bigint")
+        keys += [F.struct(F.lit(z).alias("z"), F.lit(level).alias("level"), cy.alias("cy"), F.floor(cx / 8 ** level).alias("kx")) for level in range(BLOCK_LEVELS)]
+    located = points.where("longitude IS NOT NULL AND latitude IS NOT NULL").select(
+        *point_cols, F.col("longitude").alias("_lon"), F.col("latitude").alias("_lat"), F.explode(F.array(*keys)).alias("_k")).select(
+        *point_cols, "_lon", "_lat", "_k.*")
+    size = F.lit(cell) * F.pow(F.lit(2.0), F.col("z"))
+    lon, lat, side, middle = F.col("_lon"), F.col("_lat"), (F.col("kx") + 1) * size, (F.col("cy") + 0.5) * size
+
+    def changes(edge: Column) -> Column:
+        of = edge.getField
+        at = _cross_lon(of, lat)
+        along = ((of("a_lat") > lat) != (of("b_lat") > lat)) & (at > lon) & (at <= side)
+        y = of("a_lat") + (side - of("a_lon")) * (of("b_lat") - of("a_lat")) / F.nullif(of("b_lon") - of("a_lon"), F.lit(0.0))
+        up = ((of("a_lon") > side) != (of("b_lon") > side)) & ((y > middle) != (y > lat))
+        return F.coalesce(along, F.lit(False)).cast("int") + F.coalesce(up, F.lit(False)).cast("int")
+
+    met = located.join(polygon_cover(rings, cell, feature), ["z", "level", "cy", "kx"])
+    crossed = F.aggregate(F.coalesce("edges", F.array()), F.lit(0), lambda n, edge: n + changes(edge))
+    return met.where((crossed + F.col("odd").cast("int")) % 2 == 1).select(*point_cols, feature)
