@@ -41,7 +41,7 @@ def test_border_cells_hold_few_edges_of_a_long_ring(spark):
         ring = spark.createDataFrame(star(r, "f", 0.0, 0.0, 2.0, corners, 0.999), "feature_id string, a_lon double, a_lat double, b_lon double, b_lat double")
         cells = spatial.polygon_cover(ring, 0.5).selectExpr("size(edges) AS n", "level").collect()
         assert max(c.n for c in cells if c.n is not None) <= 120
-    assert {c.level for c in cells if c.n is None} == {0, 1, 2}  # inner blocks without edges
+    assert {c.level for c in cells if c.n is None} >= {0, 1}  # inner blocks without edges
 
 
 def test_no_rings(spark):

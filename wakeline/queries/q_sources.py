@@ -75,7 +75,7 @@ def _(t):
     return rows.withColumn("latitude", F.round("latitude", 6))
 
 
-@query("src03_json_envelope_files", "SELECT count(*) AS n, count(DISTINCT mmsi) AS vessels FROM v_contacts")
+@query("src03_json_envelope_files", f"SELECT {', '.join(_FIELDS[:4])}, round(latitude, 6) AS latitude FROM v_contacts")
 def _(t):
     path = scratch(t)
     listed = t.contacts.repartition(4, "user_id").groupBy(F.spark_partition_id(), (F.col("event_id") % 100).alias("b")).agg(
@@ -83,7 +83,7 @@ def _(t):
     listed.select(F.concat(F.lit('{"contacts":'), "l", F.lit("}")).alias("value")).repartition(50).write.option(
         "maxRecordsPerFile", 1).text(path)
     rows = readers.read_contacts(t.spark, [path + "-absent", path], CONTACT)
-    return rows.agg(F.count("*").alias("n"), F.count_distinct("mmsi").alias("vessels"))
+    return rows.select(*_FIELDS[:4], F.round("latitude", 6).alias("latitude"))
 
 
 @query("src04_tolerant_jsonl", f"""
@@ -128,6 +128,24 @@ def _(t):
     return rows.select("feature_id", "geometry_type", F.col("properties")["name"].alias("name"))
 
 
+@query("src06_geojson_file", """
+SELECT coalesce(CASE WHEN p_partkey % 5 <> 0 THEN 'f' || p_partkey END, 'layer:' || (row_number() OVER (ORDER BY p_partkey) - 1)) AS feature_id, 'P},' || p_partkey AS name,
+  row_number() OVER (ORDER BY p_partkey) - 1 AS index, p_size AS size FROM part""")
+def _(t):
+    """One large file, read by many tasks."""
+    path = scratch(t)
+    key = F.col("p_partkey")
+    one = F.to_json(F.struct(F.when(key % 5 != 0, F.concat(F.lit("f"), key.cast("string"))).alias("id"), F.struct(
+        F.concat(F.lit("P},"), key.cast("string")).alias("name"), F.col("p_size").alias("size")).alias("properties"), F.struct(
+        F.lit("Point").alias("type"), F.array(F.lit(1.0), F.lit(2.0)).alias("coordinates")).alias("geometry")))
+    lines = t.table("part").select(key.alias("k"), F.concat(one, F.lit(",")).alias("value"))
+    ends = t.spark.sql("""SELECT * FROM VALUES (-1, '{"crs":{"name":"x"},"features":['), (9223372036854775807, '{}],"more":{"features":[]}}') AS e(k, value)""")
+    # The last element is empty: it has no name.
+    lines.unionByName(ends.select(F.col("k").cast("bigint"), "value")).repartition(1).sortWithinPartitions("k").select("value").write.text(path)
+    rows = readers.read_geojson(t.spark, {"layer": path, "absent": path + "-absent"}).where("properties IS NOT NULL")
+    return rows.select("feature_id", F.col("properties")["name"].alias("name"), "index", F.col("properties")["size"].cast("int").alias("size"))
+
+
 @query("src11_region_polygons", "SELECT 'r' || p_partkey AS region_id, 'r' || p_partkey AS region_name FROM part")
 def _(t):
     return readers.region_rows(readers.feature_rows(_collections(t), "region")).select("region_id", "region_name")

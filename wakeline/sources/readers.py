@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from wakeline import params as P
 from wakeline.functions.text import present
+from wakeline.sources.json_lists import read_lists
 
 CORRUPT = "_corrupt"
 REPORT_SCHEMA = ("entries array<map<string, array<struct<date:string, lat:double, lon:double, vesselId:string,"
@@ -70,10 +71,11 @@ def envelope_rows(texts: DataFrame, fields: T.StructType, column: str = "value")
 
 
 def read_contacts(spark: SparkSession, candidates: Sequence[str], fields: T.StructType) -> DataFrame:
-    """Contacts of the first existing path."""
+    """Contacts of the first existing path; a file is split between tasks."""
     for path in candidates:
         if _exists(spark, path):
-            return envelope_rows(spark.read.text(path, wholetext=True), fields)
+            listed = read_lists(spark, path, ("contacts", "vessels", "data"))
+            return listed.select(F.from_json("record", fields).alias("c")).select("c.*")
     return spark.createDataFrame([], fields)
 
 
@@ -118,11 +120,17 @@ def read_history(spark: SparkSession, shard_dir: str, legacy: str, fields: T.Str
     return read_jsonl(spark, paths, fields)
 
 
+FEATURE = "struct<id:string,properties:map<string,string>,geometry:string>"
+
+
 def feature_rows(payload: DataFrame, layer: str, column: str = "value") -> DataFrame:
     """Features of GeoJSON FeatureCollection texts: id (``layer:index`` if missing), properties, geometry text."""
-    schema = "array<struct<id:string,properties:map<string,string>,geometry:string>>"
-    listed = F.from_json(F.get_json_object(column, "$.features"), schema)
-    rows = payload.select(F.posexplode(listed).alias("index", "f"))
+    listed = F.from_json(F.get_json_object(column, "$.features"), f"array<{FEATURE}>")
+    return features_of(payload.select(F.posexplode(listed).alias("index", "f")), layer)
+
+
+def features_of(rows: DataFrame, layer: str) -> DataFrame:
+    """Feature columns of rows (index, f)."""
     kind = F.get_json_object("f.geometry", "$.type")
     return rows.select(
         F.coalesce(present("f.id"), F.concat(F.lit(layer + ":"), F.col("index").cast("string"))).alias("feature_id"),
@@ -131,12 +139,12 @@ def feature_rows(payload: DataFrame, layer: str, column: str = "value") -> DataF
 
 
 def read_geojson(spark: SparkSession, layers: dict[str, str]) -> DataFrame:
-    """Features of all layers (name to path); missing files contribute none."""
+    """Features of all layers (name to path); missing files contribute none, large ones are split between tasks."""
     out = None
     for layer, path in layers.items():
         if not _exists(spark, path):
             continue
-        part = feature_rows(spark.read.text(path, wholetext=True), layer)
+        part = features_of(read_lists(spark, path, ("features",)).select("index", F.from_json("record", FEATURE).alias("f")), layer)
         out = part if out is None else out.unionByName(part)
     if out is None:
         raise FileNotFoundError("no reference layer found")
