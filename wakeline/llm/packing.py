@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 import os
 import zlib
+from array import array
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wakeline.llm.common import Memo, by_chunks, settle
+from wakeline.llm.common import Memo, by_chunks, free_name, settle
 from wakeline.session import cut_lineage
 
 #: How the vocabulary writes a space.
@@ -72,10 +73,13 @@ def _tokenizer(path: str):
         bases = [c[:-1] if c[-1] in marks and c[:-1].isalpha() else c for c in chunks]
         known = {b: memo.get(b) or memo.older.get(b) for b in set(bases)}
         known.update(together([b for b, ids in known.items() if ids is None and " " not in b] or ["a"]))
-        known.update((b, encode(" " + b)) for b, ids in known.items() if ids is None)
+        rest = [b for b, ids in known.items() if ids is None]
+        if rest:
+            found = tokenizer.encode_batch_fast([" " + b for b in rest], add_special_tokens=False)
+            known.update((b, array("I", one.ids).tobytes()) for b, one in zip(rest, found))
         return [known[b] if b is c else known[b] + marks[c[-1]] for b, c in zip(bases, chunks)]
 
-    memo = Memo(lambda rest: encode(" " + rest), 1 << 18, many)
+    memo = Memo(lambda rest: encode(" " + rest), 1 << 19, many)
     return lambda text: by_chunks(text, memo, encode)
 
 
@@ -146,22 +150,23 @@ def pack(pieces: DataFrame, capacity: Capacity = Capacity(), length: str = "leng
     """``pieces`` with sequence_id and offset (place in its sequence, gapless from 0).
 
     Every row is packed; one that fills a sequence by itself is not dealt at all. A length NULL, below 1 or over a
-    capacity is an error. Groups are dealt by a hash of ``order``, their number grows with the rows. Repeated rows are
+    capacity is an error. Groups are dealt by a hash of ``order`` and a number of the row, so equal rows are spread; their number grows with the rows. Repeated rows are
     packed each. Column names other than sequence_id and offset may be any.
     """
     settle(pieces.sparkSession)
     whole = pieces.schema
     bad = (F.col(length).isNull() | (F.col(length) < 1) | (F.col(length) > capacity.tokens)
            | (F.col(length) * F.col(length) > (capacity.attention or capacity.tokens ** 2)))
-    rows = cut_lineage(pieces.withColumn(length, F.when(bad, F.raise_error(F.lit("a piece has no length or does not fit"))).otherwise(F.col(length))))
+    row = free_name(pieces, "_row")  # fixed by the checkpoint; tells equal rows apart, so that they are dealt too
+    rows = cut_lineage(pieces.withColumn(row, F.monotonically_increasing_id()).withColumn(length, F.when(bad, F.raise_error(F.lit("a piece has no length or does not fit"))).otherwise(F.col(length))))
     full = F.col(length) == capacity.tokens
     short = rows.where(~full)
     groups = max(1, math.ceil(short.count() / GROUP_PIECES))
-    key = F.xxhash64(*[F.col(c) for c in order], F.lit(11))
+    key = F.xxhash64(*[F.col(c) for c in order], F.col(row), F.lit(11))
     out_schema = pa.schema([])
 
     def pack_group(table: pa.Table) -> pa.Table:
-        table = table.sort_by([(length, "descending"), *[(c, "ascending") for c in order]])
+        table = table.sort_by([(length, "descending"), *[(c, "ascending") for c in order], (row, "ascending")])
         group = table.column("_group")[0].as_py()
         lengths = table.column(length).to_numpy().astype(np.int64)
         sequence = fit(lengths, capacity, rule)
@@ -170,13 +175,13 @@ def pack(pieces: DataFrame, capacity: Capacity = Capacity(), length: str = "leng
         starts = np.searchsorted(sequence[by], np.arange(sequence.max() + 1 if len(sequence) else 0))
         offset = np.empty(len(lengths), np.int64)
         offset[by] = before - before[starts][sequence[by]]
-        table = table.drop(["_group"])
+        table = table.drop(["_group", row])
         return table.append_column("sequence_id", pa.array(sequence * groups + group)).append_column("offset", pa.array(offset))
 
     schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in whole)}, sequence_id bigint, offset bigint"
     packed = short.withColumn("_group", F.pmod(key, F.lit(groups))).groupBy("_group").applyInArrow(pack_group, schema)
     # Full pieces are numbered below zero: any numbers will do, and no task has to see them all.
-    alone = rows.where(full).withColumn("sequence_id", -1 - F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("bigint"))
+    alone = rows.where(full).drop(row).withColumn("sequence_id", -1 - F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("bigint"))
     return packed.unionByName(alone)
 
 
