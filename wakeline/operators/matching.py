@@ -290,7 +290,8 @@ def add_port_match(contacts: DataFrame, terms: DataFrame, columns: dict[str, str
     for column, name in columns.items():
         right = hits.select(F.col("_text").alias(f"_k_{name}"), F.col("hits").alias(f"_h_{name}"),
                             F.col("matched").alias(f"_m_{name}"))
-        out = out.join(right, F.col(column) == F.col(f"_k_{name}"), "left")
+        said = F.when(present(column).isNotNull(), F.col(column))  # empty texts match nothing and are spread
+        out = out.join(right, spread_nulls(said, contacts) == F.col(f"_k_{name}"), "left")
     none = F.array().cast("array<string>")
     found = [c for n in columns.values() for c in (F.coalesce(f"_m_{n}", F.lit(False)).alias(n),
                                                    F.coalesce(f"_h_{n}", none).alias(n + "_hits"))]

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wakeline import params as P
 from wakeline.functions import identity
 from wakeline.operators import classify as cl
 from wakeline.operators import matching, merge
-from wakeline.operators.keyed import top_k
 from wakeline.sources import sinks
 
 FIELDS = ("mmsi", "imo", "callsign", "name", "latitude", "longitude", "destination", "last_port", "flag", "ship_type",
@@ -54,5 +53,8 @@ def latest_positions(archive: DataFrame, known: DataFrame, key: str = "mmsi", at
     return matching.match_known(one, known)
 
 
-def best_per_vessel(events: DataFrame, key: str, n: int = 3) -> DataFrame:
-    return top_k(events, [key], [(F.col("level") != "elevated").asc(), F.col("minimum_distance_nm").asc()], n)
+def best_per_vessel(events: DataFrame, key: str, n: int | None = None) -> DataFrame:
+    """Events with their ``rank`` within the vessel, elevated and near ones first; all of them unless ``n`` is given."""
+    order = Window.partitionBy(key).orderBy((F.col("level") != "elevated").asc(), F.col("minimum_distance_nm").asc())
+    ranked = events.withColumn("rank", F.row_number().over(order))
+    return ranked if n is None else ranked.where(F.col("rank") <= n)
