@@ -42,6 +42,7 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 _TOKEN = re.compile(r"\S+")
+_LETTER, _BRACKET = re.compile(r"[^\W\d_]"), re.compile(r"[()-]")
 _EDGE = "\"'()[]{}<>,.;:!?|&%$#*="
 
 
@@ -94,15 +95,16 @@ SHAPE = ("bias", "at sign", "dot after at sign", "three dots", "parts to 255", "
 
 
 def _shape(token: str) -> tuple[float, ...]:
-    digits = _NOT_DIGIT.sub("", token[:64])
+    """The whole token is read, however long."""
+    digits = _NOT_DIGIT.sub("", token)
     n = len(digits)
-    parts = token.split(".") if len(token) < 64 else []
+    parts = token.split(".", 4)  # a fifth part holds what is left
     four = len(parts) == 4 and all(p.isascii() and p.isdigit() for p in parts)
     at = token.rfind("@")
     return tuple(map(float, (
-        1, at >= 0, at >= 0 and "." in token[at:], len(parts) == 4, four and all(int(p) <= 255 for p in parts), token[0] == "+", 7 <= n <= 8,
-        9 <= n <= 11, 12 <= n <= 15, 16 <= n <= 19, 16 <= n <= 19 and luhn(digits), n == len(token),
-        any(map(str.isalpha, token[:64])), any(c in "()-" for c in token[:64]))))
+        1, at >= 0, at >= 0 and "." in token[at:], len(parts) == 4, four and all(len(p.lstrip("0")) <= 3 and int(p[-3:]) <= 255 for p in parts),
+        token[0] == "+", 7 <= n <= 8, 9 <= n <= 11, 12 <= n <= 15, 16 <= n <= 19, 16 <= n <= 19 and luhn(digits), n == len(token),
+        _LETTER.search(token) is not None, _BRACKET.search(token) is not None)))
 
 
 def units(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
