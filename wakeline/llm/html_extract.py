@@ -28,7 +28,7 @@ from wakeline.session import cut_lineage
 TEMPLATE_SHARE, TEMPLATE_PAGES = 0.5, 3
 #: Text under one marked word goes from a page if it is up to this share of the page's unmarked text.
 MARKED_SMALL = 0.25
-#: Labels of a node's path that alignment looks at; deeper nodes share the path of their ancestor.
+#: From this level on a path ends in one step that hashes all deeper ones, so paths stay short and no two places share one.
 PATH_DEPTH = 40
 #: A list of template texts up to this many bytes may be broadcast; a larger one is joined by host.
 BROADCAST_BYTES = 8 << 20
@@ -131,6 +131,15 @@ class _Open:
         self.tag, self.path, self.depth, self.aside, self.main, self.marks, self.last, self.count = tag, path, depth, aside, main, marks, "", -1
 
 
+def _deep_path(top: _Open, label: str) -> str:
+    """Path of a child of ``top``: the first PATH_DEPTH steps, then "places:labels:label", both hashed along the way."""
+    above, places, labels = top.path, "", ""
+    if top.depth > PATH_DEPTH:
+        above, step = top.path.rsplit("/", 1)
+        places, labels, _ = step.split(":", 2)
+    return f"{above}/{_hash(f'{places}/{top.count}')}:{_hash(f'{labels}/{label}')}:{label}"
+
+
 def blocks(source: str | None) -> list[tuple[str, bool, str, str]]:
     """(path, in the main part, text, marked word or nothing) of every block that is not aside by its tags, in page
     order; white space is one space.
@@ -195,7 +204,7 @@ def blocks(source: str | None) -> list[tuple[str, bool, str, str]]:
             label = ("flow" + "!" * bool(word)) if what in FLOW else ".".join([what, *sorted(w for w in set(words) if "=" not in w)])
             if label != top.last:
                 top.last, top.count = label, top.count + 1
-            path = f"{top.path}/{top.count}:{label}" if top.depth < PATH_DEPTH else top.path
+            path = f"{top.path}/{top.count}:{label}" if top.depth < PATH_DEPTH else _deep_path(top, label)
             stack.append(_Open(what, path, top.depth + 1, aside, main and not aside, marks))
             block = stack[-1]
         else:
