@@ -118,7 +118,7 @@ def test_fingerprints(spark):
     assert set(merged) == set(fingerprints.read(fingerprints.write(part))[1]) | set(fingerprints.read(fingerprints.write(a))[1])
 
 
-@pytest.mark.parametrize("parts", [1, 4, 9])
+@pytest.mark.parametrize("parts", [1, 4, 9, 4500])
 def test_next_by_descending_id(spark, parts):
     texts = [f"t{i} " * (i % 5) for i in range(40)] + [None, ""]
     rows = [(i // 2 * 3, t) for i, t in enumerate(texts)] + [(None, "n1"), (None, "n2")]
@@ -180,6 +180,18 @@ def test_chat_reads_back(spark):
     assert chat.format_chat(df.limit(0)).collect() == []
 
 
+def test_chat_of_many_turns(spark):
+    """Turns of several blocks of the fold: runs of one role go on over the cuts, offsets too."""
+    r = random.Random(7)
+    said = [("assistant" if 200 < t < 600 else r.choice(["user", "assistant"]), r.choice(["", "a", "<é&"]) * r.randrange(3)) for t in range(2 * chat.BLOCK + 300)]
+    df = spark.createDataFrame([(1, t, *x) for t, x in enumerate(said)], "conv_id long, turn long, role string, text string").repartition(3)
+    got = chat.format_chat(df).select("*", chat.read_turns(F.col("formatted")).alias("turns"),
+                                      chat.read_loss(F.col("formatted"), F.col("loss")).alias("told")).first()
+    assert [(t.role, t.text) for t in got.turns] == said
+    assert got.told == "".join(x for role, x in said if role == "assistant") and len(got.loss) == sum(role == "assistant" for role, _ in said)
+    assert got.formatted.count("<|start|>") == 1 + sum(a[0] != b[0] for a, b in zip(said, said[1:]))
+
+
 PATTERNS = (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+",
             r"\+[0-9][\x20().0-9-]+[0-9]")
 
@@ -351,3 +363,48 @@ def test_likeness_error_by_length(words, mean, most):
         shared = len(np.intersect1d(a, b))
         errors.append(abs(fingerprints.likeness(fingerprints.write(a), fingerprints.write(b)) - shared / (len(a) + len(b) - shared)))
     assert np.mean(errors) <= mean and np.quantile(errors, 0.95) <= most
+
+
+def test_edits_equal_a_plain_computation(spark):
+    """Every column of op3 against plain Python, over texts that are empty, short, repeated and long."""
+    r = random.Random(5)
+    words = [f"w{i}é" for i in range(40)]
+    texts = [None, "", "one", " "] + [" ".join(r.choices(words, k=r.choice([3, 12, 90, 900]))) for _ in range(60)] + ["same words here and there again"] * 4
+    df = spark.createDataFrame([(7 * i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, fingerprint string").repartition(6)
+    got = {row.doc_id: row for row in fingerprints.fingerprint_edits(df).collect()}
+    assert len(got) == len(texts)
+
+    def kept(text):
+        every = shingles(text, fingerprints.WORDS)
+        return {int(x) for x in every}, {int(x) for x in every if int(x) < 2 ** 64 // fingerprints.ONE_IN}
+
+    def like(a, b):
+        (all_a, a), (all_b, b) = kept(a), kept(b)
+        return 1.0 if all_a == all_b else min(len(a & b) / len(a | b), 1 - 2.0 ** -20) if a | b else 0.0
+
+    for i, text in enumerate(texts):
+        row, own, after = got[7 * i], text or "", texts[i - 1] or ""
+        edited = own[:len(own) - len(own) // 2] + after[:len(own) // 2]
+        assert (row.n_chars, row.edited_sha256) == (len(own), hashlib.sha256(edited.encode()).hexdigest())
+        assert {int(x) for x in fingerprints.read(row.fingerprint)[1]} == kept(own)[1]
+        assert {int(x) for x in fingerprints.read(row.edited_fingerprint)[1]} == kept(edited)[1]
+        assert row.near_edited == pytest.approx(like(own, edited)) and row.near_next == pytest.approx(like(own, after))
+
+
+def test_shapes_read_whole_tokens():
+    names = dict(zip(pii.SHAPE, range(len(pii.SHAPE))))
+    token = "-" * 100 + "x" + "4111111111111111"
+    shape = pii._shape(token)
+    assert shape[names["digits 16-19"]] and shape[names["luhn"]] and shape[names["letters"]] and not shape[names["digits only"]]
+    assert pii._shape("0" * 80 + "10.0.0.1")[names["parts to 255"]] and not pii._shape("10.0.0." + "9" * 5000)[names["parts to 255"]]
+    assert not pii._shape("1.2.3.4.5")[names["three dots"]] and pii._shape("1.2.3.4")[names["three dots"]]
+    assert pii._shape("9" * 5000)[names["digits only"]]
+
+
+def test_deep_paths_tell_places_apart():
+    deep = "<div>" * 60 + "<p>one</p><section><p>two</p></section><section><b>three</b></section>" + "</div>" * 60
+    paths = [path for path, *_ in html_extract.blocks(deep)]
+    assert len(paths) == 3 and len(set(paths)) == 3 and all(len(p.split("/")) == html_extract.PATH_DEPTH + 2 for p in paths)
+    assert paths == [path for path, *_ in html_extract.blocks(deep)] and paths[0].endswith(":flow")
+    tree = html_extract.tree_of(paths)
+    assert sorted(a for a, b in html_extract.match(tree, tree)[1] if a == b and a in paths) == sorted(paths)

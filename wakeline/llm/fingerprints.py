@@ -20,6 +20,10 @@ from wakeline.llm.shingles import mix, shingles
 #: Words of a shingle, and the share of hashes kept: one in so many. With one in two, likeness is off by 0.08 on average
 #: for texts of 14 words, 0.05 for 30, 0.02 for 120 and 0.004 for 4,000; sets of one shingle keep none half of the time.
 WORDS, ONE_IN = 5, 2
+#: Text of one part of the id order, in bytes; quantiles of the ids asked for.
+PART_BYTES, CUTS = 64 << 20, 1000
+#: One row a part is broadcast up to this many parts, so that the texts do not move for it.
+BROADCAST_PARTS = 1 << 18
 
 
 def write(items: np.ndarray, one_in: int = ONE_IN) -> str:
@@ -83,31 +87,42 @@ def estimate(a: Column, b: Column, how=likeness) -> Column:
 def with_next(docs: DataFrame, id_col: str, text_col: str, parts: int | None = None) -> DataFrame:
     """(id, text, next_text): every row with the text of the next one by descending id, after the last the first.
 
-    Rows are dealt to parts by id, at quantiles of the ids; the first row of each part goes to the part before it
-    as well, so one shuffle of the texts brings neighbours together and no window is wider than a part.
-    Rows that share an id are ordered by text. NULL ids come last. A single row is its own next one.
+    Rows are dealt to parts by id, of about PART_BYTES of text: at up to CUTS quantiles of the ids, each of their ranges
+    cut into equal steps of the id. The first row of each part goes to the part before it as well, so one shuffle
+    of the texts brings neighbours together and no window is wider than a part. Rows that share an id are ordered
+    by text. NULL ids come last. A single row is its own next one.
     """
-    spark = docs.sparkSession
-    parts = parts or min(2000, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    asked = [i / parts for i in range(1, parts)]
-    cuts = rows.agg(F.percentile_approx("id", asked, 10_000)).first()[0] or []
-    cuts = sorted(set(cuts), reverse=True)  # bounded by parts
-    # Part 0 has the largest ids; NULL ids are in a part of their own at the end.
-    part = F.when(F.col("id").isNull(), F.lit(len(cuts) + 1)).otherwise(
-        F.size(F.filter(F.array(*[F.lit(c).cast("bigint") for c in cuts]), lambda c: c > F.col("id"))) if cuts else F.lit(0))
-    dealt = rows.withColumn("part", part)
-    # The first row of a part: its largest id, and of its texts the least.
-    heads = dealt.groupBy("part").agg(F.max("id").alias("id")).orderBy("part").collect()  # one row for each part
-    after = [heads[(k + 1) % len(heads)] for k in range(len(heads))]
-    if not heads:
-        return dealt.select("id", "text", F.col("text").alias("next_text"))
-    loans = spark.createDataFrame([(f["part"], f["id"], h["part"]) for h, f in zip(heads, after)], "from_part int, head long, to int")
-    lent = (dealt.join(F.broadcast(loans), (F.col("part") == F.col("from_part")) & F.col("id").eqNullSafe(F.col("head")))
+    if parts is None:
+        size = rows.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
+        parts = max(4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
+    ranges = min(parts, CUTS)
+    steps = -(-parts // ranges)
+    cuts = rows.agg(F.percentile_approx("id", [i / ranges for i in range(ranges + 1)], 10_000)).first()[0] or []
+    cuts = sorted(set(cuts), reverse=True)  # at most CUTS + 1
+    bounds = F.array(*[F.lit(c).cast("bigint") for c in cuts])
+    # Range 0 has the largest ids; NULL ids are in a range of their own at the end.
+    range_of = F.when(F.col("id").isNull(), F.lit(len(cuts))).otherwise(
+        F.size(F.filter(bounds, lambda c: c > F.col("id"))) if cuts else F.lit(0))
+    # Ids of range k lie below its upper cut and not below its lower one.
+    upper, lower = F.get(bounds, F.col("range") - 1).cast("double"), F.get(bounds, F.col("range")).cast("double")
+    step = F.when(F.col("id").isNull() | upper.isNull() | lower.isNull(), F.lit(0)).otherwise(
+        F.floor((upper - F.col("id").cast("double")) * steps / (upper - lower)).cast("int"))
+    dealt = rows.withColumn("range", range_of)
+    dealt = dealt.withColumn("part", F.struct("range", (step if cuts and steps > 1 else F.lit(0)).alias("step")))
+    # The first row of a part, its largest id, goes to the part before; that of the first part to the last. One row a part.
+    heads = dealt.groupBy("part").agg(F.max("id").alias("head"))
+    in_order = Window.orderBy("part")
+    everything = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    loans = heads.select(F.col("part").alias("from_part"), "head", F.coalesce(
+        F.lag("part").over(in_order), F.last("part").over(everything)).alias("to"))
+    if (ranges + 2) * steps <= BROADCAST_PARTS:
+        loans = F.broadcast(loans)  # at most one row a part
+    lent = (dealt.join(loans, (F.col("part") == F.col("from_part")) & F.col("id").eqNullSafe(F.col("head")))
             .groupBy("to", "id").agg(F.min("text").alias("text"))
             .select("id", "text", F.col("to").alias("part"), F.lit(False).alias("own")))
     order = Window.partitionBy("part").orderBy(F.desc("own"), F.desc_nulls_last("id"), "text")
-    return dealt.withColumn("own", F.lit(True)).unionByName(lent).withColumn("next_text", F.lead("text").over(order)).where("own")
+    return dealt.drop("range").withColumn("own", F.lit(True)).unionByName(lent).withColumn("next_text", F.lead("text").over(order)).where("own")
 
 
 def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, one_in: int = ONE_IN) -> DataFrame:
