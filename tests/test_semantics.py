@@ -319,3 +319,22 @@ def test_track_lines_hold_every_vertex(spark):
             assert pieces[k][0] == track[-1]
             track = track + pieces[k][1:]
         assert track == [(at, lon, lat) for _, at, lat, lon in sorted(r for r in rows if r[0] == m)]
+
+
+def test_ships_of_one_name_stay_apart(spark):
+    rows = [("2024-01-02", "9000001", "219000001", "OXA1", "Atlas"), ("2024-01-02", "9000002", "219000002", None, "ATLAS"),  # two ships
+            ("2024-01-03", None, None, None, "atlas"), ("2024-01-03", None, "219000001", None, None), ("2024-01-03", None, None, "OXA1", "Solo"),
+            ("2024-03-05", "9000002", "219000002", None, "Atlas"), ("2024-03-06", None, None, None, "Atlas"),  # later one alone
+            ("2024-03-05", "9000003", "219000009", "OX", None), ("2024-03-05", "9000004", "219000009", "OX", None),  # a shared MMSI
+            ("2024-03-05", None, "219000009", None, "Twin"), (None, "9000005", None, None, "Timeless")]
+    df = spark.createDataFrame(rows, "day string, imo string, mmsi string, callsign string, name string").withColumn("observed_at", F.to_timestamp("day"))
+    out = matching.alias_owners(df.unionByName(df)).collect()
+    owner = {(row.period, row.alias): (row.canonical, row.ambiguous) for row in out}
+    assert len(owner) == len(out)
+    first, later = 19724 // 30, 19787 // 30
+    assert owner[first, "name:ATLAS"] == ("name:ATLAS", True) and owner[later, "name:ATLAS"] == ("imo:9000002", False)
+    assert owner[first, "mmsi:219000001"] == ("imo:9000001", False) and owner[first, "name:SOLO"] == ("imo:9000001", False)
+    assert owner[later, "mmsi:219000009"] == ("mmsi:219000009", True) and owner[later, "callsign:OX"] == ("callsign:OX", True)
+    assert owner[later, "name:TWIN"] == ("mmsi:219000009", False) and owner[None, "name:TIMELESS"] == ("imo:9000005", False)
+    assert all(alias == canonical for (_, alias), (canonical, _) in owner.items() if alias.startswith("imo:"))
+    assert matching.alias_owners(df.limit(0)).collect() == []

@@ -6,6 +6,8 @@ measured size is below the session's threshold, and splits skewed shuffle partit
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from wakeline.functions import identity
 from wakeline.functions.records import is_tanker, zone_ids
 from wakeline.functions.tables import fixed_table
 from wakeline.functions.text import norm_digits, norm_key, norm_text, present, split_tokens, to_bool
+from wakeline.session import cut_lineage
 
 ID_KINDS = ("imo", "mmsi", "callsign")
 
@@ -379,17 +382,40 @@ def keep_flags(contacts: DataFrame, watch: DataFrame, terms: DataFrame, risk_mid
     return out.withColumn("keep", F.expr(" OR ".join(reasons)))
 
 
-def identity_edges(contacts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Alias nodes and the edges between a contact's aliases (a star on its strongest one)."""
-    aliased = contacts.select(identity.route_aliases().alias("aliases")).where(F.size("aliases") > 0).distinct()
-    exploded = aliased.select(F.col("aliases")[0].alias("u"), F.explode("aliases").alias("v"))
-    return exploded.select(F.col("v").alias("node")).distinct(), exploded.where("u != v").distinct()
-
+def alias_owners(contacts: DataFrame, at: str = "observed_at", days: int = 30) -> DataFrame:
+    """(period, alias, canonical, ambiguous): whom an IMO number, MMSI, callsign or name stands for in a period of ``days``.
 
-def alias_rank(alias: Column) -> Column:
-    """Sortable alias: stronger kinds first."""
-    kinds = {"imo": "0", "mmsi": "1", "callsign": "2", "name": "3"}
-    out = F.lit("9")
-    for kind, rank in kinds.items():
-        out = F.when(alias.startswith(kind + ":"), rank).otherwise(out)
-    return F.concat(out, F.lit("|"), alias)
+    An IMO number is an identity. An MMSI belongs to the one IMO number it was seen with in the period, a callsign to
+    the one identity told by IMO number or MMSI, a name to the one told by any of the three. An alias that was seen with
+    two identities is ``ambiguous`` and stands for itself, as does one seen with none, so two IMO numbers are
+    never one identity, whatever they share. Contacts without a time have the period NULL; repeated rows change nothing.
+    """
+    period = F.floor(F.unix_timestamp(at) / (days * 86_400)).cast("long").alias("period")
+    kinds = ("imo", "mmsi", "callsign", "name")
+    aliases = identity.route_aliases()
+
+    def of(kind: str) -> Column:
+        return F.get(F.filter(aliases, lambda a: a.startswith(kind + ":")), F.lit(0)).alias("_" + kind)
+
+    of_kind = [of(k) for k in kinds]
+    # Each step reads these rows several times, so they are written once a step.
+    told = cut_lineage(contacts.select(period, *of_kind).distinct().withColumn("_identity", F.col("_imo")))
+    owners = [told.where(F.col("_imo").isNotNull()).select(
+        "period", F.col("_imo").alias("alias"), F.col("_imo").alias("canonical"), F.lit(False).alias("ambiguous")).distinct()]
+    for kind in kinds[1:]:
+        alias = F.col("_" + kind)
+        seen = told.where(alias.isNotNull()).groupBy("period", alias.alias("alias")).agg(
+            F.min("_identity").alias("_low"), F.max("_identity").alias("_high"))
+        one = F.col("_low") == F.col("_high")
+        owner = cut_lineage(seen.select("period", "alias", F.when(one, F.col("_low")).otherwise(F.col("alias")).alias("canonical"),
+                                        F.coalesce(~one, F.lit(False)).alias("ambiguous")))
+        owners.append(owner)
+        if kind == kinds[-1]:
+            break
+        # Only rows that no stronger alias tells ask for the owner; a row without this alias meets nothing.
+        asks = told.where(F.col("_identity").isNull() & alias.isNotNull())
+        asked = asks.join(owner.select(F.col("period").alias("_p"), F.col("alias").alias("_a"), "canonical"),
+                          F.col("period").eqNullSafe(F.col("_p")) & (alias == F.col("_a")), "left")
+        told = cut_lineage(told.where(F.col("_identity").isNotNull() | alias.isNull()).unionByName(
+            asked.withColumn("_identity", F.col("canonical")).select(*told.columns)))
+    return reduce(DataFrame.unionByName, owners)

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wakeline.functions import geo
+from wakeline.functions.text import present
+from wakeline.session import cut_lineage
 
 GEOMETRY = "struct<type:string,coordinates:string>"
 _PATH = "array<double>"
@@ -122,6 +124,90 @@ def nearest_feature(points: DataFrame, segs: DataFrame, radius_nm: float, size:
     return hits.groupBy(point_id).agg(best).select(point_id, f"_b.{feature}", "_b.distance_nm")
 
 
+#: Cells of the tree of features: 0.1 degrees at level 0, four times as wide with each level; one cell at TOP.
+LEAF_DEGREES, TOP = 0.1, 6
+#: Levels from this one up have at most 57 x 29 cells, whatever the data, and may be broadcast.
+BOUNDED_LEVEL = 3
+
+
+def _leaf(value: Column, offset: float) -> Column:
+    """Number of the leaf cell along one axis, 0 to 4095."""
+    last = 4 ** TOP - 1
+    return F.greatest(F.lit(0), F.least(F.lit(last), F.floor((value + offset) / LEAF_DEGREES).cast("int")))
+
+
+def _up(number: Column, levels: int) -> Column:
+    return F.shiftright(number, 2 * levels)
+
+
+def _box_nm() -> Column:
+    """No segment of a node is nearer than this: in the point's local plane its ends lie beyond the nearest edges of the box."""
+    gap = F.greatest(F.col("west") - F.col("longitude"), F.col("longitude") - F.col("east"), F.lit(0.0))
+    narrowest = F.least(*[F.cos(F.radians((F.col(c) + F.col("latitude")) / 2)) for c in ("south", "north")])
+    x = gap * 60.0 * F.greatest(narrowest, F.lit(0.0))
+    y = F.greatest(F.col("south") - F.col("latitude"), F.col("latitude") - F.col("north"), F.lit(0.0)) * 60.0
+    return F.sqrt(x * x + y * y) * (1 - 1e-9) - 1e-9
+
+
+def nearest_at_any_distance(points: DataFrame, segs: DataFrame, point_id: str, feature: str = "feature_id",
+                            carry: tuple[str, ...] = (), radius_nm: float = 2.0, size: float = 0.1) -> DataFrame:
+    """(point_id, feature, ``carry`` columns of the segment, distance_nm): the nearest feature of every point, however far.
+
+    Points with a feature within ``radius_nm`` are answered by the grid. The others go down a tree of cells: a node
+    has the extent of its segments, which bounds their distance from below, and one vertex, which bounds it from
+    above; nodes beyond a point's least upper bound are left. So a point meets a few nodes a level, wherever it is.
+    Equal distances (to 1e-9 nm) go to the smaller feature. Points without a position, or with an id of NULL, give no
+    row; points that share an id count as one with several places. Without features there are no rows.
+    """
+    placed = points.where(geo.valid_position(F.col("latitude"), F.col("longitude")) & F.col(point_id).isNotNull()).select(
+        point_id, "latitude", "longitude")
+    lines = segs.where(F.col("a_lon").isNotNull() & F.col("a_lat").isNotNull()).select(
+        feature, *carry, "a_lon", "a_lat", F.coalesce("b_lon", "a_lon").alias("b_lon"), F.coalesce("b_lat", "a_lat").alias("b_lat"))
+    distance = geo.point_segment_nm(F.col("longitude"), F.col("latitude"), F.col("a_lon"), F.col("a_lat"), F.col("b_lon"), F.col("b_lat"))
+    best = F.min(F.struct(F.round("_d", 9).alias("distance_nm"), F.col(feature), *carry)).alias("_b")
+    shown = [point_id, f"_b.{feature}", *[f"_b.{c}" for c in carry], "_b.distance_nm"]
+
+    cells = placed.withColumn("cx", geo.cell(F.col("longitude"), size)).withColumn("cy", geo.cell(F.col("latitude"), size))
+    close = cut_lineage(cells.join(cover_cells(lines, radius_nm, size), ["cx", "cy"]).withColumn("_d", distance)
+                        .where(F.col("_d") <= radius_nm).groupBy(point_id).agg(best))
+
+    leaves = lines.withColumn("ix", _leaf(F.col("a_lon"), 180.0)).withColumn("iy", _leaf(F.col("a_lat"), 90.0))
+    nodes = cut_lineage(leaves.groupBy("ix", "iy").agg(
+        F.min(F.least("a_lon", "b_lon")).alias("west"), F.max(F.greatest("a_lon", "b_lon")).alias("east"),
+        F.min(F.least("a_lat", "b_lat")).alias("south"), F.max(F.greatest("a_lat", "b_lat")).alias("north"),
+        F.min(F.struct("a_lon", "a_lat")).alias("vertex")))
+    found = placed.join(close.select(point_id), point_id, "left_anti").withColumn("cx", F.lit(0)).withColumn("cy", F.lit(0))
+    by_point = Window.partitionBy(point_id, "longitude", "latitude")
+    for level in range(TOP - 1, -1, -1):
+        under = nodes.groupBy(_up(F.col("ix"), level).alias("nx"), _up(F.col("iy"), level).alias("ny")).agg(
+            F.min("west").alias("west"), F.max("east").alias("east"), F.min("south").alias("south"), F.max("north").alias("north"),
+            F.min("vertex").alias("vertex")).withColumn("cx", _up(F.col("nx"), 1)).withColumn("cy", _up(F.col("ny"), 1))
+        met = found.join(F.broadcast(under) if level >= BOUNDED_LEVEL else under, ["cx", "cy"])
+        most = geo.point_segment_nm(F.col("longitude"), F.col("latitude"), F.col("vertex.a_lon"), F.col("vertex.a_lat"),
+                                    F.col("vertex.a_lon"), F.col("vertex.a_lat"))
+        found = met.withColumn("_least", _box_nm()).withColumn("_most", F.min(most).over(by_point)).where(
+            F.col("_least") <= F.col("_most")).select(
+            point_id, "latitude", "longitude", F.col("nx").alias("cx"), F.col("ny").alias("cy"))
+    far = (found.join(leaves.withColumnsRenamed({"ix": "cx", "iy": "cy"}), ["cx", "cy"]).withColumn("_d", distance)
+           .groupBy(point_id).agg(best))
+    return close.select(*shown).unionByName(far.select(*shown))
+
+
+def infrastructure_context(points: DataFrame, segs: DataFrame, point_id: str, search_nm: float, review_nm: float,
+                           feature: str = "feature_id", kind: str = "infrastructure_type", name: str = "name") -> DataFrame:
+    """Every point with its nearest feature: id, type ('unknown' where it has none), name (the id, or 'unnamed reference',
+    where it has none), distance, whether that is within the search radius, and whether it is near enough for review.
+    Points without a position, and all points where there is no feature, have NULLs and two times false."""
+    here = segs.withColumns({kind: F.coalesce(present(kind), F.lit("unknown")),
+                             name: F.coalesce(present(name), present(feature), F.lit("unnamed reference"))})
+    near = nearest_at_any_distance(points, here, point_id, feature, (kind, name), search_nm, max(LEAF_DEGREES, search_nm / 20))
+    flag = lambda within: F.coalesce(F.col("distance_nm") <= within, F.lit(False))
+    return points.select(point_id).join(near, point_id, "left").select(
+        point_id, F.col(feature).alias("nearest_reference_id"), F.col(kind).alias("nearest_type"), F.col(name).alias("nearest_name"),
+        F.col("distance_nm").alias("nearest_distance_nm"), flag(search_nm).alias("found_within_search_radius"),
+        flag(review_nm).alias("near_infrastructure_reference"))
+
+
 def feature_distance(points: DataFrame, segs: DataFrame, point_cols, feature: str = "feature_id") -> DataFrame:
     """Distance from each row's point to the feature named in the row; equi-join on the feature."""
     s = segs.select(F.col(feature), "a_lon", "a_lat", "b_lon", "b_lat")

@@ -160,19 +160,23 @@ def _(t):
                       F.col("watchlist_name").alias("name")).distinct()
 
 
+# A quarter of the rows show neither number, another one no MMSI; one MMSI is used by several ships.
+_SHOWN = {"imo": "CASE WHEN event_id % 4 = 0 THEN '' ELSE imo END", "mmsi":
+          "CASE WHEN event_id % 4 < 2 THEN '' WHEN event_id % 50 = 3 THEN '219000001' ELSE mmsi END"}
+
+
 @query("jn19_alias_identity", f"""
-WITH RECURSIVE al AS (SELECT DISTINCT [x FOR x IN ['imo:' || {S.sized('imo', 7)}, 'mmsi:' || {S.sized('mmsi', 9)}, 'callsign:' || {S.norm_text('callsign')},
- 'name:' || {S.norm_text('name')}] IF x IS NOT NULL] AS a FROM v_contacts), e AS (SELECT DISTINCT a[1] AS u, unnest(a) AS v FROM al),
-b AS (SELECT u, v FROM e UNION SELECT v, u FROM e), r(n, c) AS (SELECT DISTINCT u, u FROM b UNION SELECT r.n, b.v FROM r JOIN b ON b.u = r.c)
-SELECT n AS alias, split_part(min(CASE split_part(c, ':', 1) WHEN 'imo' THEN '0' WHEN 'mmsi' THEN '1' WHEN 'callsign' THEN '2' ELSE '3' END || '|' || c), '|', 2) AS canonical
-FROM r GROUP BY 1""")
+WITH c AS (SELECT DISTINCT floor(epoch(observed_at) / 864000)::BIGINT AS period, 'imo:' || {S.sized('imo', 7)} AS imo, 'mmsi:' || {S.sized('mmsi', 9)} AS mmsi,
+ 'callsign:' || {S.norm_text('callsign')} AS callsign, 'name:' || {S.norm_text('name')} AS name
+ FROM (SELECT * REPLACE ({_SHOWN['imo']} AS imo, {_SHOWN['mmsi']} AS mmsi) FROM v_contacts)),
+o1 AS (SELECT period, mmsi AS alias, CASE WHEN count(DISTINCT imo) = 1 THEN min(imo) ELSE mmsi END AS canonical, count(DISTINCT imo) > 1 AS ambiguous FROM c WHERE mmsi IS NOT NULL GROUP BY period, mmsi),
+c1 AS (SELECT c.*, coalesce(c.imo, o1.canonical) AS known FROM c LEFT JOIN o1 ON o1.period = c.period AND o1.alias = c.mmsi),
+o2 AS (SELECT period, callsign AS alias, CASE WHEN count(DISTINCT known) = 1 THEN min(known) ELSE callsign END AS canonical, count(DISTINCT known) > 1 AS ambiguous FROM c1 WHERE callsign IS NOT NULL GROUP BY period, callsign),
+c2 AS (SELECT c1.* REPLACE (coalesce(c1.known, o2.canonical) AS known) FROM c1 LEFT JOIN o2 ON o2.period = c1.period AND o2.alias = c1.callsign),
+o3 AS (SELECT period, name AS alias, CASE WHEN count(DISTINCT known) = 1 THEN min(known) ELSE name END AS canonical, count(DISTINCT known) > 1 AS ambiguous FROM c2 WHERE name IS NOT NULL GROUP BY period, name)
+SELECT DISTINCT period, imo AS alias, imo AS canonical, false AS ambiguous FROM c WHERE imo IS NOT NULL UNION ALL FROM o1 UNION ALL FROM o2 UNION ALL FROM o3""")
 def _(t):
-    nodes, edges = matching.identity_edges(t.contacts)
-    rank = matching.alias_rank
-    ranked = graph.connected_components(nodes.select(rank(F.col("node")).alias("node")),
-                                        edges.select(rank(F.col("u")).alias("u"), rank(F.col("v")).alias("v")))
-    return ranked.select(F.split_part("node", F.lit("|"), F.lit(2)).alias("alias"),
-                         F.split_part("component", F.lit("|"), F.lit(2)).alias("canonical"))
+    return matching.alias_owners(t.contacts.withColumns({c: F.expr(sql) for c, sql in _SHOWN.items()}), days=10)
 
 
 # --- sets ----------------------------------------------------------------------------

@@ -115,6 +115,20 @@ def _(t):
     return sp.nearest_feature(t.contacts, t.infra, 2.0, 0.1, "event_id").select("event_id", "feature_id", F.round("distance_nm", 5).alias("nm"))
 
 
+@query("jn12_infrastructure_context", f"""
+WITH far AS (SELECT event_id, CASE WHEN event_id % 5 = 0 THEN -latitude ELSE latitude END AS latitude, CASE WHEN event_id % 3 = 0 THEN longitude - 9e1 ELSE longitude END AS longitude FROM v_contacts),
+pr AS (SELECT c.event_id, i.feature_id, i.infrastructure_type, CASE WHEN i.feature_id LIKE '%7' THEN i.feature_id ELSE i.s_name END AS name, {_SEG} AS d FROM far c JOIN v_infra i ON true)
+SELECT event_id, arg_min(feature_id, (round(d, 9), feature_id)) AS nearest_reference_id, arg_min(infrastructure_type, (round(d, 9), feature_id)) AS nearest_type,
+ arg_min(name, (round(d, 9), feature_id)) AS nearest_name, round(min(d), 4) AS nearest_distance_nm, min(d) <= 5e0 AS found_within_search_radius, min(d) <= 75e-2 AS near_infrastructure_reference
+FROM pr GROUP BY 1""")
+def _(t):
+    # Some points lie near features, others at the other end of the world.
+    points = t.contacts.select("event_id", F.when(F.col("event_id") % 5 == 0, -F.col("latitude")).otherwise(F.col("latitude")).alias("latitude"),
+                               F.when(F.col("event_id") % 3 == 0, F.col("longitude") - 90.0).otherwise(F.col("longitude")).alias("longitude"))
+    infra = t.infra.withColumn("name", F.when(~F.col("feature_id").endswith("7"), F.col("s_name")))
+    return sp.infrastructure_context(points, infra, "event_id", 5.0, 0.75).withColumn("nearest_distance_nm", F.round("nearest_distance_nm", 4))
+
+
 @query("jn13_track_feature_candidates", f"WITH {pairs_sql(2)} SELECT DISTINCT mmsi, feature_id FROM pr")
 def _(t):
     return near_pairs(t.contacts, t.infra, PARAMS.contextual_nm, 0.1, ["event_id", "mmsi"], []).select("mmsi", "feature_id").distinct()
