@@ -30,6 +30,9 @@ SPACE = "\u0120"
 #: Pieces of one group, about.
 GROUP_PIECES = 20_000
 
+#: Chunks of text a worker remembers, about 0.3 KB each, in two generations. Where workers also hold other tables, as in a job of several stages.
+REMEMBERED = 1 << 18
+
 
 @dataclass(frozen=True)
 class Capacity:
@@ -41,7 +44,7 @@ class Capacity:
 
 
 @lru_cache(maxsize=2)
-def _tokenizer(path: str):
+def _tokenizer(path: str, remembered: int = REMEMBERED):
     """encode(text) -> ids as little-endian unsigned 32-bit integers, chunks remembered."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     from tokenizers import Tokenizer
@@ -79,11 +82,12 @@ def _tokenizer(path: str):
             known.update((b, array("I", one.ids).tobytes()) for b, one in zip(rest, found))
         return [known[b] if b is c else known[b] + marks[c[-1]] for b, c in zip(bases, chunks)]
 
-    memo = Memo(lambda rest: encode(" " + rest), 1 << 18, many)
+    memo = Memo(lambda rest: encode(" " + rest), remembered, many)
     return lambda text: by_chunks(text, memo, encode)
 
 
-def token_pieces(docs: DataFrame, path: str, last_id: int, tokens: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def token_pieces(docs: DataFrame, path: str, last_id: int, tokens: int = 1024, id_col: str = "doc_id", text_col: str = "text",
+                 remembered: int = REMEMBERED) -> DataFrame:
     """(id, piece, start, length, ids_crc32) of every document: its ids and ``last_id``, cut if over ``tokens``.
 
     All pieces but the first are of full length. NULL and empty texts are ``last_id`` alone.
@@ -91,7 +95,7 @@ def token_pieces(docs: DataFrame, path: str, last_id: int, tokens: int = 1024, i
 
     @F.arrow_udf("array<struct<piece: int, start: bigint, length: bigint, ids_crc32: bigint>>")
     def cut(texts: pa.Array) -> pa.Array:
-        encode, last = _tokenizer(path), np.array([last_id], dtype="<u4").tobytes()
+        encode, last = _tokenizer(path, remembered), np.array([last_id], dtype="<u4").tobytes()
         ends, start, length, crc, piece = [0], [], [], [], []
         for text in texts.to_pylist():
             ids = (encode(text) if text else b"") + last
@@ -186,12 +190,12 @@ def pack(pieces: DataFrame, capacity: Capacity = Capacity(), length: str = "leng
 
 
 def pack_documents(docs: DataFrame, path: str, last_id: int, capacity: Capacity = Capacity(), id_col: str = "doc_id",
-                   text_col: str = "text") -> DataFrame:
+                   text_col: str = "text", remembered: int = REMEMBERED) -> DataFrame:
     """Documents as token pieces in sequences: (id, piece, start, length, ids_crc32, sequence_id, offset).
 
     Every row of ``docs`` is there, NULL and empty texts too (one token); NULL and repeated ids are documents
     of their own. Other columns are not read. An empty table gives no rows.
     """
     settle(docs.sparkSession)
-    pieces = token_pieces(docs, path, last_id, capacity.tokens, id_col, text_col)
+    pieces = token_pieces(docs, path, last_id, capacity.tokens, id_col, text_col, remembered)
     return pack(pieces, capacity, order=(id_col, "piece"))
