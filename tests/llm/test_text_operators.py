@@ -56,13 +56,39 @@ def test_bpe_columns(spark):
     assert df.limit(0).select(ids.alias("ids")).collect() == []
 
 
-def test_tokens_by_chunks_equal_the_library():
+def test_tokens_equal_the_library():
     path = public_tokenizers.path("byte_bpe_50k.json")
     library = Tokenizer.from_file(path)
     library.encode_special_tokens = True
     own = packing._tokenizer(path)
-    for text in random_texts(3_000, 2) + [t for t in AWKWARD if t]:
-        assert np.frombuffer(own(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    texts = random_texts(3_000, 2) + [t for t in AWKWARD if t] + ["a" + " " * 200_000 + "b", "\n" * 1_200_000, "x" * 300_000, "<|endoftext|>"]
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts += ["".join(f"a{c}a {c}1 {c}{c} !{c}! " for c in points[i:i + 50]) for i in range(0, len(points), 50)]  # every character in several places
+    for text in texts:
+        assert own(text).tolist() == library.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+
+def test_every_pair_of_tokens_that_is_a_token_merges_as_in_the_library():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    with open(path, encoding="utf-8") as file:
+        vocabulary = json.load(file)
+    library, ranks = Tokenizer.from_file(path), packing.as_ranks(vocabulary)
+    for token, i in vocabulary["model"]["vocab"].items():  # no two tokens of a finished text could still be one
+        assert packing._byte_alphabet().keys() >= set(token) and [t.id for t in library.model.tokenize(token)] == [i]
+    assert len(ranks) == len(vocabulary["model"]["vocab"])
+
+
+def test_a_vocabulary_that_ranks_do_not_describe_is_left_to_the_library():
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        assert packing.as_ranks(json.load(file)) is None
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        vocabulary = json.load(file)
+    merges = vocabulary["model"]["merges"]
+    merges[0], merges[1] = merges[1], merges[0]
+    assert packing.as_ranks(vocabulary) is None
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    assert packing._tokenizer(path)("Two words, 3 marks!").tolist() == library.encode("Two words, 3 marks!", add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("rule", ["norm", "dot"])

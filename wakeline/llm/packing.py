@@ -9,10 +9,11 @@ norm of the room left after it.
 
 from __future__ import annotations
 
+import json
 import math
 import os
+import re
 import zlib
-from array import array
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -21,17 +22,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wakeline.llm.common import Memo, by_chunks, free_name, settle
+from wakeline.llm.common import free_name, settle
 from wakeline.session import cut_lineage
 
-#: How the vocabulary writes a space.
-SPACE = "\u0120"
-
 #: Pieces of one group, about.
 GROUP_PIECES = 20_000
 
-#: Chunks of text a worker remembers, about 0.3 KB each, in two generations. Where workers also hold other tables, as in a job of several stages.
-REMEMBERED = 1 << 18
+#: A run of white space on which the pattern engine of the rank form could run out of stack.
+_LONG_BLANK = re.compile(r"\s{10000,}")
 
 
 @dataclass(frozen=True)
@@ -43,10 +41,47 @@ class Capacity:
     attention: int | None = None
 
 
+def _byte_alphabet() -> dict[str, int]:
+    """Character a byte-level vocabulary writes for each byte: printable bytes for themselves, the others from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = sorted(set(range(256)) - set(shown))
+    return {**{chr(b): b for b in shown}, **{chr(256 + k): b for k, b in enumerate(hidden)}}
+
+
+def as_ranks(vocabulary: dict) -> dict[bytes, int] | None:
+    """Ranks (token bytes -> id) of a vocabulary file that byte pairs by rank encode alike, else None.
+
+    So it is where the file has plain byte-level pairs (no normalizer, prefix, suffix, dropout, or added tokens other
+    than special ones), its pattern is the usual one, and the merges make the ids in order, each after both its parts.
+    """
+    model, before = vocabulary["model"], vocabulary.get("pre_tokenizer") or {}
+    plain = (model["type"] == "BPE" and before.get("type") == "ByteLevel" and before.get("use_regex", True)
+             and not before.get("add_prefix_space") and not vocabulary.get("normalizer")
+             and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+             and all(t["special"] for t in vocabulary.get("added_tokens", [])))
+    if not plain:
+        return None
+    alphabet, ids = _byte_alphabet(), model["vocab"]
+    special = {t["content"] for t in vocabulary.get("added_tokens", [])}
+    if any(c not in alphabet for token in ids if token not in special for c in token):
+        return None
+    merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    made = [ids.get(a + b, -1) for a, b in merges]
+    if made != list(range(256, 256 + len(merges))) or any(not max(ids.get(a, i), ids.get(b, i)) < i for (a, b), i in zip(merges, made)):
+        return None
+    return {bytes(alphabet[c] for c in token): i for token, i in ids.items() if token not in special}
+
+
 @lru_cache(maxsize=2)
-def _tokenizer(path: str, remembered: int = REMEMBERED):
-    """encode(text) -> ids as little-endian unsigned 32-bit integers, chunks remembered."""
+def _tokenizer(path: str):
+    """encode(text) -> array of the ids that the tokenizers library gives, special strings as ordinary text.
+
+    A vocabulary that ``as_ranks`` takes is encoded by tiktoken, which gives the same ids in a third of the time and
+    remembers nothing; any other, and texts with very long runs of white space, by tokenizers itself.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+    import public_tokenizers
+    import tiktoken
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
@@ -54,40 +89,18 @@ def _tokenizer(path: str, remembered: int = REMEMBERED):
     tokenizer.no_padding()
     tokenizer.no_truncation()
 
-    def encode(text: str) -> bytes:
-        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    marks = {mark: encode(mark) for mark in ".,;:!?"}
-    opens = np.zeros(max(tokenizer.get_vocab().values()) + 1, bool)  # tokens that begin with a space
-    for token, i in tokenizer.get_vocab().items():
-        opens[i] = token[0] == SPACE
-
-    def together(chunks: list[str]) -> dict[str, bytes]:
-        """Chunks without a space inside, encoded in one text: each begins with the next token that opens with a space."""
-        found = np.array(tokenizer.encode_batch_fast([" " + " ".join(chunks)], add_special_tokens=False)[0].ids, dtype="<u4")
-        at = [*(4 * np.flatnonzero(opens[found])).tolist(), 4 * len(found)]
-        if len(at) != len(chunks) + 1:
-            return {c: encode(" " + c) for c in chunks}
-        ids = found.tobytes()
-        return dict(zip(chunks, [ids[a:b] for a, b in zip(at, at[1:])]))
-
-    def many(chunks: list[str]) -> list[bytes]:
-        """A mark after letters is a match of its own, so such a chunk is that of the letters and the mark."""
-        bases = [c[:-1] if c[-1] in marks and c[:-1].isalpha() else c for c in chunks]
-        known = {b: memo.get(b) or memo.older.get(b) for b in set(bases)}
-        known.update(together([b for b, ids in known.items() if ids is None and " " not in b] or ["a"]))
-        rest = [b for b, ids in known.items() if ids is None]
-        if rest:
-            found = tokenizer.encode_batch_fast([" " + b for b in rest], add_special_tokens=False)
-            known.update((b, array("I", one.ids).tobytes()) for b, one in zip(rest, found))
-        return [known[b] if b is c else known[b] + marks[c[-1]] for b, c in zip(bases, chunks)]
-
-    memo = Memo(lambda rest: encode(" " + rest), remembered, many)
-    return lambda text: by_chunks(text, memo, encode)
-
-
-def token_pieces(docs: DataFrame, path: str, last_id: int, tokens: int = 1024, id_col: str = "doc_id", text_col: str = "text",
-                 remembered: int = REMEMBERED) -> DataFrame:
+    def slow(text: str) -> np.ndarray:
+        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+
+    with open(path, encoding="utf-8") as file:
+        ranks = as_ranks(json.load(file))
+    if ranks is None:
+        return slow
+    by_rank = tiktoken.Encoding(os.path.basename(path), pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return lambda text: slow(text) if _LONG_BLANK.search(text) else by_rank.encode_to_numpy(text, disallowed_special=())
+
+
+def token_pieces(docs: DataFrame, path: str, last_id: int, tokens: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, piece, start, length, ids_crc32) of every document: its ids and ``last_id``, cut if over ``tokens``.
 
     All pieces but the first are of full length. NULL and empty texts are ``last_id`` alone.
@@ -95,18 +108,18 @@ def token_pieces(docs: DataFrame, path: str, last_id: int, tokens: int = 1024, i
 
     @F.arrow_udf("array<struct<piece: int, start: bigint, length: bigint, ids_crc32: bigint>>")
     def cut(texts: pa.Array) -> pa.Array:
-        encode, last = _tokenizer(path, remembered), np.array([last_id], dtype="<u4").tobytes()
+        encode = _tokenizer(path)
         ends, start, length, crc, piece = [0], [], [], [], []
         for text in texts.to_pylist():
-            ids = (encode(text) if text else b"") + last
-            total = len(ids) // 4
+            ids = np.append(encode(text) if text else [], [last_id]).astype("<u4")
+            total = len(ids)
             first = total % tokens or tokens
             edges = [0, *range(first, total + 1, tokens)]
             for k, (a, b) in enumerate(zip(edges, edges[1:])):
                 piece.append(k)
                 start.append(a)
                 length.append(b - a)
-                crc.append(zlib.crc32(ids[4 * a:4 * b]))
+                crc.append(zlib.crc32(ids[a:b]))
             ends.append(len(piece))
         rows = pa.StructArray.from_arrays([pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))],
                                           ["piece", "start", "length", "ids_crc32"])
@@ -190,12 +203,12 @@ def pack(pieces: DataFrame, capacity: Capacity = Capacity(), length: str = "leng
 
 
 def pack_documents(docs: DataFrame, path: str, last_id: int, capacity: Capacity = Capacity(), id_col: str = "doc_id",
-                   text_col: str = "text", remembered: int = REMEMBERED) -> DataFrame:
+                   text_col: str = "text") -> DataFrame:
     """Documents as token pieces in sequences: (id, piece, start, length, ids_crc32, sequence_id, offset).
 
     Every row of ``docs`` is there, NULL and empty texts too (one token); NULL and repeated ids are documents
     of their own. Other columns are not read. An empty table gives no rows.
     """
     settle(docs.sparkSession)
-    pieces = token_pieces(docs, path, last_id, capacity.tokens, id_col, text_col, remembered)
+    pieces = token_pieces(docs, path, last_id, capacity.tokens, id_col, text_col)
     return pack(pieces, capacity, order=(id_col, "piece"))
