@@ -338,3 +338,23 @@ def test_ships_of_one_name_stay_apart(spark):
     assert owner[later, "name:TWIN"] == ("mmsi:219000009", False) and owner[None, "name:TIMELESS"] == ("imo:9000005", False)
     assert all(alias == canonical for (_, alias), (canonical, _) in owner.items() if alias.startswith("imo:"))
     assert matching.alias_owners(df.limit(0)).collect() == []
+
+
+def test_rows_of_one_moment_are_spread_over_ranges_and_summed_in_order(spark):
+    df = spark.range(5_000).selectExpr("id", "timestamp'2024-01-01 00:00:00' AS t", "CAST(id % 7 + 1 AS BIGINT) AS size", "IF(id % 50 = 0, NULL, 'k') AS k")
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")  # else so few rows are one range
+    try:
+        ranges = [r["count"] for r in keyed.in_ranges(df, [], [F.col("t"), F.col("id")]).groupBy(keyed.CHUNK).count().collect()]
+        assert len(ranges) > 4 and max(ranges) < 1_500
+        got = {r.id: (r.run, r.n) for r in keyed.ranged_sums(df, ["k"], [F.col("t"), F.col("id").desc()], {"run": F.col("size"), "n": F.lit(1)}).collect()}
+    finally:
+        spark.conf.set(name, before)
+    run, n = {True: 0, False: 0}, {True: 0, False: 0}
+    for i in reversed(range(5_000)):
+        null = i % 50 == 0
+        run[null] += i % 7 + 1
+        n[null] += 1
+        assert got[i] == (run[null], n[null])
+    assert keyed.ranged_sums(df.limit(0), [], [F.col("t"), F.col("id")], {"run": F.col("size")}).collect() == []

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wakeline import params as P
 from wakeline.functions.times import time_chunk
 from wakeline.operators.filters import retention_reject
-from wakeline.operators.keyed import chunked_rank, chunked_sum, top_k, within
+from wakeline.operators.keyed import chunked_rank, ranged_sums, top_k, within
 
 
 def line_bytes(*columns: str) -> Column:
@@ -44,11 +44,10 @@ def compact_stats(rows: DataFrame, key: str, at: str, as_of: Column, policy: P.H
         F.count_if(F.col("_why") == "kept").alias("kept_rows"))
 
 
-def assign_parts(rows: DataFrame, at: str, key: str, size: Column, max_bytes: int, chunk_seconds: int = 60
-                 ) -> DataFrame:
+def assign_parts(rows: DataFrame, at: str, key: str, size: Column, max_bytes: int) -> DataFrame:
     """Adds ``date_utc`` and ``part``: rows of a day in (time, key) order, no part above ``max_bytes``.
 
-    Rows up to half the limit are cut on the day's running byte sum, which runs over time chunks, in
+    Rows up to half the limit are cut on the day's running byte sum, which runs over ranges of rows, in
     steps of half the limit: a part starts inside its step and its last row ends at most half the limit
     later, so it never exceeds the limit. Each larger row is a part of its own, after those. A single
     row above the limit fails the job.
@@ -57,10 +56,9 @@ def assign_parts(rows: DataFrame, at: str, key: str, size: Column, max_bytes: in
     sized = sized.withColumn("line_bytes", F.when(F.col("line_bytes") > max_bytes, F.raise_error(
         F.lit("a single history row exceeds the shard limit")).cast("int")).otherwise(F.col("line_bytes")))
     large = F.col("line_bytes") * 2 > max_bytes
-    # Small rows add their bytes, large ones a number: both sums run in the same pass over the day.
-    summed = sized
-    for name, value in (("_run", F.when(large, 0).otherwise(F.col("line_bytes"))), ("_large", large.cast("int"))):
-        summed = chunked_sum(summed, ["date_utc"], time_chunk(F.col(at), chunk_seconds), [F.col(at), F.col(key)], value.cast("bigint"), name)
+    # Small rows add their bytes, large ones a number.
+    summed = ranged_sums(sized, ["date_utc"], [F.col(at), F.col(key)], {
+        "_run": F.when(large, 0).otherwise(F.col("line_bytes")).cast("bigint"), "_large": large.cast("bigint")})
     step = F.floor((F.col("_run") - F.col("line_bytes")) * 2 / max_bytes)
     small = summed.where(~large).groupBy("date_utc").agg((F.max(step) + 1).alias("_small"))
     part = F.when(large, F.coalesce("_small", F.lit(0)) + F.col("_large")).otherwise(step + 1)
@@ -74,13 +72,10 @@ def shard_manifest(parts: DataFrame, at: str) -> DataFrame:
         F.max(at).alias("newest")).where("part IS NOT NULL OR date_utc IS NULL")
 
 
-def newest_within_budget(rows: DataFrame, at: str, key: str, size: Column, budget: int | None = None, chunk_seconds: int = 60
-                         ) -> DataFrame:
+def newest_within_budget(rows: DataFrame, at: str, key: str, size: Column, budget: int | None = None) -> DataFrame:
     """Every row with the bytes of it and all newer ones, and whether they are within the optional budget."""
     sized = rows.withColumn("line_bytes", size.cast("bigint"))
-    chunk = -time_chunk(F.col(at), chunk_seconds)
-    summed = chunked_sum(sized, [], chunk, [F.col(at).desc(), F.col(key).desc()], F.col("line_bytes"), "running_bytes",
-                         F.floor(F.col("_chunk") / 4096))
+    summed = ranged_sums(sized, [], [F.col(at).desc(), F.col(key).desc()], {"running_bytes": F.col("line_bytes")})
     return summed.withColumn("within_limit", within("running_bytes", budget))
 
 
@@ -138,15 +133,9 @@ def balanced_sample(rows: DataFrame, identity: str, at: str, key: str, priority:
     ordered = sampling_order(rows.withColumn("line_bytes", size.cast("bigint")), identity, at, key, priority)
     small = cut_lineage(ordered.select("round", F.col("id_priority"), F.col("id_latest"), identity, key, "line_bytes"))
     rank = [F.col("round"), F.col("id_priority").desc(), F.col("id_latest").desc(), F.col(identity)]
-    # Splits a round by identity recency so that a round with many identities is not one task.
-    chunk = F.struct(F.col("round"), (~F.col("id_priority")).alias("p"), (-time_chunk(F.col("id_latest"), 60)).alias("t"))
-    number = F.col("_chunk.round")
-    coarse = F.when(number < 4096, number).otherwise(4096 + F.floor(number / 4096))
     remaining, room, taken = small, budget, None
     while True:
-        run = chunked_sum(remaining.where(F.col("line_bytes") <= room), [], chunk, rank, F.col("line_bytes"), "run",
-                          coarse)
-        run = cut_lineage(run)
+        run = cut_lineage(ranged_sums(remaining.where(F.col("line_bytes") <= room), [], rank, {"run": F.col("line_bytes")}))
         fits = run.where(F.col("run") <= room)
         stats = run.agg(F.max(F.when(F.col("run") <= room, F.col("run"))).alias("used"),
                         F.count_if(F.col("run") > room).alias("left")).first()

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wakeline.session import cut_lineage
+
 CHUNK = "_chunk"
 
 
@@ -75,6 +77,32 @@ def chunked_sum(df: DataFrame, keys: Sequence[str], chunk: Column, order: Sequen
             .withColumn(out, F.col("_r") + F.col("_o")).drop(CHUNK, "_v", "_r", "_o"))
 
 
+def in_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The rows with the number of their range of (keys, order), as a chunk that is monotone in that order.
+
+    Bounds are sampled from the rows themselves, so ranges follow the data: rows that share a key and a time are
+    still spread by the rest of the order. Rows equal in all of it stay together. Checkpointed, so numbers hold.
+    """
+    return cut_lineage(df.repartitionByRange(*[F.col(k) for k in keys], *order).withColumn(CHUNK, F.spark_partition_id()))
+
+
+def ranged_sums(df: DataFrame, keys: Sequence[str], order: Sequence[Column], values: dict[str, Column]) -> DataFrame:
+    """Running sums per key up to and including the row, as a prefix scan over ranges of rows.
+
+    Each range is summed by itself, and the ranges before it are added from one small row per key and range; their
+    number is that of the shuffle partitions plus the keys. ``order`` must tell the rows of a key apart.
+    """
+    rows = in_ranges(df.withColumns({"_v_" + n: v for n, v in values.items()}), keys, order)
+    totals = rows.groupBy(*keys, CHUNK).agg(*[F.sum("_v_" + n).alias("_t_" + n) for n in values])
+    before = _summary_window(keys).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.withColumns({"_o_" + n: F.coalesce(F.sum("_t_" + n).over(before), F.lit(0)) for n in values})
+    inner = Window.partitionBy(*keys, CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = rows.withColumns({"_r_" + n: F.sum("_v_" + n).over(inner) for n in values})
+    joined = _join_back(local, _as_summary(offsets, keys, *["_o_" + n for n in values]), keys)
+    return joined.withColumns({n: F.col("_r_" + n) + F.col("_o_" + n) for n in values}).drop(
+        CHUNK, *[p + n for n in values for p in ("_v_", "_r_", "_o_")])
+
+
 def carry_last(df: DataFrame, keys: Sequence[str], chunk: Column, order: Sequence[str], values: dict[str, Column],
                inclusive: bool = True) -> DataFrame:
     """Last non-null of each value among a key's earlier rows (the row itself too if ``inclusive``)."""

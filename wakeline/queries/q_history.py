@@ -76,25 +76,37 @@ def _(t):
     return history.newest_within_budget(t.contacts, "observed_at", "event_id", F.col("row_bytes"), 200000).select("event_id", "running_bytes", "within_limit")
 
 
-@query("win09_balanced_sample")
-def _(t):
-    rows = kept(t).withColumn("identity", identity.id_history())
-    return history.balanced_sample(rows, "identity", "seen_at", "history_key", "is_priority_voi", F.col("row_bytes"), 150000).select(
-        "identity", "history_key", "event_id", "sampled")
-
-
-@query("win09_sampling_order", f"""
-WITH RECURSIVE {KEPT}, i AS (SELECT *, {S.ID_HISTORY} AS identity FROM kept), g AS (SELECT *, row_number() OVER (PARTITION BY identity ORDER BY seen_at, history_key) - 1 AS p, count(*) OVER (PARTITION BY identity) AS n FROM i),
+#: Identity, place p of its n rows in time, and (m) the round of each middle place.
+ORDERED = f"""WITH RECURSIVE {KEPT}, i AS (SELECT *, {S.ID_HISTORY} AS identity FROM kept), g AS (SELECT *, row_number() OVER (PARTITION BY identity ORDER BY seen_at, history_key) - 1 AS p, count(*) OVER (PARTITION BY identity) AS n FROM i),
 iv(n, lo, hi, ord, k) AS (SELECT DISTINCT n, 1::BIGINT, n - 2, 0::BIGINT, '' FROM g WHERE n > 2
  UNION ALL SELECT n, CASE WHEN b = 0 THEN lo ELSE (lo + hi) // 2 + 1 END, CASE WHEN b = 0 THEN (lo + hi) // 2 - 1 ELSE hi END, ord + 1, k || b FROM iv, (VALUES (0), (1)) s(b)
  WHERE CASE WHEN b = 0 THEN lo <= (lo + hi) // 2 - 1 ELSE (lo + hi) // 2 + 1 <= hi END),
-m AS (SELECT n, (lo + hi) // 2 AS p, row_number() OVER (PARTITION BY n ORDER BY ord, k) + 1 AS round FROM iv)
-SELECT event_id, CASE WHEN g.p = g.n - 1 THEN 0 WHEN g.p = 0 THEN 1 ELSE m.round END AS round FROM g LEFT JOIN m ON m.n = g.n AND m.p = g.p""")
+m AS (SELECT n, (lo + hi) // 2 AS p, row_number() OVER (PARTITION BY n ORDER BY ord, k) + 1 AS round FROM iv)"""
+_ROUND = "CASE WHEN g.p = g.n - 1 THEN 0 WHEN g.p = 0 THEN 1 ELSE m.round END"
+
+
+@query("win09_sampling_order", f"""
+{ORDERED}
+SELECT event_id, {_ROUND} AS round FROM g LEFT JOIN m ON m.n = g.n AND m.p = g.p""")
 def _(t):
     rows = kept(t).withColumn("identity", identity.id_history())
     return history.sampling_order(rows, "identity", "seen_at", "history_key", "is_priority_voi").select("event_id", "round")
 
 
+# The walk takes, again and again, the next row in order that still fits.
+@query("win09_balanced_sample", f"""
+{ORDERED},
+gi AS (SELECT identity, max(seen_at) AS latest, bool_or(coalesce(is_priority_voi, false)) AS pri FROM i GROUP BY 1),
+o AS (SELECT g.*, row_number() OVER (ORDER BY {_ROUND}, pri DESC, latest DESC, identity) AS place FROM g JOIN gi USING (identity) LEFT JOIN m ON m.n = g.n AND m.p = g.p),
+w(place, room) AS (SELECT 0::BIGINT, 150000::BIGINT
+ UNION ALL SELECT min(o.place), room - arg_min(o.row_bytes, o.place) FROM w JOIN o ON o.place > w.place AND o.row_bytes <= w.room GROUP BY room)
+SELECT identity, history_key, event_id, place IN (SELECT place FROM w) AS sampled FROM o""")
+def _(t):
+    rows = kept(t).withColumn("identity", identity.id_history())
+    return history.balanced_sample(rows, "identity", "seen_at", "history_key", "is_priority_voi", F.col("row_bytes"), 150000).select(
+        "identity", "history_key", "event_id", "sampled")
+
+
 @query("set04_subset_disjoint", f"""
 WITH {KEPT} SELECT (SELECT count(*) FROM (SELECT DISTINCT history_key FROM v_history WHERE history_key NOT IN (SELECT history_key FROM kept))) AS missing,
  0::BIGINT AS overlapping""")
