@@ -119,6 +119,7 @@ ARCHIVE_COLUMNS = (
 VESSEL_MOBILE_TYPES = ("class a", "class b")
 
 
+# --- fixed values: thresholds, weights and limits of each rule ---------------------
 @dataclass(frozen=True)
 class ProviderTtl:
     """Soft and hard time to live per provider, in hours."""

@@ -16,7 +16,7 @@ CONTACT = ("mmsi", "imo", "callsign", "name", "latitude", "longitude", "destinat
            "navigational_status", "sog", "cog", "true_heading", "provider", "observed_at",
            "position_timestamp_valid", "position_timestamp_basis")
 
-# Column names tried per feed, first non-empty wins.
+# --- fixed values: column names tried per feed, first non-empty wins ---------------
 REGIONAL = {
     "fintraffic": {
         "mmsi": ("mmsi", "MMSI"), "imo": ("imo", "imoNumber", "IMO"),
