@@ -11,6 +11,7 @@ from wakeline import params as P
 from wakeline.functions.tables import fixed_table
 from wakeline.operators import filters, graph, history, keyed, matching, merge, proximity, radar, raster, review, snapshot
 from wakeline.operators import spatial as sp
+from wakeline.sources import sinks
 from wakeline.streaming.route_state import step
 
 
@@ -358,3 +359,14 @@ def test_rows_of_one_moment_are_spread_over_ranges_and_summed_in_order(spark):
         n[null] += 1
         assert got[i] == (run[null], n[null])
     assert keyed.ranged_sums(df.limit(0), [], [F.col("t"), F.col("id")], {"run": F.col("size")}).collect() == []
+
+
+def test_a_product_is_replaced_whole_or_not_at_all(spark, tmp_path):
+    path = str(tmp_path / "product")
+    df = spark.range(20).selectExpr("id", "IF(id = 3, NULL, 'é') AS name")
+    size = sinks.write_if_small(df, path, 10_000)
+    assert size == sinks.product_bytes(df).first()["bytes"] and sinks.write_if_small(df.limit(5), path) < size
+    with pytest.raises(ValueError, match="previous product kept"):
+        sinks.write_if_small(df, path, 10)
+    assert spark.read.json(path).count() == 5 and sorted(p.name for p in tmp_path.iterdir()) == ["product"]
+    assert sinks.write_if_small(df.limit(0), path) == 0

@@ -123,11 +123,27 @@ def product_bytes(rows: DataFrame) -> DataFrame:
 
 
 def write_if_small(rows: DataFrame, path: str, max_bytes: int | None = None) -> int:
-    """Overwrites the product; with a limit only when it stays within it, else the last good one remains."""
-    size = product_bytes(rows).first()["bytes"]
+    """Replaces the product; with a limit only when it stays within it, else the last good one remains.
+
+    The product is written beside the old one, measured there, and moved into place, so a job that dies while
+    writing leaves the old one. One that dies between the two moves leaves it as ``-last``.
+    """
+    at = rows.sparkSession._jvm.org.apache.hadoop.fs.Path
+    home = path.rstrip("/")
+    place, beside, last = at(home), at(home + "-next"), at(home + "-last")
+    rows.write.mode("overwrite").json(home + "-next")
+    store = place.getFileSystem(rows.sparkSession._jsc.hadoopConfiguration())
+    size = store.getContentSummary(beside).getLength()
     if max_bytes is not None and size > max_bytes:
+        store.delete(beside, True)
         raise ValueError(f"product has {size} bytes, limit is {max_bytes}; previous product kept")
-    rows.write.mode("overwrite").json(path)
+    if store.exists(place):
+        store.delete(last, True)
+        if not store.rename(place, last):
+            raise OSError(f"{path} could not be moved aside")
+    if not store.rename(beside, place):
+        raise OSError(f"the new product could not be moved to {path}")
+    store.delete(last, True)
     return size
 
 
