@@ -117,3 +117,11 @@ def nonneg(value: Column) -> Column:
 
 def rounded(value: Column | str, places: int) -> Column:
     return F.round(col(value), places)
+
+
+def scaled_round(value: Column | str, places: int) -> Column:
+    """Rounded as most engines round doubles: the nearest whole number of ``value * 10^places``, halves away from zero.
+
+    ``F.round`` goes by the shortest decimal of the value instead, which differs where the product is a half."""
+    scale = 10.0 ** places
+    return F.round(col(value) * scale) / scale

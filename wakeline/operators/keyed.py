@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wakeline.functions.records import scaled_round
 from wakeline.session import cut_lineage
 
 CHUNK = "_chunk"
@@ -217,5 +218,5 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, probabilit
     first, last = F.col("_start") + F.col("_c1") - F.col("_vn"), F.col("_start") + F.col("_c1")
     at = lambda rank: F.max(F.when((F.col(rank) >= first) & (F.col(rank) < last), F.col(value)))
     picked = hits.groupBy(*keys, F.col("_w.p").alias("p"), "_h", "_lo").agg(at("_lo").alias("_a"), at("_hi").alias("_b"))
-    return picked.select(*keys, "p", F.round(
-        F.col("_a") + (F.col("_b") - F.col("_a")) * (F.col("_h") - F.col("_lo")), places).alias("value"))
+    part = F.col("_h") - F.col("_lo")
+    return picked.select(*keys, "p", scaled_round(F.col("_a") * (1.0 - part) + F.col("_b") * part, places).alias("value"))

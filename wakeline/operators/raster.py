@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wakeline import params as P
 from wakeline.functions import geo
+from wakeline.functions.records import scaled_round
 from wakeline.functions.text import col
 from wakeline.operators.graph import connected_components
 from wakeline.operators.keyed import chunked_rank, exact_percentiles
@@ -191,10 +192,11 @@ def band_statistics(pixels: DataFrame, band: str, probabilities=(0.5, 0.9, 0.95,
     both = long.select("scene_id", F.lit("linear").alias("scale"), "v").unionByName(
         long.where("v > 0").select("scene_id", F.lit("decibel").alias("scale"), (10.0 * F.log10("v")).alias("v")))
     basic = both.groupBy("scene_id", "scale").agg(
-        F.count("*").alias("samples"), F.round(F.min("v"), 6).alias("min"), F.round(F.max("v"), 6).alias("max"),
-        F.round(F.avg("v"), 6).alias("mean"), F.round(F.stddev_pop("v"), 6).alias("stddev"))
-    # Steps of about 1.6 %, whatever the scale: linear values far below 1 spread like decibels do.
-    bucket = F.floor(F.asinh(F.col("v") * 1e6) * 64.0).cast("bigint")
+        F.count("*").alias("samples"), scaled_round(F.min("v"), 6).alias("min"), scaled_round(F.max("v"), 6).alias("max"),
+        scaled_round(F.avg("v"), 6).alias("mean"), scaled_round(F.stddev_pop("v"), 6).alias("stddev"))
+    # Steps of about 1.6 %, whatever the scale: linear values far below 1 spread like decibels do. Of the magnitude, as
+    # the function loses all digits of large negative values and is not monotone there.
+    bucket = F.floor(F.signum("v") * F.asinh(F.abs("v") * 1e6) * 64.0).cast("bigint")
     pct = exact_percentiles(both, ["scene_id", "scale"], "v", probabilities, bucket)
     wide = pct.groupBy("scene_id", "scale").agg(*[
         F.max(F.when(F.abs(F.col("p") - p) < 1e-9, F.col("value"))).alias(f"p{str(p * 100).rstrip('0').rstrip('.')}"
