@@ -142,7 +142,8 @@ def candidate_pairs(detections: DataFrame, projected: DataFrame, params: P.Match
     """All (detection, vessel) pairs within the hard limit, with the dynamic radius test.
 
     Detections: id, longitude, latitude, span_x_m, span_y_m. The join key is a cell a little
-    larger than the limit, so only neighbours meet.
+    larger than the limit, so only neighbours meet. Detections are listed in several cells, which no file size tells,
+    so that side must not be taken for a small one: the join is a sorted one.
     """
     d = _detection_cells(detections, params.maximum_distance_m, params.cell_degrees)
     v = projected.withColumn("cx", geo.cell(F.col("projected_longitude"), params.cell_degrees)).withColumn(
@@ -151,7 +152,7 @@ def candidate_pairs(detections: DataFrame, projected: DataFrame, params: P.Match
                           F.col("projected_latitude"))
     radius = dynamic_radius(F.col("projection_method"), F.col("motion_distance_m"), F.col("span_x_m"),
                             F.col("span_y_m"), params)
-    return (d.join(v, ["cx", "cy"]).withColumn("_d", raw).where(F.col("_d") <= params.maximum_distance_m)
+    return (d.join(v.hint("merge"), ["cx", "cy"]).withColumn("_d", raw).where(F.col("_d") <= params.maximum_distance_m)
             .withColumn("distance_m", F.round("_d", 1)).withColumn("dynamic_radius_m", F.round(radius, 2))
             .withColumn("within_dynamic_radius", F.col("_d") <= radius).drop("_d", "cx", "cy"))
 
