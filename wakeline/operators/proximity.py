@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wakeline import params as P
 from wakeline.functions.times import time_chunk
 from wakeline.operators.keyed import chunked_rank, near_runs, top_k
-from wakeline.operators.spatial import feature_distance, near_pairs
+from wakeline.operators.spatial import feature_distance, near_lines, near_pairs, shapes
 
 
 def assemble_tracks(history: DataFrame, current: DataFrame, key: str, at: str, since: Column, seq: str) -> DataFrame:
@@ -39,6 +39,21 @@ def near_points(track: DataFrame, segs: DataFrame, key: str, at: str, params: P.
     return near_pairs(track.select(*cols), segs, params.close_nm, params.cell_degrees, cols, list(feature_cols))
 
 
+def near_shapes(track: DataFrame, lines: DataFrame, key: str, at: str, params: P.ProximityParams,
+                extra=("sog", "timestamp_valid")) -> DataFrame:
+    """``near_points`` for the lines of ``spatial.shapes``."""
+    cols = [key, "track_seq", at, "latitude", "longitude", *extra]
+    return near_lines(track.select(*cols), lines, params.close_nm, params.cell_degrees, cols)
+
+
+def track_candidates(track: DataFrame, segs: DataFrame, key: str, params: P.ProximityParams, feature: str = "feature_id") -> DataFrame:
+    """(track, feature) that come within the contextual distance anywhere."""
+    members, lines = shapes(segs, feature)
+    places = track.select(key, "latitude", "longitude").distinct()
+    met = near_lines(places, lines, params.contextual_nm, params.cell_degrees, [key])
+    return met.join(members, "shape").select(key, feature)
+
+
 def signals(low_speed: Column, dwell: Column, entries: Column, params: P.ProximityParams) -> Column:
     return F.array_compact(F.array(
         F.when(low_speed >= params.minimum_near_points, "low_speed_near_infrastructure"),
@@ -88,21 +103,29 @@ def summarise(near: DataFrame, key: str, at: str, params: P.ProximityParams, fea
             .withColumn("confidence", event_confidence(F.col("near_points"), F.col("valid_ratio"))))
 
 
+def summarise_features(track: DataFrame, segs: DataFrame, key: str, at: str, params: P.ProximityParams,
+                       feature: str = "feature_id", feature_cols=("infrastructure_type",)) -> DataFrame:
+    """``summarise`` of a numbered track against features: a shape is summarised once for all features drawn like it."""
+    members, lines = shapes(segs, feature, feature_cols)
+    found = summarise(near_shapes(track, lines, key, at, params), key, at, params, "shape", ())
+    return found.join(members, "shape").drop("shape")
+
+
 def proximity_events(track: DataFrame, segs: DataFrame, key: str, at: str, seq: str,
                      params: P.ProximityParams = P.ProximityParams(), feature_cols=("infrastructure_type",)
                      ) -> DataFrame:
     """Events: track and feature pairs with at least one behaviour signal, best few per vessel."""
-    numbered = number_points(track, key, at, seq, params)
-    near = near_points(numbered, segs, key, at, params, feature_cols=feature_cols)
-    found = summarise(near, key, at, params, feature_cols=feature_cols).where(F.size("signals") > 0)
-    best = top_k(found, [key], [(F.col("level") != "elevated").asc(), F.col("minimum_distance_nm").asc(),
-                                F.col("feature_id").asc()], params.max_events_per_vessel, rank="event_rank")
+    members, lines = shapes(segs, "feature_id", feature_cols)
+    near = near_shapes(number_points(track, key, at, seq, params), lines, key, at, params)
+    found = summarise(near, key, at, params, "shape", ()).where(F.size("signals") > 0)
     counted = track.groupBy(key).agg(F.count("*").alias("track_points"),
                                      F.max_by(F.struct("latitude", "longitude"), F.struct(at, seq)).alias("latest"))
-    out = best.join(counted, key)
-    last = out.select(key, "feature_id", "latest.latitude", "latest.longitude")
-    latest = feature_distance(last, segs, [key]).withColumnRenamed("distance_nm", "latest_distance_nm")
-    return out.join(latest, [key, "feature_id"])
+    out = found.join(counted, key)
+    last = out.select(key, "shape", "latest.latitude", "latest.longitude")
+    latest = feature_distance(last, lines, [key], "shape").withColumnRenamed("distance_nm", "latest_distance_nm")
+    events = out.join(latest, [key, "shape"]).join(members, "shape").drop("shape")
+    return top_k(events, [key], [(F.col("level") != "elevated").asc(), F.col("minimum_distance_nm").asc(),
+                                 F.col("feature_id").asc()], params.max_events_per_vessel, rank="event_rank")
 
 
 def order_events(events: DataFrame) -> DataFrame:

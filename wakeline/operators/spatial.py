@@ -93,8 +93,18 @@ def cover_cells(segs: DataFrame, radius_nm: float, size: float) -> DataFrame:
         geo.cell(F.greatest(xa, xb) + F.col("_lp"), size)))).drop("_lp", "_dy", "_dx")
 
 
-def near_pairs(points: DataFrame, segs: DataFrame, radius_nm: float, size: float, point_cols, feature_cols,
-               feature: str = "feature_id") -> DataFrame:
+def shapes(segs: DataFrame, feature: str = "feature_id", carry=()) -> tuple[DataFrame, DataFrame]:
+    """(members, lines) of features that are drawn alike: ``members`` has feature, ``carry`` and shape, ``lines`` the
+    segments of each shape once. Whatever depends on the course alone is worked out for a shape and then joined with
+    its members, so copies of a feature add to the rows that are asked for, not to the work before them."""
+    ends = F.sort_array(F.collect_list(F.struct("a_lon", "a_lat", "b_lon", "b_lat"))).alias("_lines")
+    drawn = segs.groupBy(feature, *carry).agg(ends).withColumn("shape", F.sha2(F.to_json(F.struct("_lines")), 256))
+    lines = drawn.groupBy("shape").agg(F.first("_lines").alias("_lines")).select("shape", F.explode("_lines").alias("_l"))
+    return drawn.drop("_lines"), lines.select("shape", "_l.*")
+
+
+def near_lines(points: DataFrame, segs: DataFrame, radius_nm: float, size: float, point_cols, feature: str = "shape",
+               feature_cols=()) -> DataFrame:
     """(point, feature, distance_nm) for every pair within the radius. An equi-join on the cell.
 
     A crowded cell is a skewed join key whose point side Spark splits; the segment side of a cell
@@ -106,17 +116,35 @@ def near_pairs(points: DataFrame, segs: DataFrame, radius_nm: float, size: float
         feature, *[c for c in feature_cols if c != feature], "a_lon", "a_lat", "b_lon", "b_lat", "cx", "cy")
     distance = geo.point_segment_nm(F.col("longitude"), F.col("latitude"), F.col("a_lon"), F.col("a_lat"),
                                     F.col("b_lon"), F.col("b_lat"))
-    hits = p.join(s, ["cx", "cy"]).withColumn("distance_nm", distance).where(F.col("distance_nm") <= radius_nm)
+    # Latitudes are compared first: most lines of a cell are ruled out without their distance.
+    reach = radius_nm / 60.0 * 1.001 + 1e-9
+    beside = F.col("latitude").between(F.least("a_lat", "b_lat") - reach, F.greatest("a_lat", "b_lat") + reach)
+    hits = p.join(s, ["cx", "cy"]).where(beside).withColumn("distance_nm", distance).where(F.col("distance_nm") <= radius_nm)
     keys = [*point_cols, *dict.fromkeys([feature, *feature_cols])]
     return hits.groupBy(*keys).agg(F.min("distance_nm").alias("distance_nm"))
 
 
+def near_pairs(points: DataFrame, segs: DataFrame, radius_nm: float, size: float, point_cols, feature_cols,
+               feature: str = "feature_id") -> DataFrame:
+    """(point, feature, distance_nm) for every pair within the radius: points meet shapes, and shapes their members."""
+    carry = [c for c in dict.fromkeys(feature_cols) if c != feature]
+    members, lines = shapes(segs, feature, carry)
+    near = near_lines(points, lines, radius_nm, size, point_cols)
+    return near.join(members, "shape").select(*point_cols, feature, *carry, "distance_nm")
+
+
+def drawn_once(segs: DataFrame, feature: str, carry=()) -> DataFrame:
+    """Each segment once, with the smallest of the features that hold it."""
+    first = F.min(F.struct(feature, *carry)).alias("_f")
+    return segs.groupBy("a_lon", "a_lat", "b_lon", "b_lat").agg(first).select("_f.*", "a_lon", "a_lat", "b_lon", "b_lat")
+
+
 def nearest_feature(points: DataFrame, segs: DataFrame, radius_nm: float, size: float, point_id: str,
                     feature: str = "feature_id") -> DataFrame:
     """Per point the nearest feature within the radius."""
     p = points.withColumn("cx", geo.cell(F.col("longitude"), size)).withColumn(
         "cy", geo.cell(F.col("latitude"), size))
-    s = cover_cells(segs, radius_nm, size).select(feature, "a_lon", "a_lat", "b_lon", "b_lat", "cx", "cy")
+    s = cover_cells(drawn_once(segs, feature), radius_nm, size).select(feature, "a_lon", "a_lat", "b_lon", "b_lat", "cx", "cy")
     distance = geo.point_segment_nm(F.col("longitude"), F.col("latitude"), F.col("a_lon"), F.col("a_lat"),
                                     F.col("b_lon"), F.col("b_lat"))
     hits = p.join(s, ["cx", "cy"]).withColumn("_d", distance).where(F.col("_d") <= radius_nm)
@@ -161,8 +189,8 @@ def nearest_at_any_distance(points: DataFrame, segs: DataFrame, point_id: str, f
     """
     placed = points.where(geo.valid_position(F.col("latitude"), F.col("longitude")) & F.col(point_id).isNotNull()).select(
         point_id, "latitude", "longitude")
-    lines = segs.where(F.col("a_lon").isNotNull() & F.col("a_lat").isNotNull()).select(
-        feature, *carry, "a_lon", "a_lat", F.coalesce("b_lon", "a_lon").alias("b_lon"), F.coalesce("b_lat", "a_lat").alias("b_lat"))
+    lines = cut_lineage(drawn_once(segs.where(F.col("a_lon").isNotNull() & F.col("a_lat").isNotNull()).withColumns(
+        {"b_lon": F.coalesce("b_lon", "a_lon"), "b_lat": F.coalesce("b_lat", "a_lat")}), feature, carry))
     distance = geo.point_segment_nm(F.col("longitude"), F.col("latitude"), F.col("a_lon"), F.col("a_lat"), F.col("b_lon"), F.col("b_lat"))
     best = F.min(F.struct(F.round("_d", 9).alias("distance_nm"), F.col(feature), *carry)).alias("_b")
     shown = [point_id, f"_b.{feature}", *[f"_b.{c}" for c in carry], "_b.distance_nm"]
@@ -288,11 +316,14 @@ def inside_polygon(points: DataFrame, rings: DataFrame, point_cols, cell: float,
     An equi-join of points with the cells of ``polygon_cover``. A point in an inner block is inside without a look at
     an edge. In a border cell the way from the point to the middle of the cell's east side, first along its
     latitude, then along the side, crosses only edges of the cell; an odd number of them changes the side's answer.
-    So the work of a point depends on the edges of one cell, not on the ring.
+    So the work of a point depends on the edges of one cell, not on the ring. Polygons with the same edges are one shape
+    until the end.
     """
-    used = [r.z for r in ring_sizes(rings, cell, feature).select("z").distinct().collect()]  # at most 17 numbers
+    members, rings = shapes(rings.where("b_lon IS NOT NULL"), feature)
+    members, rings = cut_lineage(members), cut_lineage(rings)
+    used = [r.z for r in ring_sizes(rings, cell, "shape").select("z").distinct().collect()]  # at most 17 numbers
     if not used:
-        return points.join(rings.select(feature), F.lit(False)).select(*point_cols, feature)
+        return points.join(members.select(feature), F.lit(False)).select(*point_cols, feature)
     keys = []
     for z in used:
         size = cell * 2.0 ** z
@@ -312,6 +343,7 @@ def inside_polygon(points: DataFrame, rings: DataFrame, point_cols, cell: float,
         up = ((of("a_lon") > side) != (of("b_lon") > side)) & ((y > middle) != (y > lat))
         return F.coalesce(along, F.lit(False)).cast("int") + F.coalesce(up, F.lit(False)).cast("int")
 
-    met = located.join(polygon_cover(rings, cell, feature), ["z", "level", "cy", "kx"])
+    met = located.join(polygon_cover(rings, cell, "shape"), ["z", "level", "cy", "kx"])
     crossed = F.aggregate(F.coalesce("edges", F.array()), F.lit(0), lambda n, edge: n + changes(edge))
-    return met.where((crossed + F.col("odd").cast("int")) % 2 == 1).select(*point_cols, feature)
+    inside = met.where((crossed + F.col("odd").cast("int")) % 2 == 1).select(*point_cols, "shape")
+    return inside.join(members, "shape").select(*point_cols, feature)

@@ -131,7 +131,7 @@ def _(t):
 
 @query("jn13_track_feature_candidates", f"WITH {pairs_sql(2)} SELECT DISTINCT mmsi, feature_id FROM pr")
 def _(t):
-    return near_pairs(t.contacts, t.infra, PARAMS.contextual_nm, 0.1, ["event_id", "mmsi"], []).select("mmsi", "feature_id").distinct()
+    return px.track_candidates(t.contacts, t.infra, "mmsi", PARAMS)
 
 
 # Whole-track evaluation, as the rule reads: every candidate feature against every track point.
@@ -154,13 +154,9 @@ lv AS (SELECT *, CASE WHEN dmin <= 25e-2 OR (dmin <= 75e-2 AND n_signals >= 2) T
 evt AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY mmsi ORDER BY CASE WHEN level = 'elevated' THEN 0 ELSE 1 END, dmin, feature_id) AS event_rank FROM lv WHERE n_signals > 0))"""
 
 
-def near(t, params=PARAMS):
-    numbered = px.number_points(t.contacts, "mmsi", "observed_at", "event_id", params)
-    return px.near_points(numbered, t.infra, "mmsi", "observed_at", params)
-
-
 def summary(t, params=PARAMS):
-    return px.summarise(near(t, params), "mmsi", "observed_at", params)
+    numbered = px.number_points(t.contacts, "mmsi", "observed_at", "event_id", params)
+    return px.summarise_features(numbered, t.infra, "mmsi", "observed_at", params)
 
 
 def events(t, params=PARAMS):
