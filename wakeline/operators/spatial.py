@@ -68,12 +68,17 @@ def overlaps_box(west: float, south: float, east: float, north: float) -> Column
     return ~((F.col("east") < west) | (F.col("west") > east) | (F.col("north") < south) | (F.col("south") > north))
 
 
+def _pads(radius_nm: float) -> tuple[float, Column]:
+    """The radius in degrees of latitude and, at a segment's latitude farthest from the equator, of longitude."""
+    pad = radius_nm / 60.0 * 1.001 + 1e-9
+    worst = F.greatest(F.abs(F.col("a_lat")), F.abs(F.coalesce("b_lat", "a_lat"))) + pad
+    return pad, radius_nm / F.greatest(F.lit(10.0), 60.0 * F.cos(F.radians(F.least(F.lit(90.0), worst)))) * 1.001 + 1e-9
+
+
 def cover_cells(segs: DataFrame, radius_nm: float, size: float) -> DataFrame:
     """Segments listed once per grid cell their radius-padded course touches (``cx``, ``cy``)."""
     b_lon, b_lat = F.coalesce("b_lon", "a_lon"), F.coalesce("b_lat", "a_lat")
-    pad = radius_nm / 60.0 * 1.001 + 1e-9
-    worst = F.greatest(F.abs(F.col("a_lat")), F.abs(b_lat)) + pad
-    lon_pad = radius_nm / F.greatest(F.lit(10.0), 60.0 * F.cos(F.radians(F.least(F.lit(90.0), worst)))) * 1.001 + 1e-9
+    pad, lon_pad = _pads(radius_nm)
     df = (segs.withColumn("_lp", lon_pad).withColumn("_dy", b_lat - F.col("a_lat"))
           .withColumn("_dx", b_lon - F.col("a_lon"))
           .withColumn("cy", F.explode(F.sequence(
@@ -110,26 +115,37 @@ def near_lines(points: DataFrame, segs: DataFrame, radius_nm: float, size: float
     A crowded cell is a skewed join key whose point side Spark splits; the segment side of a cell
     is limited by how many courses cross it.
     """
-    p = points.withColumn("cx", geo.cell(F.col("longitude"), size)).withColumn(
-        "cy", geo.cell(F.col("latitude"), size))
-    s = cover_cells(segs, radius_nm, size).select(
-        feature, *[c for c in feature_cols if c != feature], "a_lon", "a_lat", "b_lon", "b_lat", "cx", "cy")
-    distance = geo.point_segment_nm(F.col("longitude"), F.col("latitude"), F.col("a_lon"), F.col("a_lat"),
-                                    F.col("b_lon"), F.col("b_lat"))
-    # Latitudes are compared first: most lines of a cell are ruled out without their distance.
-    reach = radius_nm / 60.0 * 1.001 + 1e-9
-    beside = F.col("latitude").between(F.least("a_lat", "b_lat") - reach, F.greatest("a_lat", "b_lat") + reach)
-    hits = p.join(s, ["cx", "cy"]).where(beside).withColumn("distance_nm", distance).where(F.col("distance_nm") <= radius_nm)
+    hits = _beside(points, segs, radius_nm, size, [feature, *feature_cols])
     keys = [*point_cols, *dict.fromkeys([feature, *feature_cols])]
-    return hits.groupBy(*keys).agg(F.min("distance_nm").alias("distance_nm"))
+    # The radius is applied to the least distance: a filter below the groups would work it out twice, part by part.
+    return hits.groupBy(*keys).agg(F.min(_segment_nm()).alias("distance_nm")).where(F.col("distance_nm") <= radius_nm)
+
+
+def _segment_nm() -> Column:
+    return geo.point_segment_nm(F.col("longitude"), F.col("latitude"), F.col("a_lon"), F.col("a_lat"), F.col("b_lon"), F.col("b_lat"))
+
+
+def _beside(points: DataFrame, segs: DataFrame, radius_nm: float, size: float, carry) -> DataFrame:
+    """Points with the segments whose padded box they lie in, joined on the cell: most lines of a cell are ruled out
+    without their distance."""
+    p = points.withColumn("cx", geo.cell(F.col("longitude"), size)).withColumn("cy", geo.cell(F.col("latitude"), size))
+    pad, lon_pad = _pads(radius_nm)
+    b_lon, b_lat = F.coalesce("b_lon", "a_lon"), F.coalesce("b_lat", "a_lat")
+    box = {"_west": F.least("a_lon", b_lon) - lon_pad, "_east": F.greatest("a_lon", b_lon) + lon_pad,
+           "_south": F.least("a_lat", b_lat) - pad, "_north": F.greatest("a_lat", b_lat) + pad}
+    s = cover_cells(segs, radius_nm, size).withColumns(box).select(*dict.fromkeys(carry), "a_lon", "a_lat", "b_lon", "b_lat", "cx", "cy", *box)
+    return p.join(s, ["cx", "cy"]).where(F.col("latitude").between(F.col("_south"), F.col("_north"))
+                                         & F.col("longitude").between(F.col("_west"), F.col("_east"))).drop(*box)
 
 
 def near_pairs(points: DataFrame, segs: DataFrame, radius_nm: float, size: float, point_cols, feature_cols,
-               feature: str = "feature_id") -> DataFrame:
-    """(point, feature, distance_nm) for every pair within the radius: points meet shapes, and shapes their members."""
+               feature: str = "feature_id", places: int | None = None) -> DataFrame:
+    """(point, feature, distance_nm) for every pair within the radius: points meet shapes, and shapes their members.
+    With ``places`` distances are rounded, once for a shape."""
     carry = [c for c in dict.fromkeys(feature_cols) if c != feature]
     members, lines = shapes(segs, feature, carry)
     near = near_lines(points, lines, radius_nm, size, point_cols)
+    near = near if places is None else near.withColumn("distance_nm", F.round("distance_nm", places))
     return near.join(members, "shape").select(*point_cols, feature, *carry, "distance_nm")
 
 
@@ -142,14 +158,9 @@ def drawn_once(segs: DataFrame, feature: str, carry=()) -> DataFrame:
 def nearest_feature(points: DataFrame, segs: DataFrame, radius_nm: float, size: float, point_id: str,
                     feature: str = "feature_id") -> DataFrame:
     """Per point the nearest feature within the radius."""
-    p = points.withColumn("cx", geo.cell(F.col("longitude"), size)).withColumn(
-        "cy", geo.cell(F.col("latitude"), size))
-    s = cover_cells(drawn_once(segs, feature), radius_nm, size).select(feature, "a_lon", "a_lat", "b_lon", "b_lat", "cx", "cy")
-    distance = geo.point_segment_nm(F.col("longitude"), F.col("latitude"), F.col("a_lon"), F.col("a_lat"),
-                                    F.col("b_lon"), F.col("b_lat"))
-    hits = p.join(s, ["cx", "cy"]).withColumn("_d", distance).where(F.col("_d") <= radius_nm)
-    best = F.min(F.struct(F.col("_d").alias("distance_nm"), F.col(feature).alias(feature))).alias("_b")
-    return hits.groupBy(point_id).agg(best).select(point_id, f"_b.{feature}", "_b.distance_nm")
+    hits = _beside(points, drawn_once(segs, feature), radius_nm, size, [feature])
+    best = F.min(F.struct(_segment_nm().alias("distance_nm"), F.col(feature))).alias("_b")
+    return hits.groupBy(point_id).agg(best).select(point_id, f"_b.{feature}", "_b.distance_nm").where(F.col("distance_nm") <= radius_nm)
 
 
 #: Cells of the tree of features: 0.1 degrees at level 0, four times as wide with each level; one cell at TOP.

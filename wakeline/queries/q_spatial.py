@@ -106,7 +106,7 @@ def _(t):
 
 @query("jn11_grid_candidates", f"WITH {pairs_sql(2)} SELECT event_id, feature_id, round(d, 5) AS nm FROM pr")
 def _(t):
-    return near_pairs(t.contacts, t.infra, 2.0, 0.1, ["event_id"], []).select("event_id", "feature_id", F.round("distance_nm", 5).alias("nm"))
+    return near_pairs(t.contacts, t.infra, 2.0, 0.1, ["event_id"], [], places=5).select("event_id", "feature_id", F.col("distance_nm").alias("nm"))
 
 
 @query("jn12_nearest_feature", f"""
