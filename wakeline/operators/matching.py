@@ -16,7 +16,7 @@ from wakeline.functions import identity
 from wakeline.functions.records import is_tanker, zone_ids
 from wakeline.functions.tables import fixed_table
 from wakeline.functions.text import norm_digits, norm_key, norm_text, present, split_tokens, to_bool
-from wakeline.session import cut_lineage
+from wakeline.session import cut_lineage, stored
 
 ID_KINDS = ("imo", "mmsi", "callsign")
 
@@ -59,7 +59,9 @@ def watch_match_basis(records: DataFrame, watch: DataFrame, line: str = "line_no
     out = records
     sizes = {"imo": 7, "mmsi": 9}
     for kind, size in sizes.items():
-        index = watch_index(watch, kind, line).where(F.length("_id") == size).withColumnRenamed("_id", f"_{kind}_id")
+        # Stored, as Spark takes the ids of a watchlist for as large as the list, and would deal out all records for them.
+        index = stored(watch_index(watch.select(line, "name", kind), kind, line).where(F.length("_id") == size).select(
+            F.col("_id").alias(f"_{kind}_id"), F.struct(F.col(f"_{kind}_row.name").alias("name")).alias(f"_{kind}_row")))
         out = out.withColumn(f"_{kind}_key", spread_nulls(normalised_ids(kind), records)).join(
             index, F.col(f"_{kind}_key") == F.col(f"_{kind}_id"), "left")
     out = (out.withColumn("_w", F.coalesce("_imo_row", "_mmsi_row"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the jobs are written for. A cluster may override any of them.
@@ -50,3 +52,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives lost executors, ends the plan at the written files."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The rows written once to the checkpoint folder as Parquet and read back: packed columns where a checkpoint holds whole
+    rows, and a size that is measured, so that Spark knows which side of a join is small."""
+    path = f"{checkpoint_dir(df.sparkSession)}/wakeline-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
