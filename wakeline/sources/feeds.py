@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wakeline.functions import identity
 from wakeline.functions.records import clean_motion
@@ -72,19 +73,25 @@ def archive_contact(records: DataFrame) -> DataFrame:
         F.lit("source_basestation_timestamp_utc_assumption").alias("position_timestamp_basis"))
 
 
+def _finite(rows: DataFrame, name: str) -> Column:
+    """``parse_float`` of a column; a column of doubles is not turned into text and back."""
+    return F.when(F.abs(name) < float("inf"), F.col(name)) if rows.schema[name].dataType == T.DoubleType() else parse_float(name)
+
+
 def grid_contact(rows: DataFrame) -> DataFrame:
     """Gridded presence rows to position records; rows without identity, time or place are dropped."""
-    lat, lon = parse_float("lat"), parse_float("lon")
-    out = rows.select(
-        F.lit("global_fishing_watch").alias("provider"),
-        identity.id_grid("mmsi", "imo", "vesselId").alias("identity_key"), present("vesselId").alias("vessel_id"),
+    # What rows are dropped by stands in a generator: a filter is not pushed below it, where it would parse a second time.
+    known = F.struct(
+        identity.id_grid("mmsi", "imo", "vesselId").alias("identity_key"), _finite(rows, "lat").alias("latitude"), _finite(rows, "lon").alias("longitude"),
+        F.date_trunc("second", parse_dt(F.coalesce(present("entryTimestamp"), present("date")))).alias("observed_at"))
+    kept = rows.select("*", F.explode(F.array(known)).alias("_k")).where(
+        "_k.identity_key IS NOT NULL AND _k.observed_at IS NOT NULL AND _k.latitude BETWEEN -90 AND 90 AND _k.longitude BETWEEN -180 AND 180")
+    return kept.select(
+        F.lit("global_fishing_watch").alias("provider"), "_k.identity_key", present("vesselId").alias("vessel_id"),
         valid_imo("imo").alias("imo"), valid_mmsi("mmsi").alias("mmsi"), collapse("callsign").alias("callsign"),
-        collapse("shipName").alias("name"), lat.alias("latitude"), lon.alias("longitude"),
-        F.date_trunc("second", parse_dt(F.coalesce(present("entryTimestamp"), present("date")))).alias("observed_at"),
-        parse_float("hours").alias("presence_hours"), F.lit(False).alias("position_is_exact"),
+        collapse("shipName").alias("name"), "_k.latitude", "_k.longitude", "_k.observed_at",
+        _finite(rows, "hours").alias("presence_hours"), F.lit(False).alias("position_is_exact"),
         F.lit(True).alias("timestamp_valid"), column_or_null(rows, "source_dataset"))
-    return out.where("identity_key IS NOT NULL AND observed_at IS NOT NULL AND latitude BETWEEN -90 AND 90"
-                     " AND longitude BETWEEN -180 AND 180")
 
 
 def position_record(contacts: DataFrame) -> DataFrame:
