@@ -15,8 +15,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from wakeline.session import stored
+
 CUT = "},"
 
+#: A byte range is placed in blocks of up to 2^this many fragments, so a sort holds a block, not a range.
+BLOCK_BITS = 14
+
 #: What a JSON string holds; a string, and what is left of one at the begin and the end of a fragment.
 _BODY = r'[^"\\]*+(?:\\.[^"\\]*+)*+'
 _STRING, _REST, _OPEN = f'"{_BODY}"', f'(?s)^{_BODY}(?:"|$)', r'(?s)".*$'
@@ -44,7 +49,7 @@ def _fragments(spark: SparkSession, path: str) -> DataFrame:
     raw = spark.read.option("lineSep", CUT).text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
         (F.col("_metadata.file_block_start") + F.col("_metadata.file_block_length") >= F.col("_metadata.file_size")).alias("last_block"),
-        F.monotonically_increasing_id().alias("seq"), "value")
+        F.monotonically_increasing_id().alias("seq"), "value").withColumn("block", F.struct(F.col("block").alias("start"), F.shiftright("seq", BLOCK_BITS).alias("nth")))
     quotes = F.length(F.regexp_replace(F.regexp_replace("value", r"(?s)\\.", ""), '[^"]', ""))
     ended = F.col("flips") == 1  # of a start outside: the cut is inside a string
     parts = raw.withColumn("flips", quotes % 2)
@@ -102,14 +107,15 @@ def read_lists(spark: SparkSession, path: str, names: Sequence[str]) -> DataFram
     An element that is no object is skipped. ``record`` may be followed by what stands behind the object in the
     file; parsers stop at its end. A list is cut only where ``},`` stands without white space between.
     """
-    placed = _placed(_fragments(spark, path))
+    # What follows looks at the fragments several times, each time at a few columns; what is small for each file or block is joined by its measured size.
+    placed = stored(_placed(_fragments(spark, path)))
     order = F.struct("block", "seq")
     found = []
     for rank, name in enumerate([None, *names]):
         start, depth = _list_start(name)
         found.append(F.when(start > 0, F.struct(F.lit(rank).alias("rank"), order.alias("at"), start.alias("begin"), F.lit(depth).alias("level"))))
     marked = placed.withColumn("starts", F.array_compact(F.array(*found)))
-    lists = marked.select("file", F.explode("starts").alias("s")).groupBy("file").agg(F.min("s").alias("list"))
+    lists = stored(marked.select("file", F.explode("starts").alias("s")).groupBy("file").agg(F.min("s").alias("list")))
     rows = placed.join(lists, "file").withColumn("order", order).where(F.col("order") >= F.col("list.at"))
     first = F.col("order") == F.col("list.at")
     level = F.col("list.level")
@@ -118,14 +124,14 @@ def read_lists(spark: SparkSession, path: str, names: Sequence[str]) -> DataFram
     rows = rows.withColumn("own", own).withColumn("from", F.when(first, level).otherwise(F.col("depth")))
     rows = rows.withColumns({"closes": F.col("from") + _lowest(F.col("own")) < level,
                              "ends": ~F.col("cut_inside") & (F.col("from") + _steps(F.col("own")) == level)})
-    last = rows.where("closes").groupBy("file").agg(F.min("order").alias("stop"))
+    last = stored(rows.where("closes").groupBy("file").agg(F.min("order").alias("stop")))
     rows = rows.join(last, "file", "left").where(F.col("stop").isNull() | (F.col("order") <= F.col("stop")))
     # Numbers of the elements: within a byte range, then over the ranges.
     here = Window.partitionBy("file", "block").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     done = (F.col("ends") & ~F.col("closes")).cast("bigint")
-    ranges = rows.groupBy("file", "block").agg(F.sum(done).alias("n")).select(
-        "file", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    ranges = stored(rows.groupBy("file", "block").agg(F.sum(done).alias("n")).select(
+        "file", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")))
     numbered = rows.withColumn("k", F.coalesce(F.sum(done).over(here), F.lit(0))).join(ranges, ["file", "block"])
     text = F.when(first, F.expr("substring(value, list.begin)")).otherwise(F.col("value"))
     pieces = numbered.groupBy("file", (F.col("k") + F.col("offset")).alias("index")).agg(
