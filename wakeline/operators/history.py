@@ -44,13 +44,14 @@ def compact_stats(rows: DataFrame, key: str, at: str, as_of: Column, policy: P.H
         F.count_if(F.col("_why") == "kept").alias("kept_rows"))
 
 
-def assign_parts(rows: DataFrame, at: str, key: str, size: Column, max_bytes: int) -> DataFrame:
+def assign_parts(rows: DataFrame, at: str, key: str, size: Column, max_bytes: int, close: bool = False) -> DataFrame:
     """Adds ``date_utc`` and ``part``: rows of a day in (time, key) order, no part above ``max_bytes``.
 
     Rows up to half the limit are cut on the day's running byte sum, which runs over ranges of rows, in
     steps of half the limit: a part starts inside its step and its last row ends at most half the limit
     later, so it never exceeds the limit. Each larger row is a part of its own, after those. A single
-    row above the limit fails the job.
+    row above the limit fails the job. With ``close`` the steps are the limit less the day's widest row
+    of those, so parts of narrow rows are almost full.
     """
     sized = rows.withColumn("date_utc", F.to_date(at)).withColumn("line_bytes", size)
     sized = sized.withColumn("line_bytes", F.when(F.col("line_bytes") > max_bytes, F.raise_error(
@@ -59,10 +60,11 @@ def assign_parts(rows: DataFrame, at: str, key: str, size: Column, max_bytes: in
     # Small rows add their bytes, large ones a number.
     summed = ranged_sums(sized, ["date_utc"], [F.col(at), F.col(key)], {
         "_run": F.when(large, 0).otherwise(F.col("line_bytes")).cast("bigint"), "_large": large.cast("bigint")})
-    step = F.floor((F.col("_run") - F.col("line_bytes")) * 2 / max_bytes)
-    small = summed.where(~large).groupBy("date_utc").agg((F.max(step) + 1).alias("_small"))
-    part = F.when(large, F.coalesce("_small", F.lit(0)) + F.col("_large")).otherwise(step + 1)
-    return summed.join(small, "date_utc", "left").withColumn("part", part.cast("int")).drop("_run", "_large", "_small")
+    start = F.col("_run") - F.col("line_bytes")
+    small = summed.where(~large).groupBy("date_utc").agg(F.max("line_bytes").alias("_widest"), F.max(start).alias("_last"))
+    room = F.lit(max_bytes) - F.col("_widest") if close else F.lit(max_bytes / 2)
+    part = F.when(large, F.coalesce(F.floor(F.col("_last") / room) + 1, F.lit(0)) + F.col("_large")).otherwise(F.floor(start / room) + 1)
+    return summed.join(small, "date_utc", "left").withColumn("part", part.cast("int")).drop("_run", "_large", "_widest", "_last")
 
 
 def shard_manifest(parts: DataFrame, at: str) -> DataFrame:

@@ -269,8 +269,9 @@ SELECT count(*) AS rows, count(DISTINCT history_key) AS keys FROM v_history WHER
  WHERE seen_at BETWEEN TIMESTAMP '2024-01-17' AND TIMESTAMP '2024-02-01' GROUP BY history_key)""")
 def _(t):
     path = scratch(t)
-    sinks.write_shards(kept(t), path, "seen_at", "history_key", F.col("row_bytes"), 4000)
-    return t.spark.read.json(path).agg(F.count("*").alias("rows"), F.count_distinct("history_key").alias("keys"))
+    rows = kept(t)
+    sinks.write_shards(rows, path, "seen_at", "history_key", F.col("row_bytes"), 4000)
+    return t.spark.read.schema(rows.schema).json(path).agg(F.count("*").alias("rows"), F.count_distinct("history_key").alias("keys"))
 
 
 @query("snk04_csv_product", f"""

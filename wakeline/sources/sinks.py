@@ -83,9 +83,10 @@ def connector_features(correlated: DataFrame) -> DataFrame:
 def write_shards(rows: DataFrame, path: str, at: str, key: str, size: Column, max_bytes: int) -> DataFrame:
     """Day and part partitioned JSON Lines, plus the manifest, which is returned.
 
-    Each part is written by one task in (time, key) order: parts are bounded by ``max_bytes``.
+    Each part is written by one task in (time, key) order: parts are bounded by ``max_bytes``, and as full as the
+    day's widest row allows, as every part is a file.
     """
-    parts = assign_parts(rows, at, key, size, max_bytes)
+    parts = assign_parts(rows, at, key, size, max_bytes, close=True)
     (parts.repartition("date_utc", "part").sortWithinPartitions("date_utc", "part", at, key).drop("line_bytes")
      .write.partitionBy("date_utc", "part").mode("overwrite").json(path))
     manifest = shard_manifest(parts, at)
