@@ -61,7 +61,7 @@ def _(t):
     rows = t.voyages.select("identity_key", "event_id", "observed_at", F.col("destination").alias("place"), "declared", "port_seen")
     arrival = F.expr(_ARRIVAL.format(us="unix_micros(observed_at)"))
     for k in range(5):  # one file a slice, one slice a micro-batch
-        rows.where(arrival == k).coalesce(1).write.parquet(f"{path}/in/{k}")
+        rows.where(arrival == k).repartition(1).write.parquet(f"{path}/in/{k}")
     arriving = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(path + "/in")
     with live.rocksdb(t.spark):
         live.run_to_files(route_stream(arriving, delay="3 days"), path + "/cp", path + "/out")
