@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wakeline.functions.records import scaled_round
-from wakeline.session import cut_lineage
+from wakeline.session import cut_lineage, stored
 
 CHUNK = "_chunk"
 
@@ -129,21 +129,31 @@ def carry_last(df: DataFrame, keys: Sequence[str], chunk: Column, order: Sequenc
     return joined.drop(CHUNK, *helpers)
 
 
-def carry_around(df: DataFrame, keys: Sequence[str], chunk: Column, order: Sequence[str], value: Column, before: str,
-                 after: str) -> DataFrame:
-    """Last non-null value up to the row and first non-null value after it, in one pass per chunk."""
-    rows = df.withColumns({CHUNK: chunk, "_v": value})
+def carry_around(df: DataFrame, keys: Sequence[str], chunk: Column | None, order: Sequence[str], value: Column,
+                 before: str, after: str, place: Sequence[str] = ()) -> DataFrame:
+    """Last non-null value up to the row and first non-null value after it, in one ordered pass.
+
+    Rows whose chunk is NULL, all rows without one, are a single chunk of their key and need no summary. ``place``:
+    columns the rows of a chunk share and are dealt by already.
+    """
+    rows = df.withColumn("_v", value) if chunk is None else df.withColumns({CHUNK: chunk, "_v": value})
+    group = [*place, *keys, *([] if chunk is None else [CHUNK])]
+    inner = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    names = lambda columns: ", ".join(f"`{c}`" for c in columns)
+    # As lead, since a frame that is open at its end is read again for each row.
+    following = F.expr(f"lead(_v) IGNORE NULLS OVER (PARTITION BY {names(group)} ORDER BY {names(order)})")
+    local = rows.withColumns({"_ib": F.last("_v", ignorenulls=True).over(inner), "_ia": following})
+    if chunk is None:
+        return local.withColumnsRenamed({"_ib": before, "_ia": after}).drop("_v")
     position = F.when(F.col("_v").isNotNull(), F.struct(*order))
-    ends = rows.groupBy(*keys, CHUNK).agg(F.max_by("_v", position).alias("_hi"), F.min_by("_v", position).alias("_lo"))
+    ends = rows.where(F.col(CHUNK).isNotNull()).groupBy(*keys, CHUNK).agg(
+        F.max_by("_v", position).alias("_hi"), F.min_by("_v", position).alias("_lo"))
     w = _summary_window(keys)
     ends = ends.withColumns({
         "_b": F.last("_hi", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)),
         "_a": F.first("_lo", ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))})
-    inner = Window.partitionBy(*keys, CHUNK).orderBy(*order)
-    local = rows.withColumns({
-        "_ib": F.last("_v", ignorenulls=True).over(inner.rowsBetween(Window.unboundedPreceding, 0)),
-        "_ia": F.first("_v", ignorenulls=True).over(inner.rowsBetween(1, Window.unboundedFollowing))})
-    joined = _join_back(local, _as_summary(ends, keys, "_b", "_a"), keys)
+    # Stored, so that Spark sees how small it is and leaves the rows where they are.
+    joined = _join_back(local, stored(_as_summary(ends, keys, "_b", "_a")), keys)
     return joined.withColumns({before: F.coalesce("_ib", "_b"), after: F.coalesce("_ia", "_a")}).drop(
         CHUNK, "_v", "_ib", "_ia", "_b", "_a")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wakeline import params as P
@@ -12,6 +12,7 @@ from wakeline.functions.tables import fixed_table
 from wakeline.functions.times import time_chunk
 from wakeline.operators.keyed import chunked_rank, top_k, within
 from wakeline.operators.snapshot import nearest_times
+from wakeline.session import stored
 
 
 # --- coverage ------------------------------------------------------------------------
@@ -207,11 +208,47 @@ def label_counts(df: DataFrame, column: str, labels) -> DataFrame:
 GRID_KEY = ("region_id", "ais_matched", "observed_at", "lat5", "lon5", "vessel_id", "imo", "mmsi")
 
 
-def grid_records(rows: DataFrame, prefix: str, key=GRID_KEY) -> DataFrame:
-    """Valid gridded rows, one per key, with a hashed id."""
-    valid = rows.where(geo.valid_position(F.col("latitude"), F.col("longitude")) & F.col("observed_at").isNotNull())
-    keyed = valid.withColumn("lat5", F.round("latitude", 5)).withColumn("lon5", F.round("longitude", 5))
+#: A vessel with more rows than one task should order goes by chunks of this length.
+BUSY_ROWS, BUSY_CHUNK_SECONDS = 1_000_000, 30 * 86400
+#: The chunk of a busy vessel's row, and the number that rows are dealt by.
+PART, DEAL = "_part", "_deal"
+
+
+def in_chunks(rows: DataFrame, vessel: str = "vessel_id", at: str = "observed_at", more_than: int = BUSY_ROWS) -> DataFrame:
+    """The rows with the time chunk of those of busy vessels, NULL for others; without a column if no vessel is busy."""
+    counts = rows.where(F.col(vessel).isNotNull()).groupBy(vessel).agg(F.count("*").alias("_n"))
+    busy = stored(counts.where(F.col("_n") > more_than).select(vessel))
+    if busy.isEmpty():
+        return rows
+    marked = rows.join(busy.withColumn("_busy", F.lit(True)), vessel, "left")
+    return marked.withColumn(PART, F.when(F.col("_busy"), time_chunk(F.col(at), BUSY_CHUNK_SECONDS))).drop("_busy")
+
+
+def _part(columns) -> list[str]:
+    return [PART] if PART in columns else []
+
+
+def _deal(vessel: str, columns, spread: Column | None = None) -> Column:
+    """The number a vessel's rows are dealt by, another one for each chunk; rows without a vessel go by ``spread``."""
+    key = F.col(vessel) if spread is None else F.coalesce(F.col(vessel), spread)
+    return F.pmod(F.xxhash64(key, *_part(columns)), F.lit(2 ** 16)).cast("int")
+
+
+def valid_grid(rows: DataFrame) -> DataFrame:
+    return rows.where(geo.valid_position(F.col("latitude"), F.col("longitude")) & F.col("observed_at").isNotNull())
+
+
+def grid_records(rows: DataFrame, prefix: str, key=GRID_KEY, together: str | None = None) -> DataFrame:
+    """Valid gridded rows, one per key, with a hashed id.
+
+    With ``together``, a vessel column of the key, the rows are dealt out by vessel (and chunk) before they are
+    compared, and keep their number, so that ``correlate`` finds them in place and they are shuffled once.
+    """
+    keyed = valid_grid(rows).withColumn("lat5", F.round("latitude", 5)).withColumn("lon5", F.round("longitude", 5))
     parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key]
+    if together:
+        keyed = keyed.withColumn(DEAL, _deal(together, keyed.columns, F.xxhash64(*key).cast("string"))).repartition(DEAL)
+        key = (DEAL, *_part(keyed.columns), *key)
     return keyed.dropDuplicates(list(key)).withColumn("id", short_sha1(prefix, *parts))
 
 
@@ -243,42 +280,66 @@ def select_context_ids(records: DataFrame, limit: int | None = None, vessel: str
     return protected.unionByName(kept)
 
 
+def _closest(at: Column, before: Column, after: Column, lon: Column, lat: Column, limit_minutes: float) -> Column:
+    """The presence row closest in time, then in distance, of the lists at the times before and after, within the limit."""
+    delta = lambda side: F.abs(F.unix_micros(side["at"]) - F.unix_micros(at)) / 60e6
+    never = F.lit(float("inf"))
+    nearest = F.least(F.coalesce(delta(before), never), F.coalesce(delta(after), never))
+
+    def found(side: Column) -> Column:
+        row = lambda r: F.struct(
+            nearest.alias("_delta"), F.round(geo.haversine_nm(lon, lat, r["longitude"], r["latitude"]), 6).alias("_dist"),
+            r["id"].alias("ais_id"), side["at"].alias("_t"), r["latitude"].alias("ais_lat"), r["longitude"].alias("ais_lon"))
+        return F.when(delta(side) == nearest, F.array_min(F.transform(side["rows"], row)))
+
+    return F.when(nearest <= limit_minutes, F.least(found(before), found(after)))
+
+
 def correlate(sar: DataFrame, ais: DataFrame, selected: DataFrame, limit_minutes: float, vessel: str = "vessel_id"
               ) -> DataFrame:
     """Each radar record with its status and the closest-in-time presence row of the same vessel.
 
     The vessel's rows in the same region are used when there are any, else those of all regions.
-    Nearest times come from an ordered pass; only rows at those two times are compared by distance.
+    Records, presence rows and the selected vessels are one frame dealt by vessel: two ordered passes, by region and over
+    all regions, carry the presence rows at the nearest times, and the records never move by id. Records that ask for
+    nothing take no part. Sides that ``grid_records`` has dealt ``together`` are not shuffled again.
     """
-    sar_sel = sar.where("ais_matched").join(selected.select(vessel).distinct(), vessel, "left_semi")
-    here = ais.select("region_id", vessel).distinct().withColumn("_here", F.lit(True))
-    asked = sar_sel.join(here, ["region_id", vessel], "left").withColumn("ctx", F.when(
-        F.col("_here"), F.concat_ws("|", "region_id", vessel)).otherwise(F.concat_ws("|", F.lit("*"), vessel)))
-    keys = F.array(F.concat_ws("|", "region_id", vessel), F.concat_ws("|", F.lit("*"), vessel))
-    context = ais.withColumn("ctx", F.explode(keys)).join(asked.select("ctx").distinct(), "ctx", "left_semi")
-    times = nearest_times(asked, context, "ctx", "observed_at", "observed_at", "id")
-    wanted = times.select("id", "ctx", F.explode(F.array_distinct(F.array_compact(
-        F.array("before_at", "after_at")))).alias("_t"))
-    a = context.select(F.col("ctx"), F.col("observed_at").alias("_t"), F.col("id").alias("ais_id"),
-                       F.col("latitude").alias("ais_lat"), F.col("longitude").alias("ais_lon"))
-    s = asked.select("id", "observed_at", "latitude", "longitude")
-    close = wanted.join(s, "id").withColumn("_delta", F.abs(
-        F.unix_micros("_t") - F.unix_micros("observed_at")) / 60e6).where(F.col("_delta") <= limit_minutes)
-    distance = geo.haversine_nm(F.col("longitude"), F.col("latitude"), F.col("ais_lon"), F.col("ais_lat"))
-    best = (close.join(a, ["ctx", "_t"]).groupBy("id")
-            .agg(F.min(F.struct(F.col("_delta"), F.round(distance, 6).alias("_dist"), F.col("ais_id"),
-                                F.col("_t"), F.col("ais_lat"), F.col("ais_lon"))).alias("_b")))
-    chosen = sar_sel.select("id").withColumn("_sel", F.lit(True))
-    out = sar.join(chosen, "id", "left").join(best, "id", "left")
+    part = _part(sar.columns)
+    place = [DEAL, *part]
+    sar, ais = [side if DEAL in side.columns else side.withColumn(DEAL, _deal(vessel, side.columns)) for side in (sar, ais)]
+    asks = F.coalesce(F.col("ais_matched") & F.col(vessel).isNotNull(), F.lit(False))
+    asked = sar.where(asks).withColumns({"_at": F.col("observed_at"), "_side": F.lit(1)})
+    context = ais.where(F.col(vessel).isNotNull() & F.col("observed_at").isNotNull()).select(
+        *place, vessel, "region_id", F.col("observed_at").alias("_at"), F.lit(0).alias("_side"),
+        F.struct("id", "latitude", "longitude").alias("_row"))
+    chosen = selected.select(vessel).where(F.col(vessel).isNotNull())
+    if part:  # each chunk of a busy vessel is told that it is selected
+        chosen = chosen.join(stored(asked.where(F.col(PART).isNotNull()).select(vessel, PART).distinct()), vessel, "left")
+    chosen = chosen.withColumn(DEAL, _deal(vessel, chosen.columns)).repartition(DEAL).withColumn("_side", F.lit(2))
+    both = asked.unionByName(context, allowMissingColumns=True).unionByName(chosen, allowMissingColumns=True)
+    chunk = F.col(PART) if part else None
+    pick = _closest(F.col("_at"), F.col("_before"), F.col("_after"), F.col("longitude"), F.col("latitude"), limit_minutes)
+    mine = F.col("_side") == 1
+    here = mine & F.col("region_id").isNotNull() & (F.col("_before").isNotNull() | F.col("_after").isNotNull())
+    near = nearest_times(both, [vessel, "region_id"], "_at", "_side", "_row", "_before", "_after", chunk, [DEAL])
+    near = near.withColumns({"_here": here, "_best": F.when(here, pick)}).drop("_before", "_after")
+    vessels = Window.partitionBy(DEAL, vessel, *part).orderBy("_at", "_side").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing)
+    near = nearest_times(near, [vessel], "_at", "_side", "_row", "_before", "_after", chunk, [DEAL]).withColumn(
+        "_sel", F.max(F.col("_side") == 2).over(vessels))
+    near = near.where(mine).withColumn("_best", F.when(F.col("_sel"), F.when(F.col("_here"), F.col("_best")).otherwise(pick)))
+    columns = ["id", *[c for c in sar.columns if c not in ("id", *place)]]
+    out = near.select(*columns, "_sel", "_best").unionByName(
+        sar.where(~asks).select(*columns, F.lit(False).alias("_sel")), allowMissingColumns=True)
     status = (F.when(~F.col("ais_matched"), "not_applicable_ais_unmatched")
-              .when(F.col("_sel").isNull(), "not_requested_identity_cap")
-              .when(F.col("_b").isNotNull(), "time_aligned_same_identity")
+              .when(~F.col("_sel"), "not_requested_identity_cap")
+              .when(F.col("_best").isNotNull(), "time_aligned_same_identity")
               .otherwise("requested_but_no_time_aligned_context"))
-    return (out.withColumn("correlation_status", status).withColumn("ais_context_id", F.col("_b.ais_id"))
-            .withColumn("ais_observed_at", F.col("_b._t"))
-            .withColumn("ais_latitude", F.col("_b.ais_lat")).withColumn("ais_longitude", F.col("_b.ais_lon"))
-            .withColumn("time_delta_minutes", F.round("_b._delta", 1))
-            .withColumn("distance_nm", F.round("_b._dist", 2)).drop("_b", "_sel"))
+    return (out.withColumn("correlation_status", status).withColumn("ais_context_id", F.col("_best.ais_id"))
+            .withColumn("ais_observed_at", F.col("_best._t"))
+            .withColumn("ais_latitude", F.col("_best.ais_lat")).withColumn("ais_longitude", F.col("_best.ais_lon"))
+            .withColumn("time_delta_minutes", F.round("_best._delta", 1))
+            .withColumn("distance_nm", F.round("_best._dist", 2)).drop("_best", "_sel"))
 
 
 CORRELATION_STATUSES = ("not_applicable_ais_unmatched", "not_requested_identity_cap", "time_aligned_same_identity",

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wakeline import params as P
 from wakeline.functions.tables import fixed_table
-from wakeline.functions.times import minutes_between, time_chunk
-from wakeline.operators.keyed import carry_around, top_k
+from wakeline.functions.times import minutes_between
+from wakeline.operators.keyed import CHUNK, carry_around, top_k
 
 
 def common_watermark(rows: DataFrame, at: str, provider: str = "provider",
@@ -104,16 +106,22 @@ def bracketing(rows: DataFrame, scene_at: Column, key: str, at: str, score: Colu
     return top_k(single, [key, "side"], [gap.asc()], k, rank="rank")
 
 
-def nearest_times(left: DataFrame, right: DataFrame, key: str, left_at: str, right_at: str, left_id: str,
-                  chunk_seconds: int = 30 * 86400) -> DataFrame:
-    """Per left row the newest right time at or before it and the oldest after it, per key.
+def nearest_times(both: DataFrame, keys: Sequence[str], at: str, side: str, row: str, before: str = "before",
+                  after: str = "after", chunk: Column | None = None, place: Sequence[str] = ()) -> DataFrame:
+    """Per row the newest time at or before it and the oldest after it that rows of side 0 have under the same keys.
 
-    Both sides go through one ordered pass per key chunk, so nothing is paired all-with-all.
+    Input: both sides as one frame, so that they go through one ordered pass and nothing is paired all-with-all; rows
+    of side 0 sort first. The times are structs of the time and the list of ``row`` of all side-0 rows at it, and each
+    time's list is carried by one row. ``chunk`` and ``place`` as in ``carry_around``; the chunk goes by the time.
     """
-    both = left.select(F.col(key), F.col(left_at).alias("_at"), F.lit(1).alias("_side"), F.col(left_id).alias("_id")
-                       ).unionByName(right.select(F.col(key), F.col(right_at).alias("_at")).distinct()
-                                     .withColumn("_side", F.lit(0)).withColumn("_id", F.lit(None)))
-    value = F.when(F.col("_side") == 0, F.col("_at"))
-    done = carry_around(both, [key], time_chunk(F.col("_at"), chunk_seconds), ["_at", "_side", "_id"], value,
-                        "before_at", "after_at")
-    return done.where("_side = 1").select(F.col(key), F.col("_id").alias(left_id), "before_at", "after_at")
+    part = [] if chunk is None else [CHUNK]
+    rows = both if chunk is None else both.withColumn(CHUNK, chunk)
+    same = Window.partitionBy(*place, *keys, *part, at).orderBy(side)
+    whole = same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    looked_for = F.col(side) == 0
+    listed = rows.withColumns({"_number": F.row_number().over(same),
+                               "_list": F.collect_list(F.when(looked_for, F.col(row))).over(whole)})
+    value = F.when(looked_for & (F.col("_number") == 1), F.struct(F.col(at).alias("at"), F.col("_list").alias("rows")))
+    held = listed.withColumn("_held", value).drop("_number", "_list")
+    out = carry_around(held, keys, chunk if chunk is None else F.col(CHUNK), [at, side], F.col("_held"), before, after, place)
+    return out.drop("_held")

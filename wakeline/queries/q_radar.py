@@ -95,15 +95,16 @@ def _(t):
     return radar.grid_dedup_counts(t.grid)
 
 
+_RECORD = ("id", "region_id", "ais_matched", "observed_at", "latitude", "longitude", "vessel_id", "imo", "mmsi", "watchlist_match")
+
+
 def records(t):
-    rows = matching.watch_match_basis(t.grid, t.watchlist)
-    return radar.grid_records(rows, "sar_").select("id", "region_id", "ais_matched", "observed_at", "latitude", "longitude", "vessel_id", "imo",
-                                                   "mmsi", "watchlist_match")
+    return radar.grid_records(matching.watch_match_basis(t.grid, t.watchlist), "sar_").select(*_RECORD)
 
 
-def ais_side(t):
-    rows = t.grid.where("NOT ais_matched AND vessel_id IS NOT NULL").withColumn("ais_matched", F.lit(False))
-    return radar.grid_records(rows, "aisctx_", ("region_id", "vessel_id", "observed_at", "lat5", "lon5"))
+def ais_side(grid):
+    rows = grid.where("NOT ais_matched AND vessel_id IS NOT NULL").withColumn("ais_matched", F.lit(False))
+    return radar.grid_records(rows, "aisctx_", ("region_id", "vessel_id", "observed_at", "lat5", "lon5"), together="vessel_id")
 
 
 _W = f"""wi AS (SELECT DISTINCT {S.digits('imo')} AS id FROM v_watchlist WHERE length({S.digits('imo')}) = 7), wm AS (SELECT DISTINCT {S.digits('mmsi')} AS id FROM v_watchlist
@@ -147,8 +148,12 @@ cor AS (SELECT rec.id, CASE WHEN NOT ais_matched THEN 'not_applicable_ais_unmatc
 
 
 def correlated(t):
-    r = records(t)
-    return radar.correlate(r, ais_side(t), radar.select_context_ids(r), LIMIT_MIN)
+    grid = radar.in_chunks(t.grid)
+    rows = matching.watch_match_basis(grid, t.watchlist)
+    r = radar.grid_records(rows, "sar_", together="vessel_id")
+    r = r.select(*_RECORD, *[c for c in (radar.DEAL, radar.PART) if c in r.columns])
+    # A vessel's newest row is the same with its repeats, so they are not removed for that a second time.
+    return radar.correlate(r, ais_side(grid), radar.select_context_ids(radar.valid_grid(rows)), LIMIT_MIN)
 
 
 @query("jn14_time_aligned", f"WITH {CORR} SELECT id, delta, nm FROM cor WHERE status = 'time_aligned_same_identity'")
