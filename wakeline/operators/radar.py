@@ -244,12 +244,13 @@ def grid_records(rows: DataFrame, prefix: str, key=GRID_KEY, together: str | Non
     With ``together``, a vessel column of the key, the rows are dealt out by vessel (and chunk) before they are
     compared, and keep their number, so that ``correlate`` finds them in place and they are shuffled once.
     """
-    keyed = valid_grid(rows).withColumn("lat5", F.round("latitude", 5)).withColumn("lon5", F.round("longitude", 5))
+    keyed, places = valid_grid(rows), {"lat5": F.round("latitude", 5), "lon5": F.round("longitude", 5)}
     parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key]
-    if together:
-        keyed = keyed.withColumn(DEAL, _deal(together, keyed.columns, F.xxhash64(*key).cast("string"))).repartition(DEAL)
+    if together:  # rounded behind the shuffle
+        spread = F.xxhash64(*[places.get(k, F.col(k)) for k in key]).cast("string")
+        keyed = keyed.withColumn(DEAL, _deal(together, keyed.columns, spread)).repartition(DEAL)
         key = (DEAL, *_part(keyed.columns), *key)
-    return keyed.dropDuplicates(list(key)).withColumn("id", short_sha1(prefix, *parts))
+    return keyed.withColumns(places).dropDuplicates(list(key)).withColumn("id", short_sha1(prefix, *parts))
 
 
 def grid_dedup_counts(rows: DataFrame, key=GRID_KEY) -> DataFrame:
