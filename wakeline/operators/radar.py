@@ -310,9 +310,9 @@ def correlate(sar: DataFrame, ais: DataFrame, selected: DataFrame, limit_minutes
     sar, ais = [side if DEAL in side.columns else side.withColumn(DEAL, _deal(vessel, side.columns)) for side in (sar, ais)]
     asks = F.coalesce(F.col("ais_matched") & F.col(vessel).isNotNull(), F.lit(False))
     asked = sar.where(asks).withColumns({"_at": F.col("observed_at"), "_side": F.lit(1)})
-    context = ais.where(F.col(vessel).isNotNull() & F.col("observed_at").isNotNull()).select(
-        *place, vessel, "region_id", F.col("observed_at").alias("_at"), F.lit(0).alias("_side"),
-        F.struct("id", "latitude", "longitude").alias("_row"))
+    context = ais.where(F.col(vessel).isNotNull() & F.col("observed_at").isNotNull()).groupBy(
+        *place, vessel, "region_id", F.col("observed_at").alias("_at")).agg(
+        F.collect_list(F.struct("id", "latitude", "longitude")).alias("_rows")).withColumn("_side", F.lit(0))
     chosen = selected.select(vessel).where(F.col(vessel).isNotNull())
     if part:  # each chunk of a busy vessel is told that it is selected
         chosen = chosen.join(stored(asked.where(F.col(PART).isNotNull()).select(vessel, PART).distinct()), vessel, "left")
@@ -322,11 +322,11 @@ def correlate(sar: DataFrame, ais: DataFrame, selected: DataFrame, limit_minutes
     pick = _closest(F.col("_at"), F.col("_before"), F.col("_after"), F.col("longitude"), F.col("latitude"), limit_minutes)
     mine = F.col("_side") == 1
     here = mine & F.col("region_id").isNotNull() & (F.col("_before").isNotNull() | F.col("_after").isNotNull())
-    near = nearest_times(both, [vessel, "region_id"], "_at", "_side", "_row", "_before", "_after", chunk, [DEAL])
+    near = nearest_times(both, [vessel, "region_id"], "_at", "_side", "_rows", "_before", "_after", chunk, [DEAL], single=True)
     near = near.withColumns({"_here": here, "_best": F.when(here, pick)}).drop("_before", "_after")
     vessels = Window.partitionBy(DEAL, vessel, *part).orderBy("_at", "_side").rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing)
-    near = nearest_times(near, [vessel], "_at", "_side", "_row", "_before", "_after", chunk, [DEAL]).withColumn(
+    near = nearest_times(near, [vessel], "_at", "_side", "_rows", "_before", "_after", chunk, [DEAL]).withColumn(
         "_sel", F.max(F.col("_side") == 2).over(vessels))
     near = near.where(mine).withColumn("_best", F.when(F.col("_sel"), F.when(F.col("_here"), F.col("_best")).otherwise(pick)))
     columns = ["id", *[c for c in sar.columns if c not in ("id", *place)]]

@@ -106,22 +106,23 @@ def bracketing(rows: DataFrame, scene_at: Column, key: str, at: str, score: Colu
     return top_k(single, [key, "side"], [gap.asc()], k, rank="rank")
 
 
-def nearest_times(both: DataFrame, keys: Sequence[str], at: str, side: str, row: str, before: str = "before",
-                  after: str = "after", chunk: Column | None = None, place: Sequence[str] = ()) -> DataFrame:
+def nearest_times(both: DataFrame, keys: Sequence[str], at: str, side: str, rows: str, before: str = "before",
+                  after: str = "after", chunk: Column | None = None, place: Sequence[str] = (), single: bool = False) -> DataFrame:
     """Per row the newest time at or before it and the oldest after it that rows of side 0 have under the same keys.
 
     Input: both sides as one frame, so that they go through one ordered pass and nothing is paired all-with-all; rows
-    of side 0 sort first. The times are structs of the time and the list of ``row`` of all side-0 rows at it, and each
-    time's list is carried by one row. ``chunk`` and ``place`` as in ``carry_around``; the chunk goes by the time.
+    of side 0 sort first. The times are structs of the time and the joined lists ``rows`` of the side-0 rows at it;
+    ``single`` says that there is one such row a time. ``chunk`` and ``place`` as in ``carry_around``; the chunk goes
+    by the time.
     """
     part = [] if chunk is None else [CHUNK]
-    rows = both if chunk is None else both.withColumn(CHUNK, chunk)
-    same = Window.partitionBy(*place, *keys, *part, at).orderBy(side)
-    whole = same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    looked_for = F.col(side) == 0
-    listed = rows.withColumns({"_number": F.row_number().over(same),
-                               "_list": F.collect_list(F.when(looked_for, F.col(row))).over(whole)})
-    value = F.when(looked_for & (F.col("_number") == 1), F.struct(F.col(at).alias("at"), F.col("_list").alias("rows")))
-    held = listed.withColumn("_held", value).drop("_number", "_list")
+    held = both if chunk is None else both.withColumn(CHUNK, chunk)
+    first, listed = F.col(side) == 0, F.col(rows)
+    if not single:  # each time's list is carried by one of its rows
+        same = Window.partitionBy(*place, *keys, *part, at).orderBy(side)
+        whole = same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        held = held.withColumns({"_number": F.row_number().over(same), "_lists": F.collect_list(F.when(first, listed)).over(whole)})
+        first, listed = first & (F.col("_number") == 1), F.flatten("_lists")
+    held = held.withColumn("_held", F.when(first, F.struct(F.col(at).alias("at"), listed.alias("rows")))).drop("_number", "_lists")
     out = carry_around(held, keys, chunk if chunk is None else F.col(CHUNK), [at, side], F.col("_held"), before, after, place)
     return out.drop("_held")
